@@ -199,7 +199,7 @@ def lm_scores(docs: DataFrame, vocabulary: str, training: Column) -> DataFrame:
     often = F.col("uses") >= max(2.0, FREQUENT * int(got[3] or 0))
     top = known.where(often).select("hash", "known", "base", "lattice").toPandas()  # at most 1 / FREQUENT rows
     top = top.assign(hash=top["hash"].to_numpy(np.int64).view(np.uint64)).sort_values("hash")
-    top = spark.sparkContext.broadcast([np.append(top[c].to_numpy(), 0).astype(t) for c, t in (("hash", "u8"), ("known", "i8"), ("base", "f8"), ("lattice", "f8"))])
+    top = spark.sparkContext.broadcast([np.append(top[c].to_numpy(t), np.zeros(1, t)) for c, t in (("hash", "u8"), ("known", "i8"), ("base", "f8"), ("lattice", "f8"))])
     end_base = float(np.log10((ends + 0.1) / down))
     end_score = float(np.log10(ends / n)) if ends else end_base
 

@@ -53,11 +53,11 @@ WITH c AS (
   SELECT item_id, true, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda x: x <> '') FROM benchmark
 ),
 b AS (SELECT id AS item_id, len(w) AS size, list_transform(range(1, len(w) - least(5, len(w)) + 2), lambda i: array_to_string(w[i:i+least(5, len(w))-1], ' ')) AS sh FROM c WHERE bench AND len(w) >= 5),
-bs AS (SELECT item_id, size, unnest(sh) AS g, unnest(range(len(sh))) AS at FROM b),
+bs AS (SELECT item_id, size, unnest(sh) AS g, unnest(range(len(sh))) AS place FROM b),
 d AS (SELECT id AS doc_id, len(w) AS n, list_transform(range(1, greatest(1, len(w) - 3)), lambda i: array_to_string(w[i:i+4], ' ')) AS sh FROM c WHERE NOT bench),
 ds AS (SELECT doc_id, n, unnest(sh) AS g, unnest(range(len(sh))) AS pos FROM d),
 h AS (SELECT * FROM ds WHERE g IN (SELECT g FROM bs)),
-st AS (SELECT DISTINCT doc_id, item_id, size, greatest(0, least(pos - at, n - size)) AS start FROM h JOIN bs USING (g)),
+st AS (SELECT DISTINCT doc_id, item_id, size, greatest(0, least(pos - place, n - size)) AS start FROM h JOIN bs USING (g)),
 ws AS (SELECT st.doc_id, item_id, size, start, g, count(*) AS k FROM st JOIN ds ON ds.doc_id = st.doc_id AND pos >= start AND pos < start + size - 4 GROUP BY ALL),
 bk AS (SELECT item_id, g, count(*) AS k FROM bs GROUP BY ALL),
 tot AS (SELECT doc_id, item_id, start, sum(k) AS k FROM ws GROUP BY ALL),
