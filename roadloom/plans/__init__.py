@@ -1,0 +1,6 @@
+"""All queries over the driver's tables, by name."""
+
+from . import cell_queries
+from .registry import ORACLES, QUERIES
+
+__all__ = ["ORACLES", "QUERIES", "cell_queries"]
