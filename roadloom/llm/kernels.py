@@ -18,6 +18,10 @@ BLOCK_BYTES = 1 << 18  # small enough that the arrays over it stay in a core's c
 
 _WS = np.zeros(256, bool)
 _WS[[0x20, *range(0x09, 0x0E)]] = True
+_LETTER = np.zeros(256, bool)
+_LETTER[[*range(65, 91), *range(97, 123)]] = True
+_MARK = np.zeros(256, bool)
+_MARK[[ord(c) for c in "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _powers = np.ones(1, np.uint64), np.ones(1, np.uint64)
@@ -96,14 +100,19 @@ class Block:
         return out, to
 
     def pieces(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Like words(), but cut only before a space between two non-space bytes; a
-        piece keeps that space, and the pieces of a text make up the whole text."""
-        space = _WS[self.data] | ((self.data >= 0x1C) & (self.data <= 0x1F))
-        cut = self.data == 0x20
+        """Like words(), but the pieces of a text make up the whole text. It is cut
+        before a space between two bytes that are not white space (the space stays with
+        what follows), after a line feed that such a byte follows, and between an ASCII letter
+        and an ASCII mark."""
+        data = self.data
+        space = _WS[data] | ((data >= 0x1C) & (data <= 0x1F))
+        cut = data == 0x20
         cut[1:] &= ~space[:-1]
         cut[:-1] &= ~space[1:]
-        cut[0] = False
+        cut[1:] |= ((data[:-1] == 0x0A) & ~space[1:]) | (_LETTER[data[:-1]] & _MARK[data[1:]])
+        cut[self.ends[self.ends < len(cut)]] = False
         full = self.ends > self.starts
+        cut[self.starts[~full]] = False
         cut[self.starts[full]] = True
         start = np.flatnonzero(cut)
         first = np.append(np.searchsorted(start, self.starts), len(start))
@@ -113,6 +122,48 @@ class Block:
         return start, end, first
 
 
+class Codes:
+    """A hash table from 64-bit keys to the order in which they came, by linear probing
+    over whole arrays at once. Key 0 stands for an empty slot and is moved to 1."""
+
+    def __init__(self, most: int):
+        self.size = 1 << (2 * most - 1).bit_length()
+        self.keys = np.zeros(self.size, np.uint64)
+        self.codes = np.zeros(self.size, np.int32)
+        self.n = 0
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """Codes of keys; -1 for unknown ones."""
+        keys = np.maximum(keys, 1)
+        at = (keys & np.uint64(self.size - 1)).astype(np.int64)
+        here = self.keys[at]
+        out = np.where(here == keys, self.codes[at], -1)
+        left = np.flatnonzero((here != keys) & (here != 0))
+        while len(left):
+            at[left] = (at[left] + 1) & (self.size - 1)
+            here = self.keys[at[left]]
+            hit = here == keys[left]
+            out[left[hit]] = self.codes[at[left[hit]]]
+            left = left[~hit & (here != 0)]
+        return out
+
+    def add(self, keys: np.ndarray) -> None:
+        """Enters distinct unknown keys, which get the next codes."""
+        keys = np.maximum(keys, 1)
+        code = np.arange(self.n, self.n + len(keys), dtype=np.int32)
+        at = (keys & np.uint64(self.size - 1)).astype(np.int64)
+        left = np.arange(len(keys))
+        while len(left):
+            slot = at[left]
+            free = self.keys[slot] == 0
+            self.keys[slot[free]] = keys[left[free]]
+            own = free & (self.keys[slot] == keys[left])
+            self.codes[slot[own]] = code[left[own]]
+            left = left[~own]
+            at[left] = (at[left] + 1) & (self.size - 1)
+        self.n += len(keys)
+
+
 def distinct(x: np.ndarray) -> np.ndarray:
     """Sorted distinct values."""
     x = np.sort(x)

@@ -2,8 +2,8 @@
 
 A byte-level BPE vocabulary splits text by a pattern before it merges, and that
 pattern always splits before a space that stands between two characters other than
-white space. Each piece between such places is encoded once per Python worker and
-then looked up by its hash, so a text costs a few array operations. Texts with
+white space, and between a letter and a mark. Each piece between such places is
+encoded once per Python worker and then looked up by its hash, so a text costs a few array operations. Texts with
 white space outside ASCII go to the tokenizer whole.
 """
 
@@ -13,9 +13,8 @@ import os
 import re
 
 import numpy as np
-import pandas as pd
 
-from .kernels import Block, blocks
+from .kernels import Block, Codes, blocks
 
 # The characters outside ASCII that the split pattern counts as white space.
 _WIDE_SPACE = re.compile("[\x85\xa0  -     　]")
@@ -31,7 +30,8 @@ def byte_letters() -> dict[int, str]:
 
 
 class PieceEncoder:
-    """Ids of texts, with a cache of at most `most` pieces that starts anew when full."""
+    """Ids of texts, with a cache of at most about `most` pieces that starts anew when
+    full."""
 
     def __init__(self, path: str, most: int = 1_500_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -44,50 +44,64 @@ class PieceEncoder:
         self._clear()
 
     def _clear(self) -> None:
-        self.code: dict[int, int] = {}
-        self.used = self.n = 0
+        self.table = Codes(self.most)
         self.flat = np.zeros(1 << 16, np.uint32)
         self.offset = np.zeros(1 << 14, np.int64)
+        self.used = 0
 
     def encode_whole(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
-    def _encode_piece(self, piece: str) -> list[int]:
-        model = self.tokenizer.model.tokenize
-        if _LETTERS.fullmatch(piece):
-            units = [piece.encode().decode("latin-1").translate(self.letters)]
-        else:
-            units = [u for u, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(piece)]
-        return [t.id for u in units for t in model(u)]
-
-    def _add(self, key: int, piece: str) -> int:
-        ids = self._encode_piece(piece)
+    def _encode(self, pieces: list[bytes]) -> tuple[list[int], list[int]]:
+        """(ids of all pieces, how many there are up to each piece's end)"""
+        merge = self.tokenizer.model.tokenize
+        split = self.tokenizer.pre_tokenizer.pre_tokenize_str
+        plain, letters, blank = _LETTERS.fullmatch, self.letters, self.letters[0x20]
+        ids: list[int] = []
+        ends: list[int] = []
+        for piece in pieces:
+            text = piece.decode()
+            if not plain(text):
+                for unit, _ in split(text):
+                    ids += [t.id for t in merge(unit)]
+            elif len(text) == len(piece):  # ASCII
+                ids += [t.id for t in merge(blank + text[1:] if text[0] == " " else text)]
+            else:
+                ids += [t.id for t in merge(piece.decode("latin-1").translate(letters))]
+            ends.append(len(ids))
+        return ids, ends
+
+    def _add(self, keys: np.ndarray, pieces: list[bytes]) -> None:
+        ids, ends = self._encode(pieces)
         if self.used + len(ids) > len(self.flat):
             self.flat = np.concatenate([self.flat, np.zeros(max(len(self.flat), len(ids)), np.uint32)])
-        if self.n + 2 > len(self.offset):
-            self.offset = np.concatenate([self.offset, np.zeros(len(self.offset), np.int64)])
         self.flat[self.used : self.used + len(ids)] = ids
+        n = self.table.n
+        if n + len(ends) >= len(self.offset):
+            self.offset = np.concatenate([self.offset, np.zeros(max(len(self.offset), len(ends)), np.int64)])
+        self.offset[n + 1 : n + 1 + len(ends)] = self.used + np.array(ends, np.int64)
         self.used += len(ids)
-        self.code[key] = self.n
-        self.n += 1
-        self.offset[self.n] = self.used
-        return self.n - 1
+        self.table.add(keys)
 
     def codes(self, block: Block) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(piece codes, their starts, their ends, index of each text's first piece)."""
-        if self.n > self.most:
-            self._clear()
         start, end, first = block.pieces()
-        which, keys = pd.factorize(block.hashes(start, end))
-        known = list(map(self.code.get, keys.tolist()))
-        if None in known:
-            at = np.zeros(len(keys), np.int64)
-            at[which[::-1]] = np.arange(len(which) - 1, -1, -1)
-            for i, code in enumerate(known):
-                if code is None:
-                    j = at[i]
-                    known[i] = self._add(int(keys[i]), block.raw[start[j] : end[j]].decode())
-        return np.asarray(known, np.int64)[which], start, end, first
+        keys = np.maximum(block.hashes(start, end), 1)
+        codes = self.table.find(keys)
+        missing = np.flatnonzero(codes < 0)
+        if len(missing):
+            new, at = np.unique(keys[missing], return_index=True)
+            if self.table.n + len(new) > self.most:
+                self._clear()
+                missing = np.arange(len(keys))
+                new, at = np.unique(keys, return_index=True)
+                if len(new) > self.most:
+                    self.table = Codes(len(new))
+            at = missing[at]
+            raw = block.raw
+            self._add(new, [raw[a:b] for a, b in zip(start[at].tolist(), end[at].tolist())])
+            codes[missing] = self.table.find(keys[missing])
+        return codes, start, end, first
 
     def lengths(self, codes: np.ndarray) -> np.ndarray:
         return self.offset[codes + 1] - self.offset[codes]
@@ -102,9 +116,10 @@ class PieceEncoder:
             to = np.zeros(len(n) + 1, np.int64)
             np.cumsum(n, out=to[1:])
             flat = self.flat[np.repeat(self.offset[codes] - to[:-1], n) + np.arange(to[-1])]
+            wide = bool(_WIDE_SPACE.search(block.raw.decode()))
             for i in range(len(block.starts)):
-                text = texts[first_text + i] or ""
-                if _WIDE_SPACE.search(text):
+                text = (texts[first_text + i] or "") if wide else ""
+                if wide and _WIDE_SPACE.search(text):
                     got = np.array(self.encode_whole(text), np.uint32)
                 else:
                     got = flat[to[first[i]] : to[first[i + 1]]]
