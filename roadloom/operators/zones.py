@@ -31,7 +31,7 @@ def polyline_measure(vertices: DataFrame, by: list[str], order: str = "seq") ->
 
 
 def point_in_zone(points: DataFrame, edges: DataFrame, key: list[str]) -> DataFrame:
-    """(key..., poly_id) of each point inside a polygon, by ray casting. Points and edges
+    """(key..., x, y, poly_id) of each distinct point inside a polygon, by ray casting. Points and edges
     meet in horizontal strips, so a point is only held against edges at its height."""
     strip = 5.0
     rows = edges.withColumns({"ylo": F.least("y1", "y2"), "yhi": F.greatest("y1", "y2")}).where("ylo < yhi")
@@ -39,7 +39,7 @@ def point_in_zone(points: DataFrame, edges: DataFrame, key: list[str]) -> DataFr
     pts = points.select(*key, "x", "y").distinct().withColumn("strip", F.floor(F.col("y") / strip))
     hit = pts.join(rows, "strip").where("y >= ylo AND y < yhi")
     x_at = F.col("x1") + (F.col("y") - F.col("y1")) * (F.col("x2") - F.col("x1")) / (F.col("y2") - F.col("y1"))
-    crossings = hit.groupBy(*key, "poly_id").agg(F.sum((F.col("x") < x_at).cast("int")).alias("n"))
+    crossings = hit.groupBy(*key, "x", "y", "poly_id").agg(F.sum((F.col("x") < x_at).cast("int")).alias("n"))
     return crossings.where("n % 2 = 1").drop("n")
 
 

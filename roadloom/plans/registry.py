@@ -26,5 +26,5 @@ def query(sql: str | None = None, views: tuple[str, ...] = ()):
 
 
 def rounded(df: DataFrame, places: int = 6) -> DataFrame:
-    """Doubles rounded, as sums depend on the order of their terms."""
-    return df.select(*[F.round(c, places).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes])
+    """Doubles rounded, as sums depend on the order of their terms; no negative zeros."""
+    return df.select(*[(F.round(c, places) + F.lit(0.0)).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes])
