@@ -102,14 +102,15 @@ class Block:
     def pieces(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Like words(), but the pieces of a text make up the whole text. It is cut
         before a space between two bytes that are not white space (the space stays with
-        what follows), after a line feed that such a byte follows, and between an ASCII letter
-        and an ASCII mark."""
+        what follows), after a line feed between two such bytes, and between an ASCII
+        letter and an ASCII mark."""
         data = self.data
         space = _WS[data] | ((data >= 0x1C) & (data <= 0x1F))
         cut = data == 0x20
         cut[1:] &= ~space[:-1]
         cut[:-1] &= ~space[1:]
-        cut[1:] |= ((data[:-1] == 0x0A) & ~space[1:]) | (_LETTER[data[:-1]] & _MARK[data[1:]])
+        cut[2:] |= (data[1:-1] == 0x0A) & ~space[:-2] & ~space[2:]
+        cut[1:] |= _LETTER[data[:-1]] & _MARK[data[1:]]
         cut[self.ends[self.ends < len(cut)]] = False
         full = self.ends > self.starts
         cut[self.starts[~full]] = False
