@@ -198,7 +198,8 @@ STYLES = (
 def raw_transcripts(conversations: DataFrame) -> DataFrame:
     """Plain transcripts of `conversations` (conv_id, turn, role, text) as a scraper
     would find them: (conv_id, part, text), one part for each turn. Markers follow one
-    of four styles; one in eight turns lacks its marker; a blank line ends a turn."""
+    of four styles; one in eight turns lacks its marker; a blank line stands before
+    those and before three in four of the others."""
     style = F.pmod(F.xxhash64("conv_id"), F.lit(len(STYLES)))
     lost = F.pmod(F.xxhash64("conv_id", "turn", F.lit("lost")), F.lit(8)) == 0
     sign = F.lit("")
@@ -207,4 +208,6 @@ def raw_transcripts(conversations: DataFrame) -> DataFrame:
             sign = F.when((style == k) & (F.col("role") == role), text).otherwise(sign)
     sign = F.when(lost, "").otherwise(sign)
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    return conversations.select("conv_id", F.col("turn").alias("part"), F.concat(F.lit("\n"), sign, text).alias("text"))
+    close = ~lost & (F.pmod(F.xxhash64("conv_id", "turn", F.lit("close")), F.lit(4)) == 0)
+    gap = F.when(close, "").otherwise("\n")
+    return conversations.select("conv_id", F.col("turn").alias("part"), F.concat(gap, sign, text).alias("text"))
