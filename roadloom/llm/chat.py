@@ -69,18 +69,31 @@ def lines_of(transcripts: DataFrame) -> DataFrame:
 
 def train(lines: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Log start, transition and emission tables from lines with their true `state`.
-    Counts start at 0.1 each, so an unseen case keeps a small probability."""
+
+    A symbol's emission is the product of those of its three parts (marker with gap,
+    length, question mark), so combinations that training lacks are told from each
+    other. Rare states lean on all lines (two counts are dealt as those of all states
+    together), and every case has a floor that is the same for all states, so a case
+    that no state has shown speaks for none."""
     order = Window.partitionBy("conv_id").orderBy("part", "i")
     moves = lines.select("symbol", "state", F.lag("state").over(order).alias("was"))
     got = moves.groupBy("was", "state", "symbol").agg(F.count("*").alias("n")).toPandas()  # at most 7 * 6 * SYMBOLS rows
-    start, move, emit = np.full(STATES, 0.1), np.full((STATES, STATES), 0.1), np.full((STATES, SYMBOLS), 0.1)
+    start, move = np.full(STATES, 0.1), np.full((STATES, STATES), 0.1)
+    seen = np.zeros((STATES, 8, 3, 2))
     for was, state, symbol, n in got.itertuples(index=False):
-        emit[state, symbol] += n
+        seen[state, symbol // 6, symbol // 2 % 3, symbol % 2] += n
         if was is None or was != was:
             start[state] += n
         else:
             move[int(was), state] += n
-    return np.log(start / start.sum()), np.log(move / move.sum(1, keepdims=True)), np.log(emit / emit.sum(1, keepdims=True))
+    log = lambda x: np.log(x / x.sum(-1, keepdims=True))
+    parts = []
+    for axis in ((2, 3), (1, 3), (1, 2)):
+        own = seen.sum(axis)
+        own = own + 2 * (own.sum(0) + 0.1) / (own.sum() + 0.1 * own.shape[1])
+        parts.append(np.log(0.99 * own / own.sum(1, keepdims=True) + 0.01 / own.shape[1]))
+    emit = parts[0][:, :, None, None] + parts[1][:, None, :, None] + parts[2][:, None, None, :]
+    return log(start), log(move), emit.reshape(STATES, SYMBOLS)
 
 
 def viterbi(symbols: np.ndarray, enter: np.ndarray, leave: int | None, move: np.ndarray, emit: np.ndarray) -> np.ndarray:
