@@ -13,6 +13,9 @@ PT = ("v_points", "v_traj")
 
 CELL5 = "CAST(floor(x / 5e0) AS BIGINT) AS ix, CAST(floor(y / 5e0) AS BIGINT) AS iy"
 DEM = f"c AS (SELECT *, {CELL5} FROM v_points), dem AS (SELECT patch_id, ix, iy, quantile_cont(z, 0.1e0) AS ground_z, count(*) AS n FROM c GROUP BY ALL HAVING count(*) >= 8)"
+# Vertices with their unit heading.
+SEG_FREE = """s0 AS (SELECT *, coalesce(lead(x) OVER w, x) - coalesce(lag(x) OVER w, x) AS ddx, coalesce(lead(y) OVER w, y) - coalesce(lag(y) OVER w, y) AS ddy FROM v_traj WINDOW w AS (PARTITION BY traj_id ORDER BY seq)),
+h AS (SELECT *, CASE WHEN sqrt(ddx * ddx + ddy * ddy) > 0 THEN ddx / sqrt(ddx * ddx + ddy * ddy) END AS hx, CASE WHEN sqrt(ddx * ddx + ddy * ddy) > 0 THEN ddy / sqrt(ddx * ddx + ddy * ddy) END AS hy FROM s0)"""
 OFFSETS = "o AS (SELECT a.i, b.i AS j FROM (VALUES (-1), (0), (1)) a(i), (VALUES (-1), (0), (1)) b(i))"
 GROUND = f"""{DEM}, {OFFSETS}, q AS (SELECT *, {CELL5} FROM v_traj),
 own AS (SELECT q.*, dem.ground_z AS g FROM q LEFT JOIN dem USING (patch_id, ix, iy)),
