@@ -64,9 +64,10 @@ def movement_pairs(approaches: DataFrame) -> DataFrame:
     return rows.withColumns({"relation": relation, "turn": turn, "crossed": F.least(F.lit(2), F.abs(F.col("s_lateral_rank") - F.col("t_lateral_rank")))})
 
 
-def movement_rules(same_zone: Column = F.lit(True)) -> Column:
+def movement_rules(same_zone: Column | None = None) -> Column:
     """Decision (status, confidence, reasons) of a movement, the first rule that applies.
     NULL stands for unknown. Columns: turn, crossed, t_role, s_core, s_profile."""
+    same_zone = F.lit(True) if same_zone is None else same_zone
     unsure = F.coalesce(F.col("t_role") == "unknown", F.lit(True))
     turn, profile = F.col("turn"), F.coalesce(F.col("s_profile"), F.lit(""))
 

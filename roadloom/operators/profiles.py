@@ -7,7 +7,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .series import TRAJ, W, heading, points_near, runs
+from .series import TRAJ, along, heading, points_near, runs
 
 
 def xsec_profile_fit(traj: DataFrame, ground: DataFrame, radius: float = 8.0, half_width: float = 5.0, along: float = 3.0, bins: int = 21, least_bins: int = 5, p90_gate: float = 0.5) -> DataFrame:
@@ -45,7 +45,7 @@ def xsec_metrics(profiles: DataFrame) -> DataFrame:
 
 def xsec_intervals(profiles: DataFrame, least: int = 3) -> DataFrame:
     """Runs of at least `least` anomalous vertices, with least support and greatest p90."""
-    rows = profiles.withColumn("i", F.row_number().over(W))
+    rows = profiles.withColumn("i", F.row_number().over(along()))
     got = runs(rows, list(TRAJ), "i", F.col("anomaly")).groupBy(*TRAJ, "run").agg(F.min("i").alias("start_i"), F.max("i").alias("end_i"), F.min("support").alias("min_support"), F.max("p90").alias("max_p90"))
     return got.where(F.col("end_i") - F.col("start_i") + 1 >= least).drop("run")
 

@@ -12,7 +12,11 @@ from pyspark.sql import functions as F
 from .cells import cell, finite, finite_filter, neighbours
 
 TRAJ = ("patch_id", "traj_id")
-W = Window.partitionBy(*TRAJ).orderBy("seq")
+
+
+def along():
+    """A trajectory's vertices in order."""
+    return Window.partitionBy(*TRAJ).orderBy("seq")
 
 
 def points_near(queries: DataFrame, points: DataFrame, radius: float, key: list[str]) -> DataFrame:
@@ -75,7 +79,7 @@ def sliding_bin_score(rows: DataFrame, thresholds: DataFrame, width: int = 64, s
     """Median |z - cloud_z| of windows of `width` vertices at every `stride`-th one.
     Windows run to the end of the data, where they are shorter. A vertex is in at
     most width / stride windows, so it is copied to those and aggregated."""
-    ix = F.row_number().over(W) - 1
+    ix = F.row_number().over(along()) - 1
     rows = rows.withColumns({"i": ix, "residual": F.abs(F.col("z") - F.col("cloud_z"))})
     first = F.greatest(F.lit(0), F.floor((F.col("i") - width) / stride) + 1).cast("int")
     bins = rows.withColumn("bin", F.explode(F.sequence(first, F.floor(F.col("i") / stride).cast("int"))))
@@ -128,7 +132,7 @@ def equal_bins(rows: DataFrame, bins: int = 20, threshold: float = 0.5, outlier_
     """Index ranges of a trajectory's vertices in `bins` parts (edges truncated): mean
     |residual|, share of outliers and whether it is an anomaly."""
     n = F.count("*").over(Window.partitionBy(*TRAJ))
-    rows = rows.withColumns({"i": F.row_number().over(W) - 1, "n": n, "a": F.abs("residual")})
+    rows = rows.withColumns({"i": F.row_number().over(along()) - 1, "n": n, "a": F.abs("residual")})
     k = F.least(F.lit(bins), F.col("n"))
     # The bin b with floor(b n / k) <= i < floor((b + 1) n / k).
     guess = F.floor(F.col("i") * k / F.col("n"))
@@ -156,7 +160,7 @@ def interval_merge_topk(bins: DataFrame, least: int = 1, top: int = 5) -> DataFr
 def heading(traj: DataFrame) -> DataFrame:
     """Adds hx, hy: the unit direction at a vertex from its neighbours, one-sided at the
     ends, NULL where nothing moves."""
-    step = lambda c: F.coalesce(F.lead(c).over(W), F.col(c)) - F.coalesce(F.lag(c).over(W), F.col(c))
+    step = lambda c: F.coalesce(F.lead(c).over(along()), F.col(c)) - F.coalesce(F.lag(c).over(along()), F.col(c))
     rows = traj.withColumns({"_dx": step("x"), "_dy": step("y")})
     n = F.sqrt(F.col("_dx") ** 2 + F.col("_dy") ** 2)
     return rows.withColumns({"hx": F.when(n > 0, F.col("_dx") / n), "hy": F.when(n > 0, F.col("_dy") / n)}).drop("_dx", "_dy")
@@ -165,11 +169,11 @@ def heading(traj: DataFrame) -> DataFrame:
 def traj_gap_split(traj: DataFrame, distance: float = 10.0, seconds: float = 1.0, seq_gap: int = 1, untimed_factor: float = 2.5) -> DataFrame:
     """Adds `piece`: a new one after a jump in distance, time or seq. Pieces of one
     vertex are dropped, unless the trajectory has no others."""
-    dx, dy, dt, ds = (F.col(c) - F.lag(c).over(W) for c in ("x", "y", "t", "seq"))
+    dx, dy, dt, ds = (F.col(c) - F.lag(c).over(along()) for c in ("x", "y", "t", "seq"))
     far = F.when(dt.isNull() & (ds <= seq_gap), distance * untimed_factor).otherwise(distance)
     cut = (F.sqrt(dx**2 + dy**2) > far) | F.coalesce(dt > seconds, F.lit(False)) | F.coalesce(ds > seq_gap, F.lit(False))
     rows = traj.withColumn("_cut", F.coalesce(cut, F.lit(False)).cast("int"))
-    rows = rows.withColumn("piece", F.sum("_cut").over(W))
+    rows = rows.withColumn("piece", F.sum("_cut").over(along()))
     rows = rows.withColumn("_n", F.count("*").over(Window.partitionBy(*TRAJ, "piece")))
     rows = rows.withColumn("_best", F.max("_n").over(Window.partitionBy(*TRAJ)))
     rows = rows.withColumn("piece", F.when(F.col("_best") >= 2, F.col("piece")).otherwise(0))
@@ -178,7 +182,7 @@ def traj_gap_split(traj: DataFrame, distance: float = 10.0, seconds: float = 1.0
 
 def traj_split_stats(traj: DataFrame, distance: float = 10.0, seconds: float = 1.0) -> DataFrame:
     """Per patch: breaks by reason (distance first, then time) and gap quantiles."""
-    dx, dy, dt = (F.col(c) - F.lag(c).over(W) for c in ("x", "y", "t"))
+    dx, dy, dt = (F.col(c) - F.lag(c).over(along()) for c in ("x", "y", "t"))
     rows = traj.select("patch_id", F.sqrt(dx**2 + dy**2).alias("d"), dt.alias("dt"))
     reason = F.when(F.col("d") > distance, "distance").when(F.col("dt") > seconds, "time")
     return rows.groupBy("patch_id").agg(
@@ -190,7 +194,7 @@ def traj_split_stats(traj: DataFrame, distance: float = 10.0, seconds: float = 1
 def consecutive_cell_dedup(traj: DataFrame, size: float = 5.0) -> DataFrame:
     """The first vertex of every stay in a cell."""
     rows = cell(finite_filter(traj, "x", "y"), size)
-    stay = F.coalesce((F.lag("ix").over(W) == F.col("ix")) & (F.lag("iy").over(W) == F.col("iy")), F.lit(False))
+    stay = F.coalesce((F.lag("ix").over(along()) == F.col("ix")) & (F.lag("iy").over(along()) == F.col("iy")), F.lit(False))
     return rows.withColumn("_s", stay).where("NOT _s").drop("_s")
 
 
@@ -198,7 +202,7 @@ def road_z_variation(traj: DataFrame, road_z: DataFrame, size: float = 5.0) -> D
     """|change| of the road's height along each trajectory's sequence of cells, and
     over all of a patch (traj_id NULL)."""
     rows = consecutive_cell_dedup(traj, size).join(road_z.select("patch_id", "ix", "iy", "road_z"), ["patch_id", "ix", "iy"])
-    rows = rows.withColumn("dz", F.abs(F.col("road_z") - F.lag("road_z").over(W)))
+    rows = rows.withColumn("dz", F.abs(F.col("road_z") - F.lag("road_z").over(along())))
     stats = [F.percentile("dz", F.lit(p)).alias(f"p{round(100 * p)}") for p in (0.5, 0.9, 0.99)]
     return rows.where("dz IS NOT NULL").groupingSets([["patch_id", "traj_id"], ["patch_id"]], "patch_id", "traj_id").agg(F.count("*").alias("n"), *stats, F.max("dz").alias("max_dz"))
 
@@ -219,9 +223,9 @@ def traj_z_degraded(traj: DataFrame, nonzero_gate: float = 0.01, std_gate: float
 def max_turn_and_segment(traj: DataFrame) -> DataFrame:
     """Per trajectory: the greatest turn, scaled to 10 m (a vertex's turn over the mean
     of its edges), and the longest edge."""
-    dx, dy = F.col("x") - F.lag("x").over(W), F.col("y") - F.lag("y").over(W)
+    dx, dy = F.col("x") - F.lag("x").over(along()), F.col("y") - F.lag("y").over(along())
     rows = traj.withColumns({"dx": dx, "dy": dy}).withColumn("d", F.sqrt(F.col("dx") ** 2 + F.col("dy") ** 2))
-    nx, ny, nd = (F.lead(c).over(W) for c in ("dx", "dy", "d"))
+    nx, ny, nd = (F.lead(c).over(along()) for c in ("dx", "dy", "d"))
     cos = (F.col("dx") * nx + F.col("dy") * ny) / (F.col("d") * nd)
     turn = F.degrees(F.acos(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), cos)))) * 10 / ((F.col("d") + nd) / 2)
     rows = rows.withColumn("turn", F.when((F.col("d") > 0) & (nd > 0), turn))

@@ -1,6 +1,6 @@
 """All queries over the driver's tables, by name."""
 
-from . import cell_queries, network_queries, report_queries
+from . import anchor_queries, cell_queries, network_queries, report_queries
 from .registry import ORACLES, QUERIES
 
-__all__ = ["ORACLES", "QUERIES", "cell_queries", "network_queries", "report_queries"]
+__all__ = ["ORACLES", "QUERIES", "anchor_queries", "cell_queries", "network_queries", "report_queries"]
