@@ -136,9 +136,9 @@ def outcome_classify() -> Column:
     return (
         F.when(F.col("built"), "built")
         .when(~F.col("legal"), "arc_legality_rejected")
-        .when(F.col("bridge") & ~F.col("bridge_resolved"), "bridge_unresolved")
+        .when(F.col("bridge") & ~F.col("bridge_resolved"), "bridge_aware_unresolved")
         .when(~F.col("corridor"), "unresolved_corridor")
-        .when(~F.col("slot"), "slot_failed")
-        .when(~F.col("valid"), "geometry_invalid")
-        .otherwise("none")
+        .when(~F.col("slot"), "slot_mapping_failed")
+        .when(~F.col("valid"), "final_geometry_invalid")
+        .otherwise("should_be_no_geometry_candidate")
     )

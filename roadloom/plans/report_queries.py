@@ -198,7 +198,7 @@ def road_confidence(spark, d):
     return rounded(rows.select("src", "dst", scalars.road_confidence(F.col("n"), F.col("n") / 100, F.col("smooth")).alias("confidence")))
 
 
-@query("SELECT outcome, count(*) AS n FROM (SELECT CASE WHEN road_id % 7 = 0 THEN 'built' WHEN direction = 0 THEN 'arc_legality_rejected' WHEN direction = 1 AND road_id % 2 = 0 THEN 'bridge_unresolved' WHEN length_m < 10 THEN 'unresolved_corridor' WHEN length_m > 40 THEN 'slot_failed' WHEN road_id % 5 = 0 THEN 'geometry_invalid' ELSE 'none' END AS outcome FROM v_roads) GROUP BY ALL", ("v_roads",))
+@query("SELECT outcome, count(*) AS n FROM (SELECT CASE WHEN road_id % 7 = 0 THEN 'built' WHEN direction = 0 THEN 'arc_legality_rejected' WHEN direction = 1 AND road_id % 2 = 0 THEN 'bridge_aware_unresolved' WHEN length_m < 10 THEN 'unresolved_corridor' WHEN length_m > 40 THEN 'slot_mapping_failed' WHEN road_id % 5 = 0 THEN 'final_geometry_invalid' ELSE 'should_be_no_geometry_candidate' END AS outcome FROM v_roads) GROUP BY ALL", ("v_roads",))
 def outcome_classify(spark, d):
     flags = {"built": "road_id % 7 = 0", "legal": "direction <> 0", "bridge": "direction = 1", "bridge_resolved": "road_id % 2 <> 0", "corridor": "length_m >= 10", "slot": "length_m <= 40", "valid": "road_id % 5 <> 0"}
     rows = v.roads(spark, d).select(*[F.expr(e).alias(n) for n, e in flags.items()])
