@@ -73,11 +73,7 @@ def fingerprint_edits(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    cuts = _cuts(rows, n)
-    part = F.lit(0)
-    for i, cut in enumerate(cuts):
-        part = F.when(F.col("doc_id") >= cut, i + 1).otherwise(part)
-    rows = rows.withColumn("part", part)
+    rows = rows.withColumn("part", F.when(F.col("doc_id").isNull(), 0).otherwise(_range(_cuts(rows, n), 0)))
     # The first row of each range, for the range before it (of the first, for the last).
     heads = rows.groupBy("part").agg(F.min("doc_id").alias("doc_id"), F.max(F.col("doc_id").isNull()).alias("null_id"))
     heads = heads.select("part", F.when(~F.col("null_id"), F.col("doc_id")).alias("doc_id")).orderBy("part").collect()  # one row a range
@@ -92,7 +88,7 @@ def fingerprint_edits(docs: DataFrame) -> DataFrame:
         .select(F.col("before").alias("part"), F.lit(1).alias("extra"), "row.doc_id", "row.text")
     )
     dealt = rows.select("part", F.lit(0).alias("extra"), "doc_id", "text").union(first)
-    dealt = dealt.repartition(n, "part").sortWithinPartitions("part", "extra", F.col("doc_id").asc_nulls_first(), "text")
+    dealt = dealt.repartitionByRange(n, "part").sortWithinPartitions("part", "extra", F.col("doc_id").asc_nulls_first(), "text")
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         last: tuple | None = None  # the row that still waits for its next one
@@ -121,6 +117,14 @@ def _cuts(rows: DataFrame, n: int) -> list[int]:
     return sorted(set(found or []))
 
 
+def _range(cuts: list[int], first: int) -> Column:
+    """Number of the cuts that doc_id reaches, plus `first`, by binary search."""
+    if not cuts:
+        return F.lit(first)
+    mid = len(cuts) // 2
+    return F.when(F.col("doc_id") >= cuts[mid], _range(cuts[mid + 1 :], first + mid + 1)).otherwise(_range(cuts[:mid], first))
+
+
 def _fingerprint(pairs: list[tuple]) -> pd.DataFrame:
     edited = [own[: len(own) - len(own) // 4] + nxt[: len(own) // 4] for _, own, nxt in pairs]
     # A next document is the following pair's own one, but for the last.
