@@ -162,15 +162,32 @@ def recover_turns(transcripts: DataFrame, tables: tuple[np.ndarray, np.ndarray,
         found = chain([np.reshape(m, (STATES, STATES)) for m in pdf["m"]], start, move)
         return pd.DataFrame({"conv_id": pdf["conv_id"].astype("Int64"), "segment": pdf["segment"], "first": [a for a, _ in found], "last": [b for _, b in found]})
 
-    def decode(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("no")
-        first, last = pdf["first"].iloc[0], pdf["last"].iloc[0]
-        if first == first and first is not None:
-            enter = np.full(STATES, -np.inf)
-            enter[int(first)] = 0
-            path = viterbi(pdf["symbol"].to_numpy(), enter, int(last), move, emit)
-        else:
-            path = viterbi(pdf["symbol"].to_numpy(), start, None, move, emit)
+    def decode(rows: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """States of the lines of rows that come in order; a segment ends with its last row."""
+        rest = None
+        for pdf in rows:
+            pdf = pdf if rest is None else pd.concat([rest, pdf], ignore_index=True)
+            conv = pdf["conv_id"].to_numpy()
+            same = (conv[1:] == conv[:-1]) | (pd.isna(conv[1:]) & pd.isna(conv[:-1]))
+            cut = np.flatnonzero(~same | (np.diff(pdf["segment"].to_numpy()) != 0)) + 1
+            last = int(cut[-1]) if len(cut) else 0
+            rest = pdf.iloc[last:]
+            if last:
+                yield solve(pdf.iloc[:last], cut)
+        if rest is not None and len(rest):
+            yield solve(rest, np.array([len(rest)]))
+
+    def solve(pdf: pd.DataFrame, ends: np.ndarray) -> pd.DataFrame:
+        symbols, first, last = (pdf[c].to_numpy() for c in ("symbol", "first", "last"))
+        path, a = np.empty(len(pdf), np.int64), 0
+        for b in ends.tolist():
+            if pd.isna(first[a]):
+                path[a:b] = viterbi(symbols[a:b], start, None, move, emit)
+            else:
+                enter = np.full(STATES, -np.inf)
+                enter[int(first[a])] = 0
+                path[a:b] = viterbi(symbols[a:b], enter, int(last[a]), move, emit)
+            a = b
         return pd.DataFrame({"conv_id": pdf["conv_id"].astype("Int64"), "no": pdf["no"], "part": pdf["part"], "i": pdf["i"], "line": pdf["line"], "state": path})
 
     # Only transcripts of more than one segment need the seams.
@@ -179,7 +196,9 @@ def recover_turns(transcripts: DataFrame, tables: tuple[np.ndarray, np.ndarray,
     matrices = parts.groupBy("conv_id", "segment").applyInPandas(matrix, "conv_id long, segment long, m array<double>")
     ends = matrices.groupBy("conv_id").applyInPandas(seams, "conv_id long, segment long, first int, last int").withColumnsRenamed({"conv_id": "c", "segment": "s"})
     framed = lines.join(ends, F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("segment") == F.col("s")), "left").drop("c", "s")
-    states = framed.groupBy("conv_id", "segment").applyInPandas(decode, "conv_id long, no long, part long, i int, line string, state int")
+    n = int(transcripts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = framed.repartition(n, "conv_id", "segment").sortWithinPartitions("conv_id", "segment", "no")
+    states = dealt.mapInPandas(decode, "conv_id long, no long, part long, i int, line string, state int")
 
     ordered = Window.partitionBy("conv_id").orderBy("no")
     role = F.element_at(F.array(*[F.lit(r) for r in ROLES]), (F.floor(F.col("state") / 2) + 1).cast("int"))
