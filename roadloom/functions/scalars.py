@@ -142,3 +142,39 @@ def outcome_classify() -> Column:
         .when(~F.col("valid"), "final_geometry_invalid")
         .otherwise("should_be_no_geometry_candidate")
     )
+
+
+# The WGS84 ellipsoid and the scale of a UTM zone.
+WGS84_A, WGS84_F, UTM_SCALE = 6378137.0, 1 / 298.257223563, 0.9996
+
+
+def utm_zone(lon: Column) -> Column:
+    return F.floor((lon + 180) / 6).cast("int") + 1
+
+
+def to_utm(lon: Column, lat: Column, zone: Column) -> tuple[Column, Column]:
+    """Easting and northing in a UTM zone by the usual series in powers of the distance
+    from the central meridian."""
+    e2 = WGS84_F * (2 - WGS84_F)
+    p, dl = F.radians(lat), F.radians(lon - (zone * 6 - 183))
+    n = WGS84_A / F.sqrt(1 - e2 * F.sin(p) ** 2)
+    t, c, a = F.tan(p) ** 2, e2 / (1 - e2) * F.cos(p) ** 2, dl * F.cos(p)
+    k0 = 1 - e2 / 4 - 3 * e2**2 / 64 - 5 * e2**3 / 256
+    k2 = 3 * e2 / 8 + 3 * e2**2 / 32 + 45 * e2**3 / 1024
+    k4, k6 = 15 * e2**2 / 256 + 45 * e2**3 / 1024, 35 * e2**3 / 3072
+    m = WGS84_A * (k0 * p - k2 * F.sin(2 * p) + k4 * F.sin(4 * p) - k6 * F.sin(6 * p))
+    q = e2 / (1 - e2)
+    x = UTM_SCALE * n * (a + (1 - t + c) * a**3 / 6 + (5 - 18 * t + t**2 + 72 * c - 58 * q) * a**5 / 120) + 500_000
+    y = UTM_SCALE * (m + n * F.tan(p) * (a**2 / 2 + (5 - t + 9 * c + 4 * c**2) * a**4 / 24 + (61 - 58 * t + t**2 + 600 * c - 330 * q) * a**6 / 720))
+    return x, F.when(lat < 0, y + 10_000_000).otherwise(y)
+
+
+def layer_crs_inherit(layers: DataFrame) -> DataFrame:
+    """CRS of each layer (patch_id, layer, declared, max_abs) and how it is known: declared,
+    by the size of its coordinates, or the patch's most common declared one."""
+    by_size = F.when(F.col("max_abs") <= 180, "EPSG:4326").when(F.col("max_abs") > 1000, "EPSG:3857")
+    counts = layers.where("declared IS NOT NULL").groupBy("patch_id", "declared").agg(F.count("*").alias("n"))
+    patch = counts.groupBy("patch_id").agg(F.min_by("declared", F.struct(-F.col("n"), F.col("declared"))).alias("patch_crs"))
+    rows = layers.join(patch, "patch_id", "left")
+    how = F.when(F.col("declared").isNotNull(), "declared").when(by_size.isNotNull(), "coordinate_scale").when(F.col("patch_crs").isNotNull(), "patch").otherwise("unknown")
+    return rows.select("patch_id", "layer", F.coalesce("declared", by_size, "patch_crs").alias("crs"), how.alias("method"))

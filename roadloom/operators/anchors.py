@@ -6,7 +6,7 @@ steps; its crossline has half-width `half`. All choices are then aggregates over
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .zones import line_zone_pieces
@@ -88,3 +88,55 @@ def pieces_pick(pieces: DataFrame, by: list[str], centre: float) -> DataFrame:
 def anchor_metrics(anchors: DataFrame) -> DataFrame:
     """Counts by source and quantiles of the positions."""
     return anchors.groupBy("source").agg(F.count("*").alias("n"), F.percentile("s", F.lit(0.5)).alias("p50"), F.percentile("s", F.lit(0.9)).alias("p90"))
+
+
+def divstrip_tip(nodes: DataFrame, vertices: DataFrame, reach: float) -> DataFrame:
+    """Per node the nearest divider part ahead and its first point along the axis (the
+    mean of equally early ones). vertices: part, x, y; nodes: node_id, x, y, ux, uy. Nodes
+    and vertices meet in cells as wide as the reach."""
+    cell = lambda c: F.floor(c / reach).cast("int")
+    around = F.explode(F.sequence(F.lit(-1), F.lit(1)))
+    own = nodes.select("node_id", F.col("x").alias("nx"), F.col("y").alias("ny"), "ux", "uy").withColumn("i", around).withColumn("j", around)
+    own = own.withColumns({"cx": cell(F.col("nx")) + F.col("i"), "cy": cell(F.col("ny")) + F.col("j")}).drop("i", "j")
+    rows = own.join(vertices.withColumns({"cx": cell(F.col("x")), "cy": cell(F.col("y"))}), ["cx", "cy"])
+    dx, dy = F.col("x") - F.col("nx"), F.col("y") - F.col("ny")
+    rows = rows.withColumns({"ahead": F.round(dx * F.col("ux") + dy * F.col("uy"), 6), "d2": F.round(dx**2 + dy**2, 6)}).where((F.col("ahead") > 0) & (F.col("d2") <= reach * reach))
+    part = rows.groupBy("node_id").agg(F.min_by("part", F.struct("d2", "part")).alias("part"))
+    chosen = rows.join(part, ["node_id", "part"])
+    first = chosen.withColumn("_m", F.min("ahead").over(Window.partitionBy("node_id"))).where("ahead = _m")
+    return first.groupBy("node_id", "part").agg(F.avg("x").alias("tip_x"), F.avg("y").alias("tip_y"), F.first("ahead").alias("tip_s"))
+
+
+def fan_gap(nodes: DataFrame, zone_edges: DataFrame, length: float = 10.0, half_angle: float = 30.0, rays: int = 7, steps: int = 10) -> DataFrame:
+    """Share of a fan ahead of each node that no zone covers, by a grid of rays and steps
+    (an approximation of its area). nodes: node_id, x, y, ux, uy."""
+    from .zones import point_in_zone
+
+    ray, k = F.explode(F.sequence(F.lit(0), F.lit(rays - 1))), F.explode(F.sequence(F.lit(1), F.lit(steps)))
+    rows = nodes.withColumn("ray", ray).withColumn("k", k)
+    a = F.radians((F.col("ray") / (rays - 1) * 2 - 1) * half_angle)
+    r = F.col("k") * (length / steps)
+    dx, dy = F.col("ux") * F.cos(a) - F.col("uy") * F.sin(a), F.col("ux") * F.sin(a) + F.col("uy") * F.cos(a)
+    rows = rows.select("node_id", "ray", "k", (F.col("x") + r * dx).alias("x"), (F.col("y") + r * dy).alias("y"))
+    inside = point_in_zone(rows, zone_edges, ["node_id", "ray", "k"]).select("node_id", "ray", "k", F.lit(True).alias("inside")).distinct()
+    got = rows.join(inside, ["node_id", "ray", "k"], "left")
+    return got.groupBy("node_id").agg(F.avg(F.col("inside").isNull().cast("double")).alias("gap"))
+
+
+def multi_branch_events(steps: DataFrame, expected: int) -> DataFrame:
+    """Split events of scans (node_id, dir 'f' or 'r', s, n_pieces), forward and reverse:
+    the main one is the farthest reverse event if there is any, else the first forward one;
+    nodes with both are two-sided."""
+    from .profiles import split_events
+
+    got = split_events(steps, ["node_id", "dir"], "s", "n_pieces", expected)
+    back, fore = F.col("dir") == "r", F.col("dir") == "f"
+    main = F.coalesce(F.max(F.when(back, F.col("s"))), F.min(F.when(fore, F.col("s"))))
+    return got.groupBy("node_id").agg(F.count_if(fore).alias("n_forward"), F.count_if(back).alias("n_reverse"), main.alias("main_s"), (F.bool_or(back) & F.bool_or(fore)).alias("two_sided"))
+
+
+def crossline_clip(pieces: DataFrame, by: list[str], centre: float) -> DataFrame:
+    """The piece of each crossline that holds its centre, else the nearest one."""
+    far = F.greatest(F.lit(0.0), F.col("start_s") - centre, centre - F.col("end_s"))
+    got = pieces.groupBy(*by).agg(F.min_by(F.struct("start_s", "end_s"), F.struct(F.round(far, 6), "start_s")).alias("p"))
+    return got.select(*by, "p.start_s", "p.end_s")

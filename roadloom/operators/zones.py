@@ -133,3 +133,45 @@ def line_project(points: DataFrame, lines: DataFrame, line_key: list[str], key:
     rows = rows.withColumn("dist", F.sqrt((F.col("px") - F.col("x1") - F.col("t") * dx) ** 2 + (F.col("py") - F.col("y1") - F.col("t") * dy) ** 2)).where(F.col("dist") <= reach)
     best = F.min(F.struct("dist", (F.col("s1") + F.col("t") * F.col("seg_m")).alias("station"))).alias("b")
     return rows.groupBy("patch_id", *key, *line_key).agg(best).select("patch_id", *key, *line_key, "b.dist", "b.station")
+
+
+def polyline_densify(lines: DataFrame, by: list[str], step: float) -> DataFrame:
+    """Lines (from segments()) at every `step` metres: station, place, unit tangent and
+    normal. A segment gives the stations that it holds, so each is made where it lies."""
+    first, last = F.ceil(F.col("s1") / step), F.ceil((F.col("s1") + F.col("seg_m")) / step) - 1
+    rows = lines.where("seg_m > 0").withColumns({"_a": first.cast("int"), "_b": last.cast("int")}).where("_a <= _b")
+    rows = rows.withColumn("k", F.explode(F.sequence("_a", "_b"))).withColumn("s", F.col("k") * step)
+    f = (F.col("s") - F.col("s1")) / F.col("seg_m")
+    tx, ty = (F.col("x2") - F.col("x1")) / F.col("seg_m"), (F.col("y2") - F.col("y1")) / F.col("seg_m")
+    return rows.select(*by, "k", "s", (F.col("x1") + f * (F.col("x2") - F.col("x1"))).alias("x"), (F.col("y1") + f * (F.col("y2") - F.col("y1"))).alias("y"), tx.alias("tx"), ty.alias("ty"), (-ty).alias("nx"), tx.alias("ny"))
+
+
+def crossing_events_by_vertex(vertices: DataFrame, xsecs: DataFrame, by: list[str], reach: float = 2.0) -> DataFrame:
+    """Crossings by the vertices within `reach` of a vertical cross-section: the mean of
+    their indices; crossings within two indices of the one before are dropped; in order,
+    with the nodes before and after."""
+    bucket = max(10.0, reach)
+    own = xsecs.select("node_id", F.col("x").alias("cx"), F.col("y1").alias("cy1"), F.col("y2").alias("cy2"))
+    own = own.withColumn("b", F.explode(F.sequence(F.floor((F.col("cx") - reach) / bucket), F.floor((F.col("cx") + reach) / bucket))))
+    rows = vertices.withColumn("b", F.floor(F.col("x") / bucket)).join(own, "b")
+    gap = F.greatest(F.lit(0.0), F.col("cy1") - F.col("y"), F.col("y") - F.col("cy2"))
+    near = rows.where((F.col("x") - F.col("cx")) ** 2 + gap**2 <= reach * reach)
+    hits = near.groupBy(*by, "node_id").agg(F.avg("seq").alias("ix"))
+    w = Window.partitionBy(*by).orderBy("ix", "node_id")
+    kept = hits.withColumn("_d", F.col("ix") - F.lag("ix").over(w)).where("_d IS NULL OR _d > 2").drop("_d")
+    return kept.withColumns({"ord": F.row_number().over(w), "from_node": F.lag("node_id").over(w), "to_node": F.lead("node_id").over(w)})
+
+
+def road_validity(ratios: DataFrame, relaxed: Column) -> DataFrame:
+    """Why a road can't stay: it crosses a divider or leaves the zone; the floor of the
+    inside ratio is lower where `relaxed` holds. ratios: ratio, crosses_divider."""
+    floor = F.when(relaxed, 0.65).otherwise(0.85)
+    reason = F.when(F.col("crosses_divider"), "road_crosses_divstrip").when(F.coalesce(F.col("ratio"), F.lit(0.0)) < floor, "road_outside_drivezone")
+    return ratios.withColumn("reason", reason)
+
+
+def arc_traj_prefilter(arcs: DataFrame, vertices: DataFrame, reach: float = 8.0) -> DataFrame:
+    """(arc_id, traj_id) of trajectories with a vertex within `reach` of an arc, given by its
+    segments (patch_id, arc_id, x1, y1, x2, y2, s1, seg_m)."""
+    got = line_project(vertices, arcs, ["arc_id"], ["traj_id", "seq"], reach)
+    return got.select("patch_id", "arc_id", "traj_id").distinct()
