@@ -40,12 +40,9 @@ def shingle_hashes(words: Column, k: int | Column) -> Column:
 
 def simhash64(rows: DataFrame, key: list[str]) -> DataFrame:
     """`key` and fingerprint of rows (key..., h, weight)."""
-    votes = [F.sum(F.when(F.shiftright("h", b).bitwiseAND(F.lit(1)) == 1, F.col("weight")).otherwise(-F.col("weight"))).alias(f"v{b}") for b in range(64)]
-    bit = lambda b: F.when(F.col(f"v{b}") > 0, F.lit(1).cast("long")).otherwise(F.lit(0).cast("long"))
-    word = F.lit(0).cast("long")
-    for b in range(64):
-        word = word.bitwiseOR(F.shiftleft(bit(b), b))
-    return rows.groupBy(*key).agg(*votes).select(*key, word.alias("fingerprint"))
+    votes = [F.expr(f"sum(if(shiftright(h, {b}) & 1 = 1, weight, -weight)) AS v{b}") for b in range(64)]
+    word = " | ".join(f"if(v{b} > 0, shiftleft(1L, {b}), 0L)" for b in range(64))
+    return rows.groupBy(*key).agg(*votes).select(*key, F.expr(word).alias("fingerprint"))
 
 
 def _block(i: int) -> Column:
@@ -57,7 +54,8 @@ def near_items(windows: DataFrame, items: DataFrame) -> DataFrame:
     RADIUS bits. `windows` has the columns rid, start, size, fingerprint."""
     flips = [sum(1 << b for b in c) for r in range(RADIUS // BLOCKS + 1) for c in combinations(range(BLOCK_BITS), r)]
     blocks = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), _block(i).alias("v")) for i in range(BLOCKS)])).alias("b")
-    variants = items.select("item_id", F.col("fingerprint").alias("item_fingerprint"), blocks).select("item_id", "item_fingerprint", "b.i", F.explode(F.transform(F.array(*[F.lit(f) for f in flips]), lambda f: F.col("b.v").bitwiseXOR(f.cast("long")))).alias("v"))
+    variants = items.select("item_id", F.col("fingerprint").alias("item_fingerprint"), blocks).select("item_id", "item_fingerprint", "b.i", F.explode(F.expr(f"array({', '.join(f'{f}L' for f in flips)})")).alias("flip"), F.col("b.v").alias("block"))
+    variants = variants.select("item_id", "item_fingerprint", "i", F.col("block").bitwiseXOR(F.col("flip")).alias("v"))
     keyed = windows.select("rid", "start", "size", "fingerprint", blocks).select("rid", "start", "size", "fingerprint", "b.i", "b.v")
     near = F.bit_count(F.col("fingerprint").bitwiseXOR(F.col("item_fingerprint"))) <= RADIUS
     return keyed.join(variants, ["i", "v"]).where(near).select("rid", "start", "size", "item_id").distinct()
