@@ -9,8 +9,10 @@
    Bands are so wide that linked sets lie in one band or in two neighbours; a set
    gives keys for its own band and for the next. Passages that many documents share
    don't bring them together, since a whole part must agree.
-3. Clusters. Rows of a key are tied to its smallest id; the connected components of
-   these ties can't cut a link. Most documents are in none and end here.
+3. Clusters. The sets of a key form a signature tree over small bitmaps; where the
+   bounds allow a link, sets are tied, with as many ties as connect them. (A key with more
+   than BUCKET sets ties all to its smallest id.) The connected components of these
+   ties can't cut a link. Most documents are in none and end here.
 4. Signature trees (signature_tree.py) over each cluster find the links exactly. A
    large cluster is cut into blocks of bounded weight that are joined with
    themselves, then with their successors, then with all other blocks that the
@@ -30,9 +32,10 @@ from pyspark.sql import functions as F
 
 from .common import components, keep, small
 from .kernels import P, blocks, distinct, mix
-from .signature_tree import link
+from .signature_tree import bitmap, link, possible_ties
 
 BLOCK_SHINGLES, BLOCK_DOCS = 1_000_000, 2_000
+BUCKET, SIGNATURE_BITS = 1_024, 4_096
 
 
 def bands(percent: int, top: int = 1 << 40) -> list[int]:
@@ -92,6 +95,11 @@ def routing_keys(tokens: np.ndarray, percent: int, band: np.ndarray) -> np.ndarr
     return mix(np.concatenate(out))
 
 
+def _signature(tokens: np.ndarray) -> bytes:
+    """A bitmap with about as many bits as tokens, SIGNATURE_BITS at most."""
+    return bitmap(tokens, max(64, min(SIGNATURE_BITS, 1 << max(0, len(tokens) - 1).bit_length()))).tobytes()
+
+
 def shingle_sets(texts: list[str], k: int) -> Iterator[np.ndarray]:
     """Each text's distinct k-word shingles as sorted 64-bit hashes."""
     for _, block in blocks(texts):
@@ -134,16 +142,51 @@ def ngram_components(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFram
         for pdf in frames:
             texts, keys = pdf["text"].tolist(), pdf["doc_id"].to_numpy()
             for at in range(0, len(texts), 1000):
-                got = [(len(s), routing_keys(s, percent, band).view(np.int64)) for s in shingle_sets(texts[at : at + 1000], k)]
-                yield pd.DataFrame({"doc_id": keys[at : at + 1000], "n": [g[0] for g in got], "keys": [g[1] for g in got]})
+                got = [(len(s), routing_keys(s, percent, band).view(np.int64), _signature(s)) for s in shingle_sets(texts[at : at + 1000], k)]
+                yield pd.DataFrame({"doc_id": keys[at : at + 1000], "n": [g[0] for g in got], "keys": [g[1] for g in got], "signature": [g[2] for g in got]})
 
-    routed = keep(alone.mapInPandas(route, "doc_id long, n long, keys array<long>"), "routes")
+    routed = keep(alone.mapInPandas(route, "doc_id long, n long, keys array<long>, signature binary"), "routes")
     sizes = routed.select("doc_id", "n").dropDuplicates(["doc_id"])
 
-    # 3. Clusters of documents that share keys.
+    # 3. Clusters of documents that share keys and may be linked. Keys of two documents
+    # are made one for each pair.
     keys = routed.select("doc_id", F.explode("keys").alias("key"))
-    ties = keys.select("doc_id", F.min("doc_id").over(Window.partitionBy("key")).alias("low")).where("doc_id <> low").distinct()
-    clusters = components(ties.select(F.col("doc_id").alias("a"), F.col("low").alias("b")), "ties")
+    own = Window.partitionBy("key")
+    shared = keys.select("key", "doc_id", F.min("doc_id").over(own).alias("low"), F.max("doc_id").over(own).alias("high"), F.count("*").over(own).alias("n_docs")).where("low <> high")
+    shared = keep(shared, "shared")
+    pairs = shared.where("n_docs = 2 AND doc_id = low").select("low", "high").distinct()
+    pairs = pairs.select(F.xxhash64("low", "high", F.lit("pair")).alias("key"), F.explode(F.array("low", "high")).alias("doc_id"))
+    met = pairs.union(shared.where("n_docs > 2").select("key", "doc_id").distinct())
+    signatures = routed.select("doc_id", "n", "signature").dropDuplicates(["doc_id"])
+    met = met.join(signatures, "doc_id").repartition(n_parts, "key").sortWithinPartitions("key", "doc_id")
+
+    def tie(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: list[tuple[int, int, bytes]] = []
+        key = first = None
+        full = False  # the key has had more than BUCKET documents
+
+        def close() -> list[tuple[int, int]]:
+            if full or len(held) < 2:
+                return []
+            return possible_ties([h[0] for h in held], [np.frombuffer(h[2], np.uint64) for h in held], [h[1] for h in held], percent)
+
+        for pdf in frames:
+            out = []
+            for k_, doc, n, signature in zip(pdf["key"].tolist(), pdf["doc_id"].tolist(), pdf["n"].tolist(), pdf["signature"]):
+                if k_ != key:
+                    out += close()
+                    key, first, held, full = k_, doc, [], False
+                if not full and len(held) == BUCKET:
+                    out += [(h[0], first) for h in held[1:]]
+                    held, full = [], True
+                if full:
+                    out.append((doc, first))
+                else:
+                    held.append((doc, n, signature))
+            yield pd.DataFrame(out, columns=["a", "b"]).astype("int64")
+        yield pd.DataFrame(close(), columns=["a", "b"]).astype("int64")
+
+    clusters = components(met.mapInPandas(tie, "a long, b long"), "ties")
 
     # 4. Links within clusters.
     links = _links(alone, keep(clusters.join(sizes, clusters["id"] == sizes["doc_id"]).select("doc_id", F.col("label").alias("cluster"), "n"), "clusters"), k, percent, n_parts)
@@ -155,14 +198,17 @@ def ngram_components(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFram
 
 def _links(docs: DataFrame, clusters: DataFrame, k: int, percent: int, n_parts: int) -> DataFrame:
     """(a, b): verified links that connect every linked pair of each cluster."""
-    # Blocks by size: a running sum within the cluster, over ids and sizes alone.
-    order = Window.partitionBy("cluster").orderBy("n", "doc_id")
-    before = order.rowsBetween(Window.unboundedPreceding, -1)
-    weight = F.floor(F.coalesce(F.sum("n").over(before), F.lit(0)) / BLOCK_SHINGLES)
-    number = F.floor((F.row_number().over(order) - 1) / BLOCK_DOCS)
-    block = clusters.withColumn("block", (weight + number).cast("long"))
-    many = Window.partitionBy("cluster")
-    block = keep(block.withColumn("blocks", F.max("block").over(many) + 1), "blocks")
+    # Blocks by size, from the histogram of sizes of each cluster: no task sorts a
+    # whole cluster. Sets of one size that fill several blocks are dealt by hash.
+    counts = clusters.groupBy("cluster", "n").agg(F.count("*").alias("docs"))
+    fill = F.col("docs") * F.greatest(F.col("n") / BLOCK_SHINGLES, F.lit(1 / BLOCK_DOCS))
+    before = Window.partitionBy("cluster").orderBy("n").rowsBetween(Window.unboundedPreceding, -1)
+    first = F.floor(F.coalesce(F.sum(fill).over(before), F.lit(0.0)))
+    counts = counts.select("cluster", "n", first.alias("first"), F.ceil(fill).alias("share"))
+    most = counts.groupBy("cluster").agg(F.max(F.col("first") + F.col("share")).alias("blocks"))
+    number = F.col("first") + F.pmod(F.xxhash64("doc_id"), F.col("share"))
+    block = clusters.join(counts, ["cluster", "n"]).withColumn("block", number.cast("long"))
+    block = keep(block.join(most, "cluster").select("doc_id", "cluster", "n", "block", F.col("blocks").cast("long").alias("blocks")), "blocks")
 
     # A set is made once, where its text is, and goes to the blocks that need it.
     def tokens(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -25,28 +25,42 @@ def needed(x, y, percent: int):
     return -(-percent * (x + y) // (100 + percent))
 
 
+def bitmap(tokens: np.ndarray, bits: int) -> np.ndarray:
+    """The signature of a set of uint64 tokens, as bits / 64 words."""
+    out = np.zeros(bits // 64, np.uint64)
+    at = tokens & np.uint64(bits - 1)
+    np.bitwise_or.at(out, (at >> np.uint64(6)).astype(np.int64), np.uint64(1) << (at & np.uint64(63)))
+    return out
+
+
+def folded(signature: np.ndarray, words: int) -> np.ndarray:
+    """A signature of fewer bits: its parts OR-combined, as tokens are dealt by their
+    lower bits."""
+    return np.bitwise_or.reduce(signature.reshape(-1, words), axis=0)
+
+
 class SignatureTree:
-    def __init__(self, sets: list[np.ndarray], bits: int):
-        """`sets`: sorted distinct uint64 arrays, themselves sorted by size."""
-        self.sizes = np.array([len(s) for s in sets], np.int64)
-        leaf = np.zeros((len(sets), bits // 64), np.uint64)
-        for row, tokens in zip(leaf, sets):
-            at = tokens & np.uint64(bits - 1)
-            np.bitwise_or.at(row, (at >> np.uint64(6)).astype(np.int64), np.uint64(1) << (at & np.uint64(63)))
+    def __init__(self, leaf: np.ndarray, sizes: np.ndarray):
+        """`leaf`: bitmaps of sets in order of their sizes."""
+        self.sizes = np.asarray(sizes, np.int64)
         clash = self.sizes - np.bitwise_count(leaf).sum(1, dtype=np.int64)
         self.levels = [(leaf, self.sizes, self.sizes, clash)]  # from leaves to root
         while len(self.levels[-1][0]) > 1:
-            bitmap, low, high, most = self.levels[-1]
-            cut = np.arange(0, len(bitmap), FANOUT)
+            bits, low, high, most = self.levels[-1]
+            cut = np.arange(0, len(bits), FANOUT)
             self.levels.append(
                 (
-                    np.bitwise_or.reduceat(bitmap, cut),
+                    np.bitwise_or.reduceat(bits, cut),
                     np.minimum.reduceat(low, cut),
                     np.maximum.reduceat(high, cut),
                     np.maximum.reduceat(most, cut),
                 )
             )
 
+    @classmethod
+    def of_sets(cls, sets: list[np.ndarray], bits: int) -> SignatureTree:
+        return cls(np.array([bitmap(s, bits) for s in sets]), np.array([len(s) for s in sets]))
+
 
 def signature_bits(largest: int) -> int:
     return min(1 << 15, max(256, 1 << (2 * largest - 1).bit_length()))
@@ -105,6 +119,47 @@ def overlap(x: np.ndarray, y: np.ndarray) -> int:
     return int((y[at] == x).sum())
 
 
+class Forest:
+    """Disjoint sets of hashable things; the smallest stands for each."""
+
+    def __init__(self, things):
+        self.parent = {x: x for x in things}
+
+    def find(self, x):
+        parent = self.parent
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    def join(self, x, y) -> None:
+        self.parent[max(x, y)] = min(x, y)
+
+
+def possible_ties(ids: list[int], signatures: list[np.ndarray], sizes: list[int], percent: int) -> list[tuple[int, int]]:
+    """Pairs that connect all sets between which the bounds allow a link; sets are given
+    by their signatures and sizes alone."""
+    if len(ids) == 2:
+        a, b = signatures
+        words = min(len(a), len(b))
+        a, b = folded(a, words), folded(b, words)
+        low, high = sorted(sizes)
+        bits = [int(np.bitwise_count(x).sum()) for x in (a, b)]
+        bound = int(np.bitwise_count(a & b).sum()) + min(sizes[0] - bits[0], sizes[1] - bits[1])
+        return [(ids[0], ids[1])] if 100 * low >= percent * high and bound >= needed(low, high, percent) else []
+    order = np.argsort(sizes, kind="stable")
+    words = min(len(s) for s in signatures)
+    tree = SignatureTree(np.array([folded(signatures[k], words) for k in order]), np.array(sizes)[order])
+    i, j = dual_traversal(tree, tree, percent)
+    forest, found = Forest(ids), []
+    for p, q in zip(order[i].tolist(), order[j].tolist()):
+        x, y = forest.find(ids[p]), forest.find(ids[q])
+        if x != y:
+            forest.join(x, y)
+            found.append((ids[p], ids[q]))
+    return found
+
+
 def link(ids: list[int], sets: list[np.ndarray], percent: int, other: tuple[list[int], list[np.ndarray]] | None = None) -> list[tuple[int, int]]:
     """Links that connect all that the threshold connects: within the given sets, or
     between them and `other`. Every returned pair meets the threshold."""
@@ -118,22 +173,14 @@ def link(ids: list[int], sets: list[np.ndarray], percent: int, other: tuple[list
     if not ids or not ids2:
         return []
     bits = signature_bits(max(len(sets[-1]), len(sets2[-1])))
-    a = SignatureTree(sets, bits)
-    b = SignatureTree(sets2, bits) if other else a
+    a = SignatureTree.of_sets(sets, bits)
+    b = SignatureTree.of_sets(sets2, bits) if other else a
     i, j = dual_traversal(a, b, percent)
     turn = np.argsort(np.abs(i - j), kind="stable")
-    parent = {x: x for x in [*ids, *ids2]}
-
-    def find(x):
-        while parent[x] != x:
-            parent[x] = parent[parent[x]]
-            x = parent[x]
-        return x
-
-    found = []
+    forest, found = Forest([*ids, *ids2]), []
     for p, q in zip(i[turn].tolist(), j[turn].tolist()):
-        x, y = find(ids[p]), find(ids2[q])
+        x, y = forest.find(ids[p]), forest.find(ids2[q])
         if x != y and overlap(sets[p], sets2[q]) >= needed(len(sets[p]), len(sets2[q]), percent):
-            parent[max(x, y)] = min(x, y)
+            forest.join(x, y)
             found.append((ids[p], ids2[q]))
     return found
