@@ -13,7 +13,8 @@ are in one window.
 3. A signature has BANDS bands of one MinHash each. A template with c of its t shingles
    in a window of w shingles is retrieved with probability 1 - (1 - J)**BANDS, where
    J = c / (t + w - c): for the longest window of a class and c / t = 0.8, at least
-   0.9999 (collision_bound states it for any template).
+   0.9999 (collision_bound states it for any template). Of a template with one shingle,
+   which bands would miss in one window of a hundred, the shingle itself is looked up.
 4. Retrieved pairs are verified by exact shingle containment.
 """
 
@@ -45,6 +46,7 @@ TEMPLATES = (
     ("agpl-3.0", "This work is licensed under the GNU Affero General Public License, version 3."),
     ("unlicense", "This is free and unencumbered software released into the public domain."),
     ("isc", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted"),
+    ("all-rights-reserved", "All rights reserved."),
     ("proprietary", "All rights reserved. No part of this publication may be reproduced without permission."),
 )
 
@@ -78,6 +80,8 @@ def size_class(n: int) -> int:
 def collision_bound(words: int) -> float:
     """Least probability with which a template of so many words is retrieved."""
     t = max(1, words - SHINGLE + 1)
+    if t == 1:
+        return 1.0
     c = -(-PERCENT * t // 100)
     j = c / (t + 2 * size_class(words) - SHINGLE + 1 - c)
     return 1 - (1 - j) ** BANDS
@@ -101,7 +105,7 @@ def license_matches(docs: DataFrame, templates: tuple[tuple[str, str], ...] = TE
     if not worded:
         return spark.createDataFrame([], schema)
     marks = mark_words([w for _, w in worded])
-    known = spark.createDataFrame([(i, name, words, min(SHINGLE, len(words)), size_class(len(words))) for i, (name, words) in enumerate(worded)], "template int, license string, words array<string>, k int, class int")
+    known = spark.createDataFrame([(i, name, words, min(SHINGLE, len(words)), size_class(len(words)), len(template_shingles(words)) == 1) for i, (name, words) in enumerate(worded)], "template int, license string, words array<string>, k int, class int, single boolean")
     known = known.withColumn("h", F.expr("array_distinct(transform(sequence(1, size(words) - k + 1), i -> xxhash64(slice(words, i, k))))"))
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
@@ -117,9 +121,16 @@ def license_matches(docs: DataFrame, templates: tuple[tuple[str, str], ...] = TE
     windows = keep(windows.select("doc_id", "class", "k", "start", F.expr("array_distinct(transform(sequence(1, size(words) - k + 1), i -> xxhash64(slice(words, i, k))))").alias("h")), "windows")
 
     bands = F.transform(F.sequence(F.lit(1), F.lit(BANDS)), lambda b: F.xxhash64(b, F.array_min(F.transform("h", lambda h: F.xxhash64(h, b)))))
-    signed = windows.select("doc_id", "class", "k", "start", "h", F.explode(bands).alias("band"))
-    wanted = known.select("template", "license", "class", "k", F.col("h").alias("own"), F.explode(bands).alias("band"))
+    banded = F.lit(False)
+    for c, k in sorted({(size_class(len(w)), min(SHINGLE, len(w))) for _, w in worded if len(template_shingles(w)) > 1}):
+        banded |= (F.col("class") == c) & (F.col("k") == k)
+    signed = windows.where(banded).select("doc_id", "class", "k", "start", "h", F.explode(bands).alias("band"))
+    wanted = known.where("not single").select("template", "license", "class", "k", F.col("h").alias("own"), F.explode(bands).alias("band"))
     pairs = signed.join(small(wanted), ["class", "k", "band"]).dropDuplicates(["doc_id", "class", "k", "start", "h", "template"])
+    alone = F.broadcast(known.where("single").select("license", "class", "k", F.expr("xxhash64(slice(words, 1, k))").alias("one")))
+    held = windows.join(alone, ["class", "k"]).where(F.array_contains("h", F.col("one"))).withColumn("own", F.array("one"))
+    columns = ["doc_id", "start", "license", "own", "h"]
+    pairs = pairs.select(*columns).union(held.select(*columns))
     share = F.size(F.array_intersect("own", "h")) / F.size("own")
     good = pairs.withColumn("containment", share).where(100 * F.size(F.array_intersect("own", "h")) >= PERCENT * F.size("own"))
     best = F.min_by(F.struct("containment", "start"), F.struct(-F.col("containment"), F.col("start"))).alias("best")

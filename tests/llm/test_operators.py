@@ -443,6 +443,25 @@ def test_op9_against_brute_force(spark, awkward, empty):
     assert licenses.license_matches(empty).count() == 0
 
 
+def test_op9_lines_of_the_given_documents(spark, data):
+    """License lines as they stand in the documents, not as TEMPLATES has them."""
+    lines = {
+        "all-rights-reserved": "all rights reserved.", "mit": "released under the mit license.", "apache-2.0": "licensed under the apache license, version 2.0.",
+        "gpl-3.0": "this work is licensed under the gnu general public license, version 3.", "cc-by-nc-4.0": "licensed under cc by-nc 4.0.",
+    }
+    docs = [(r["doc_id"], (r["text"] or "").lower()) for r in spark.read.parquet(f"{data}/documents.parquet").collect()]
+    want = {(d, name) for d, text in docs for name, line in lines.items() if line in text}
+    got = {(r["doc_id"], r["license"]) for r in queries.op9_licenses(spark, data).where("containment = 1").collect()}
+    assert {g for g in got if g[1] in lines} == want
+    assert any(name == "all-rights-reserved" for _, name in want)
+
+
+def test_op9_one_shingle_is_never_missed(spark):
+    docs = [(i, f"{' '.join(f'w{i}x{j}' for j in range(13 + i % 8))} All rights reserved.") for i in range(400)]
+    got = licenses.license_matches(spark.createDataFrame(docs, "doc_id long, text string"), (("short", "All rights reserved."),))
+    assert sorted(r["doc_id"] for r in got.collect()) == list(range(400))
+
+
 def test_op9_bounds():
     worded = [licenses.plain_words(t) for _, t in licenses.TEMPLATES]
     marks = set(licenses.mark_words(worded))
