@@ -111,11 +111,11 @@ wk AS (SELECT node_id, s, false AS failed FROM po WHERE node_id % 9 = 0 UNION AL
 SELECT node_id, failed FROM wk WHERE node_id IN (SELECT c_custkey FROM customer)"""
 
 
-@query(f"WITH RECURSIVE {ORDER}")
+@query(f"WITH RECURSIVE {ORDER}", whole=True)
 def chain_order_check(spark, d):
-    nodes = spark.read.parquet(f"{d}/customer.parquet").where("c_custkey <= 400").select(F.col("c_custkey").alias("node_id"))
+    nodes = v.subset(spark.read.parquet(f"{d}/customer.parquet"), "c_custkey <= 400").select(F.col("c_custkey").alias("node_id"))
     positions = nodes.selectExpr("node_id", "node_id * 7919 % 23 AS s", "node_id % 2 = 0 AS may_equal")
-    edges = nodes.where("node_id % 9 <> 8 AND node_id < 400").selectExpr("node_id AS src", "node_id + 1 AS dst")
+    edges = v.subset(nodes, "node_id < 400").where("node_id % 9 <> 8").selectExpr("node_id AS src", "node_id + 1 AS dst")
     return S.chain_order_check(edges, positions).select("node_id", "failed")
 
 

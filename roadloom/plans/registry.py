@@ -2,22 +2,39 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sources.views import with_views
+from ..sources.views import WHOLE, with_views
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
-def query(sql: str | None = None, views: tuple[str, ...] = ()):
-    """Registers a query under its function's name, with oracle SQL if there is any."""
+def _whole(f):
+    @functools.wraps(f)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        token = WHOLE.set(True)
+        try:
+            return f(spark, sf_dir)
+        finally:
+            WHOLE.reset(token)
+
+    return run
+
+
+def query(sql: str | None = None, views: tuple[str, ...] = (), whole: bool = False):
+    """Registers a query under its function's name, with oracle SQL if there is any.
+    whole: the SQL sees a subset of a table, so the query is registered as name_whole, too,
+    over all rows and without SQL."""
 
     def keep(f):
         QUERIES[f.__name__] = f
+        if whole:
+            QUERIES[f"{f.__name__}_whole"] = _whole(f)
         if sql:
             ORACLES[f.__name__] = with_views(sql, *views) if views else sql
         return f

@@ -6,6 +6,8 @@ Each view is declared once as an expression list and once as SQL for the oracle.
 
 from __future__ import annotations
 
+from contextvars import ContextVar
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -14,6 +16,15 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Set while a query runs in its whole-table form.
+WHOLE: ContextVar[bool] = ContextVar("whole", default=False)
+
+
+def subset(rows: DataFrame, condition: str) -> DataFrame:
+    """The rows that a query's oracle is given; in the query's whole-table form, all of them."""
+    return rows if WHOLE.get() else rows.where(condition)
+
+
 def points(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _table(spark, sf_dir, "lineitem").selectExpr(
         "l_suppkey % 8 AS patch_id",
