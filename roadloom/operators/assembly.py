@@ -11,9 +11,9 @@ from .series import points_near
 
 def interval_rank_on_line(intervals: DataFrame, by: list[str], sign: str) -> DataFrame:
     """Rank of intervals along a line's direction: ascending where `sign` is not
-    negative, else descending."""
+    negative, else descending; of intervals with one start, the shorter one first."""
     along = F.when(F.col(sign) < 0, -F.col("end_s")).otherwise(F.col("start_s"))
-    return intervals.withColumn("rank", F.row_number().over(Window.partitionBy(*by).orderBy(along, "start_s")))
+    return intervals.withColumn("rank", F.row_number().over(Window.partitionBy(*by).orderBy(along, "start_s", "end_s")))
 
 
 def interval_choose(intervals: DataFrame, wanted: DataFrame, by: list[str]) -> DataFrame:

@@ -16,19 +16,19 @@ IV = "iv AS (SELECT l_orderkey % 500 AS line_id, CASE WHEN l_orderkey % 2 = 0 TH
 
 
 def _intervals(spark, d):
-    rows = spark.read.parquet(f"{d}/lineitem.parquet").where("l_orderkey % 37 = 0")
+    rows = v.subset(spark.read.parquet(f"{d}/lineitem.parquet"), "l_orderkey % 37 = 0")
     return rows.selectExpr("l_orderkey % 500 AS line_id", "CASE WHEN l_orderkey % 2 = 0 THEN 1 ELSE -1 END AS sign", "l_suppkey * 1e0D + l_linenumber * 1e-3D + l_partkey * 1e-6D AS start_s", "l_suppkey + l_quantity + l_partkey * 1e-6D AS end_s")
 
 
 RANKED = f"{IV}, rk AS (SELECT *, row_number() OVER (PARTITION BY line_id ORDER BY CASE WHEN sign < 0 THEN -end_s ELSE start_s END, start_s) AS rank FROM iv)"
 
 
-@query(f"WITH {RANKED} SELECT line_id, start_s, end_s, rank FROM rk")
+@query(f"WITH {RANKED} SELECT line_id, start_s, end_s, rank FROM rk", whole=True)
 def interval_rank_on_line(spark, d):
     return S.interval_rank_on_line(_intervals(spark, d), ["line_id"], "sign").select("line_id", "start_s", "end_s", "rank")
 
 
-@query(f"WITH {RANKED}, w AS (SELECT DISTINCT line_id, CAST(line_id % 6 AS INTEGER) AS wr, line_id % 90 * 1e0 AS place FROM iv), t AS (SELECT rk.*, place, CASE WHEN rank = wr THEN 0 WHEN start_s <= place AND place <= end_s THEN 1 ELSE 2 END AS tier FROM w JOIN rk USING (line_id)) SELECT line_id, place AS target, rank, tier FROM t QUALIFY row_number() OVER (PARTITION BY line_id ORDER BY tier, CASE WHEN tier = 2 THEN abs((start_s + end_s) / 2 - place) ELSE 0 END, rank) = 1")
+@query(f"WITH {RANKED}, w AS (SELECT DISTINCT line_id, CAST(line_id % 6 AS INTEGER) AS wr, line_id % 90 * 1e0 AS place FROM iv), t AS (SELECT rk.*, place, CASE WHEN rank = wr THEN 0 WHEN start_s <= place AND place <= end_s THEN 1 ELSE 2 END AS tier FROM w JOIN rk USING (line_id)) SELECT line_id, place AS target, rank, tier FROM t QUALIFY row_number() OVER (PARTITION BY line_id ORDER BY tier, CASE WHEN tier = 2 THEN abs((start_s + end_s) / 2 - place) ELSE 0 END, rank) = 1", whole=True)
 def interval_choose(spark, d):
     ranked = S.interval_rank_on_line(_intervals(spark, d), ["line_id"], "sign")
     wanted = ranked.selectExpr("line_id", "cast(line_id % 6 AS int) AS rank", "line_id % 90 * 1e0D AS at").distinct()
@@ -128,9 +128,10 @@ ST = "st AS (SELECT patch_id, CAST(floor(x / 10e0) AS BIGINT) AS station, y, 1 +
     d2 AS (SELECT st.*, c, round(abs(y - c), 9) AS d FROM st JOIN m1 USING (patch_id, station)), q2 AS (SELECT patch_id, station, greatest(median(d), 1e-3) AS m FROM d2 GROUP BY ALL)
     SELECT patch_id, station, round(sum(w / (1 + (d / m) * (d / m)) * y) / sum(w / (1 + (d / m) * (d / m))), 5) AS centre, round(max(m), 5) AS dispersion, count(*) AS n FROM d2 JOIN q2 USING (patch_id, station) GROUP BY ALL""",
     T,
+    whole=True,
 )
 def station_robust_center(spark, d):
-    rows = v.traj(spark, d).where("traj_id % 10 < 2").selectExpr("patch_id", "cast(floor(x / 10e0D) AS bigint) AS station", "y", "1 + (seq % 3) * 1e0D AS w")
+    rows = v.subset(v.traj(spark, d), "traj_id % 10 < 2").selectExpr("patch_id", "cast(floor(x / 10e0D) AS bigint) AS station", "y", "1 + (seq % 3) * 1e0D AS w")
     return rounded(S.station_robust_center(rows, ["patch_id", "station"], "y", "w"), 5)
 
 

@@ -154,9 +154,9 @@ w AS (SELECT patch_id, k, k AS c FROM e UNION SELECT n.patch_id, n.b, w.c FROM w
 SELECT patch_id, ix, iy, min(c) AS component FROM w JOIN e USING (patch_id, k) GROUP BY ALL"""
 
 
-@query(COMPONENTS, P)
+@query(COMPONENTS, P, whole=True)
 def cell_components(spark, d):
-    own = cells.cell(v.points(spark, d).where("cls = 1 AND point_id % 7 = 0"), 5.0)
+    own = cells.cell(v.subset(v.points(spark, d).where("cls = 1"), "point_id % 7 = 0"), 5.0)
     return cells.cell_components(own)
 
 

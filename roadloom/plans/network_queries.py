@@ -280,10 +280,10 @@ pj AS (SELECT pt.patch_id, p_id, p_seq, s.traj_id, s1, seg_m, x1, y1, x2, y2, px
 ds AS (SELECT *, sqrt((px - x1 - t * (x2 - x1)) ** 2 + (py - y1 - t * (y2 - y1)) ** 2) AS dist FROM pj)"""
 
 
-@query(f"{PROJECT} SELECT patch_id, p_id, p_seq, traj_id, round(min(dist), 5) AS dist FROM ds WHERE dist <= 4 GROUP BY ALL", T)
+@query(f"{PROJECT} SELECT patch_id, p_id, p_seq, traj_id, round(min(dist), 5) AS dist FROM ds WHERE dist <= 4 GROUP BY ALL", T, whole=True)
 def line_project(spark, d):
     traj = v.traj(spark, d)
-    points = traj.where("seq % 10 = 0").selectExpr("patch_id", "traj_id AS p_id", "seq AS p_seq", "x", "y")
+    points = v.subset(traj, "seq % 10 = 0").selectExpr("patch_id", "traj_id AS p_id", "seq AS p_seq", "x", "y")
     got = zones.line_project(points, zones.segments(traj, LINE), ["traj_id"], ["p_id", "p_seq"], 4.0)
     return rounded(got.select("patch_id", "p_id", "p_seq", "traj_id", "dist"), 5)
 
