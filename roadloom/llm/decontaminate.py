@@ -8,8 +8,8 @@ Words are runs of letters and digits, lower-cased; shingles are runs of five wor
    that puts this shingle at its place in the item.
 2. Each window gets a 64-bit SimHash of its weighted shingles, as has each item.
 3. Multi-index Hamming blocks: both are cut into four blocks of 16 bits. Within a
-   radius of 15 some block differs in at most 3 bits, so a table of all such variants
-   of the items' blocks (697 for each) finds every item within the radius of a window.
+   radius of 19 some block differs in at most 4 bits, so a table of all such variants
+   of the items' blocks (2,517 for each) finds every item within the radius of a window.
 4. Candidates are verified by their exact weighted Jaccard similarity: the sum of the
    smaller weights over that of the larger. A shingle's weight is its number of
    occurrences.
@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from .common import keep, small
 
-BLOCKS, BLOCK_BITS, RADIUS = 4, 16, 15
+BLOCKS, BLOCK_BITS, RADIUS = 4, 16, 19
 
 
 def words_of(text: Column) -> Column:

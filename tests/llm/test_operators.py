@@ -193,6 +193,18 @@ def test_op3_blocks_find_all_within_radius(spark):
     assert {(r["rid"], r["item_id"]) for r in got.collect()} == want
 
 
+def test_op3_finds_edited_passages(spark):
+    rnd = random.Random(8)
+    items = [(i, prose(rnd, 104, 10**6)) for i in range(300)]
+    docs = []
+    for i, text in items:  # two other words: 90 of 100 shingles stay, similarity 90 / 110
+        own = text.split()
+        own[rnd.randrange(20, 40)], own[rnd.randrange(60, 80)] = "other", "another"
+        docs.append((i, f"{prose(rnd, 20)} {' '.join(own)} {prose(rnd, 20)}"))
+    got = decontaminate.benchmark_matches(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    assert sorted((r["doc_id"], r["item_id"], r["similarity"]) for r in got.collect()) == [(i, i, pytest.approx(90 / 110)) for i, _ in items]
+
+
 # --- op4 -------------------------------------------------------------------------
 
 
