@@ -43,8 +43,8 @@ def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as many times as the mix takes it."""
-    mixed = mixing.mix(docs.select(*COLUMNS))
+    """Each document as many times as the mix takes it, better texts before others."""
+    mixed = mixing.mix(docs.select(*COLUMNS), mixing.quality_weight(F.col("text")))
     times = F.explode(F.array_repeat(F.lit(0), F.col("times").cast("int")))
     return mixed.select(*COLUMNS, "times", times.alias("copy")).select(*COLUMNS)
 

@@ -29,6 +29,16 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
+def quality_weight(text: Column) -> Column:
+    """Between 0.25 and 1, by the share of letters and white space among the characters
+    and that of distinct ones among the lines."""
+    text = F.coalesce(text.cast("string"), F.lit(""))
+    prose = F.length(F.regexp_replace(text, r"[^\p{L}\s]+", "")) / F.greatest(F.length(text), F.lit(1))
+    lines = F.filter(F.split(text, "\n"), lambda x: x != "")
+    distinct = F.size(F.array_distinct(lines)) / F.greatest(F.size(lines), F.lit(1))
+    return 0.25 + 0.75 * prose * distinct
+
+
 def targets(sources: DataFrame) -> DataFrame:
     """`sources` (source, source_size), one row for each, with weight and target.
 

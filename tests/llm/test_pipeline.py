@@ -1,5 +1,6 @@
 """Each stage of the pipeline against brute force on its own input."""
 
+import random
 import zlib
 from collections import Counter
 
@@ -11,7 +12,7 @@ from roadloom.llm import quality
 from roadloom.llm.common import fold
 from roadloom.llm.pieces import default_vocabulary, encoder
 
-from .test_operators import brute_components, words
+from .test_operators import brute_components, prose, words
 
 
 @pytest.fixture(scope="module")
@@ -79,3 +80,13 @@ def test_empty_and_null_documents(spark, data):
         for name, f in corpus_pipeline.STAGES:
             docs = corpus_pipeline.keep(f(spark, docs, data), f"odd-{name}")
         assert docs.columns == ["doc_id", "start", "n_tokens", "ids_crc32"]
+
+
+def test_mixing_takes_better_texts_first(spark, data):
+    rnd = random.Random(6)
+    good = lambda: " ".join(rnd.choice(("alpha", "beta", "gamma")) for _ in range(30))
+    bad = lambda: "\n".join(["1234 #### 99"] * 10)
+    rows = [(i, good() if i % 2 else bad(), "en", "a" if i < 400 else "b", 0) for i in range(800)]
+    docs = spark.createDataFrame(rows, spark.read.parquet(f"{data}/documents.parquet").schema)
+    taken = Counter(r["doc_id"] % 2 for r in corpus_pipeline.mix_sources(spark, docs, data).where("source = 'b'").collect())
+    assert taken[1] > 1.5 * taken[0]
