@@ -25,21 +25,36 @@ def classify_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return quality.quality_scores(docs, model, keep_columns=True).where("predicted = 1").select(*COLUMNS)
 
 
+def keyed(docs: DataFrame) -> DataFrame:
+    """COLUMNS of docs and `row`, which tells rows apart by id and text."""
+    return docs.select(*COLUMNS, F.xxhash64("doc_id", "text").alias("row"))
+
+
 def join_ngrams(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, the one with the smallest id, of each group of near copies (five-word
-    shingles, similarity 0.8), and one row for each id. Rows without an id, which
-    can't be grouped, stay."""
-    groups = ngram_join.ngram_components(docs, k=5, percent=80)
-    gone = groups.where("doc_id <> component_id").select("doc_id")
-    named = docs.where("doc_id is not null").join(small(gone, 1_000_000), "doc_id", "left_anti")
-    return named.select(*COLUMNS).union(docs.where("doc_id is null").select(*COLUMNS))
+    """One row, the one with the smallest id, of each group of near copies (five-word
+    shingles, similarity 0.8), and one of each repeated row (equal id and text). Texts under
+    one id and rows without an id are compared like others."""
+    rows = keyed(docs)
+    groups = keep(ngram_join.ngram_components(rows.select(F.col("row").alias("doc_id"), "text"), k=5, percent=80), "groups")
+    several = groups.where("doc_id <> component_id").select("component_id").distinct()
+    members = groups.join(small(several, 1_000_000), "component_id", "left_semi").select(F.col("doc_id").alias("row"), "component_id")
+    named = keep(rows.select("row", "doc_id").join(small(members, 1_000_000), "row").distinct(), "members")
+    first = F.min_by("row", F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("row")
+    stay = named.groupBy("component_id").agg(first)
+    gone = keep(named.select("row").join(stay.select("row"), "row", "left_anti"), "gone")
+    again = keep(rows.groupBy("row").count().where("count > 1").select("row"), "again")
+
+    left = rows.join(small(gone, 1_000_000), "row", "left_anti")
+    folded = left.join(small(again, 1_000_000), "row", "left_semi").groupBy("row").agg(F.min(F.struct(*COLUMNS)).alias("kept"))
+    return left.join(small(again, 1_000_000), "row", "left_anti").select(*COLUMNS).union(folded.select("kept.*"))
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a benchmark passage."""
-    found = decontaminate.benchmark_matches(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
-    found = keep(found, "contaminated")
-    return docs.join(small(found.where("doc_id is not null"), 1_000_000), "doc_id", "left_anti").select(*COLUMNS)
+    """Rows without a benchmark passage, with or without an id."""
+    rows = keyed(docs)
+    found = decontaminate.benchmark_matches(rows.select(F.col("row").alias("doc_id"), "text"), table(spark, sf_dir, "benchmark"))
+    found = keep(found.select(F.col("doc_id").alias("row")).distinct(), "contaminated")
+    return rows.join(small(found, 1_000_000), "row", "left_anti").select(*COLUMNS)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -82,6 +82,25 @@ def test_empty_and_null_documents(spark, data):
         assert docs.columns == ["doc_id", "start", "n_tokens", "ids_crc32"]
 
 
+def test_ngram_join_of_repeated_rows_and_ids(spark, data):
+    rnd = random.Random(3)
+    a, b, c, e = (prose(rnd, 60, 5000) for _ in range(4))
+    rows = [(1, a), (1, a), (1, b), (3, b + " more"), (4, c), (None, c), (None, e), (None, e)]
+    docs = spark.createDataFrame([(d, t, "en", "s", len(t)) for d, t in rows], spark.read.parquet(f"{data}/documents.parquet").schema)
+    kept = corpus_pipeline.join_ngrams(spark, docs, data).collect()
+    assert Counter((r["doc_id"], r["text"]) for r in kept) == Counter([(1, a), (1, b), (4, c), (None, e)])
+
+
+def test_decontamination_of_rows_without_an_id(spark, data):
+    rnd = random.Random(4)
+    item = next(r["text"] for r in spark.read.parquet(f"{data}/benchmark.parquet").collect() if len(words(r["text"])) > 9)
+    clean, leaked = prose(rnd, 60), f"{prose(rnd, 20)} {item} {prose(rnd, 20)}"
+    rows = [(None, leaked), (None, clean), (5, clean), (5, leaked), (6, leaked), (6, leaked)]
+    docs = spark.createDataFrame([(d, t, "en", "s", len(t)) for d, t in rows], spark.read.parquet(f"{data}/documents.parquet").schema)
+    kept = corpus_pipeline.drop_benchmark(spark, docs, data).collect()
+    assert Counter((r["doc_id"], r["text"]) for r in kept) == Counter([(None, clean), (5, clean)])
+
+
 def test_mixing_takes_better_texts_first(spark, data):
     rnd = random.Random(6)
     good = lambda: " ".join(rnd.choice(("alpha", "beta", "gamma")) for _ in range(30))
