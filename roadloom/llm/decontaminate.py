@@ -7,9 +7,11 @@ Words are runs of letters and digits, lower-cased; shingles are runs of five wor
    placed only where a shingle of the document is one of the benchmark's: at the start
    that puts this shingle at its place in the item.
 2. Each window gets a 64-bit SimHash of its weighted shingles, as has each item.
-3. Multi-index Hamming blocks: both are cut into four blocks of 16 bits. Within a
-   radius of 19 some block differs in at most 4 bits, so a table of all such variants
-   of the items' blocks (2,517 for each) finds every item within the radius of a window.
+3. Multi-index Hamming blocks: both are cut into five blocks of 13 bits (the last has
+   12). Within a radius of 19 some block differs in at most 3 bits, so a table of all
+   such variants of the items' blocks (1,811 for each) finds every item within the
+   radius of a window. The table grows with the benchmark, not with the documents; up to
+   a million rows of it are broadcast.
 4. Candidates are verified by their exact weighted Jaccard similarity: the sum of the
    smaller weights over that of the larger. A shingle's weight is its number of
    occurrences.
@@ -24,7 +26,7 @@ from pyspark.sql import functions as F
 
 from .common import keep, small
 
-BLOCKS, BLOCK_BITS, RADIUS = 4, 16, 19
+BLOCKS, BLOCK_BITS, RADIUS = 5, 13, 19
 
 
 def words_of(text: Column) -> Column:
@@ -46,19 +48,28 @@ def simhash64(rows: DataFrame, key: list[str]) -> DataFrame:
 
 
 def _block(i: int) -> Column:
-    return F.shiftright("fingerprint", i * BLOCK_BITS).bitwiseAND(F.lit((1 << BLOCK_BITS) - 1))
+    return F.shiftrightunsigned("fingerprint", i * BLOCK_BITS).bitwiseAND(F.lit((1 << BLOCK_BITS) - 1))
+
+
+def flips(i: int) -> list[int]:
+    """Words of block i with as many bits as some block differs in at most."""
+    bits = min(BLOCK_BITS, 64 - i * BLOCK_BITS)
+    return [sum(1 << b for b in c) for r in range(RADIUS // BLOCKS + 1) for c in combinations(range(bits), r)]
 
 
 def near_items(windows: DataFrame, items: DataFrame) -> DataFrame:
     """(key..., item_id) of windows and items whose fingerprints differ in at most
     RADIUS bits. `windows` has the columns rid, start, size, fingerprint."""
-    flips = [sum(1 << b for b in c) for r in range(RADIUS // BLOCKS + 1) for c in combinations(range(BLOCK_BITS), r)]
-    blocks = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), _block(i).alias("v")) for i in range(BLOCKS)])).alias("b")
-    variants = items.select("item_id", F.col("fingerprint").alias("item_fingerprint"), blocks).select("item_id", "item_fingerprint", "b.i", F.explode(F.expr(f"array({', '.join(f'{f}L' for f in flips)})")).alias("flip"), F.col("b.v").alias("block"))
-    variants = variants.select("item_id", "item_fingerprint", "i", F.col("block").bitwiseXOR(F.col("flip")).alias("v"))
+    cut = [F.struct(F.lit(i).alias("i"), _block(i).alias("v")) for i in range(BLOCKS)]
+    blocks = F.explode(F.array(*cut)).alias("b")
+    words = [f"array({', '.join(f'{f}L' for f in flips(i))})" for i in (0, BLOCKS - 1)]
+    variants = items.select("item_id", F.col("fingerprint").alias("item_fingerprint"), blocks).select("item_id", "item_fingerprint", "b.i", F.col("b.v").alias("block"))
+    flip = F.explode(F.expr(f"if(i < {BLOCKS - 1}, {words[0]}, {words[1]})")).alias("flip")
+    variants = variants.select("item_id", "item_fingerprint", "i", "block", flip)
+    variants = keep(variants.select("item_id", "item_fingerprint", "i", F.col("block").bitwiseXOR(F.col("flip")).alias("v")), "variants")
     keyed = windows.select("rid", "start", "size", "fingerprint", blocks).select("rid", "start", "size", "fingerprint", "b.i", "b.v")
     near = F.bit_count(F.col("fingerprint").bitwiseXOR(F.col("item_fingerprint"))) <= RADIUS
-    return keyed.join(variants, ["i", "v"]).where(near).select("rid", "start", "size", "item_id").distinct()
+    return keyed.join(small(variants, 1_000_000), ["i", "v"]).where(near).select("rid", "start", "size", "item_id").distinct()
 
 
 def benchmark_matches(docs: DataFrame, benchmark: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
