@@ -30,10 +30,10 @@ def word_count(text: Column) -> Column:
 
 
 def quality_weight(text: Column) -> Column:
-    """Between 0.25 and 1, by the share of letters and white space among the characters
-    and that of distinct ones among the lines."""
+    """Between 0.25 and 1, by the share of characters other than ASCII digits and marks,
+    and that of distinct ones among the lines that aren't empty."""
     text = F.coalesce(text.cast("string"), F.lit(""))
-    prose = F.length(F.regexp_replace(text, r"[^\p{L}\s]+", "")) / F.greatest(F.length(text), F.lit(1))
+    prose = F.length(F.regexp_replace(text, r"[\x21-\x40\x5B-\x60\x7B-\x7E]+", "")) / F.greatest(F.length(text), F.lit(1))
     lines = F.filter(F.split(text, "\n"), lambda x: x != "")
     distinct = F.size(F.array_distinct(lines)) / F.greatest(F.size(lines), F.lit(1))
     return 0.25 + 0.75 * prose * distinct
@@ -66,15 +66,19 @@ def targets(sources: DataFrame) -> DataFrame:
     return rows.select("source", "source_size", "weight", F.least("limit", F.coalesce(F.col("final") * F.col("weight"), F.col("limit"))).alias("target"))
 
 
-def exponential_key(doc: Column, weight: Column) -> Column:
-    """-ln(u) / weight; u has 52 bits of an MD5 digest and is never 0 or 1."""
+def exponential(doc: Column) -> Column:
+    """-ln(u); u has 52 bits of an MD5 digest and is never 0 or 1."""
     digits = F.conv(F.substring(F.md5(doc.cast("binary")), 1, 13), 16, 10).cast("double")
-    return -F.log((digits + 0.5) / float(16**13)) / weight
+    return -F.log((digits + 0.5) / float(16**13))
+
+
+RESULT = ("size", "source_size", "target", "taken", "times")
 
 
 def mix(docs: DataFrame, weight: Column | None = None) -> DataFrame:
-    """`docs` (doc_id, text, source and any others) with size, source_size, target and
-    taken, one row per row. Columns of docs with these names give way.
+    """`docs` (doc_id, text, source and any others) with size, source_size, target, taken
+    and times, one row per row. Columns of docs with these names give way; others may
+    have any name.
 
     size is the number of words (runs of characters other than ASCII white space); null
     text has none. `weight` is a positive quality weight of a document; null or not
@@ -82,49 +86,52 @@ def mix(docs: DataFrame, weight: Column | None = None) -> DataFrame:
     the last. Rows with equal ids are told apart by their texts; fully equal rows are
     taken alike. Null ids have keys like others. Rows without words are taken with the
     others at no cost (taken 0). An empty table gives an empty result, and sources without words have target 0.
+
+    Sources are put in order in one task, a row each: any number that a mix would name.
+    A range of keys holds BUCKETS-th of a source times the ratio of the weights at most.
     """
-    rows = docs.drop("size", "source_size", "target", "taken")
+    own = [c for c in docs.columns if c.lower() not in RESULT]
     name = F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.lit(":"))
     weight = F.lit(1.0) if weight is None else weight.cast("double")
     weight = F.when(weight > 0, weight).otherwise(1.0)
-    rid = F.xxhash64("doc_id", "text")
-    sized = rows.select(
-        rid.alias("_rid"), F.col("source").alias("_source"), word_count(F.col("text").cast("string")).alias("_size"), exponential_key(name, weight).alias("_key")
-    ).withColumn("_bucket", F.floor((1 - F.exp(-F.col("_key"))) * BUCKETS).cast("int"))
-    sized = keep(sized, "sizes")
-    sources = targets(sized.groupBy(F.col("_source").alias("source")).agg(F.sum("_size").alias("source_size")))
-    sources = keep(sources.withColumn("epochs", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long")), "sources")
-    sources = sources.withColumn("rest", F.col("target") - F.col("epochs") * F.col("source_size"))
-
-    same = F.col("_source").eqNullSafe(F.col("source"))
-    hosts = small(sources)
-    running = Window.partitionBy("_source").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    buckets = sized.groupBy("_source", "_bucket").agg(F.sum("_size").alias("n")).withColumn("before", F.coalesce(F.sum("n").over(running), F.lit(0)))
+    # What docs has goes into one struct, so that its names meet none of those below.
+    rows = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in own]).alias("row"), F.xxhash64("doc_id", "text").alias("rid"), F.col("source").alias("host"),
+        word_count(F.col("text").cast("string")).alias("n"), exponential(name).alias("key"), weight.alias("weight"),
+    ).withColumn("key", F.col("key") / F.col("weight"))
+    sized = keep(rows.drop("row"), "sizes")
+    # In units of the smallest weight, no range has more than its share times the ratio of weights.
+    least = sized.agg(F.min("weight")).first()[0] or 1.0
+    bucket = F.floor((1 - F.exp(-F.col("key") * least)) * BUCKETS).cast("int")
+    sized = sized.withColumn("bucket", bucket)
+
+    sources = targets(sized.groupBy(F.col("host").alias("source")).agg(F.sum("n").alias("source_size")))
+    epochs = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long")
+    sources = sources.withColumn("epochs", epochs).withColumn("rest", F.col("target") - F.col("epochs") * F.col("source_size"))
+    sources = keep(sources, "sources")
+
+    same = F.col("host").eqNullSafe(F.col("source"))
+    running = Window.partitionBy("host").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    buckets = sized.groupBy("host", "bucket").agg(F.sum("n").alias("words")).withColumn("before", F.coalesce(F.sum("words").over(running), F.lit(0)))
     crossing = (
-        buckets.join(hosts, same)
-        .where((F.col("before") < F.col("rest")) & (F.col("before") + F.col("n") >= F.col("rest")))
-        .groupBy("source")
-        .agg(F.min("_bucket").alias("_at"), F.min_by("before", "_bucket").alias("_before"))
-        .withColumnsRenamed({"source": "_host"})
+        buckets.join(small(sources), same)
+        .where((F.col("before") < F.col("rest")) & (F.col("before") + F.col("words") >= F.col("rest")))
+        .groupBy(F.col("source").alias("crossed"))
+        .agg(F.min("bucket").alias("at"), F.min_by("before", "bucket").alias("upto"))
     )
-    plan = keep(sources.join(crossing, F.col("source").eqNullSafe(F.col("_host")), "left").drop("_host"), "mix")
-    hosts = small(plan)
+    plan = keep(sources.join(crossing, F.col("source").eqNullSafe(F.col("crossed")), "left").drop("crossed"), "mix")
 
     # Documents of the crossing ranges, one by one; equal keys by their size and hash.
-    edge = sized.join(hosts, same).where(F.col("_bucket") == F.col("_at"))
-    inside = Window.partitionBy("_source").orderBy("_key", "_size", "_rid")
-    upto = F.col("_before") + F.sum("_size").over(inside.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    edge = edge.withColumn("_upto", upto)
-    more = (F.col("_upto") <= F.col("rest")) | ((F.col("_upto") - F.col("_size") < F.col("rest")) & (2 * (F.col("rest") - F.col("_upto") + F.col("_size")) > F.col("_size")))
-    last = edge.where(more).groupBy("_source").agg(F.max(F.struct("_key", "_size", "_rid")).alias("_last")).withColumnsRenamed({"_source": "_host"})
-    plan = plan.join(last, F.col("source").eqNullSafe(F.col("_host")), "left").drop("_host")
+    place = F.struct("key", "n", "rid")
+    edge = sized.join(small(plan), same).where(F.col("bucket") == F.col("at"))
+    inside = Window.partitionBy("host").orderBy("key", "n", "rid").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    edge = edge.withColumn("sum", F.col("upto") + F.sum("n").over(inside))
+    more = (F.col("sum") <= F.col("rest")) | ((F.col("sum") - F.col("n") < F.col("rest")) & (2 * (F.col("rest") - F.col("sum") + F.col("n")) > F.col("n")))
+    last = edge.where(more).groupBy(F.col("host").alias("crossed")).agg(F.max(place).alias("last"))
+    plan = plan.join(last, F.col("source").eqNullSafe(F.col("crossed")), "left").select("source", "source_size", "target", "epochs", "rest", "at", "last")
 
     # A document is taken once more if it stands before its source's last one.
-    ready = rows.withColumns({"_size": word_count(F.col("text").cast("string")), "_key": exponential_key(name, weight), "_rid": rid})
-    ready = ready.withColumn("_bucket", F.floor((1 - F.exp(-F.col("_key"))) * BUCKETS).cast("int"))
-    plan = plan.select(F.col("source").alias("_host"), "source_size", "target", "epochs", "rest", "_at", "_last")
-    once = F.when(F.col("rest") <= 0, 0).when(F.col("_at").isNull(), 1).when(F.col("_bucket") != F.col("_at"), (F.col("_bucket") < F.col("_at")).cast("int"))
-    once = once.otherwise(F.coalesce(F.struct("_key", "_size", "_rid") <= F.col("_last"), F.lit(False)).cast("int"))
-    out = ready.join(small(plan), F.col("source").eqNullSafe(F.col("_host")))
-    out = out.withColumn("_times", F.col("epochs") + once)
-    return out.select(*rows.columns, F.col("_size").alias("size"), "source_size", "target", (F.col("_times") * F.col("_size")).alias("taken"), F.col("_times").alias("times"))
+    once = F.when(F.col("rest") <= 0, 0).when(F.col("at").isNull(), 1).when(F.col("bucket") != F.col("at"), (F.col("bucket") < F.col("at")).cast("int"))
+    once = once.otherwise(F.coalesce(place <= F.col("last"), F.lit(False)).cast("int"))
+    out = rows.withColumn("bucket", bucket).join(small(plan), same).withColumn("times", F.col("epochs") + once)
+    return out.select("row.*", F.col("n").alias("size"), "source_size", "target", (F.col("times") * F.col("n")).alias("taken"), "times")

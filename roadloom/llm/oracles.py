@@ -21,10 +21,15 @@ SELECT n.doc_id, n.n AS n_shingles, min(r.root) AS component_id FROM n JOIN r US
 """
 
 OP5 = r"""
-WITH RECURSIVE d AS (
-  SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size,
-    -ln((CAST('0x' || md5(coalesce(CAST(doc_id AS VARCHAR), 'null') || ':')[1:13] AS BIGINT) + 0.5e0) / 4503599627370496e0) AS key
-  FROM documents
+WITH RECURSIVE g AS (
+  SELECT doc_id, source, coalesce(text, '') AS text, list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: x <> '') AS lines FROM documents
+),
+d AS (
+  SELECT doc_id, source, CAST(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
+    -ln((CAST('0x' || md5(coalesce(CAST(doc_id AS VARCHAR), 'null') || ':')[1:13] AS BIGINT) + 0.5e0) / 4503599627370496e0)
+    / (0.25e0 + 0.75e0 * (CAST(length(regexp_replace(text, '[\x21-\x40\x5B-\x60\x7B-\x7E]+', '', 'g')) AS DOUBLE) / greatest(length(text), 1))
+      * (CAST(len(list_distinct(lines)) AS DOUBLE) / greatest(len(lines), 1))) AS key
+  FROM g
 ),
 s AS (SELECT source, sum(size) AS source_size, row_number() OVER (ORDER BY source NULLS LAST) AS r FROM d GROUP BY source),
 w AS (SELECT *, CAST([5, 2, 1][(r - 1) % 3 + 1] AS DOUBLE) AS w, 3e0 * source_size AS lim FROM s),

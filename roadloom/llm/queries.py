@@ -38,7 +38,7 @@ def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    mixed = mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    mixed = mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source"), mixing.quality_weight(F.col("text")))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
