@@ -2,8 +2,9 @@
 
 Stage files: `keep()` writes a DataFrame as Parquet below the shared folder named
 by `spark.checkpoint.dir` and reads it back, which cuts the lineage and survives a
-lost executor. Only where that setting is absent (tests, a laptop) a folder of the
-driver's machine is used.
+lost executor. Where that setting is absent, a local session (tests, a laptop) uses a
+folder of its machine; on a cluster that is an error. `discard()` deletes what a session
+has kept, once its results are written.
 """
 
 from __future__ import annotations
@@ -44,7 +45,22 @@ def fold(col: str, remainder: int) -> Column:
 
 def shared_dir(spark: SparkSession) -> str:
     found = spark.conf.get("spark.checkpoint.dir", None)
-    return found or tempfile.gettempdir() + "/roadloom-stages"
+    if found:
+        return found
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return tempfile.gettempdir() + "/roadloom-stages"
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Arrow batches of 4 MB, unless the session says otherwise: 10,000 texts, as many
+    as a batch has by default, may be any size."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key, str(2**31 - 1)) == str(2**31 - 1):
+        spark.conf.set(key, 4 << 20)
+
+
+_kept: list[str] = []
 
 
 def keep(df: DataFrame, name: str) -> DataFrame:
@@ -52,9 +68,18 @@ def keep(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _kept.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(spark: SparkSession) -> None:
+    """Deletes the tables kept so far. Results that still read them can't be used after it."""
+    jvm, conf = spark._jvm, spark._jsparkSession.sessionState().newHadoopConf()
+    while _kept:
+        path = jvm.org.apache.hadoop.fs.Path(_kept.pop())
+        path.getFileSystem(conf).delete(path, True)
+
+
 def small(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
     """`df` with a broadcast hint if it is proven to have at most `most` rows."""
     return F.broadcast(df) if df.limit(most + 1).count() <= most else df
@@ -75,9 +100,11 @@ def components(edges: DataFrame, name: str) -> DataFrame:
     while True:
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+        # Kept apart from its own shuffle, so that Spark can split an id with many neighbours.
+        low = small(keep(low, name), 1_000_000)
         large = both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        large = large.distinct()
-        low = large.groupBy("a").agg(F.min("b").alias("m"))
+        large = keep(large.distinct(), name)
+        low = small(keep(large.groupBy("a").agg(F.min("b").alias("m")), name), 1_000_000)
         small_star = (
             large.join(low, "a")
             .select(F.explode(F.array(F.struct(F.col("a").alias("x"), F.col("m").alias("y")), F.struct(F.col("b").alias("x"), F.col("m").alias("y")))).alias("e"))

@@ -11,8 +11,9 @@
    don't bring them together, since a whole part must agree.
 3. Clusters. The sets of a key form a signature tree over small bitmaps; where the
    bounds allow a link, sets are tied, with as many ties as connect them. (A key with more
-   than BUCKET sets ties all to its smallest id.) The connected components of these
-   ties can't cut a link. Most documents are in none and end here.
+   than BUCKET sets ties each to its smallest id, row by row, so that no task gathers
+   it.) The connected components of these ties can't cut a link. Most documents are in
+   none and end here.
 4. Signature trees (signature_tree.py) over each cluster find the links exactly. A
    large cluster is cut into blocks of bounded weight that are joined with
    themselves, then with their successors, then with all other blocks that the
@@ -30,7 +31,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import components, keep, small
+from .common import bounded_batches, components, keep, small
 from .kernels import P, blocks, distinct, mix
 from .signature_tree import bitmap, link, possible_ties
 
@@ -122,19 +123,22 @@ def ngram_components(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFram
     counts; repeated rows count once. Other columns are not read. Whole texts are used,
     whatever their length, and an empty table gives an empty result.
     """
+    bounded_batches(docs.sparkSession)
     n_parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     band = np.array(bands(percent), np.int64)
     rows = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
 
-    # 1. One row per id and text digest; `rep` is the smallest id with that text.
-    ids = rows.select("doc_id", F.md5(F.col("text").cast("binary")).alias("digest"))
-    ids = ids.groupBy("doc_id").agg(F.min("digest").alias("digest"), (F.min("digest") < F.max("digest")).alias("mixed"))
-    firsts = ids.groupBy("digest").agg(F.min("doc_id").alias("rep"))
-    ids = keep(ids.join(firsts, "digest").select("doc_id", "rep", "digest", "mixed"), "copies")
+    # 1. One row per id and text digest; `rep` is the smallest id with that text. Only
+    # digests with copies are joined back: in a broadcast, or else in a join of two
+    # shuffles, whose large partitions Spark can split.
+    ids = rows.select("doc_id", F.unhex(F.md5(F.col("text").cast("binary"))).alias("digest"))
+    ids = keep(ids.groupBy("doc_id").agg(F.min("digest").alias("digest"), (F.min("digest") < F.max("digest")).alias("mixed")), "digests")
+    firsts = keep(ids.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n")).where("n > 1").select("digest", "rep"), "firsts")
+    ids = keep(ids.join(small(firsts, 1_000_000), "digest", "left").select("doc_id", F.coalesce("rep", "doc_id").alias("rep"), "digest", "mixed"), "copies")
     # Rows that don't stand for themselves: copies, and further texts of an id.
-    skip = ids.where("doc_id <> rep").select("doc_id", F.lit("").alias("only"))
+    skip = ids.where("doc_id <> rep").select("doc_id", F.unhex(F.lit("")).alias("only"))
     skip = skip.union(ids.where("doc_id = rep and mixed").select("doc_id", F.col("digest").alias("only")))
-    alone = rows.join(small(skip, 1_000_000), "doc_id", "left").where(F.col("only").isNull() | (F.col("only") == F.md5(F.col("text").cast("binary"))))
+    alone = rows.join(small(skip, 1_000_000), "doc_id", "left").where(F.col("only").isNull() | (F.col("only") == F.unhex(F.md5(F.col("text").cast("binary")))))
     alone = alone.select("doc_id", "text")
 
     # 2. Keys.
@@ -148,25 +152,26 @@ def ngram_components(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFram
     routed = keep(alone.mapInPandas(route, "doc_id long, n long, keys array<long>, signature binary"), "routes")
     sizes = routed.select("doc_id", "n").dropDuplicates(["doc_id"])
 
-    # 3. Clusters of documents that share keys and may be linked. Keys of two documents
-    # are made one for each pair.
+    # 3. Clusters of documents that share keys and may be linked. A key of two documents
+    # becomes one for each pair; only keys of three or more look for their documents.
     keys = routed.select("doc_id", F.explode("keys").alias("key"))
-    own = Window.partitionBy("key")
-    shared = keys.select("key", "doc_id", F.min("doc_id").over(own).alias("low"), F.max("doc_id").over(own).alias("high"), F.count("*").over(own).alias("n_docs")).where("low <> high")
+    shared = keys.groupBy("key").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.count("*").alias("n_docs")).where("low <> high")
     shared = keep(shared, "shared")
-    pairs = shared.where("n_docs = 2 AND doc_id = low").select("low", "high").distinct()
+    pairs = shared.where("n_docs = 2").select("low", "high").distinct()
     pairs = pairs.select(F.xxhash64("low", "high", F.lit("pair")).alias("key"), F.explode(F.array("low", "high")).alias("doc_id"))
-    met = pairs.union(shared.where("n_docs > 2").select("key", "doc_id").distinct())
+    several = small(shared.where("n_docs > 2").select("key", "low", "n_docs"), 1_000_000)
+    several = keep(keys.join(several, "key").select("key", "doc_id", "low", "n_docs"), "several")
+    stars = several.where((F.col("n_docs") > BUCKET) & (F.col("doc_id") != F.col("low"))).select(F.col("doc_id").alias("a"), F.col("low").alias("b")).distinct()
+    met = pairs.union(several.where(F.col("n_docs") <= BUCKET).select("key", "doc_id").distinct())
     signatures = routed.select("doc_id", "n", "signature").dropDuplicates(["doc_id"])
     met = met.join(signatures, "doc_id").repartition(n_parts, "key").sortWithinPartitions("key", "doc_id")
 
     def tie(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: list[tuple[int, int, bytes]] = []
-        key = first = None
-        full = False  # the key has had more than BUCKET documents
+        held: list[tuple[int, int, bytes]] = []  # BUCKET of them at most
+        key = None
 
         def close() -> list[tuple[int, int]]:
-            if full or len(held) < 2:
+            if len(held) < 2:
                 return []
             return possible_ties([h[0] for h in held], [np.frombuffer(h[2], np.uint64) for h in held], [h[1] for h in held], percent)
 
@@ -175,18 +180,12 @@ def ngram_components(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFram
             for k_, doc, n, signature in zip(pdf["key"].tolist(), pdf["doc_id"].tolist(), pdf["n"].tolist(), pdf["signature"]):
                 if k_ != key:
                     out += close()
-                    key, first, held, full = k_, doc, [], False
-                if not full and len(held) == BUCKET:
-                    out += [(h[0], first) for h in held[1:]]
-                    held, full = [], True
-                if full:
-                    out.append((doc, first))
-                else:
-                    held.append((doc, n, signature))
+                    key, held = k_, []
+                held.append((doc, n, signature))
             yield pd.DataFrame(out, columns=["a", "b"]).astype("int64")
         yield pd.DataFrame(close(), columns=["a", "b"]).astype("int64")
 
-    clusters = components(met.mapInPandas(tie, "a long, b long"), "ties")
+    clusters = components(met.mapInPandas(tie, "a long, b long").union(stars), "ties")
 
     # 4. Links within clusters.
     links = _links(alone, keep(clusters.join(sizes, clusters["id"] == sizes["doc_id"]).select("doc_id", F.col("label").alias("cluster"), "n"), "clusters"), k, percent, n_parts)
@@ -205,10 +204,11 @@ def _links(docs: DataFrame, clusters: DataFrame, k: int, percent: int, n_parts:
     before = Window.partitionBy("cluster").orderBy("n").rowsBetween(Window.unboundedPreceding, -1)
     first = F.floor(F.coalesce(F.sum(fill).over(before), F.lit(0.0)))
     counts = counts.select("cluster", "n", first.alias("first"), F.ceil(fill).alias("share"))
-    most = counts.groupBy("cluster").agg(F.max(F.col("first") + F.col("share")).alias("blocks"))
+    most = F.max(F.col("first") + F.col("share")).over(Window.partitionBy("cluster"))
+    counts = keep(counts.withColumn("blocks", most.cast("long")), "histogram")
     number = F.col("first") + F.pmod(F.xxhash64("doc_id"), F.col("share"))
-    block = clusters.join(counts, ["cluster", "n"]).withColumn("block", number.cast("long"))
-    block = keep(block.join(most, "cluster").select("doc_id", "cluster", "n", "block", F.col("blocks").cast("long").alias("blocks")), "blocks")
+    block = clusters.join(small(counts, 1_000_000), ["cluster", "n"])
+    block = keep(block.select("doc_id", "cluster", "n", number.cast("long").alias("block"), "blocks"), "blocks")
 
     # A set is made once, where its text is, and goes to the blocks that need it.
     def tokens(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

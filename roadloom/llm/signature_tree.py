@@ -18,6 +18,7 @@ from __future__ import annotations
 import numpy as np
 
 FANOUT = 8
+STRETCH_WORDS = 1 << 16  # of bitmaps that are compared at a time
 
 
 def needed(x, y, percent: int):
@@ -71,8 +72,8 @@ def _possible(a, b, i: np.ndarray, j: np.ndarray, percent: int) -> np.ndarray:
     low_a, high_a, low_b, high_b = a[1][i], a[2][i], b[1][j], b[2][j]
     keep = (100 * high_a >= percent * low_b) & (100 * high_b >= percent * low_a)
     keep = np.flatnonzero(keep)
-    good = []
-    for part in np.array_split(keep, max(1, len(keep) // 4096)):
+    good, step = [], max(16, STRETCH_WORDS // a[0].shape[1])
+    for part in (keep[at : at + step] for at in range(0, len(keep), step)):
         p, q = i[part], j[part]
         common = np.bitwise_count(a[0][p] & b[0][q]).sum(1, dtype=np.int64)
         bound = common + np.minimum(a[3][p], b[3][q])
@@ -85,7 +86,7 @@ def dual_traversal(a: SignatureTree, b: SignatureTree, percent: int) -> tuple[np
     same = a is b
     depth = max(len(a.levels), len(b.levels))
     level = lambda t, k: t.levels[min(k, len(t.levels) - 1)]
-    i = j = np.zeros(1, np.int64)
+    i = j = np.zeros(1, np.int32)
     for k in range(depth - 1, -1, -1):
         if k < depth - 1:
             i, j = _children(i, j, k, a, b)
@@ -101,8 +102,8 @@ def _children(i, j, k, a, b):
     def below(x, tree):
         if k >= len(tree.levels) - 1:  # this tree's root, not yet opened
             return x[:, None]
-        kids = x[:, None] * FANOUT + np.arange(FANOUT)
-        return np.where(kids < len(tree.levels[k][0]), kids, -1)
+        kids = x[:, None] * np.int32(FANOUT) + np.arange(FANOUT, dtype=np.int32)
+        return np.where(kids < len(tree.levels[k][0]), kids, np.int32(-1))
 
     p, q = below(i, a), below(j, b)
     left = np.repeat(p, q.shape[1], axis=1).reshape(-1)
