@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import keep, small
+from .common import bounded_batches, keep, small
 from .kernels import blocks, mix
 
 BITS, TERM_WORDS = 128, 3
@@ -54,6 +54,20 @@ def likeness(a: str, b: str) -> float:
     return max(0.0, float(np.cos(np.pi * distance / BITS))) if distance else 1.0
 
 
+QUERY_RADIUS = 3  # four blocks of 32 bits
+
+
+def with_near_counts(marked: DataFrame, radius: int = QUERY_RADIUS) -> DataFrame:
+    """`marked` (doc_id, fingerprint and others) with n_near: for doc_ids divisible by 50,
+    how many other fingerprints lie within `radius` bits of its own, found through the
+    block tables; null for all other rows."""
+    marked = keep(marked, "marked")
+    found = near_fingerprints(marked, radius).groupBy("fingerprint").agg(F.sum((F.col("distance") > 0).cast("long")).alias("n_near"))
+    found = small(keep(found, "near"), 1_000_000)
+    asks = F.when(F.col("doc_id") % 50 == 0, F.col("n_near"))
+    return marked.join(found, "fingerprint", "left").select(*marked.columns, asks.alias("n_near"))
+
+
 def fingerprint_edits(docs: DataFrame) -> DataFrame:
     """Fingerprints of every text and of its edited text.
 
@@ -71,6 +85,7 @@ def fingerprint_edits(docs: DataFrame) -> DataFrame:
     of ids, and a task streams through its range.
     """
     spark = docs.sparkSession
+    bounded_batches(spark)
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     rows = rows.withColumn("part", F.when(F.col("doc_id").isNull(), 0).otherwise(_range(_cuts(rows, n), 0)))

@@ -43,7 +43,7 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fingerprints.fingerprint_edits(table(spark, sf_dir, "documents"))
+    return fingerprints.with_near_counts(fingerprints.fingerprint_edits(table(spark, sf_dir, "documents")))
 
 
 def op7_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
