@@ -11,8 +11,11 @@ from __future__ import annotations
 
 import os
 import re
+from pathlib import Path
 
 import numpy as np
+from pyspark import Broadcast
+from pyspark.sql import SparkSession
 
 from .kernels import Block, Codes, blocks
 
@@ -33,11 +36,11 @@ class PieceEncoder:
     """Ids of texts, with a cache of at most about `most` pieces that starts anew when
     full."""
 
-    def __init__(self, path: str, most: int = 1_500_000):
+    def __init__(self, vocabulary: bytes, most: int = 1_500_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer = Tokenizer.from_str(vocabulary.decode())
         self.tokenizer.encode_special_tokens = True
         self.letters = byte_letters()
         self.most = most
@@ -131,12 +134,25 @@ _encoders: dict[str, PieceEncoder] = {}
 
 
 def encoder(path: str) -> PieceEncoder:
-    """This worker's encoder for the vocabulary at `path`."""
+    """An encoder for the vocabulary at `path`, one for each process."""
     if path not in _encoders:
-        _encoders[path] = PieceEncoder(path)
+        _encoders[path] = PieceEncoder(Path(path).read_bytes())
     return _encoders[path]
 
 
+def shared_vocabulary(spark: SparkSession, path: str) -> Broadcast[bytes]:
+    """The driver's vocabulary file for all tasks; executors needn't have it."""
+    return spark.sparkContext.broadcast(Path(path).read_bytes())
+
+
+def task_encoder(vocabulary: Broadcast[bytes]) -> PieceEncoder:
+    """This worker's encoder for a vocabulary that was shared."""
+    key = f"{hash(vocabulary.value)}:{len(vocabulary.value)}"
+    if key not in _encoders:
+        _encoders[key] = PieceEncoder(vocabulary.value)
+    return _encoders[key]
+
+
 def default_vocabulary() -> str:
     import public_tokenizers
 

@@ -1,9 +1,11 @@
 """Operator 1: edit-aware token counts.
 
 Each document keeps a segment tree whose leaves are its pieces (see pieces.py) with
-their token counts and whose inner nodes hold subtree sums. An edit replaces the
-leaves that it touches, with one leaf of context on either side, by one leaf that is
-encoded anew; only the sums on the paths from those leaves to the root change.
+their token counts and whose inner nodes hold subtree sums. Edits replace the leaves
+that they touch. Those leaves, with one leaf of context on either side, form a region
+(regions that meet are one); each region is encoded anew once, and only the sums on
+the paths from its leaves to the root change. So work is linear in the edits and in
+what they touch.
 """
 
 from __future__ import annotations
@@ -15,19 +17,22 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import bounded_batches
 from .kernels import Block
-from .pieces import _WIDE_SPACE, encoder
+from .pieces import _WIDE_SPACE, shared_vocabulary, task_encoder
 
 
 class CountTree:
-    """Token counts of one document's leaves. `starts` has each leaf's first
-    character, `total` the number of tokens of the text as edited so far."""
+    """Token counts of one document's leaves. `starts` has each leaf's first character,
+    `counts` its tokens, `total` the number of tokens of the text as edited."""
 
     def __init__(self, text: str, starts: np.ndarray, counts: np.ndarray, count):
         self.count = count  # number of tokens of a string
-        self.starts, self.n = starts, len(starts)
+        if not len(starts):
+            starts, counts = np.zeros(1, np.int64), np.zeros(1, np.int64)
+        self.n = len(starts)
         self.bounds = np.append(starts, len(text)).astype(np.int64)
-        self.text, self.changed = text, {}
+        self.text = text
         self.size = 1 << max(0, (self.n - 1).bit_length())
         self.sums = np.zeros(2 * self.size, np.int64)
         self.sums[self.size : self.size + self.n] = counts
@@ -41,38 +46,37 @@ class CountTree:
     def total(self) -> int:
         return int(self.sums[1])
 
-    def _leaf(self, i: int) -> str:
-        return self.changed.get(i, self.text[self.bounds[i] : self.bounds[i + 1]])
-
-    def _set(self, i: int, count: int) -> None:
-        i += self.size
-        delta = count - self.sums[i]
-        while i:
-            self.sums[i] += delta
-            i //= 2
-
-    def replace(self, start: int, end: int, by: str) -> None:
-        """Replaces characters [start, end) of the original text. Edits come from
-        right to left and don't overlap, so offsets to their left stay valid."""
-        if not self.n:
-            self.changed, self.n, self.bounds = {0: ""}, 1, np.zeros(2, np.int64)
-        first = max(0, int(np.searchsorted(self.bounds[:-1], start, "right")) - 2)
-        last = max(0, int(np.searchsorted(self.bounds[:-1], max(start, end - 1), "right")) - 1)
-        last = min(self.n - 1, last + 1)
-        while last + 1 < self.n and not self._leaf(last):
-            last += 1  # leaves that an earlier edit has merged away give no context
-        merged = "".join(self._leaf(i) for i in range(first, last + 1))
-        at = start - int(self.bounds[first])
-        merged = merged[:at] + by + merged[at + end - start :]
-        for i in range(first, last + 1):
-            self.changed[i] = ""
-            self._set(i, 0)
-        self.changed[first] = merged
-        self._set(first, self.count(merged))
-        self.encoded += len(merged)
-
-    def edited(self) -> str:
-        return "".join(self._leaf(i) for i in range(self.n))
+    def _set(self, leaves: np.ndarray, counts: np.ndarray) -> None:
+        """Puts new counts at leaves and renews the sums above them, level by level."""
+        at = leaves + self.size
+        self.sums[at] = counts
+        while at[0] > 1:
+            at = np.unique(at >> 1)
+            self.sums[at] = self.sums[2 * at] + self.sums[2 * at + 1]
+
+    def apply(self, edits: list[tuple[int, int, str]]) -> None:
+        """Replaces characters [start, end) by a text for each (start, end, text), which
+        come in ascending order and don't overlap."""
+        if not edits:
+            return
+        start, end = np.array([e[0] for e in edits]), np.array([e[1] for e in edits])
+        lead = self.bounds[:-1]
+        first = np.maximum(0, np.searchsorted(lead, start, "right") - 2)
+        last = np.minimum(self.n - 1, np.maximum(0, np.searchsorted(lead, np.maximum(start, end - 1), "right") - 1) + 1)
+        # Regions: runs of edits whose leaves meet.
+        new = np.flatnonzero(np.append(True, first[1:] > np.maximum.accumulate(last)[:-1]))
+        leaves, counts = [], []
+        for a, b in zip(new, np.append(new[1:], len(edits))):
+            low, high = int(first[a]), int(last[a:b].max())
+            at, parts = int(self.bounds[low]), []
+            for x, y, by in edits[a:b]:
+                parts += [self.text[at:x], by]
+                at = y
+            text = "".join(parts) + self.text[at : self.bounds[high + 1]]
+            leaves.append(np.arange(low, high + 1))
+            counts.append(np.append(self.count(text), np.zeros(high - low, np.int64)))
+            self.encoded += len(text)
+        self._set(np.concatenate(leaves), np.concatenate(counts))
 
 
 def count_with_edits(docs: DataFrame, vocabulary: str) -> DataFrame:
@@ -89,8 +93,11 @@ def count_with_edits(docs: DataFrame, vocabulary: str) -> DataFrame:
     are encoded whole, before and after.
     """
 
+    bounded_batches(docs.sparkSession)
+    shared = shared_vocabulary(docs.sparkSession, vocabulary)
+
     def run(rows: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        enc = encoder(vocabulary)
+        enc = task_encoder(shared)
         whole = lambda s: len(enc.encode_whole(s))
         for pdf in rows:
             out = []
@@ -117,8 +124,7 @@ def count_with_edits(docs: DataFrame, vocabulary: str) -> DataFrame:
                             leaves = (np.cumsum(lead) - 1)[leaves]
                         counts = n[first[i] : first[i + 1]]
                     tree = CountTree(text, leaves, counts, whole)
-                    for a, b, by in todo:
-                        tree.replace(a, b, by)
+                    tree.apply(todo[::-1])
                     change = sum(len(by) - (b - a) for a, b, by in todo)
                     out.append((tokens, len(todo), tree.total, len(text) + change, tree.encoded))
             cols = ["n_tokens", "n_edits", "edited_tokens", "edited_chars", "reencoded_chars"]
@@ -152,24 +158,23 @@ def _plan(edits, n: int) -> list[tuple[int, int, str]]:
 PERSONAL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}|[0-9][0-9 ()./+-]{5,}[0-9]"
 
 
+def _spans(gaps: pd.Series, hits: pd.Series) -> pd.Series:
+    """Edits from the lengths of the matches and of what stands before each of them."""
+    out = []
+    for gap, hit in zip(gaps, hits):
+        stop = np.cumsum(np.asarray(gap, np.int64)[: len(hit)] + hit)
+        out.append([{"start": a, "stop": b, "by": "[redacted]"} for a, b in zip((stop - hit).tolist(), stop.tolist())])
+    return pd.Series(out)
+
+
 def redactions(docs: DataFrame) -> DataFrame:
-    """`docs` with the edits that hide personal data: each match of PERSONAL gives
-    way to "[redacted]". Positions come from the pieces between the matches, so all
-    of it is string work in the JVM."""
+    """(doc_id, text, edits) with the edits that hide personal data: each match of
+    PERSONAL gives way to "[redacted]". The JVM finds the matches; their positions are
+    running sums of lengths. Null text is empty text, and a text without a match has
+    no edits."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    hits = F.regexp_extract_all("text", F.lit(PERSONAL), 0)
-    gaps = F.split("text", PERSONAL, -1)
-    spans = F.aggregate(
-        F.arrays_zip(F.col("gaps").alias("gap"), F.col("hits").alias("hit")),
-        F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<struct<start:long,stop:long,by:string>>").alias("e")),
-        lambda acc, x: F.struct(
-            (acc.at + F.length(x.gap) + F.coalesce(F.length(x.hit), F.lit(0))).alias("at"),
-            F.when(x.hit.isNull(), acc.e)
-            .otherwise(F.concat(acc.e, F.array(F.struct((acc.at + F.length(x.gap)).alias("start"), (acc.at + F.length(x.gap) + F.length(x.hit)).alias("stop"), F.lit("[redacted]").alias("by")))))
-            .alias("e"),
-        ),
-        lambda acc: acc.e,
-    )
-    found = docs.select("doc_id", text.alias("text")).select("doc_id", "text", hits.alias("hits"))
-    found = found.withColumn("gaps", F.when(F.size("hits") > 0, gaps).otherwise(F.array(F.lit(""))))
-    return found.select("doc_id", "text", F.when(F.size("hits") > 0, spans).alias("edits"))
+    sizes = lambda c: F.transform(c, F.length)
+    found = docs.select("doc_id", text.alias("text")).withColumn("hits", F.regexp_extract_all("text", F.lit(PERSONAL), 0))
+    gaps = F.when(F.size("hits") > 0, F.split("text", PERSONAL, -1)).otherwise(F.array().cast("array<string>"))
+    spans = F.pandas_udf(_spans, "array<struct<start:long,stop:long,by:string>>")
+    return found.select("doc_id", "text", spans(sizes(gaps), sizes(F.col("hits"))).alias("edits"))
