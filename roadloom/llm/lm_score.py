@@ -12,8 +12,9 @@ is the sum over its words and one end token. Arcs for single characters that the
 vocabulary lacks keep every text's probability above zero.
 
 The vocabulary is taken as it is. The scores of its pieces start from their order and
-are fitted by one pass of expected counts (forward and backward) over the training
-words with their corpus counts.
+are fitted by PASSES passes of expected counts (forward and backward) over the training
+words. The pieces share the discounted mass, so a word weighs what it gives to that:
+min(c, d).
 """
 
 from __future__ import annotations
@@ -25,12 +26,14 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE, ascii_lower, keep
-from .kernels import blocks
+from .common import SPACE, ascii_lower, bounded_batches, keep
+from .kernels import Block, Codes, blocks
 
 LN10 = float(np.log(10))
 DISCOUNT = 0.5
-LONGEST = 16  # characters of a piece that count
+PASSES = 3
+UNKNOWN_CHARACTERS = 2**17  # an unknown character's probability is shared by as many
+STRETCH = 1 << 18  # arcs that are looked up at a time
 # A word is frequent when it makes up at least this share of all tokens: at most
 # 1 / FREQUENT words are.
 FREQUENT = 2e-6
@@ -49,88 +52,115 @@ def vocabulary_pieces(path: str) -> list[str]:
 
 
 class Lattice:
-    """Scores (natural logs) of pieces, and recursions over batches of words."""
+    """Scores (natural logs) of pieces, and recursions over batches of words. Pieces are
+    found by the hashes of byte ranges, so a batch takes a few array operations for each
+    place in its words."""
 
     def __init__(self, pieces: list[str], scores: np.ndarray, unknown: float):
         self.pieces, self.unknown = pieces, unknown
         self.scores = scores
-        self.index = {p: i for i, p in enumerate(pieces)}
+        self.wide = max(map(len, pieces), default=1)
+        self.codes = Codes(max(1, len(pieces)))
+        if pieces:
+            block = Block([p.encode() for p in pieces], lower=False)
+            self.codes.add(np.maximum(block.hashes(block.starts, block.ends), 1))
+
+    @property
+    def index(self) -> dict[str, int]:
+        return {p: i for i, p in enumerate(self.pieces)}
 
     @classmethod
     def of_order(cls, pieces: list[str]) -> Lattice:
         """Zipf's law over the vocabulary's order as starting scores."""
         rank = np.arange(2, len(pieces) + 2)
         p = 0.999 / rank / (1 / rank).sum()
-        return cls(pieces, np.log(p), float(np.log(0.001 / 2**17)))
-
-    def arcs(self, words: list[str]) -> np.ndarray:
-        """[word, end, length - 1] -> piece number; -1: none, -2: an unknown
-        character. `words` have one length and carry the mark of a word's start."""
-        n, size = len(words), len(words[0])
-        out = np.full((n, size + 1, min(size, LONGEST)), -1, np.int64)
-        get = self.index.get
-        for i in range(size):
-            for j in range(i + 1, min(size, i + LONGEST) + 1):
-                out[:, j, j - i - 1] = [get(w[i:j], -1) for w in words]
-        single = out[:, 1:, 0]
+        return cls(pieces, np.log(p), float(np.log(0.001 / UNKNOWN_CHARACTERS)))
+
+    def with_scores(self, scores: np.ndarray, unknown: float) -> Lattice:
+        out = Lattice.__new__(Lattice)
+        out.__dict__ |= self.__dict__ | {"scores": scores, "unknown": unknown}
+        return out
+
+    def arcs(self, block: Block, at: np.ndarray, low: int, high: int) -> np.ndarray:
+        """[word, place - low, length - 1] -> number of the piece of that length that
+        ends at a place in [low, high). -1: none, -2: an unknown character. `at` has the
+        byte at which each character of each word begins, and its end."""
+        end = np.arange(low, high)[:, None]
+        begin = end - np.arange(1, min(at.shape[1] - 1, self.wide) + 1)
+        there = begin >= 0
+        first, last = at[:, begin[there]], at[:, np.broadcast_to(end, begin.shape)[there]]
+        out = np.full((len(at), *begin.shape), -1, np.int32)
+        out[:, there] = self.codes.find(block.hashes(first.reshape(-1), last.reshape(-1))).reshape(first.shape)
+        single = out[:, :, 0]
         single[single < 0] = -2
         return out
 
+    def _stretches(self, at: np.ndarray) -> list[tuple[int, int]]:
+        """Ranges of places whose arcs are few enough to be held at once."""
+        n, size = at.shape[0], at.shape[1] - 1
+        step = max(1, STRETCH // (n * min(size, self.wide)))
+        return [(low, min(size + 1, low + step)) for low in range(1, size + 1, step)]
+
     def _weights(self, arcs: np.ndarray) -> np.ndarray:
-        score = np.append(self.scores, [self.unknown, -np.inf])  # -2, -1
-        return score[arcs]
+        return np.append(self.scores, [self.unknown, -np.inf])[arcs]  # -2, -1
 
-    def forward(self, weights: np.ndarray) -> np.ndarray:
-        n, size, wide = weights.shape
-        alpha = np.full((n, size), -np.inf)
+    def forward(self, block: Block, at: np.ndarray) -> np.ndarray:
+        alpha = np.full(at.shape, -np.inf)
         alpha[:, 0] = 0
-        for j in range(1, size):
-            m = min(j, wide)
-            alpha[:, j] = np.logaddexp.reduce(alpha[:, j - m : j][:, ::-1] + weights[:, j, :m], axis=1)
+        for low, high in self._stretches(at):
+            weights = self._weights(self.arcs(block, at, low, high))
+            for j in range(low, high):
+                m = min(j, weights.shape[2])
+                alpha[:, j] = _logsumexp(alpha[:, j - m : j][:, ::-1] + weights[:, j - low, :m])
         return alpha
 
-    def backward(self, weights: np.ndarray) -> np.ndarray:
-        n, size, wide = weights.shape
-        beta = np.full((n, size), -np.inf)
-        beta[:, -1] = 0
-        for i in range(size - 2, -1, -1):
-            m = min(size - 1 - i, wide)
-            ahead = np.stack([beta[:, i + l] + weights[:, i + l, l - 1] for l in range(1, m + 1)], axis=1)
-            beta[:, i] = np.logaddexp.reduce(ahead, axis=1)
-        return beta
-
     def log_probability(self, words: list[str]) -> np.ndarray:
         """Marginal log probability of each word over all of its segmentations."""
         out = np.empty(len(words))
-        for where, marked in _by_length(words):
-            out[where] = self.forward(self._weights(self.arcs(marked)))[:, -1]
+        for where, block, at in _by_length(words):
+            out[where] = self.forward(block, at)[:, -1]
         return out
 
     def expected(self, words: list[str], counts: np.ndarray) -> np.ndarray:
         """Expected uses of each piece (last entry: of unknown characters)."""
-        out = np.zeros(len(self.pieces) + 1)
-        for where, marked in _by_length(words):
-            arcs = self.arcs(marked)
-            w = self._weights(arcs)
-            alpha, beta = self.forward(w), self.backward(w)
-            total = alpha[:, -1:]
-            for l in range(1, w.shape[2] + 1):
-                use = np.exp(alpha[:, : w.shape[1] - l] + w[:, l:, l - 1] + beta[:, l:] - total) * counts[where][:, None]
-                at = arcs[:, l:, l - 1]
-                ok = at != -1
-                np.add.at(out, np.where(at[ok] == -2, len(self.pieces), at[ok]), use[ok])
-        return out
-
-
-def _by_length(words: list[str], most: int = 4096) -> Iterator[tuple[np.ndarray, list[str]]]:
-    marked = ["▁" + w for w in words]
-    sizes = np.array([len(w) for w in marked])
+        out = np.zeros(len(self.pieces) + 2)  # the last but one: unknown characters; the last: no arc
+        for where, block, at in _by_length(words):
+            alpha = self.forward(block, at)
+            beta = np.full(at.shape, -np.inf)
+            beta[:, -1] = 0
+            share = np.log(counts[where]) - alpha[:, -1]
+            for low, high in reversed(self._stretches(at)):
+                arcs = self.arcs(block, at, low, high)
+                weights, uses = self._weights(arcs), np.zeros(arcs.shape)
+                for j in range(high - 1, low - 1, -1):
+                    m = min(j, weights.shape[2])
+                    through = beta[:, j : j + 1] + weights[:, j - low, :m]
+                    before = slice(j - m, j)
+                    uses[:, j - low, :m] = np.exp(alpha[:, before][:, ::-1] + through + share[:, None])
+                    beta[:, before] = np.logaddexp(beta[:, before], through[:, ::-1])
+                out += np.bincount((arcs % len(out)).reshape(-1), uses.reshape(-1), len(out))
+        return out[:-1]
+
+
+def _logsumexp(x: np.ndarray) -> np.ndarray:
+    most = x.max(axis=1)
+    most[np.isneginf(most)] = 0
+    with np.errstate(divide="ignore"):
+        return np.log(np.exp(x - most[:, None]).sum(axis=1)) + most
+
+
+def _by_length(words: list[str], most: int = 8192) -> Iterator[tuple[np.ndarray, Block, np.ndarray]]:
+    """Batches of words with equal numbers of characters: their numbers, their bytes
+    with the mark of a word's start, and where each character begins."""
+    sizes = np.fromiter(map(len, words), np.int64, len(words)) + 1
     for size in np.unique(sizes):
         where = np.flatnonzero(sizes == size)
         step = max(1, min(most, 400_000 // int(size)))
-        for at in range(0, len(where), step):
-            part = where[at : at + step]
-            yield part, [marked[i] for i in part]
+        for first in range(0, len(where), step):
+            part = where[first : first + step]
+            block = Block([("▁" + words[i]).encode("utf-8", "replace") for i in part], lower=False)
+            lead = np.flatnonzero((block.data & 0xC0) != 0x80)
+            yield part, block, lead.reshape(len(part), int(size) + 1)
 
 
 def _known_scores(words: list[str], counts: np.ndarray, total: int, freed: float, lattice: Lattice) -> np.ndarray:
@@ -148,14 +178,13 @@ def _hashes(words: list[str]) -> np.ndarray:
 def lm_scores(docs: DataFrame, vocabulary: str, training: Column) -> DataFrame:
     """Scores the rows of `docs` with models of the rows where `training` holds.
 
-    Returns one row per distinct (doc_id, text): doc_id, held_out, n_tokens, n_known,
+    Returns one row per row: doc_id, held_out, n_tokens, n_known,
     train_tokens, base_score, score (both log10). Tokens are runs of characters other
     than ASCII white space, A-Z lower-cased, and one end token. base_score adds over
     tokens log10((c + 0.1) / (N + 0.1 (V + 1))); score is the lattice's (see above).
 
     Null text is empty text, the end token alone. A null `training` counts as
-    training. Null ids pass through. Repeated rows train as often as they occur and
-    are returned once. Without any training token, N = V = 0 and score has the
+    training. Null ids pass through. Repeated rows train as often as they occur. Without any training token, N = V = 0 and score has the
     pieces alone. Whole texts are used. Other columns are not read.
 
     Corpus counts come from one aggregation over all texts. At most 1 / FREQUENT
@@ -164,6 +193,7 @@ def lm_scores(docs: DataFrame, vocabulary: str, training: Column) -> DataFrame:
     10 million words share a hash with a probability of 3 in a million.)
     """
     spark = docs.sparkSession
+    bounded_batches(spark)
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
@@ -173,7 +203,8 @@ def lm_scores(docs: DataFrame, vocabulary: str, training: Column) -> DataFrame:
     # Corpus counts of words (without the end token, of which each text has one).
     split = F.split(ascii_lower(F.col("text")), SPACE, -1)
     counted = rows.select("training", F.explode(split).alias("word")).groupBy("word").agg(F.sum(F.col("training").cast("long")).alias("c"), F.count("*").alias("uses"))
-    counted = keep(counted.where("word <> ''"), "words")
+    # Dealt evenly, as words cost far more to score than to store.
+    counted = keep(counted.where("word <> ''").repartition(int(spark.conf.get("spark.sql.shuffle.partitions"))), "words")
     got = counted.agg(F.sum("c"), F.sum((F.col("c") > 0).cast("long")), F.sum(F.least(F.col("c").cast("double"), F.lit(DISCOUNT))), F.sum("uses")).first()
     ends = int(rows.agg(F.sum(F.col("training").cast("long"))).first()[0] or 0)
     n, v = int(got[0] or 0) + ends, int(got[1] or 0) + (ends > 0)
@@ -254,7 +285,7 @@ def lm_scores(docs: DataFrame, vocabulary: str, training: Column) -> DataFrame:
         )
     )
     whole = lambda c: (F.col(c) / F.col("rows")).cast("long")
-    return totals.select(
+    return totals.withColumn("again", F.explode(F.array_repeat(F.lit(0), F.col("rows").cast("int")))).select(
         "doc_id",
         F.col("held_out"),
         whole("tokens").alias("n_tokens"),
@@ -266,20 +297,23 @@ def lm_scores(docs: DataFrame, vocabulary: str, training: Column) -> DataFrame:
 
 
 def _fitted(counted: DataFrame, start: Lattice) -> Lattice:
-    """Scores from one pass of expected counts over all training words."""
-    shared = counted.sparkSession.sparkContext.broadcast(start)
-    size = len(start.pieces) + 1
-
-    def expect(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = np.zeros(size)
-        for pdf in frames:
-            total += shared.value.expected(pdf["word"].tolist(), pdf["c"].to_numpy(np.float64))
-        used = np.flatnonzero(total)
-        yield pd.DataFrame({"piece": used, "uses": total[used]})
-
-    got = counted.where("c > 0").mapInPandas(expect, "piece long, uses double").groupBy("piece").agg(F.sum("uses").alias("uses")).toPandas()  # a row for each piece
-    uses = np.full(size, 0.01)
-    uses[-1] = 1.0
-    uses[got["piece"]] += got["uses"]
-    log = np.log(uses / uses.sum())
-    return Lattice(start.pieces, log[:-1], float(log[-1] - np.log(2**17)))
+    """Scores from passes of expected counts over all training words."""
+    lattice, size = start, len(start.pieces) + 1
+    trained = counted.where("c > 0").select("word", F.least(F.col("c").cast("double"), F.lit(DISCOUNT)).alias("c"))
+    for _ in range(PASSES):
+        shared = counted.sparkSession.sparkContext.broadcast(lattice)
+
+        def expect(frames: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
+            total = np.zeros(size)
+            for pdf in frames:
+                total += shared.value.expected(pdf["word"].tolist(), pdf["c"].to_numpy(np.float64))
+            used = np.flatnonzero(total)
+            yield pd.DataFrame({"piece": used, "uses": total[used]})
+
+        got = trained.mapInPandas(expect, "piece long, uses double").groupBy("piece").agg(F.sum("uses").alias("uses")).toPandas()  # a row for each piece
+        uses = np.full(size, 0.01)
+        uses[-1] = 1.0
+        uses[got["piece"]] += got["uses"]
+        log = np.log(uses / uses.sum())
+        lattice = start.with_scores(log[:-1], float(log[-1] - np.log(UNKNOWN_CHARACTERS)))
+    return lattice
