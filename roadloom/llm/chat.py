@@ -12,6 +12,10 @@ A long transcript is decoded in segments. Viterbi's recursion is a product of ma
 under (max, +), so each segment gives one small matrix (best score from each entering
 to each leaving state); chaining those finds the states at the seams, and each segment
 is then decoded between its fixed seams. The path is the same as over the whole.
+
+No step gathers a transcript. Lines are numbered through ranges of parts (a count for
+each range, then running counts inside), and turns through the segments. What one task
+sees of a whole transcript is one small row for each range or segment.
 """
 
 from __future__ import annotations
@@ -23,7 +27,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import keep
+from .common import bounded_batches, keep, small
 
 ROLES = ("system", "user", "assistant")
 STATES = 2 * len(ROLES)  # 2 * role + (1 for a further line of the turn)
@@ -52,31 +56,54 @@ def unmarked(line: Column) -> Column:
 
 
 def lines_of(transcripts: DataFrame) -> DataFrame:
-    """(conv_id, line_no, line, symbol) for each line that isn't blank of (conv_id,
-    part, text); parts of a transcript follow each other by number, and a line ends
-    with its part."""
-    split = F.posexplode(F.split(F.coalesce(F.col("text").cast("string"), F.lit("")), "\n", -1)).alias("i", "line")
-    lines = transcripts.select("conv_id", "part", split)
-    order = Window.partitionBy("conv_id", "part").orderBy("i")
-    before = F.lag("line").over(order)
-    lines = lines.withColumn("gap", (before.isNotNull() & (F.trim(before) == "")).cast("int")).where(F.trim("line") != "")
+    """(conv_id, part, i, line, symbol, no, segment) for each line that isn't blank of
+    (conv_id, part, text). Parts of a transcript follow each other by number, texts of
+    one part by their hash, and a line ends with its part. i is a line's place in its
+    text, no that in the transcript without blank lines, segment no / SEGMENT_LINES."""
+    n = int(transcripts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    split = F.split(F.coalesce(F.col("text").cast("string"), F.lit("")), "\n", -1)
+    lines = F.transform("split", lambda x, i: F.struct(i.alias("i"), x.alias("line"), ((i > 0) & (F.trim(F.get("split", i - 1)) == "")).cast("int").alias("gap")))
+    said = F.filter(lines, lambda x: F.trim(x.line) != "")
+    parts = transcripts.select("conv_id", "part", F.xxhash64("text").alias("hash"), split.alias("split")).select("conv_id", "part", "hash", said.alias("said"))
+    parts = parts.repartitionByRange(n, "conv_id", "part", "hash").withColumn("at", F.spark_partition_id())
+    parts = keep(parts.withColumn("n", F.size("said")), "parts")
+
+    ranges = parts.groupBy("conv_id", "at").agg(F.sum("n").alias("n"))
+    earlier = Window.partitionBy("conv_id").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = ranges.select(F.col("conv_id").alias("c"), F.col("at").alias("r"), F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("base"))
+    ranges = small(keep(ranges.where("base > 0"), "ranges"))
+    inside = Window.partitionBy("conv_id", "at").orderBy("part", "hash").rowsBetween(Window.unboundedPreceding, -1)
+    placed = parts.withColumn("within", F.coalesce(F.sum("n").over(inside), F.lit(0)))
+    placed = placed.join(ranges, F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("at") == F.col("r")), "left")
+    base = F.col("within") + F.coalesce("base", F.lit(0))
+    rows = placed.select("conv_id", "part", base.alias("base"), F.posexplode("said").alias("k", "s"))
+    rows = rows.select("conv_id", "part", "s.i", "s.line", "s.gap", (F.col("base") + F.col("k")).alias("no"))
+
     size = F.length(F.trim("line"))
     length = F.when(size < 20, 0).when(size < 120, 1).otherwise(2)
     ask = F.rtrim("line").endswith("?").cast("int")
     symbol = ((marker(F.col("line")) * 2 + F.col("gap")) * 3 + length) * 2 + ask
-    return lines.select("conv_id", "part", "i", "line", symbol.cast("int").alias("symbol"))
+    segment = F.floor(F.col("no") / SEGMENT_LINES)
+    return rows.select("conv_id", "part", "i", "line", symbol.cast("int").alias("symbol"), "no", segment.alias("segment"))
 
 
 def train(lines: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Log start, transition and emission tables from lines with their true `state`.
+    """Log start, transition and emission tables from lines (of lines_of) with their
+    true `state`.
 
     A symbol's emission is the product of those of its three parts (marker with gap,
     length, question mark), so combinations that training lacks are told from each
     other. Rare states lean on all lines (two counts are dealt as those of all states
     together), and every case has a floor that is the same for all states, so a case
     that no state has shown speaks for none."""
-    order = Window.partitionBy("conv_id").orderBy("part", "i")
-    moves = lines.select("symbol", "state", F.lag("state").over(order).alias("was"))
+    # The line before is in the same segment, or it is the last one of the segment before.
+    order = Window.partitionBy("conv_id", "segment").orderBy("no")
+    lines = lines.select("conv_id", "segment", "no", "symbol", "state")
+    ends = lines.groupBy("conv_id", (F.col("segment") + 1).alias("segment")).agg(F.max_by("state", "no").alias("end"))
+    ends = ends.select(F.col("conv_id").alias("c"), F.col("segment").alias("s"), "end")
+    moves = lines.withColumn("was", F.lag("state").over(order))
+    starts = moves.where("was is null and segment > 0").drop("was").join(ends, F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("segment") == F.col("s")), "left")
+    moves = moves.where("was is not null or segment = 0").select("symbol", "state", "was").union(starts.select("symbol", "state", F.col("end").alias("was")))
     got = moves.groupBy("was", "state", "symbol").agg(F.count("*").alias("n")).toPandas()  # at most 7 * 6 * SYMBOLS rows
     start, move = np.full(STATES, 0.1), np.full((STATES, STATES), 0.1)
     seen = np.zeros((STATES, 8, 3, 2))
@@ -143,14 +170,13 @@ def recover_turns(transcripts: DataFrame, tables: tuple[np.ndarray, np.ndarray,
     A transcript may come in any number of parts. Blank lines separate nothing by
     themselves; a transcript without other lines has no turns. Null text is empty
     text; null ids are one transcript of their own. Repeated rows of a part are read
-    once. Other columns are not read. A turn that begins a transcript in the state of
+    once, further texts of a part are read in the order of their hashes. Other columns are not read. A turn that begins a transcript in the state of
     a further line begins there all the same.
     """
     start, move, emit = tables
+    bounded_batches(transcripts.sparkSession)
     given = transcripts.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("part").cast("long").alias("part"), "text").distinct()
-    lines = lines_of(given)
-    order = Window.partitionBy("conv_id").orderBy("part", "i")
-    lines = keep(lines.withColumn("no", F.row_number().over(order) - 1).withColumn("segment", F.floor(F.col("no") / SEGMENT_LINES)), "lines")
+    lines = keep(lines_of(given), "lines")
 
     def matrix(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("no")
@@ -188,7 +214,7 @@ def recover_turns(transcripts: DataFrame, tables: tuple[np.ndarray, np.ndarray,
                 enter[int(first[a])] = 0
                 path[a:b] = viterbi(symbols[a:b], enter, int(last[a]), move, emit)
             a = b
-        return pd.DataFrame({"conv_id": pdf["conv_id"].astype("Int64"), "no": pdf["no"], "part": pdf["part"], "i": pdf["i"], "line": pdf["line"], "state": path})
+        return pd.DataFrame({"conv_id": pdf["conv_id"].astype("Int64"), "segment": pdf["segment"], "no": pdf["no"], "part": pdf["part"], "i": pdf["i"], "line": pdf["line"], "state": path})
 
     # Only transcripts of more than one segment need the seams.
     long_ones = lines.where("segment > 0").select("conv_id").distinct()
@@ -198,12 +224,19 @@ def recover_turns(transcripts: DataFrame, tables: tuple[np.ndarray, np.ndarray,
     framed = lines.join(ends, F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("segment") == F.col("s")), "left").drop("c", "s")
     n = int(transcripts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = framed.repartition(n, "conv_id", "segment").sortWithinPartitions("conv_id", "segment", "no")
-    states = dealt.mapInPandas(decode, "conv_id long, no long, part long, i int, line string, state int")
+    states = dealt.mapInPandas(decode, "conv_id long, segment long, no long, part long, i int, line string, state int")
 
-    ordered = Window.partitionBy("conv_id").orderBy("no")
+    # A turn's number: those begun in earlier segments, and those begun so far in its own.
     role = F.element_at(F.array(*[F.lit(r) for r in ROLES]), (F.floor(F.col("state") / 2) + 1).cast("int"))
-    marked = states.withColumn("role", role).withColumn("new", ((F.col("no") == 0) | (F.col("state") % 2 == 0)).cast("int"))
-    marked = marked.withColumn("turn", F.sum("new").over(ordered) - 1)
+    states = keep(states.withColumn("new", ((F.col("no") == 0) | (F.col("state") % 2 == 0)).cast("int")), "states")
+    begun = states.groupBy("conv_id", "segment").agg(F.sum("new").alias("n"))
+    earlier = Window.partitionBy("conv_id").orderBy("segment").rowsBetween(Window.unboundedPreceding, -1)
+    begun = begun.select(F.col("conv_id").alias("c"), F.col("segment").alias("s"), F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("base"))
+    begun = small(keep(begun.where("base > 0"), "begun"))
+    inside = Window.partitionBy("conv_id", "segment").orderBy("no").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    marked = states.withColumn("role", role).withColumn("turn", F.sum("new").over(inside))
+    marked = marked.join(begun, F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("segment") == F.col("s")), "left")
+    marked = marked.withColumn("turn", F.col("turn") + F.coalesce("base", F.lit(0)) - 1)
     line = F.when(F.col("new") == 1, unmarked(F.col("line"))).otherwise(F.col("line"))
     said = marked.select("conv_id", "turn", "role", "no", "part", "i", line.alias("line"))
     turns = said.groupBy("conv_id", "turn").agg(F.min_by("role", "no").alias("role"), F.array_sort(F.collect_list(F.struct("no", "line"))).alias("lines"), F.min(F.struct("part", "i")).alias("first"))
