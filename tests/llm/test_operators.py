@@ -175,6 +175,42 @@ def test_op3_against_brute_force(spark, awkward, empty):
     assert [(r["doc_id"], r["item_id"]) for r in decontaminate.benchmark_matches(awkward, same).collect()] == [(None, 1)]
 
 
+def test_op2_against_a_plain_split_search_and_walk(monkeypatch):
+    """Every split has the largest gain of all, every leaf its own step, and a walk over
+    one row at a time gives the same score."""
+    monkeypatch.setattr(quality, "TREES", 3)
+    rng = np.random.default_rng(7)
+    x = rng.integers(0, 6, (150, len(quality.NAMES))).astype(float)
+    y = ((x[:, 1] > 2) ^ (x[:, 2] > 3)).astype(float)
+    model = quality.fit(x, y)
+    bins = [[sum(v >= e for e in model.edges[j]) for j, v in enumerate(row)] for row in x]
+    total = [model.base] * len(x)
+    for feature, cut, leaf in zip(model.feature, model.cut, model.leaf):
+        p = [1 / (1 + math.exp(-t)) for t in total]
+        g, h = [a - b for a, b in zip(p, y)], [a * (1 - a) for a in p]
+        held = {0: list(range(len(x)))}
+
+        def gain(rows, j, c):
+            left, right = [r for r in rows if bins[r][j] <= c], [r for r in rows if bins[r][j] > c]
+            if min(sum(h[r] for r in part) for part in (left, right)) < quality.LEAST_HESSIAN:
+                return -1
+            return sum(sum(g[r] for r in part) ** 2 / (sum(h[r] for r in part) + quality.RIDGE) for part in (left, right))
+
+        for k in range(len(feature)):
+            rows = held[k]
+            best = max(gain(rows, j, c) for j in range(len(quality.NAMES)) for c in range(max(map(max, bins)))) if rows else -1
+            if best > 1e-9:
+                assert gain(rows, feature[k], cut[k]) == pytest.approx(best)
+            held[2 * k + 1] = [r for r in rows if bins[r][feature[k]] <= cut[k]]
+            held[2 * k + 2] = [r for r in rows if bins[r][feature[k]] > cut[k]]
+        for k, step in enumerate(leaf):
+            rows = held[len(feature) + k]
+            assert step == pytest.approx(-quality.RATE * sum(g[r] for r in rows) / (sum(h[r] for r in rows) + quality.RIDGE))
+            for r in rows:
+                total[r] += step
+    assert model.score(x) == pytest.approx([1 / (1 + math.exp(-t)) for t in total])
+
+
 def test_op3_blocks_find_all_within_radius(spark):
     rnd = random.Random(4)
     signed = lambda x: x - (1 << 64) if x >> 63 else x
@@ -341,6 +377,31 @@ def test_op6_contract(spark, data):
     assert np.mean([r["near_edited"] for r in long]) > np.mean([r["near_next"] for r in long]) + 0.4
 
 
+def test_op6_votes_one_by_one():
+    from roadloom.llm.kernels import Block, mix
+
+    rnd = random.Random(3)
+    for text in ("", "one", "one two", prose(rnd, 50), prose(rnd, 300, 20)):
+        hashes, _ = Block([text.encode()]).shingles(fingerprints.TERM_WORDS)
+        bits = ""
+        for lane in range(fingerprints.BITS // 64):
+            signs = [int(h) for h in mix(hashes + np.uint64(lane))] if len(hashes) else []
+            bits += "".join("1" if sum(1 if h >> b & 1 else -1 for h in signs) > 0 else "0" for b in range(64))
+        want = bytes(int(bits[i : i + 8], 2) for i in range(0, fingerprints.BITS, 8)).hex()
+        assert fingerprints.simhashes([text]) == [want]
+
+
+def test_op6_near_counts(spark):
+    rnd = random.Random(2)
+    rows = [(i, f"{rnd.getrandbits(128):032x}") for i in range(0, 300, 50)]
+    rows += [(i + k, f"{int(f, 16) ^ (((1 << k) - 1) << 9 * k):032x}") for i, f in rows for k in (1, 2, 4)] + [(450, rows[0][1]), (None, rows[1][1])]
+    got = {(r["doc_id"], r["fingerprint"]): r["n_near"] for r in fingerprints.with_near_counts(spark.createDataFrame(rows, "doc_id long, fingerprint string")).collect()}
+    bits = lambda a, b: (int(a, 16) ^ int(b, 16)).bit_count()
+    prints = {f for _, f in rows}
+    assert got == {(d, f): sum(0 < bits(f, g) <= fingerprints.QUERY_RADIUS for g in prints) if d is not None and d % 50 == 0 else None for d, f in rows}
+    assert {n for n in got.values()} >= {2, None}
+
+
 def test_op6_awkward(spark, awkward, empty):
     assert fingerprints.fingerprint_edits(awkward).count() == awkward.count()
     assert fingerprints.fingerprint_edits(empty).count() == 0
@@ -407,6 +468,50 @@ def test_op8_segments_give_the_whole_path():
     assert path == whole.tolist()
 
 
+def test_op8_viterbi_against_all_paths():
+    from itertools import product
+
+    rng = np.random.default_rng(11)
+    start, move, emit = np.log(rng.dirichlet(np.ones(6))), np.log(rng.dirichlet(np.ones(6), size=6)), np.log(rng.dirichlet(np.ones(chat.SYMBOLS), size=6))
+    for n in (1, 2, 4, 5):
+        symbols = rng.integers(0, chat.SYMBOLS, n)
+        score = lambda p: start[p[0]] + emit[p[0], symbols[0]] + sum(move[a, b] + emit[b, s] for a, b, s in zip(p, p[1:], symbols[1:]))  # noqa: E731, B023
+        best = max(product(range(6), repeat=n), key=score)
+        assert chat.viterbi(symbols, start, None, move, emit).tolist() == list(best)
+
+
+def test_op8_query_against_a_plain_rerun(spark, monkeypatch):
+    """Lines, numbers, segments, paths and turns of a few transcripts by plain loops."""
+    monkeypatch.setattr(chat, "SEGMENT_LINES", 4)
+    rnd, names = random.Random(21), ("User: ", "AI: ", "", "System: ", "Q: ")
+    rows = []
+    for c in [*range(9), None]:
+        for part in range(rnd.randrange(1, 9)):
+            rows.append((c, part, "\n".join(rnd.choice(("", "  ", rnd.choice(names) + prose(rnd, rnd.choice((2, 12, 30))) + rnd.choice(("", "?")))) for _ in range(rnd.randrange(5)))))
+    rng = np.random.default_rng(4)
+    tables = np.log(rng.dirichlet(np.ones(6))), np.log(rng.dirichlet(np.ones(6), size=6)), np.log(rng.dirichlet(np.ones(chat.SYMBOLS), size=6))
+    sign = lambda line: next((k + 1 for k, (_, n) in enumerate(chat.MARKERS) if re.match(rf"(?i)^\s*[\[<*#>]{{0,3}}\s*({n})\s*[\]>*]{{0,3}}\s*[:>\-]", line)), 0)
+    want = {}
+    for c in {r[0] for r in rows}:
+        symbols, lines = [], []
+        for _, part, text in sorted((r for r in rows if r[0] == c), key=lambda r: r[1]):
+            split = text.split("\n")
+            for i, line in enumerate(split):
+                if line.strip(" "):
+                    size, gap = len(line.strip(" ")), i > 0 and not split[i - 1].strip(" ")
+                    symbols.append(((sign(line) * 2 + gap) * 3 + (0 if size < 20 else 1 if size < 120 else 2)) * 2 + line.rstrip(" ").endswith("?"))
+                    lines.append((part, i))
+        if symbols:
+            path, turn = chat.viterbi(np.array(symbols), tables[0], None, *tables[1:]), -1
+            for k, (state, place) in enumerate(zip(path, lines)):
+                if k == 0 or state % 2 == 0:
+                    turn += 1
+                    want[(c, turn)] = (chat.ROLES[state // 2], *place)
+    odd = spark.createDataFrame([(*r, "x", 1) for r in rows], "conv_id long, part long, text string, line string, segment int").repartition(5)
+    got = {(r["conv_id"], r["turn"]): (r["role"], r["first_part"], r["first_line"]) for r in chat.recover_turns(odd, tables).collect()}
+    assert got == want
+
+
 def test_op8_long_and_awkward(spark, monkeypatch, data):
     talks = spark.read.parquet(f"{data}/conversations.parquet")
     raw = chat.raw_transcripts(talks)
@@ -503,7 +608,7 @@ def test_op10_contract(spark, data, awkward, empty):
         assert (r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"]) == (zlib.crc32(str(d).encode()) % 10 == 0, len(own), sum(trained[w] > 0 for w in own), n)
         assert r["base_score"] == pytest.approx(base) and r["score"] < 0
     some = lm_score.lm_scores(awkward, queries.vocabulary("piece_bpe_32k.model"), F.col("doc_id") % 2 == 0).collect()
-    assert len(some) == awkward.select("doc_id", F.coalesce("text", F.lit(""))).distinct().count()
+    assert len(some) == awkward.count()
     assert lm_score.lm_scores(empty, queries.vocabulary("piece_bpe_32k.model"), F.lit(True)).count() == 0
 
 
@@ -528,3 +633,52 @@ def test_op10_recursions_against_all_segmentations():
         uses = lattice.expected([word], np.ones(1))
         for piece, i in lattice.index.items():
             assert uses[i] == pytest.approx(sum(p * c[piece] for p, c in ways) / z, abs=1e-9)
+
+
+def test_op10_scores_against_plain_loops(spark, monkeypatch):
+    """Fitting and scoring with every segmentation written out."""
+    pieces = ["▁", "a", "b", "▁a", "ab", "▁ab", "ba"]
+    monkeypatch.setattr(lm_score, "vocabulary_pieces", lambda path: pieces)
+    rnd = random.Random(13)
+    docs = [(i, " ".join("".join(rnd.choice("abc") for _ in range(rnd.randrange(1, 6))) for _ in range(rnd.randrange(6)))) for i in range(40)] + [(40, None), (41, "a " + "ab" * 4)]
+    trained = Counter(w for d, t in docs if d % 4 for w in words(t))
+    ends = sum(d % 4 > 0 for d, _ in docs)
+    n, share = sum(trained.values()) + ends, sum(min(c, 0.5) for c in trained.values())
+
+    def ways(word, score, unknown):
+        if not word:
+            return [(1.0, Counter())]
+        out = []
+        for j in range(1, len(word) + 1):
+            p = score.get(word[:j], unknown if j == 1 else 0)
+            if p:
+                out += [(p * q, c + Counter([word[:j] if word[:j] in score else None])) for q, c in ways(word[j:], score, unknown)]
+        return out
+
+    zipf = 1 / np.arange(2, len(pieces) + 2)
+    score, unknown = dict(zip(pieces, 0.999 * zipf / zipf.sum())), 0.001 / 2**17
+    for _ in range(lm_score.PASSES):
+        uses = {p: 0.01 for p in pieces} | {None: 1.0}
+        for w, c in trained.items():
+            found = ways("▁" + w, score, unknown)
+            z = sum(p for p, _ in found)
+            for p, k in found:
+                for piece, m in k.items():
+                    uses[piece] += min(c, 0.5) * p * m / z
+        total = sum(uses.values())
+        score, unknown = {p: uses[p] / total for p in pieces}, uses[None] / total / 2**17
+    want = {}
+    for d, t in docs:
+        own = [math.log10(share / n * sum(p for p, _ in ways("▁" + w, score, unknown)) + max(0, trained[w] - 0.5) / n) for w in words(t)]
+        want[d] = sum(own) + math.log10(ends / n)
+    got = lm_score.lm_scores(spark.createDataFrame(docs, "doc_id long, text string"), "", F.col("doc_id") % 4 > 0).collect()
+    assert {r["doc_id"]: r["score"] for r in got} == pytest.approx(want)
+
+
+def test_op10_long_words_in_stretches(monkeypatch):
+    lattice = lm_score.Lattice(["▁a", "▁", "a", "b", "ab", "ba"], np.log(np.array([0.2, 0.1, 0.1, 0.2, 0.2, 0.2])), math.log(1e-4))
+    some = ["ab" * 40, "ba", "é" * 7, "abc" * 30]
+    one, uses = lattice.log_probability(some), lattice.expected(some, np.ones(4))
+    monkeypatch.setattr(lm_score, "STRETCH", 8)
+    assert lattice.log_probability(some) == pytest.approx(one)
+    assert lattice.expected(some, np.ones(4)) == pytest.approx(uses)
