@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -129,23 +130,26 @@ def arc_registry(arcs: DataFrame, **stages: DataFrame) -> DataFrame:
     return out
 
 
-def chain_order_check(edges: DataFrame, positions: DataFrame, rounds: int = 64) -> DataFrame:
+def chain_order_check(edges: DataFrame, positions: DataFrame) -> DataFrame:
     """Anchors (node_id, s, may_equal) that don't lie behind the one before them on a
     chain edge (src, dst): those fail, and then no longer count for those after them;
-    repeated until no new one fails."""
+    repeated until no new one fails. Where failing anchors follow each other in a ring,
+    the one with the smallest id fails first."""
     from .network import cut
 
     own = cut(positions.select("node_id", "s", "may_equal", F.lit(False).alias("failed")))
-    for _ in range(rounds):
+    while True:
         before = edges.join(own.where("NOT failed").select(F.col("node_id").alias("src"), F.col("s").alias("s0")), "src")
-        bad = before.join(own.where("NOT failed").select(F.col("node_id").alias("dst"), "s", "may_equal"), "dst").where("s < s0 OR (s = s0 AND NOT may_equal)").select(F.col("dst").alias("node_id")).distinct()
+        bad = before.join(own.where("NOT failed").select(F.col("node_id").alias("dst"), "s", "may_equal"), "dst").where("s < s0 OR (s = s0 AND NOT may_equal)")
+        bad = cut(bad.select(F.col("dst").alias("node_id")).distinct())
         # Of failing anchors only those without a failing one before them are final.
         first = bad.join(edges.join(bad.withColumnsRenamed({"node_id": "src"}), "src").select(F.col("dst").alias("node_id")).distinct(), "node_id", "left_anti")
         first = cut(first.withColumn("_f", F.lit(True)))
         if not first.limit(1).count():
-            break
+            if not bad.limit(1).count():
+                return own
+            first = bad.agg(F.min("node_id").alias("node_id")).withColumn("_f", F.lit(True))
         own = cut(own.join(first, "node_id", "left").withColumn("failed", F.col("failed") | F.coalesce("_f", F.lit(False))).drop("_f"))
-    return own
 
 
 def station_robust_center(rows: DataFrame, by: list[str], value: str, weight: str, passes: int = 2) -> DataFrame:
@@ -208,48 +212,108 @@ def support_select(supports: DataFrame, by: list[str], keys: list[Column], carry
 
 def support_deconflict(supports: DataFrame, top: int = 6) -> DataFrame:
     """Arcs of one pair take different supports: of all assignments from each arc's `top`
-    supports (src, dst, arc_id, support, rank, dist) the one that serves most arcs, then
-    has the least sum of ranks, then of distances. A pair has few arcs; the search is
-    exact, by dynamic programming over the supports taken so far."""
+    supports (src, dst, arc_id, support, rank, dist, coverage) the one that serves most arcs,
+    then has the least sum of ranks, then of distances, then the greatest coverage. Returns
+    every arc of the pair; those left without a support have NULL.
+
+    A pair's arcs are few and are solved together, by cheapest augmenting paths: each serves
+    one more arc at the least extra cost, so the work is polynomial in the arcs."""
 
     def solve(pdf: pd.DataFrame) -> pd.DataFrame:
-        best: dict[frozenset, tuple] = {frozenset(): (0, 0, 0.0, ())}
-        for arc, own in pdf.sort_values(["arc_id", "rank"]).groupby("arc_id"):
-            new = dict(best)
-            for taken, (n, r, d, picks) in best.items():
-                for row in own.itertuples():
-                    if row.support not in taken:
-                        key, value = taken | {row.support}, (n - 1, r + row.rank, d + row.dist, (*picks, (arc, row.support)))
-                        if key not in new or value < new[key]:
-                            new[key] = value
-            best = new
-        picks = min(best.values())[3]
-        return pd.DataFrame({"src": pdf["src"].iloc[0], "dst": pdf["dst"].iloc[0], "arc_id": [a for a, _ in picks], "support": [s for _, s in picks]})
-
-    w = Window.partitionBy("src", "dst", "arc_id").orderBy("rank", "support")
+        pdf = pdf.sort_values(["arc_id", "rank", "dist", "coverage", "support"], ascending=[True, True, True, False, True]).drop_duplicates(["arc_id", "support"])
+        cost = {(a, s): (int(r), round(float(d), 9), -round(float(c), 9)) for a, s, r, d, c in zip(pdf["arc_id"], pdf["support"], pdf["rank"], pdf["dist"], pdf["coverage"])}
+        arcs = sorted(set(pdf["arc_id"]))
+        options = {a: [s for b, s in cost if b == a] for a in arcs}
+        owner: dict = {}  # support -> arc
+        add = lambda x, y, sign=1: tuple(a + sign * b for a, b in zip(x, y))
+        while True:
+            # Least cost at which each support can be reached from an arc without one.
+            best = {a: ((0, 0.0, 0.0), None) for a in arcs if a not in owner.values()}
+            reach: dict = {}
+            for _ in range(2 * len(arcs) + 1):
+                changed = False
+                for a, (c, _via) in list(best.items()):
+                    for s in options[a]:
+                        if owner.get(s) == a:
+                            continue
+                        total = add(c, cost[a, s])
+                        if s not in reach or total < reach[s][0]:
+                            reach[s] = (total, a)
+                            changed = True
+                            if s in owner:
+                                back = add(total, cost[owner[s], s], -1)
+                                if owner[s] not in best or back < best[owner[s]][0]:
+                                    best[owner[s]] = (back, s)
+                if not changed:
+                    break
+            free = sorted((total, s) for s, (total, _) in reach.items() if s not in owner)
+            if not free:
+                break
+            s = free[0][1]
+            while s is not None:
+                a = reach[s][1]
+                before = best[a][1]
+                owner[s] = a
+                s = before
+        given = {a: s for s, a in owner.items()}
+        return pd.DataFrame({"src": pdf["src"].iloc[0], "dst": pdf["dst"].iloc[0], "arc_id": arcs, "support": pd.array([given.get(a) for a in arcs], "Int64")})
+
+    w = Window.partitionBy("src", "dst", "arc_id").orderBy("rank", "dist", F.desc("coverage"), "support")
     few = supports.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= top).drop("_r")
     return few.groupBy("src", "dst").applyInPandas(solve, "src long, dst long, arc_id long, support long")
 
 
-def segment_cluster(segments: DataFrame, by: list[str], tolerance: float = 6.0) -> DataFrame:
-    """Greedy clusters of segments (segment_id, offset, n_support): the best supported first;
-    a segment joins the nearest cluster whose first member is within `tolerance`, else
-    founds one. The order matters, so each arc's segments are folded together."""
+def _line_gap(a: np.ndarray, b: np.ndarray) -> float:
+    """Distance of two polylines, given by their points."""
+
+    def to_segments(p: np.ndarray, line: np.ndarray) -> float:
+        d = line[1:] - line[:-1]
+        t = ((p[:, None] - line[:-1]) * d).sum(-1) / np.maximum((d * d).sum(-1), 1e-300)
+        near = line[:-1] + np.clip(t, 0, 1)[..., None] * d
+        return float(np.sqrt(((p[:, None] - near) ** 2).sum(-1)).min())
+
+    cross = lambda u, v: u[..., 0] * v[..., 1] - u[..., 1] * v[..., 0]
+    p, r, q, s = a[:-1, None], (a[1:] - a[:-1])[:, None], b[None, :-1], (b[1:] - b[:-1])[None]
+    den = cross(r, s)
+    safe = np.where(den == 0, 1, den)
+    t, u = cross(q - p, s) / safe, cross(q - p, r) / safe
+    if ((den != 0) & (t >= 0) & (t <= 1) & (u >= 0) & (u <= 1)).any():
+        return 0.0
+    return min(to_segments(a, b), to_segments(b, a))
+
+
+def segment_cluster(segments: DataFrame, by: list[str], offset_m: float = 6.0, line_m: float = 5.0) -> DataFrame:
+    """Clusters of the segments (segment_id, offset, source, supports, line) of each arc.
+    By ascending offset, a segment joins the first cluster whose first member is within
+    `offset_m` in offset and `line_m` in distance of lines, else founds one. Clusters are
+    ranked by their mean offset. Adds cluster (from 1), size, representative (a trajectory's
+    segment before a prior one, then the best supported, then the longest), n_support and
+    reason. line: array of (x, y) of two points or more; supports: ids of trajectories.
+    The order matters, so each arc's segments are folded together."""
 
     def fold(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["n_support", "segment_id"], ascending=[False, True])
-        heads: list[float] = []
+        pdf = pdf.sort_values(["offset", "segment_id"]).reset_index(drop=True)
+        lines = [np.array([[p["x"], p["y"]] for p in line], float) for line in pdf["line"]]
+        groups: list[list[int]] = []
+        for i, offset in enumerate(pdf["offset"]):
+            home = next((g for g in groups if abs(offset - pdf["offset"][g[0]]) <= offset_m and _line_gap(lines[i], lines[g[0]]) <= line_m), None)
+            if home is None:
+                groups.append([i])
+            else:
+                home.append(i)
+        groups.sort(key=lambda g: sum(pdf["offset"][i] for i in g) / len(g))
+        length = [float(np.sqrt(((x[1:] - x[:-1]) ** 2).sum(-1)).sum()) for x in lines]
         out = []
-        for offset in pdf["offset"]:
-            near = min(range(len(heads)), key=lambda i: (abs(heads[i] - offset), i), default=None)
-            if near is None or abs(heads[near] - offset) > tolerance:
-                near = len(heads)
-                heads.append(offset)
-            out.append(near)
-        return pd.DataFrame({**{c: pdf[c] for c in by}, "segment_id": pdf["segment_id"], "cluster": out})
-
-    schema = ", ".join(f"{c} long" for c in by) + ", segment_id long, cluster int"
-    return segments.select(*by, "segment_id", "offset", "n_support").groupBy(*by).applyInPandas(fold, schema)
+        for rank, g in enumerate(groups, 1):
+            best = min(g, key=lambda i: (pdf["source"][i] != "traj", -len(pdf["supports"][i]), -round(length[i], 9), i))
+            kinds = {pdf["source"][i] for i in g}
+            reason = "prior_only_cluster" if kinds == {"prior"} else "traj_supported_cluster" if kinds == {"traj"} else "mixed_support"
+            n = len({t for i in g for t in pdf["supports"][i]})
+            out += [{**{c: pdf[c][i] for c in by}, "segment_id": pdf["segment_id"][i], "cluster": rank, "size": len(g), "representative": i == best, "n_support": n, "reason": reason} for i in g]
+        return pd.DataFrame(out)
+
+    schema = ", ".join(f"{c} long" for c in by) + ", segment_id long, cluster int, size int, representative boolean, n_support int, reason string"
+    return segments.select(*by, "segment_id", "offset", "source", "supports", "line").groupBy(*by).applyInPandas(fold, schema)
 
 
 def traj_stitch_candidates(tails: DataFrame, heads: DataFrame, radii: tuple[float, ...] = (2.0, 5.0, 10.0), max_turn: float = 35.0, least_ahead: float = 0.0, top: int = 3) -> DataFrame:

@@ -178,27 +178,21 @@ def point_clean_tag(points: DataFrame, road_z: DataFrame, overlap: DataFrame, si
     return rows.withColumn("tag", tag)
 
 
-def cell_components(cells: DataFrame, rounds: int = 64) -> DataFrame:
+def cell_components(cells: DataFrame) -> DataFrame:
     """8-neighbour components of (patch_id, ix, iy): adds `component`, the smallest
     packed cell. Labels spread along edges until none changes; each round is cut off
     from the ones before it by a checkpoint in the shared folder."""
-    spark = cells.sparkSession
-    if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
-        import tempfile
+    from .network import cut
 
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="roadloom-"))
-    own = cells.select("patch_id", "ix", "iy").distinct().withColumn("component", packed_cell()).checkpoint()
-    for _ in range(rounds):
+    own = cut(cells.select("patch_id", "ix", "iy").distinct().withColumn("component", packed_cell()))
+    while True:
         spread = neighbours(own, 1).groupBy("patch_id", "ix", "iy").agg(F.min("component").alias("component"))
-        new = own.select("patch_id", "ix", "iy", F.col("component").alias("was")).join(spread, ["patch_id", "ix", "iy"]).checkpoint()
+        new = cut(own.select("patch_id", "ix", "iy", F.col("component").alias("was")).join(spread, ["patch_id", "ix", "iy"]))
+        if not new.where("component <> was").limit(1).count():
+            return own
         # A label is also a cell: following it once more halves the remaining way.
         jump = new.select("patch_id", packed_cell().alias("component"), F.col("component").alias("next"))
-        moved = new.where("component <> was").limit(1).count()
-        own = new.join(jump, ["patch_id", "component"], "left").select("patch_id", "ix", "iy", F.coalesce("next", "component").alias("component"))
-        if not moved:
-            break
-        own = own.checkpoint()
-    return own
+        own = cut(new.join(jump, ["patch_id", "component"], "left").select("patch_id", "ix", "iy", F.coalesce("next", "component").alias("component")))
 
 
 def cell_topn(points: DataFrame, score: Column, size: float = 1.0, per_cell: int = 200, per_patch: int = 300_000) -> DataFrame:

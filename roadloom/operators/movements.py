@@ -9,10 +9,11 @@ from pyspark.sql import functions as F
 from ..functions.scalars import circular_difference, signed_delta
 
 
-def arm_cluster(approaches: DataFrame, tolerance: float = 30.0) -> DataFrame:
+def arm_cluster(approaches: DataFrame, tolerance: float = 40.0) -> DataFrame:
     """Adds `arm`, a number per intersection: approaches by ascending angle and id join
-    the first arm whose circular mean is within `tolerance` degrees, else found one.
-    The result depends on that order, so an intersection's few approaches are
+    the arm whose circular mean is nearest and within `tolerance` degrees (of equally near
+    ones the first), else found one. Where an arm's angles cancel out, its first one stands
+    for the mean. The result depends on that order, so an intersection's few approaches are
     folded together."""
     schema = "intersection_id bigint, approach_id bigint, arm int"
 
@@ -21,12 +22,16 @@ def arm_cluster(approaches: DataFrame, tolerance: float = 30.0) -> DataFrame:
 
         pdf = pdf.sort_values(["angle", "approach_id"])
         sums: list[complex] = []
+        firsts: list[complex] = []
         arms = []
-        for unit in np.exp(1j * np.radians(pdf["angle"].to_numpy())):
-            gaps = [abs(np.degrees(np.angle(unit / s))) for s in sums]
-            arm = next((i for i, g in enumerate(gaps) if g <= tolerance), len(sums))
-            if arm == len(sums):
-                sums.append(0)
+        for unit in np.exp(1j * np.radians(pdf["angle"].to_numpy(float))):
+            means = [s if max(abs(s.real), abs(s.imag)) > 1e-9 else f for s, f in zip(sums, firsts)]
+            gaps = [round(abs(float(np.degrees(np.angle(unit / m)))), 9) for m in means]
+            arm = min((g, i) for i, g in enumerate([*gaps, tolerance + 1]))[1]
+            if arm == len(sums) or gaps[arm] > tolerance:
+                arm = len(sums)
+                sums.append(0j)
+                firsts.append(unit)
             sums[arm] += unit
             arms.append(arm)
         return pd.DataFrame({"intersection_id": pdf["intersection_id"], "approach_id": pdf["approach_id"], "arm": arms})

@@ -20,7 +20,10 @@ def cut(df: DataFrame) -> DataFrame:
     """`df` through a reliable checkpoint (in the session's folder for those)."""
     context = df.sparkSession.sparkContext
     if not context._jsc.sc().getCheckpointDir().isDefined():
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="roadloom-"))
+        shared = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not shared and not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        context.setCheckpointDir(shared or tempfile.mkdtemp(prefix="roadloom-"))
     return df.checkpoint()
 
 
@@ -117,41 +120,43 @@ def chain_edges(roads: DataFrame, nodes: DataFrame, limit: float = 50.0, limit_d
     return rows.where(ok).groupBy(F.col("seed").alias("src"), F.col("node").alias("dst")).agg(F.min("dist_m").alias("dist_m"))
 
 
-def components(edges: DataFrame, rounds: int = 40) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """(node_id, component): the smallest node that each reaches, directions aside.
-    Labels are lowered over edges and then once more over labels, so the rounds grow
-    with the logarithm of the longest path."""
+    Labels are lowered over edges and then once more over labels until none changes, so
+    the rounds grow with the logarithm of the longest path."""
     both = cut(edges.select(F.col("src").alias("a"), F.col("dst").alias("b")).union(edges.select(F.col("dst").alias("a"), F.col("src").alias("b"))).distinct())
     own = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("c")).withColumnsRenamed({"a": "node_id"})
-    for _ in range(rounds):
+    while True:
         low = both.join(own, both["b"] == own["node_id"]).groupBy("a").agg(F.min("c").alias("m"))
         new = own.join(low, own["node_id"] == low["a"], "left").select("node_id", F.col("c").alias("was"), F.least("c", "m").alias("c"))
         hop = new.select(F.col("node_id").alias("c"), F.col("c").alias("next"))
         new = cut(new.join(hop, "c", "left").select("node_id", "was", F.coalesce("next", "c").alias("c")))
         own = new.select("node_id", "c")
         if not new.where("c <> was").limit(1).count():
-            break
-    return own.withColumnsRenamed({"c": "component"})
+            return own.withColumnsRenamed({"c": "component"})
 
 
-def chain_offsets(edges: DataFrame, rounds: int = 256) -> DataFrame:
+def chain_offsets(edges: DataFrame) -> DataFrame:
     """Least distance of each node from the sources of its chain (nodes without an edge
-    in; on a cycle without any, its smallest node). edges: src, dst, dist_m."""
+    in; on a cycle without any, its smallest node). edges: src, dst, dist_m, which is not
+    negative. Rounds go on until no distance changes; a round sees the nodes that the one
+    before it has changed."""
     edges = cut(edges.select("src", "dst", "dist_m"))
+    if edges.where("dist_m < 0").limit(1).count():
+        raise ValueError("distances must not be negative")
     label = components(edges)
     into = edges.select(F.col("dst").alias("node_id")).distinct()
     sources = label.join(into, "node_id", "left_anti")
     headless = label.join(sources.select("component").distinct(), "component", "left_anti").groupBy("component").agg(F.min("node_id").alias("node_id"))
     off = sources.select("node_id", F.lit(0.0).alias("offset_m")).union(headless.select("node_id", F.lit(0.0)))
-    off = cut(off)
-    for _ in range(rounds):
-        step = edges.join(off, edges["src"] == off["node_id"]).select(F.col("dst").alias("node_id"), (F.col("offset_m") + F.col("dist_m")).alias("offset_m"))
-        new = cut(off.union(step).groupBy("node_id").agg(F.min("offset_m").alias("offset_m")))
-        changed = new.exceptAll(off).limit(1).count()
-        off = new
-        if not changed:
-            break
-    return label.join(off, "node_id")
+    off = cut(off.withColumn("new", F.lit(True)))
+    while off.where("new").limit(1).count():
+        last = off.where("new")
+        step = edges.join(last, edges["src"] == last["node_id"]).groupBy(F.col("dst").alias("node_id")).agg(F.min(F.col("offset_m") + F.col("dist_m")).alias("step_m"))
+        lower = F.coalesce(F.col("step_m") < F.col("offset_m"), F.col("step_m").isNotNull())
+        off = off.drop("new").join(step, "node_id", "full_outer")
+        off = cut(off.select("node_id", F.least("offset_m", "step_m").alias("offset_m"), lower.alias("new")))
+    return label.join(off.drop("new"), "node_id")
 
 
 def walks(edges: DataFrame, starts: DataFrame, stops: DataFrame, depth: int) -> DataFrame:
@@ -179,15 +184,60 @@ def walks(edges: DataFrame, starts: DataFrame, stops: DataFrame, depth: int) ->
     return out.withColumn("dst", F.element_at("nodes", -1))
 
 
-def graph_compress(edges: DataFrame, fixed: DataFrame, depth: int = 24) -> DataFrame:
+def graph_compress(edges: DataFrame, fixed: DataFrame) -> DataFrame:
     """Contracts nodes with one neighbour in and one out that aren't `fixed`: paths
-    between the nodes that stay."""
-    out = edges.groupBy(F.col("src").alias("node_id")).agg(F.count_distinct("dst").alias("n_out"))
-    into = edges.groupBy(F.col("dst").alias("node_id")).agg(F.count_distinct("src").alias("n_in"))
-    all_nodes = edges.select(F.col("src").alias("node_id")).union(edges.select("dst")).distinct()
-    rows = all_nodes.join(out, "node_id", "left").join(into, "node_id", "left").join(fixed.select("node_id", F.lit(True).alias("fixed")).distinct(), "node_id", "left")
-    stay = cut(rows.where("fixed OR coalesce(n_out, 0) <> 1 OR coalesce(n_in, 0) <> 1").select("node_id"))
-    return walks(edges, stay, stay, depth)
+    (src, dst, nodes, edge_ids, length_m, closed) between the nodes that stay, one for each
+    choice among parallel edges. A loop of contracted nodes alone is a path from its
+    smallest node back to it, with `closed`.
+
+    Contracted nodes point at the node before them, and each round lets them point where
+    that node points, so the rounds grow with the logarithm of the longest chain, of any
+    length."""
+    edges = cut(edges.select("src", "dst", "edge_id", "length_m"))
+    steps = cut(edges.groupBy("src", "dst").agg(F.array_sort(F.collect_list(F.struct("edge_id", "length_m"))).alias("choices")))
+    out = steps.groupBy(F.col("src").alias("node_id")).agg(F.count("*").alias("n_out"))
+    into = steps.groupBy(F.col("dst").alias("node_id")).agg(F.count("*").alias("n_in"), F.first("src").alias("up"))
+    inner = out.join(into, "node_id").where("n_out = 1 AND n_in = 1").join(fixed.select("node_id").distinct(), "node_id", "left_anti")
+    inner = cut(inner.select("node_id", "up"))
+
+    def pointed(inner: DataFrame) -> tuple[DataFrame, int]:
+        """For contracted nodes: the node that stays before them (up), the first one after
+        it (low) and the steps from it (n); and how many are on loops."""
+        own = inner.join(inner.select(F.col("node_id").alias("up"), F.lit(False).alias("done")), "up", "left")
+        own = cut(own.select("node_id", "up", F.col("node_id").alias("low"), F.lit(1).cast("long").alias("n"), F.coalesce("done", F.lit(True)).alias("done")))
+        left = own.where("NOT done").count()
+        while left:
+            far = own.select(F.col("node_id").alias("up"), F.col("up").alias("up2"), F.col("low").alias("low2"), F.col("n").alias("n2"), F.col("done").alias("done2"))
+            moved = own.where("NOT done").join(far, "up").select("node_id", F.col("up2").alias("up"), F.col("low2").alias("low"), (F.col("n") + F.col("n2")).alias("n"), F.col("done2").alias("done"))
+            own = cut(own.where("done").union(moved))
+            still = own.where("NOT done").count()
+            if still == left:  # a round settles some node of every chain that is left
+                break
+            left = still
+        return own, left
+
+    own, loops = pointed(inner)
+    closed = inner.select("node_id").limit(0)
+    if loops:
+        round_ = own.where("NOT done").select("node_id")
+        among = steps.join(round_.withColumnsRenamed({"node_id": "src"}), "src", "left_semi")
+        closed = cut(components(among).groupBy("component").agg(F.min("node_id").alias("node_id")).select("node_id"))
+        own, _ = pointed(cut(inner.join(closed, "node_id", "left_anti")))
+
+    place = own.select(F.col("node_id").alias("src"), F.col("up").alias("head"), "low", "n")
+    rows = steps.join(place, "src", "left").select(
+        F.coalesce("head", "src").alias("head"), F.coalesce("low", "dst").alias("low"), F.coalesce("n", F.lit(0)).alias("n"), "dst", "choices"
+    )
+    paths = rows.groupBy("head", "low").agg(F.array_sort(F.collect_list(F.struct("n", "dst", "choices"))).alias("steps"))
+    nodes = F.concat(F.array("head"), F.transform("steps", lambda s: s.dst))
+    single = F.forall("steps", lambda s: F.size(s.choices) == 1)
+    one = F.array(F.flatten(F.transform("steps", lambda s: s.choices)))
+    none = F.array(F.array().cast("array<struct<edge_id:bigint,length_m:double>>"))
+    every = F.aggregate("steps", none, lambda acc, s: F.flatten(F.transform(acc, lambda a: F.transform(s.choices, lambda e: F.concat(a, F.array(e))))))
+    paths = paths.select(F.col("head").alias("src"), nodes.alias("nodes"), F.explode(F.when(single, one).otherwise(every)).alias("e"))
+    length = F.aggregate("e", F.lit(0.0), lambda acc, e: acc + e.length_m)
+    paths = paths.select("src", F.element_at("nodes", -1).alias("dst"), "nodes", F.transform("e", lambda e: e.edge_id).alias("edge_ids"), length.alias("length_m"))
+    return paths.join(closed.select(F.col("node_id").alias("src"), F.lit(True).alias("closed")), "src", "left").withColumn("closed", F.coalesce("closed", F.lit(False)))
 
 
 def legal_arcs(paths: DataFrame, xsecs: DataFrame) -> DataFrame:

@@ -32,19 +32,19 @@ def points_near(queries: DataFrame, points: DataFrame, radius: float, key: list[
 
 def radius_median_z(traj: DataFrame, points: DataFrame, radius: float = 2.0, least: int = 3, k: int = 8, search: float = 6.0) -> DataFrame:
     """`traj` with cloud_z: the median height of points within `radius` if there are
-    `least`, else of the k nearest within `search` (ties by height)."""
-    key = ["traj_id", "seq"]
-    pairs = points_near(traj, points.select("patch_id", "x", "y", "z"), search, key)
-    near = F.col("d2") <= radius * radius
-    order = Window.partitionBy("patch_id", *key).orderBy("d2", "p_z")
-    ranked = pairs.withColumn("r", F.row_number().over(order))
-    got = ranked.groupBy("patch_id", *key).agg(
-        F.count_if(near).alias("n_near"),
-        F.percentile(F.when(near, F.col("p_z")), F.lit(0.5)).alias("near_z"),
-        F.percentile(F.when(F.col("r") <= k, F.col("p_z")), F.lit(0.5)).alias("knn_z"),
-    )
-    out = traj.join(got, ["patch_id", *key], "left")
-    return out.withColumn("cloud_z", F.when(F.col("n_near") >= least, F.col("near_z")).otherwise(F.col("knn_z"))).drop("near_z", "knn_z")
+    `least`, else of the k nearest within `search` (ties by height), if there are `least` of
+    those. The wide search is made for vertices without enough near points alone, and keeps
+    no more than k points of each on the way."""
+    key = ["patch_id", "traj_id", "seq"]
+    heights = points.select("patch_id", "x", "y", "z")
+    middle = lambda name: [F.count("*").alias(f"n_{name}"), F.percentile("p_z", F.lit(0.5)).alias(f"{name}_z")]
+    near = points_near(traj, heights, radius, key[1:]).groupBy(*key).agg(*middle("near")).where(F.col("n_near") >= least)
+    starved = traj.join(near, key, "left_anti")
+    rank = F.row_number().over(Window.partitionBy(*key).orderBy("d2", "p_z"))
+    far = points_near(starved, heights, search, key[1:]).withColumn("r", rank).where(F.col("r") <= k)
+    far = far.groupBy(*key).agg(*middle("knn")).where(F.col("n_knn") >= least)
+    out = traj.join(near, key, "left").join(far, key, "left")
+    return out.withColumn("cloud_z", F.coalesce("near_z", "knn_z")).drop("near_z", "knn_z", "n_knn")
 
 
 def near_traj_mask(points: DataFrame, traj: DataFrame, radius: float = 1.0) -> DataFrame:

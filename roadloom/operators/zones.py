@@ -1,7 +1,7 @@
 """Lines against zones and cross-sections, as joins over edge tables.
 
-A zone is its edge rows (patch or poly_id, x1, y1, x2, y2); a line is its vertices in
-order. Boxes are compared before exact tests. Shared corners count once: an edge holds its
+A zone is its edge rows (poly_id, x1, y1, x2, y2, and patch_id if there is one); a line is
+its vertices in order. All meet in grid cells before boxes and exact tests. Shared corners count once: an edge holds its
 lower end but not its upper one.
 """
 
@@ -30,14 +30,46 @@ def polyline_measure(vertices: DataFrame, by: list[str], order: str = "seq") ->
     return rows.withColumn("_d", d).groupBy(*by).agg(F.count("*").alias("n"), F.coalesce(F.sum("_d"), F.lit(0.0)).alias("length_m"), *ends)
 
 
+#: Side of the cells in which lines, polygons and their edges meet.
+CELL = 50.0
+
+
+def _shared(a: DataFrame, b: DataFrame) -> list[str]:
+    """patch_id, if both sides have it."""
+    return ["patch_id"] if "patch_id" in a.columns and "patch_id" in b.columns else []
+
+
+def in_cells(rows: DataFrame, x1: str, y1: str, x2: str, y2: str, tag: str, size: float = CELL) -> DataFrame:
+    """One row for each cell (cx, cy) that a row's box overlaps, with the box's first cell
+    as {tag}x, {tag}y: of the cells that two boxes share, the one at the greater of their
+    first cells stands for the pair, so a join over cells gives each pair once."""
+    at = lambda c: F.floor(c / size).cast("long")
+    low_x, high_x, low_y, high_y = at(F.least(x1, x2)), at(F.greatest(x1, x2)), at(F.least(y1, y2)), at(F.greatest(y1, y2))
+    rows = rows.withColumns({f"{tag}x": low_x, f"{tag}y": low_y, "_hx": high_x, "_hy": high_y})
+    rows = rows.withColumn("cx", F.explode(F.sequence(f"{tag}x", "_hx"))).withColumn("cy", F.explode(F.sequence(f"{tag}y", "_hy")))
+    return rows.drop("_hx", "_hy")
+
+
+def _once(a: str, b: str) -> Column:
+    return (F.col("cx") == F.greatest(f"{a}x", f"{b}x")) & (F.col("cy") == F.greatest(f"{a}y", f"{b}y"))
+
+
+def _boxes(edges: DataFrame, key: list[str]) -> DataFrame:
+    return edges.groupBy(*key, "poly_id").agg(F.min(F.least("x1", "x2")).alias("bx1"), F.max(F.greatest("x1", "x2")).alias("bx2"), F.min(F.least("y1", "y2")).alias("by1"), F.max(F.greatest("y1", "y2")).alias("by2"))
+
+
 def point_in_zone(points: DataFrame, edges: DataFrame, key: list[str]) -> DataFrame:
-    """(key..., x, y, poly_id) of each distinct point inside a polygon, by ray casting. Points and edges
-    meet in horizontal strips, so a point is only held against edges at its height."""
-    strip = 5.0
+    """(key..., x, y, poly_id) of each distinct point inside a polygon, by ray casting.
+    Points meet polygons in the cells of their boxes (of their patch, if both have one), and
+    then only the edges of those polygons in the 5 m strip at their height."""
+    strip, patch = 5.0, _shared(points, edges)
+    pts = points.select(*dict.fromkeys([*patch, *key]), "x", "y").distinct().withColumns({"cx": F.floor(F.col("x") / CELL).cast("long"), "cy": F.floor(F.col("y") / CELL).cast("long")})
+    boxes = in_cells(_boxes(edges, patch), "bx1", "by1", "bx2", "by2", "b")
+    near = pts.join(boxes, [*patch, "cx", "cy"]).where("x >= bx1 AND x <= bx2 AND y >= by1 AND y <= by2")
+    near = near.select(*dict.fromkeys([*patch, *key]), "x", "y", "poly_id").withColumn("strip", F.floor(F.col("y") / strip))
     rows = edges.withColumns({"ylo": F.least("y1", "y2"), "yhi": F.greatest("y1", "y2")}).where("ylo < yhi")
-    rows = rows.withColumn("strip", F.explode(F.sequence(F.floor(F.col("ylo") / strip), F.floor(F.col("yhi") / strip))))
-    pts = points.select(*key, "x", "y").distinct().withColumn("strip", F.floor(F.col("y") / strip))
-    hit = pts.join(rows, "strip").where("y >= ylo AND y < yhi")
+    rows = rows.select(*patch, "poly_id", "x1", "y1", "x2", "y2", "ylo", "yhi", F.explode(F.sequence(F.floor(F.col("ylo") / strip), F.floor(F.col("yhi") / strip))).alias("strip"))
+    hit = near.join(rows, [*patch, "poly_id", "strip"]).where("y >= ylo AND y < yhi")
     x_at = F.col("x1") + (F.col("y") - F.col("y1")) * (F.col("x2") - F.col("x1")) / (F.col("y2") - F.col("y1"))
     crossings = hit.groupBy(*key, "x", "y", "poly_id").agg(F.sum((F.col("x") < x_at).cast("int")).alias("n"))
     return crossings.where("n % 2 = 1").drop("n")
@@ -46,26 +78,33 @@ def point_in_zone(points: DataFrame, edges: DataFrame, key: list[str]) -> DataFr
 def line_zone_pieces(lines: DataFrame, edges: DataFrame, by: list[str], least_m: float = 0.0) -> DataFrame:
     """Inside pieces of lines (from segments()): (by..., poly_id, piece, start_s, end_s).
     Each segment is cut at its crossings with the polygon's edges; sub-intervals whose
-    middle is inside are kept and touching ones are merged."""
-    box = edges.groupBy("poly_id").agg(F.min(F.least("x1", "x2")).alias("bx1"), F.max(F.greatest("x1", "x2")).alias("bx2"), F.min(F.least("y1", "y2")).alias("by1"), F.max(F.greatest("y1", "y2")).alias("by2"))
-    near = lines.join(box, (F.least("x1", "x2") <= F.col("bx2")) & (F.greatest("x1", "x2") >= F.col("bx1")) & (F.least("y1", "y2") <= F.col("by2")) & (F.greatest("y1", "y2") >= F.col("by1")))
-    near = near.drop("bx1", "bx2", "by1", "by2").where("seg_m > 0")
-    e = edges.select("poly_id", *[F.col(c).alias(f"e{c}") for c in ("x1", "y1", "x2", "y2")])
+    middle is inside are kept and touching ones are merged. Segments meet polygons, and then
+    their edges, in cells (of their patch, if both have one)."""
+    patch = _shared(lines, edges)
+    own = [*dict.fromkeys([*patch, *by])]
+    given = lines.where("seg_m > 0").select(*own, "seq", "x1", "y1", "x2", "y2", "s1", "seg_m")
+    placed = in_cells(given, "x1", "y1", "x2", "y2", "l")
+    boxes = in_cells(_boxes(edges, patch), "bx1", "by1", "bx2", "by2", "b")
+    touch = (F.least("x1", "x2") <= F.col("bx2")) & (F.greatest("x1", "x2") >= F.col("bx1")) & (F.least("y1", "y2") <= F.col("by2")) & (F.greatest("y1", "y2") >= F.col("by1"))
+    near = placed.join(boxes, [*patch, "cx", "cy"]).where(touch & _once("l", "b")).select(*own, "seq", "x1", "y1", "x2", "y2", "s1", "seg_m", "poly_id")
+    e = edges.select(*patch, "poly_id", *[F.col(c).alias(f"e{c}") for c in ("x1", "y1", "x2", "y2")])
     dx, dy, ex, ey = F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1"), F.col("ex2") - F.col("ex1"), F.col("ey2") - F.col("ey1")
     cross = dx * ey - dy * ex
     t = ((F.col("ex1") - F.col("x1")) * ey - (F.col("ey1") - F.col("y1")) * ex) / cross
     u = ((F.col("ex1") - F.col("x1")) * dy - (F.col("ey1") - F.col("y1")) * dx) / cross
-    key = [*by, "seq", "poly_id"]
-    cuts = near.join(e, "poly_id").where(F.abs(cross) > 1e-12).select(*key, t.alias("t"), u.alias("u")).where("t > 0 AND t < 1 AND u >= 0 AND u <= 1").select(*key, "t")
+    key = [*own, "seq", "poly_id"]
+    meet = in_cells(near, "x1", "y1", "x2", "y2", "l").join(in_cells(e, "ex1", "ey1", "ex2", "ey2", "e"), [*patch, "poly_id", "cx", "cy"]).where(_once("l", "e"))
+    cuts = meet.where(F.abs(cross) > 1e-12).select(*key, t.alias("t"), u.alias("u")).where("t > 0 AND t < 1 AND u >= 0 AND u <= 1").select(*key, "t")
     cuts = cuts.union(near.select(*key, F.lit(0.0).alias("t"))).union(near.select(*key, F.lit(1.0).alias("t"))).distinct()
     w = Window.partitionBy(*key).orderBy("t")
     parts = cuts.withColumn("t2", F.lead("t").over(w)).where("t2 IS NOT NULL").join(near, key)
-    mid = (F.col("t") + F.col("t2")) / 2
-    parts = parts.withColumns({"mx": F.col("x1") + mid * dx, "my": F.col("y1") + mid * dy})
+    mid, strip = (F.col("t") + F.col("t2")) / 2, 5.0
+    parts = parts.withColumns({"mx": F.col("x1") + mid * dx, "my": F.col("y1") + mid * dy}).withColumn("strip", F.floor(F.col("my") / strip))
     spans = e.where("ey1 <> ey2").withColumns({"ylo": F.least("ey1", "ey2"), "yhi": F.greatest("ey1", "ey2")})
+    spans = spans.withColumn("strip", F.explode(F.sequence(F.floor(F.col("ylo") / strip), F.floor(F.col("yhi") / strip))))
     x_at = F.col("ex1") + (F.col("my") - F.col("ey1")) * ex / ey
     inside = (
-        parts.join(spans, "poly_id").where("my >= ylo AND my < yhi").groupBy(*key, "t", "t2", "s1", "seg_m").agg(F.sum((F.col("mx") < x_at).cast("int")).alias("n")).where("n % 2 = 1")
+        parts.join(spans, [*patch, "poly_id", "strip"]).where("my >= ylo AND my < yhi").groupBy(*key, "t", "t2", "s1", "seg_m").agg(F.sum((F.col("mx") < x_at).cast("int")).alias("n")).where("n % 2 = 1")
         .select(*by, "poly_id", (F.col("s1") + F.col("t") * F.col("seg_m")).alias("a"), (F.col("s1") + F.col("t2") * F.col("seg_m")).alias("b"))
     )
     order = Window.partitionBy(*by, "poly_id").orderBy("a", "b")
@@ -86,18 +125,29 @@ def zone_relation(ratio: Column, tolerance: float = 1e-6) -> Column:
     return F.when(ratio >= 1 - tolerance, "inside").when(F.coalesce(ratio, F.lit(0.0)) <= tolerance, "outside").otherwise("boundary_intersection")
 
 
+def _slanted(xsecs: DataFrame) -> DataFrame:
+    """Cross-sections as x1, y1, x2, y2; upright ones may come as x, y1, y2."""
+    return xsecs if "x1" in xsecs.columns else xsecs.withColumns({"x1": F.col("x"), "x2": F.col("x")})
+
+
 def crossing_events(lines: DataFrame, xsecs: DataFrame, by: list[str]) -> DataFrame:
-    """Crossings of line segments with vertical cross-sections (node_id, x, y1, y2): one
-    row per line and node, the best by distance to the centre, station and seq."""
-    own = xsecs.select("node_id", F.col("x").alias("cx"), F.col("y1").alias("cy1"), F.col("y2").alias("cy2"))
-    bucket = 10.0
-    rows = lines.where("x1 <> x2").withColumn("bx", F.explode(F.sequence(F.floor(F.least("x1", "x2") / bucket), F.floor(F.greatest("x1", "x2") / bucket))))
-    hit = rows.join(own.withColumn("bx", F.floor(F.col("cx") / bucket)), "bx").where((F.least("x1", "x2") <= F.col("cx")) & (F.greatest("x1", "x2") > F.col("cx")))
-    f = (F.col("cx") - F.col("x1")) / (F.col("x2") - F.col("x1"))
-    hit = hit.withColumns({"y": F.col("y1") + f * (F.col("y2") - F.col("y1")), "seq_at": F.col("seq") + f, "station": F.col("s1") + f * F.col("seg_m")})
-    hit = hit.where("y >= cy1 AND y <= cy2").withColumn("off", F.abs(F.col("y") - (F.col("cy1") + F.col("cy2")) / 2))
-    best = F.row_number().over(Window.partitionBy(*by, "node_id").orderBy("off", "station", "seq_at"))
-    return hit.withColumn("r", best).where("r = 1").select(*by, "node_id", F.col("cx").alias("x"), "y", "seq_at", "station", "off")
+    """Crossings of line segments with cross-sections (node_id, x1, y1, x2, y2, at any
+    slant, or upright as node_id, x, y1, y2): one row per line and node, the best by distance to the cross-section's middle,
+    station and seq. A segment holds its start but not its end; both meet in cells (of
+    their patch, if both have one)."""
+    patch = _shared(lines, xsecs)
+    own = _slanted(xsecs).select(*patch, "node_id", *[F.col(c).alias(f"c{c}") for c in ("x1", "y1", "x2", "y2")])
+    rows = in_cells(lines.where("seg_m > 0"), "x1", "y1", "x2", "y2", "l")
+    hit = rows.join(in_cells(own, "cx1", "cy1", "cx2", "cy2", "c"), [*patch, "cx", "cy"]).where(_once("l", "c"))
+    dx, dy, ex, ey = F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1"), F.col("cx2") - F.col("cx1"), F.col("cy2") - F.col("cy1")
+    cross = dx * ey - dy * ex
+    f = ((F.col("cx1") - F.col("x1")) * ey - (F.col("cy1") - F.col("y1")) * ex) / cross
+    g = ((F.col("cx1") - F.col("x1")) * dy - (F.col("cy1") - F.col("y1")) * dx) / cross
+    hit = hit.where(cross != 0).withColumns({"f": f, "g": g}).where("f >= 0 AND f < 1 AND g >= 0 AND g <= 1")
+    place = {"x": F.col("x1") + F.col("f") * dx, "y": F.col("y1") + F.col("f") * dy, "seq_at": F.col("seq") + F.col("f"), "station": F.col("s1") + F.col("f") * F.col("seg_m")}
+    hit = hit.withColumns(place).withColumn("off", F.abs(F.col("g") - 0.5) * F.sqrt(ex**2 + ey**2))
+    best = F.row_number().over(Window.partitionBy(*by, "node_id").orderBy(F.round("off", 9), "station", "seq_at"))
+    return hit.withColumn("r", best).where("r = 1").select(*by, "node_id", "x", "y", "seq_at", "station", "off")
 
 
 def event_sequence(events: DataFrame, by: list[str]) -> DataFrame:
@@ -146,17 +196,22 @@ def polyline_densify(lines: DataFrame, by: list[str], step: float) -> DataFrame:
     return rows.select(*by, "k", "s", (F.col("x1") + f * (F.col("x2") - F.col("x1"))).alias("x"), (F.col("y1") + f * (F.col("y2") - F.col("y1"))).alias("y"), tx.alias("tx"), ty.alias("ty"), (-ty).alias("nx"), tx.alias("ny"))
 
 
-def crossing_events_by_vertex(vertices: DataFrame, xsecs: DataFrame, by: list[str], reach: float = 2.0) -> DataFrame:
-    """Crossings by the vertices within `reach` of a vertical cross-section: the mean of
-    their indices; crossings within two indices of the one before are dropped; in order,
-    with the nodes before and after."""
-    bucket = max(10.0, reach)
-    own = xsecs.select("node_id", F.col("x").alias("cx"), F.col("y1").alias("cy1"), F.col("y2").alias("cy2"))
-    own = own.withColumn("b", F.explode(F.sequence(F.floor((F.col("cx") - reach) / bucket), F.floor((F.col("cx") + reach) / bucket))))
-    rows = vertices.withColumn("b", F.floor(F.col("x") / bucket)).join(own, "b")
-    gap = F.greatest(F.lit(0.0), F.col("cy1") - F.col("y"), F.col("y") - F.col("cy2"))
-    near = rows.where((F.col("x") - F.col("cx")) ** 2 + gap**2 <= reach * reach)
-    hits = near.groupBy(*by, "node_id").agg(F.avg("seq").alias("ix"))
+def crossing_events_by_vertex(vertices: DataFrame, xsecs: DataFrame, by: list[str], reach: float = 2.0, buffer: float = 0.0) -> DataFrame:
+    """Crossings by the vertices within `reach` of a cross-section (node_id, x1, y1, x2, y2):
+    the mean of their indices. A line without any such vertex at a cross-section is
+    looked for within `buffer`, if that is wider. Crossings within two indices of the one
+    before are dropped; in order, with the nodes before and after."""
+    wide, patch = max(reach, buffer), _shared(vertices, xsecs)
+    own = _slanted(xsecs).select(*patch, "node_id", *[F.col(c).alias(f"c{c}") for c in ("x1", "y1", "x2", "y2")])
+    grown = own.withColumns({"_a": F.least("cx1", "cx2") - wide, "_b": F.least("cy1", "cy2") - wide, "_c": F.greatest("cx1", "cx2") + wide, "_d": F.greatest("cy1", "cy2") + wide})
+    spots = vertices.withColumns({"cx": F.floor(F.col("x") / CELL).cast("long"), "cy": F.floor(F.col("y") / CELL).cast("long")})
+    rows = spots.join(in_cells(grown, "_a", "_b", "_c", "_d", "c"), [*patch, "cx", "cy"])
+    ex, ey = F.col("cx2") - F.col("cx1"), F.col("cy2") - F.col("cy1")
+    t = F.greatest(F.lit(0.0), F.least(F.lit(1.0), ((F.col("x") - F.col("cx1")) * ex + (F.col("y") - F.col("cy1")) * ey) / (ex**2 + ey**2)))
+    d2 = F.round((F.col("x") - F.col("cx1") - t * ex) ** 2 + (F.col("y") - F.col("cy1") - t * ey) ** 2, 9)
+    near = rows.withColumn("d2", d2).where(F.col("d2") <= wide * wide)
+    close = F.col("d2") <= reach * reach
+    hits = near.groupBy(*by, "node_id").agg(F.coalesce(F.avg(F.when(close, F.col("seq"))), F.avg("seq")).alias("ix"))
     w = Window.partitionBy(*by).orderBy("ix", "node_id")
     kept = hits.withColumn("_d", F.col("ix") - F.lag("ix").over(w)).where("_d IS NULL OR _d > 2").drop("_d")
     return kept.withColumns({"ord": F.row_number().over(w), "from_node": F.lag("node_id").over(w), "to_node": F.lead("node_id").over(w)})

@@ -86,17 +86,17 @@ def next_intersection_distance(spark, d):
 # --- scans -----------------------------------------------------------------------
 
 # Scans go along x from nodes near the zones, with vertical crosslines of 40 m.
-SCAN = "nk AS (SELECT node_id, x, y, CASE WHEN node_id % 3 = 0 THEN 20e0 ELSE 30e0 END AS stop_m FROM v_nodes WHERE x < 400 AND y < 100), sn AS (SELECT node_id, CAST(k AS INTEGER) AS k, k * 2e0 AS s, x + k * 2e0 AS cx, y AS cy FROM nk, LATERAL (SELECT unnest(range(CAST(floor(stop_m / 2) AS BIGINT) + 1)) AS k))"
+SCAN = "nk AS (SELECT node_id, x, y, CASE WHEN node_id % 3 = 0 THEN 20e0 ELSE 30e0 END AS stop_m FROM v_nodes), sn AS (SELECT node_id, CAST(k AS INTEGER) AS k, k * 2e0 AS s, x + k * 2e0 AS cx, y AS cy FROM nk, LATERAL (SELECT unnest(range(CAST(floor(stop_m / 2) AS BIGINT) + 1)) AS k))"
 NZ = ("v_nodes", "v_zone_edges")
 
 
 def _scan(spark, d):
     stop, _ = anchors.scan_stop(30.0, F.when(F.col("node_id") % 3 == 0, 20.0))
-    nodes = v.subset(v.nodes(spark, d), "x < 400 AND y < 100").withColumns({"ux": F.lit(1.0), "uy": F.lit(0.0), "stop_m": stop})
+    nodes = v.nodes(spark, d).withColumns({"ux": F.lit(1.0), "uy": F.lit(0.0), "stop_m": stop})
     return anchors.crossline_scan(nodes, 2.0, 20.0)
 
 
-@query(f"{SCAN} SELECT node_id, k, s, cx AS x1, cy + 20 AS y1, cx AS x2, cy - 20 AS y2 FROM sn", NZ, whole=True)
+@query(f"{SCAN} SELECT node_id, k, s, cx AS x1, cy + 20 AS y1, cx AS x2, cy - 20 AS y2 FROM sn", NZ)
 def crossline_scan(spark, d):
     return _scan(spark, d)
 
@@ -122,13 +122,13 @@ def _stripes(spark, d):
     return base.selectExpr("poly_id * 2 + id AS poly_id", f"inline(array({edges}))")
 
 
-@query(f"{SCAN}, {STRIPES}, n AS (SELECT node_id, k, s, count(*) AS n FROM pc GROUP BY ALL) SELECT sn.node_id, min(CASE WHEN n >= 2 THEN sn.s END) AS split_s, coalesce(max(n), 0) AS most_pieces, min(CASE WHEN n >= 2 THEN sn.s END) + 5 AS extended_s FROM sn LEFT JOIN n USING (node_id, k) GROUP BY sn.node_id", NZ, whole=True)
+@query(f"{SCAN}, {STRIPES}, n AS (SELECT node_id, k, s, count(*) AS n FROM pc GROUP BY ALL) SELECT sn.node_id, min(CASE WHEN n >= 2 THEN sn.s END) AS split_s, coalesce(max(n), 0) AS most_pieces, min(CASE WHEN n >= 2 THEN sn.s END) + 5 AS extended_s FROM sn LEFT JOIN n USING (node_id, k) GROUP BY sn.node_id", NZ)
 def first_split(spark, d):
     scan = _scan(spark, d)
     return anchors.first_split(scan, anchors.scan_pieces(scan, _stripes(spark, d)))
 
 
-@query(f"{SCAN}, {STRIPES}, g AS (SELECT node_id, k, count(*) AS n_pieces, max(CASE WHEN end_s <= 20 THEN end_s END) AS left_end, min(CASE WHEN start_s >= 20 THEN start_s END) AS right_start FROM pc GROUP BY ALL) SELECT node_id, k, n_pieces, round(left_end, 6) AS left_end, round(right_start, 6) AS right_start, round((left_end + right_start) / 2, 6) AS gap_mid FROM g", NZ, whole=True)
+@query(f"{SCAN}, {STRIPES}, g AS (SELECT node_id, k, count(*) AS n_pieces, max(CASE WHEN end_s <= 20 THEN end_s END) AS left_end, min(CASE WHEN start_s >= 20 THEN start_s END) AS right_start FROM pc GROUP BY ALL) SELECT node_id, k, n_pieces, round(left_end, 6) AS left_end, round(right_start, 6) AS right_start, round((left_end + right_start) / 2, 6) AS gap_mid FROM g", NZ)
 def pieces_pick(spark, d):
     pieces = anchors.scan_pieces(_scan(spark, d), _stripes(spark, d))
     return rounded(anchors.pieces_pick(pieces, ["node_id", "k"], 20.0))
@@ -141,7 +141,7 @@ def _tips(spark, d):
     return v.zone_edges(spark, d).selectExpr("poly_id * 70e0D + 30e0D + poly_id * 1.5e0D AS x", "27e0D AS y").distinct()
 
 
-@query(f"{SCAN}, {TIPS} SELECT node_id, first_s FROM fh WHERE first_s IS NOT NULL", NZ, whole=True)
+@query(f"{SCAN}, {TIPS} SELECT node_id, first_s FROM fh WHERE first_s IS NOT NULL", NZ)
 def divstrip_first_hit(spark, d):
     return anchors.divstrip_first_hit(_scan(spark, d), _tips(spark, d)).where("first_s IS NOT NULL").select("node_id", "first_s")
 
@@ -158,17 +158,17 @@ def _anchors(spark, d):
     return rows.select("node_id", anchors.reference_choice().alias("c")).select("node_id", "c.source", "c.s")
 
 
-@query(f"{CHOICE} SELECT node_id, source, s FROM ch", NZ, whole=True)
+@query(f"{CHOICE} SELECT node_id, source, s FROM ch", NZ)
 def reference_choice(spark, d):
     return _anchors(spark, d)
 
 
-@query(f"{CHOICE} SELECT source, count(*) AS n, quantile_cont(s, 0.5e0) AS p50, quantile_cont(s, 0.9e0) AS p90 FROM ch GROUP BY source", NZ, whole=True)
+@query(f"{CHOICE} SELECT source, count(*) AS n, quantile_cont(s, 0.5e0) AS p50, quantile_cont(s, 0.9e0) AS p90 FROM ch GROUP BY source", NZ)
 def anchor_metrics(spark, d):
     return anchors.anchor_metrics(_anchors(spark, d))
 
 
-@query(f"{CHOICE}, b AS (SELECT DISTINCT node_id, unnest(list_append(list_transform(range(CAST(floor((s + 20) / 5) AS BIGINT) + 1), lambda i: s - i * 5), 0)) AS at_s FROM ch WHERE s IS NOT NULL) SELECT node_id, count(*) AS n, min(at_s) AS low, max(at_s) AS high FROM b GROUP BY node_id", NZ, whole=True)
+@query(f"{CHOICE}, b AS (SELECT DISTINCT node_id, unnest(list_append(list_transform(range(CAST(floor((s + 20) / 5) AS BIGINT) + 1), lambda i: s - i * 5), 0)) AS at_s FROM ch WHERE s IS NOT NULL) SELECT node_id, count(*) AS n, min(at_s) AS low, max(at_s) AS high FROM b GROUP BY node_id", NZ)
 def backtrack_probe(spark, d):
     rows = _anchors(spark, d).where("s IS NOT NULL").select("node_id", F.explode(anchors.backtrack_probe(F.col("s"))).alias("at_s"))
     return rows.groupBy("node_id").agg(F.count("*").alias("n"), F.min("at_s").alias("low"), F.max("at_s").alias("high"))

@@ -12,23 +12,23 @@ from .network_queries import CROSS, LINE, PAIRS, TX, _events
 from .registry import query, rounded
 
 R = ("v_roads",)
-IV = "iv AS (SELECT l_orderkey % 500 AS line_id, CASE WHEN l_orderkey % 2 = 0 THEN 1 ELSE -1 END AS sign, l_suppkey * 1e0 + l_linenumber * 1e-3 + l_partkey * 1e-6 AS start_s, l_suppkey + l_quantity + l_partkey * 1e-6 AS end_s FROM lineitem WHERE l_orderkey % 37 = 0)"
+IV = "iv AS (SELECT l_orderkey % 500 AS line_id, CASE WHEN l_orderkey % 2 = 0 THEN 1 ELSE -1 END AS sign, l_suppkey * 1e0 + l_linenumber * 1e-3 + l_partkey * 1e-6 AS start_s, l_suppkey + l_quantity + l_partkey * 1e-6 AS end_s FROM lineitem)"
 
 
 def _intervals(spark, d):
-    rows = v.subset(spark.read.parquet(f"{d}/lineitem.parquet"), "l_orderkey % 37 = 0")
+    rows = spark.read.parquet(f"{d}/lineitem.parquet")
     return rows.selectExpr("l_orderkey % 500 AS line_id", "CASE WHEN l_orderkey % 2 = 0 THEN 1 ELSE -1 END AS sign", "l_suppkey * 1e0D + l_linenumber * 1e-3D + l_partkey * 1e-6D AS start_s", "l_suppkey + l_quantity + l_partkey * 1e-6D AS end_s")
 
 
-RANKED = f"{IV}, rk AS (SELECT *, row_number() OVER (PARTITION BY line_id ORDER BY CASE WHEN sign < 0 THEN -end_s ELSE start_s END, start_s) AS rank FROM iv)"
+RANKED = f"{IV}, rk AS (SELECT *, row_number() OVER (PARTITION BY line_id ORDER BY CASE WHEN sign < 0 THEN -end_s ELSE start_s END, start_s, end_s) AS rank FROM iv)"
 
 
-@query(f"WITH {RANKED} SELECT line_id, start_s, end_s, rank FROM rk", whole=True)
+@query(f"WITH {RANKED} SELECT line_id, start_s, end_s, rank FROM rk")
 def interval_rank_on_line(spark, d):
     return S.interval_rank_on_line(_intervals(spark, d), ["line_id"], "sign").select("line_id", "start_s", "end_s", "rank")
 
 
-@query(f"WITH {RANKED}, w AS (SELECT DISTINCT line_id, CAST(line_id % 6 AS INTEGER) AS wr, line_id % 90 * 1e0 AS place FROM iv), t AS (SELECT rk.*, place, CASE WHEN rank = wr THEN 0 WHEN start_s <= place AND place <= end_s THEN 1 ELSE 2 END AS tier FROM w JOIN rk USING (line_id)) SELECT line_id, place AS target, rank, tier FROM t QUALIFY row_number() OVER (PARTITION BY line_id ORDER BY tier, CASE WHEN tier = 2 THEN abs((start_s + end_s) / 2 - place) ELSE 0 END, rank) = 1", whole=True)
+@query(f"WITH {RANKED}, w AS (SELECT DISTINCT line_id, CAST(line_id % 6 AS INTEGER) AS wr, line_id % 90 * 1e0 AS place FROM iv), t AS (SELECT rk.*, place, CASE WHEN rank = wr THEN 0 WHEN start_s <= place AND place <= end_s THEN 1 ELSE 2 END AS tier FROM w JOIN rk USING (line_id)) SELECT line_id, place AS target, rank, tier FROM t QUALIFY row_number() OVER (PARTITION BY line_id ORDER BY tier, CASE WHEN tier = 2 THEN abs((start_s + end_s) / 2 - place) ELSE 0 END, rank) = 1")
 def interval_choose(spark, d):
     ranked = S.interval_rank_on_line(_intervals(spark, d), ["line_id"], "sign")
     wanted = ranked.selectExpr("line_id", "cast(line_id % 6 AS int) AS rank", "line_id % 90 * 1e0D AS at").distinct()
@@ -59,9 +59,9 @@ def quality_gate_compose(spark, d):
     return S.quality_gate_compose(traj=gate(F.avg("z") < 10.71), ground=gate(F.max("z") < 12), xsec=gate(F.count("*") > 1240))
 
 
-@query("SELECT patch_id, count(DISTINCT floor(x / 7e0)) / 58e0 AS occupancy FROM v_traj WHERE x >= 0 AND x < 400 AND z > 11.5e0 GROUP BY patch_id", T)
+@query("SELECT patch_id, count(DISTINCT floor(x / 7e0)) / 58e0 AS occupancy FROM v_traj WHERE x >= 0 AND x < 400 GROUP BY patch_id", T)
 def along_occupancy(spark, d):
-    return S.along_occupancy(v.traj(spark, d).where("z > 11.5D"), ["patch_id"], "x", 400.0, 7.0)
+    return S.along_occupancy(v.traj(spark, d), ["patch_id"], "x", 400.0, 7.0)
 
 
 @query(f"{PAIRS}, q AS (SELECT DISTINCT snode % 20 + 1 AS src, enode % 20 + 1 AS dst FROM v_roads), c AS (SELECT src, dst, count(*) AS n FROM pr GROUP BY ALL), l AS (SELECT src, dst, count(*) AS n FROM pr WHERE seq_to - seq_from < 3 GROUP BY ALL) SELECT src, dst, coalesce(c.n, 0) AS n_candidate, coalesce(l.n, 0) AS n_short, CASE WHEN coalesce(c.n, 0) = 0 THEN 'candidate' WHEN coalesce(l.n, 0) = 0 THEN 'short' END AS lost_at FROM q LEFT JOIN c USING (src, dst) LEFT JOIN l USING (src, dst)", ("v_traj", "v_xsecs", "v_roads"))
@@ -106,20 +106,20 @@ def arc_registry(spark, d):
 
 
 # Anchors along chains of nodes with rising ids, so that a pass in the order of ids settles them.
-ORDER = """ed AS (SELECT i AS src, i + 1 AS dst FROM range(400) r(i) WHERE i % 9 <> 8), po AS (SELECT i AS node_id, i * 7919 % 23 AS s, i % 2 = 0 AS may_equal FROM range(401) r(i)),
+ORDER = """ed AS (SELECT c_custkey AS src, c_custkey + 1 AS dst FROM customer WHERE c_custkey % 9 <> 8), po AS (SELECT c_custkey AS node_id, c_custkey * 7919 % 23 AS s, c_custkey % 2 = 0 AS may_equal FROM customer),
 wk AS (SELECT node_id, s, false AS failed FROM po WHERE node_id % 9 = 0 UNION ALL SELECT po.node_id, po.s, NOT wk.failed AND (po.s < wk.s OR (po.s = wk.s AND NOT may_equal)) FROM wk JOIN ed ON src = wk.node_id JOIN po ON po.node_id = dst)
-SELECT node_id, failed FROM wk WHERE node_id IN (SELECT c_custkey FROM customer)"""
+SELECT node_id, failed FROM wk"""
 
 
-@query(f"WITH RECURSIVE {ORDER}", whole=True)
+@query(f"WITH RECURSIVE {ORDER}")
 def chain_order_check(spark, d):
-    nodes = v.subset(spark.read.parquet(f"{d}/customer.parquet"), "c_custkey <= 400").select(F.col("c_custkey").alias("node_id"))
+    nodes = spark.read.parquet(f"{d}/customer.parquet").select(F.col("c_custkey").alias("node_id"))
     positions = nodes.selectExpr("node_id", "node_id * 7919 % 23 AS s", "node_id % 2 = 0 AS may_equal")
-    edges = v.subset(nodes, "node_id < 400").where("node_id % 9 <> 8").selectExpr("node_id AS src", "node_id + 1 AS dst")
+    edges = nodes.where("node_id % 9 <> 8").selectExpr("node_id AS src", "node_id + 1 AS dst")
     return S.chain_order_check(edges, positions).select("node_id", "failed")
 
 
-ST = "st AS (SELECT patch_id, CAST(floor(x / 10e0) AS BIGINT) AS station, y, 1 + (seq % 3) * 1e0 AS w FROM v_traj WHERE traj_id % 10 < 2)"
+ST = "st AS (SELECT patch_id, CAST(floor(x / 10e0) AS BIGINT) AS station, y, 1 + (seq % 3) * 1e0 AS w FROM v_traj)"
 
 
 @query(
@@ -128,10 +128,9 @@ ST = "st AS (SELECT patch_id, CAST(floor(x / 10e0) AS BIGINT) AS station, y, 1 +
     d2 AS (SELECT st.*, c, round(abs(y - c), 9) AS d FROM st JOIN m1 USING (patch_id, station)), q2 AS (SELECT patch_id, station, greatest(median(d), 1e-3) AS m FROM d2 GROUP BY ALL)
     SELECT patch_id, station, round(sum(w / (1 + (d / m) * (d / m)) * y) / sum(w / (1 + (d / m) * (d / m))), 5) AS centre, round(max(m), 5) AS dispersion, count(*) AS n FROM d2 JOIN q2 USING (patch_id, station) GROUP BY ALL""",
     T,
-    whole=True,
 )
 def station_robust_center(spark, d):
-    rows = v.subset(v.traj(spark, d), "traj_id % 10 < 2").selectExpr("patch_id", "cast(floor(x / 10e0D) AS bigint) AS station", "y", "1 + (seq % 3) * 1e0D AS w")
+    rows = v.traj(spark, d).selectExpr("patch_id", "cast(floor(x / 10e0D) AS bigint) AS station", "y", "1 + (seq % 3) * 1e0D AS w")
     return rounded(S.station_robust_center(rows, ["patch_id", "station"], "y", "w"), 5)
 
 
@@ -174,14 +173,17 @@ def support_select(spark, d):
 
 @query()
 def support_deconflict(spark, d):
-    rows = v.roads(spark, d).selectExpr("snode % 60 AS src", "enode % 3 AS dst", "road_id % 4 AS arc_id", "road_id % 7 AS support", "road_id % 5 AS rank", "length_m AS dist")
-    best = rows.groupBy("src", "dst", "arc_id", "support").agg(F.min("rank").alias("rank"), F.min("dist").alias("dist"))
-    return S.support_deconflict(best, 3)
+    rows = v.roads(spark, d).selectExpr("floor(snode / 20) AS src", "enode % 3 AS dst", "road_id % 4 AS arc_id", "road_id % 7 AS support", "road_id % 5 AS rank", "length_m AS dist", "length_m % 7 / 7 AS coverage")
+    return S.support_deconflict(rows, 3)
 
 
 @query()
 def segment_cluster(spark, d):
-    rows = v.roads(spark, d).selectExpr("snode % 60 AS src", "enode % 10 AS dst", "road_id AS segment_id", "(road_id * 37 % 400) / 10D AS offset", "road_id % 9 AS n_support")
+    at = lambda c: F.struct((F.pmod(F.col(c), F.lit(40)) * 25.0).alias("x"), (F.floor(F.col(c) / 40) * 25.0).alias("y"))
+    rows = v.roads(spark, d).select(
+        F.floor(F.col("snode") / 20).alias("src"), (F.col("enode") % 3).alias("dst"), F.col("road_id").alias("segment_id"), ((F.col("road_id") * 37 % 400) / 10.0).alias("offset"),
+        F.when(F.col("road_id") % 4 == 0, "prior").otherwise("traj").alias("source"), F.sequence(F.col("road_id") % 3, F.col("road_id") % 5 + 2).alias("supports"), F.array(at("snode"), at("enode")).alias("line"),
+    )
     return S.segment_cluster(rows, ["src", "dst"])
 
 
@@ -226,7 +228,7 @@ def graph_compress(spark, d):
     from ..functions.scalars import arc_edges_of
 
     got = network.graph_compress(arc_edges_of(v.roads(spark, d)), v.nodes(spark, d).where("kind = 4"))
-    return got.select("src", "dst", F.size("nodes").cast("long").alias("n_nodes"), "length_m")
+    return got.where("NOT closed").select("src", "dst", F.size("nodes").cast("long").alias("n_nodes"), "length_m")
 
 
 @query("SELECT traj_id, seq, round(a, 6) AS z FROM (SELECT traj_id, seq, avg(m) OVER w2 AS a FROM (SELECT traj_id, seq, avg(z) OVER w1 AS m FROM v_traj WINDOW w1 AS (PARTITION BY traj_id ORDER BY seq ROWS BETWEEN 2 PRECEDING AND 2 FOLLOWING)) WINDOW w2 AS (PARTITION BY traj_id ORDER BY seq ROWS BETWEEN 2 PRECEDING AND 2 FOLLOWING)) QUALIFY row_number() OVER (PARTITION BY traj_id ORDER BY seq) > 4 AND row_number() OVER (PARTITION BY traj_id ORDER BY seq DESC) > 4", T)

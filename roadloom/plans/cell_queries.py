@@ -148,15 +148,15 @@ def cell_lookup(spark, d):
     return rows.groupBy("patch_id").agg(F.count("*").alias("n"), F.count("road_z").alias("n_known"), F.round(F.sum(F.col("z") - F.col("road_z")), 3).alias("dz"))
 
 
-COMPONENTS = """e AS (SELECT DISTINCT patch_id, CAST(floor(x / 5e0) AS BIGINT) AS ix, CAST(floor(y / 5e0) AS BIGINT) AS iy, CAST(floor(x / 5e0) AS BIGINT) * 4294967296 + CAST(floor(y / 5e0) AS BIGINT) AS k FROM v_points WHERE cls = 1 AND point_id % 7 = 0),
+COMPONENTS = """e AS (SELECT DISTINCT patch_id, CAST(floor(x / 5e0) AS BIGINT) AS ix, CAST(floor(y / 5e0) AS BIGINT) AS iy, CAST(floor(x / 5e0) AS BIGINT) * 4294967296 + CAST(floor(y / 5e0) AS BIGINT) AS k FROM v_points WHERE cls = 1),
 n AS (SELECT a.patch_id, a.k AS a, b.k AS b FROM e a JOIN e b ON a.patch_id = b.patch_id AND abs(a.ix - b.ix) <= 1 AND abs(a.iy - b.iy) <= 1),
 w AS (SELECT patch_id, k, k AS c FROM e UNION SELECT n.patch_id, n.b, w.c FROM w JOIN n ON n.patch_id = w.patch_id AND n.a = w.k)
 SELECT patch_id, ix, iy, min(c) AS component FROM w JOIN e USING (patch_id, k) GROUP BY ALL"""
 
 
-@query(COMPONENTS, P, whole=True)
+@query(COMPONENTS, P)
 def cell_components(spark, d):
-    own = cells.cell(v.subset(v.points(spark, d).where("cls = 1"), "point_id % 7 = 0"), 5.0)
+    own = cells.cell(v.points(spark, d).where("cls = 1"), 5.0)
     return cells.cell_components(own)
 
 
@@ -197,7 +197,7 @@ def series_stats(spark, d):
 NEAR = """nb AS (SELECT t.patch_id, t.traj_id, t.seq, p.z AS pz, (p.x - t.x) * (p.x - t.x) + (p.y - t.y) * (p.y - t.y) AS d2 FROM v_traj t JOIN v_points p
   ON p.patch_id = t.patch_id AND p.x BETWEEN t.x - 6 AND t.x + 6 AND p.y BETWEEN t.y - 6 AND t.y + 6),
 nk AS (SELECT *, row_number() OVER (PARTITION BY patch_id, traj_id, seq ORDER BY d2, pz) AS r FROM nb WHERE d2 <= 36),
-na AS (SELECT patch_id, traj_id, seq, count(*) FILTER (d2 <= 4) AS n_near, quantile_cont(CASE WHEN d2 <= 4 THEN pz END, 0.5e0) AS nz, quantile_cont(CASE WHEN r <= 8 THEN pz END, 0.5e0) AS kz FROM nk GROUP BY ALL),
+na AS (SELECT patch_id, traj_id, seq, count(*) FILTER (d2 <= 4) AS n_near, quantile_cont(CASE WHEN d2 <= 4 THEN pz END, 0.5e0) AS nz, CASE WHEN count(*) >= 3 THEN quantile_cont(CASE WHEN r <= 8 THEN pz END, 0.5e0) END AS kz FROM nk GROUP BY ALL),
 cloud AS (SELECT t.*, n_near, CASE WHEN n_near >= 3 THEN nz ELSE kz END AS cloud_z FROM v_traj t LEFT JOIN na USING (patch_id, traj_id, seq))"""
 
 

@@ -55,9 +55,9 @@ def node_type_infer(spark, d):
     return network.node_type_infer(v.nodes(spark, d), v.roads(spark, d)).select("node_id", "n_out", "n_in", "node_type")
 
 
-@query("f AS (SELECT DISTINCT o_custkey * 2 AS node_id FROM orders WHERE o_orderkey % 50 = 0) SELECT node_id, node_id IN (SELECT node_id FROM v_nodes) AS known FROM f", N)
+@query("f AS (SELECT DISTINCT o_custkey * 2 AS node_id FROM orders) SELECT node_id, node_id IN (SELECT node_id FROM v_nodes) AS known FROM f", N)
 def seed_pick(spark, d):
-    focus = spark.read.parquet(f"{d}/orders.parquet").where("o_orderkey % 50 = 0").selectExpr("o_custkey * 2 AS node_id").distinct()
+    focus = spark.read.parquet(f"{d}/orders.parquet").selectExpr("o_custkey * 2 AS node_id").distinct()
     seeds, lost = network.seed_pick(v.nodes(spark, d), focus)
     return seeds.select("node_id", F.lit(True).alias("known")).union(lost.select("node_id", F.lit(False)))
 
@@ -191,10 +191,11 @@ def bridge_paths(spark, d):
 SEG = """sg AS (SELECT patch_id, traj_id, seq, x AS x1, y AS y1, lead(x) OVER w AS x2, lead(y) OVER w AS y2 FROM v_traj WINDOW w AS (PARTITION BY traj_id ORDER BY seq)),
 s2 AS (SELECT *, sqrt((x2 - x1) * (x2 - x1) + (y2 - y1) * (y2 - y1)) AS seg_m FROM sg WHERE x2 IS NOT NULL),
 s AS (SELECT *, coalesce(sum(seg_m) OVER (PARTITION BY traj_id ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS s1 FROM s2)"""
-CROSS = f"""{SEG}, h AS (SELECT s.*, node_id, c.x AS cx, c.y1 AS c1, c.y2 AS c2, (c.x - s.x1) / (s.x2 - s.x1) AS f FROM s JOIN v_xsecs c ON least(s.x1, s.x2) <= c.x AND greatest(s.x1, s.x2) > c.x),
-k AS (SELECT *, y1 + f * (y2 - y1) AS y, seq + f AS seq_at, s1 + f * seg_m AS station FROM h),
-m AS (SELECT *, abs(y - (c1 + c2) / 2) AS off FROM k WHERE y BETWEEN c1 AND c2),
-ev AS (SELECT patch_id, traj_id, node_id, cx AS x, y, seq_at, station, off FROM m QUALIFY row_number() OVER (PARTITION BY traj_id, node_id ORDER BY off, station, seq_at) = 1)"""
+# Cross-sections lean by up to 4 m, so lines are met in a window of x and cut by the slanted segment.
+CROSS = f"""{SEG}, h AS (SELECT s.*, node_id, c.x1 AS cx1, c.y1 AS cy1, c.x2 - c.x1 AS ex, c.y2 - c.y1 AS ey, (s.x2 - s.x1) * (c.y2 - c.y1) - (s.y2 - s.y1) * (c.x2 - c.x1) AS den FROM s JOIN v_xsecs c ON s.x1 BETWEEN c.x1 - 12 AND c.x1 + 12),
+k AS (SELECT *, ((cx1 - x1) * ey - (cy1 - y1) * ex) / den AS f, ((cx1 - x1) * (y2 - y1) - (cy1 - y1) * (x2 - x1)) / den AS g FROM h WHERE den <> 0),
+m AS (SELECT *, x1 + f * (x2 - x1) AS x, y1 + f * (y2 - y1) AS y, seq + f AS seq_at, s1 + f * seg_m AS station, abs(g - 0.5e0) * sqrt(ex * ex + ey * ey) AS off FROM k WHERE f >= 0 AND f < 1 AND g BETWEEN 0 AND 1),
+ev AS (SELECT patch_id, traj_id, node_id, x, y, seq_at, station, off FROM m QUALIFY row_number() OVER (PARTITION BY traj_id, node_id ORDER BY round(off, 9), station, seq_at) = 1)"""
 LINE = ["patch_id", "traj_id"]
 
 
@@ -202,7 +203,7 @@ def _events(spark, d):
     return zones.crossing_events(zones.segments(v.traj(spark, d), LINE), v.xsecs(spark, d), LINE)
 
 
-@query(f"{CROSS} SELECT patch_id, traj_id, node_id, x, round(y, 6) AS y, round(seq_at, 6) AS seq_at, round(station, 6) AS station, round(off, 6) AS off FROM ev", TX)
+@query(f"{CROSS} SELECT patch_id, traj_id, node_id, round(x, 6) AS x, round(y, 6) AS y, round(seq_at, 6) AS seq_at, round(station, 6) AS station, round(off, 6) AS off FROM ev", TX)
 def crossing_events(spark, d):
     return rounded(_events(spark, d))
 
@@ -275,15 +276,15 @@ def zone_relation(spark, d):
     return got.select(*LINE, "poly_id", zones.zone_relation(F.col("ratio")).alias("relation"))
 
 
-PROJECT = f"""{SEG}, pt AS (SELECT DISTINCT patch_id, traj_id AS p_id, seq AS p_seq, x AS px, y AS py FROM v_traj WHERE seq % 10 = 0),
+PROJECT = f"""{SEG}, pt AS (SELECT DISTINCT patch_id, traj_id AS p_id, seq AS p_seq, x AS px, y AS py FROM v_traj),
 pj AS (SELECT pt.patch_id, p_id, p_seq, s.traj_id, s1, seg_m, x1, y1, x2, y2, px, py, CASE WHEN seg_m > 0 THEN greatest(0e0, least(1e0, ((px - x1) * (x2 - x1) + (py - y1) * (y2 - y1)) / (seg_m * seg_m))) ELSE 0 END AS t FROM pt JOIN s ON s.patch_id = pt.patch_id AND s.x1 BETWEEN px - 15 AND px + 15),
 ds AS (SELECT *, sqrt((px - x1 - t * (x2 - x1)) ** 2 + (py - y1 - t * (y2 - y1)) ** 2) AS dist FROM pj)"""
 
 
-@query(f"{PROJECT} SELECT patch_id, p_id, p_seq, traj_id, round(min(dist), 5) AS dist FROM ds WHERE dist <= 4 GROUP BY ALL", T, whole=True)
+@query(f"{PROJECT} SELECT patch_id, p_id, p_seq, traj_id, round(min(dist), 5) AS dist FROM ds WHERE dist <= 4 GROUP BY ALL", T)
 def line_project(spark, d):
     traj = v.traj(spark, d)
-    points = v.subset(traj, "seq % 10 = 0").selectExpr("patch_id", "traj_id AS p_id", "seq AS p_seq", "x", "y")
+    points = traj.selectExpr("patch_id", "traj_id AS p_id", "seq AS p_seq", "x", "y")
     got = zones.line_project(points, zones.segments(traj, LINE), ["traj_id"], ["p_id", "p_seq"], 4.0)
     return rounded(got.select("patch_id", "p_id", "p_seq", "traj_id", "dist"), 5)
 

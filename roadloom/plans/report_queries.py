@@ -274,7 +274,7 @@ def best_file_per_patch(spark, d):
     return profiles.best_file_per_patch(files, ["gpkg", "geojson"]).select("patch_id", "layer", "path")
 
 
-@query("SELECT node_id, src FROM (SELECT c_custkey + 1 AS node_id, 0 AS src FROM customer UNION ALL SELECT o_custkey + 2 + o_orderkey % 3, 1 FROM orders WHERE o_orderkey % 13 = 0) QUALIFY row_number() OVER (PARTITION BY node_id ORDER BY src) = 1")
+@query("SELECT node_id, src FROM (SELECT o_orderkey + 1 AS node_id, 0 AS src FROM orders UNION ALL SELECT o_orderkey + 2 + o_orderkey % 3 + o_custkey % 11, 1 FROM orders) QUALIFY row_number() OVER (PARTITION BY node_id ORDER BY src) = 1")
 def node_union_first_wins(spark, d):
     own = v.nodes(spark, d).select("node_id", F.lit(0).alias("src"))
     virtual = v.roads(spark, d).select(F.col("enode").alias("node_id"), F.lit(1).alias("src")).distinct()

@@ -6,8 +6,6 @@ Each view is declared once as an expression list and once as SQL for the oracle.
 
 from __future__ import annotations
 
-from contextvars import ContextVar
-
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -16,15 +14,6 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-#: Set while a query runs in its whole-table form.
-WHOLE: ContextVar[bool] = ContextVar("whole", default=False)
-
-
-def subset(rows: DataFrame, condition: str) -> DataFrame:
-    """The rows that a query's oracle is given; in the query's whole-table form, all of them."""
-    return rows if WHOLE.get() else rows.where(condition)
-
-
 def points(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _table(spark, sf_dir, "lineitem").selectExpr(
         "l_suppkey % 8 AS patch_id",
@@ -54,27 +43,29 @@ def traj(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def roads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _table(spark, sf_dir, "orders").where("o_orderkey % 13 = 0").selectExpr(
+    """A road for each order, between nodes near the order's key: a node has one road out
+    and one in on average, so chains, fans and gaps all occur."""
+    return _table(spark, sf_dir, "orders").selectExpr(
         "o_orderkey AS road_id",
-        "o_custkey + 1 AS snode",
-        "o_custkey + 2 + o_orderkey % 3 AS enode",
+        "o_orderkey + 1 + o_custkey % 7 AS snode",
+        "o_orderkey + 2 + o_orderkey % 3 + o_custkey % 11 AS enode",
         "cast(o_orderkey % 4 AS int) AS direction",
         "5e0D + o_orderkey % 40 AS length_m",
     )
 
 
 def nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _table(spark, sf_dir, "customer").selectExpr(
-        "c_custkey + 1 AS node_id",
-        "CASE c_custkey % 5 WHEN 0 THEN 16 WHEN 1 THEN 8 WHEN 2 THEN 4 WHEN 3 THEN 65536 ELSE 0 END AS kind",
-        "(c_custkey % 40) * 25e0D AS x",
-        "floor(c_custkey / 40) * 25e0D AS y",
+    return _table(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey + 1 AS node_id",
+        "CASE o_orderkey % 5 WHEN 0 THEN 16 WHEN 1 THEN 8 WHEN 2 THEN 4 WHEN 3 THEN 65536 ELSE 0 END AS kind",
+        "(o_orderkey % 40) * 25e0D AS x",
+        "floor(o_orderkey / 40) * 25e0D AS y",
     )
 
 
 def xsecs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _table(spark, sf_dir, "nation").selectExpr(
-        "cast(n_nationkey + 1 AS bigint) AS node_id", "n_nationkey * 14e0D AS x", "-5e0D AS y1", "65e0D AS y2"
+        "cast(n_nationkey + 1 AS bigint) AS node_id", "n_nationkey * 14e0D AS x1", "-5e0D AS y1", "n_nationkey * 14e0D + (n_nationkey % 3 - 1) * 4e0D AS x2", "65e0D AS y2"
     )
 
 
@@ -98,11 +89,11 @@ SQL = {
         epoch_us(ts) / 1e6 AS t, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) * 5e0 AS x,
         (user_id % 10) * 6e0 + (event_id * 7919 % 100) * 1e-2 AS y,
         10e0 + (event_id * 104729 % 1000) * 1e-3 + CASE WHEN event_type = 'error' THEN 1e0 ELSE 0e0 END AS z FROM events""",
-    "v_roads": """SELECT o_orderkey AS road_id, o_custkey + 1 AS snode, o_custkey + 2 + o_orderkey % 3 AS enode,
-        CAST(o_orderkey % 4 AS INTEGER) AS direction, 5e0 + o_orderkey % 40 AS length_m FROM orders WHERE o_orderkey % 13 = 0""",
-    "v_nodes": """SELECT c_custkey + 1 AS node_id, CASE c_custkey % 5 WHEN 0 THEN 16 WHEN 1 THEN 8 WHEN 2 THEN 4 WHEN 3 THEN 65536 ELSE 0 END AS kind,
-        (c_custkey % 40) * 25e0 AS x, floor(c_custkey / 40) * 25e0 AS y FROM customer""",
-    "v_xsecs": """SELECT CAST(n_nationkey + 1 AS BIGINT) AS node_id, n_nationkey * 14e0 AS x, -5e0 AS y1, 65e0 AS y2 FROM nation""",
+    "v_roads": """SELECT o_orderkey AS road_id, o_orderkey + 1 + o_custkey % 7 AS snode, o_orderkey + 2 + o_orderkey % 3 + o_custkey % 11 AS enode,
+        CAST(o_orderkey % 4 AS INTEGER) AS direction, 5e0 + o_orderkey % 40 AS length_m FROM orders""",
+    "v_nodes": """SELECT o_orderkey + 1 AS node_id, CASE o_orderkey % 5 WHEN 0 THEN 16 WHEN 1 THEN 8 WHEN 2 THEN 4 WHEN 3 THEN 65536 ELSE 0 END AS kind,
+        (o_orderkey % 40) * 25e0 AS x, floor(o_orderkey / 40) * 25e0 AS y FROM orders""",
+    "v_xsecs": """SELECT CAST(n_nationkey + 1 AS BIGINT) AS node_id, n_nationkey * 14e0 AS x1, -5e0 AS y1, n_nationkey * 14e0 + (n_nationkey % 3 - 1) * 4e0 AS x2, 65e0 AS y2 FROM nation""",
     "v_zone_edges": """SELECT r_regionkey AS poly_id, e.* FROM region, (VALUES (0), (1), (2), (3)) AS k(edge_ix),
         LATERAL (SELECT edge_ix, CASE edge_ix WHEN 1 THEN r_regionkey * 70e0 + 60e0 WHEN 2 THEN r_regionkey * 70e0 + 60e0 ELSE r_regionkey * 70e0 END AS x1,
           CASE WHEN edge_ix < 2 THEN 0e0 ELSE 55e0 END AS y1,
