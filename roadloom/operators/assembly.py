@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .groups import fold_groups
 from .series import points_near
 
 
@@ -219,10 +219,11 @@ def support_deconflict(supports: DataFrame, top: int = 6) -> DataFrame:
     A pair's arcs are few and are solved together, by cheapest augmenting paths: each serves
     one more arc at the least extra cost, so the work is polynomial in the arcs."""
 
-    def solve(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["arc_id", "rank", "dist", "coverage", "support"], ascending=[True, True, True, False, True]).drop_duplicates(["arc_id", "support"])
-        cost = {(a, s): (int(r), round(float(d), 9), -round(float(c), 9)) for a, s, r, d, c in zip(pdf["arc_id"], pdf["support"], pdf["rank"], pdf["dist"], pdf["coverage"])}
-        arcs = sorted(set(pdf["arc_id"]))
+    def solve(rows: list) -> list[tuple]:
+        cost: dict = {}
+        for r in rows:  # the best row of an arc and a support comes first
+            cost.setdefault((r.arc_id, r.support), (int(r.rank), round(float(r.dist), 9), -round(float(r.coverage), 9)))
+        arcs = sorted({a for a, _ in cost})
         options = {a: [s for b, s in cost if b == a] for a in arcs}
         owner: dict = {}  # support -> arc
         add = lambda x, y, sign=1: tuple(a + sign * b for a, b in zip(x, y))
@@ -256,11 +257,12 @@ def support_deconflict(supports: DataFrame, top: int = 6) -> DataFrame:
                 owner[s] = a
                 s = before
         given = {a: s for s, a in owner.items()}
-        return pd.DataFrame({"src": pdf["src"].iloc[0], "dst": pdf["dst"].iloc[0], "arc_id": arcs, "support": pd.array([given.get(a) for a in arcs], "Int64")})
+        return [(rows[0].src, rows[0].dst, a, given.get(a)) for a in arcs]
 
-    w = Window.partitionBy("src", "dst", "arc_id").orderBy("rank", "dist", F.desc("coverage"), "support")
-    few = supports.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= top).drop("_r")
-    return few.groupBy("src", "dst").applyInPandas(solve, "src long, dst long, arc_id long, support long")
+    order = ["rank", "dist", F.desc("coverage"), "support"]
+    w = Window.partitionBy("src", "dst", "arc_id").orderBy(*order)
+    few = supports.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= top).select("src", "dst", "arc_id", "support", "rank", "dist", "coverage")
+    return fold_groups(few, ["src", "dst"], ["arc_id", *order], solve, "src long, dst long, arc_id long, support long").withColumn("support", F.col("support").cast("long"))
 
 
 def _line_gap(a: np.ndarray, b: np.ndarray) -> float:
@@ -291,29 +293,29 @@ def segment_cluster(segments: DataFrame, by: list[str], offset_m: float = 6.0, l
     reason. line: array of (x, y) of two points or more; supports: ids of trajectories.
     The order matters, so each arc's segments are folded together."""
 
-    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["offset", "segment_id"]).reset_index(drop=True)
-        lines = [np.array([[p["x"], p["y"]] for p in line], float) for line in pdf["line"]]
+    def fold(rows: list) -> list[tuple]:
+        lines = [np.array([[p["x"], p["y"]] for p in r.line], float) for r in rows]
         groups: list[list[int]] = []
-        for i, offset in enumerate(pdf["offset"]):
-            home = next((g for g in groups if abs(offset - pdf["offset"][g[0]]) <= offset_m and _line_gap(lines[i], lines[g[0]]) <= line_m), None)
+        for i, r in enumerate(rows):
+            home = next((g for g in groups if abs(r.offset - rows[g[0]].offset) <= offset_m and _line_gap(lines[i], lines[g[0]]) <= line_m), None)
             if home is None:
                 groups.append([i])
             else:
                 home.append(i)
-        groups.sort(key=lambda g: sum(pdf["offset"][i] for i in g) / len(g))
+        groups.sort(key=lambda g: sum(rows[i].offset for i in g) / len(g))
         length = [float(np.sqrt(((x[1:] - x[:-1]) ** 2).sum(-1)).sum()) for x in lines]
         out = []
         for rank, g in enumerate(groups, 1):
-            best = min(g, key=lambda i: (pdf["source"][i] != "traj", -len(pdf["supports"][i]), -round(length[i], 9), i))
-            kinds = {pdf["source"][i] for i in g}
+            best = min(g, key=lambda i: (rows[i].source != "traj", -len(rows[i].supports), -round(length[i], 9), i))
+            kinds = {rows[i].source for i in g}
             reason = "prior_only_cluster" if kinds == {"prior"} else "traj_supported_cluster" if kinds == {"traj"} else "mixed_support"
-            n = len({t for i in g for t in pdf["supports"][i]})
-            out += [{**{c: pdf[c][i] for c in by}, "segment_id": pdf["segment_id"][i], "cluster": rank, "size": len(g), "representative": i == best, "n_support": n, "reason": reason} for i in g]
-        return pd.DataFrame(out)
+            n = len({t for i in g for t in rows[i].supports})
+            out += [(*[getattr(rows[i], c) for c in by], rows[i].segment_id, rank, len(g), i == best, n, reason) for i in g]
+        return out
 
     schema = ", ".join(f"{c} long" for c in by) + ", segment_id long, cluster int, size int, representative boolean, n_support int, reason string"
-    return segments.select(*by, "segment_id", "offset", "source", "supports", "line").groupBy(*by).applyInPandas(fold, schema)
+    rows = segments.select(*by, "segment_id", F.col("offset").cast("double").alias("offset"), "source", "supports", "line")
+    return fold_groups(rows, by, ["offset", "segment_id"], fold, schema)
 
 
 def traj_stitch_candidates(tails: DataFrame, heads: DataFrame, radii: tuple[float, ...] = (2.0, 5.0, 10.0), max_turn: float = 35.0, least_ahead: float = 0.0, top: int = 3) -> DataFrame:

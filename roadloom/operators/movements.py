@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-import pandas as pd
+import cmath
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import circular_difference, signed_delta
+from .groups import fold_groups
 
 
 def arm_cluster(approaches: DataFrame, tolerance: float = 40.0) -> DataFrame:
@@ -15,28 +18,25 @@ def arm_cluster(approaches: DataFrame, tolerance: float = 40.0) -> DataFrame:
     ones the first), else found one. Where an arm's angles cancel out, its first one stands
     for the mean. The result depends on that order, so an intersection's few approaches are
     folded together."""
-    schema = "intersection_id bigint, approach_id bigint, arm int"
-
-    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
-        import numpy as np
 
-        pdf = pdf.sort_values(["angle", "approach_id"])
+    def fold(rows: list) -> list[tuple]:
         sums: list[complex] = []
         firsts: list[complex] = []
-        arms = []
-        for unit in np.exp(1j * np.radians(pdf["angle"].to_numpy(float))):
+        out = []
+        for row in rows:
+            unit = cmath.rect(1, math.radians(row.angle))
             means = [s if max(abs(s.real), abs(s.imag)) > 1e-9 else f for s, f in zip(sums, firsts)]
-            gaps = [round(abs(float(np.degrees(np.angle(unit / m)))), 9) for m in means]
-            arm = min((g, i) for i, g in enumerate([*gaps, tolerance + 1]))[1]
-            if arm == len(sums) or gaps[arm] > tolerance:
-                arm = len(sums)
+            gaps = [round(abs(math.degrees(cmath.phase(unit / m))), 9) for m in means]
+            arm = gaps.index(min(gaps)) if gaps and min(gaps) <= tolerance else len(sums)
+            if arm == len(sums):
                 sums.append(0j)
                 firsts.append(unit)
             sums[arm] += unit
-            arms.append(arm)
-        return pd.DataFrame({"intersection_id": pdf["intersection_id"], "approach_id": pdf["approach_id"], "arm": arms})
+            out.append((row.intersection_id, row.approach_id, arm))
+        return out
 
-    got = approaches.select("intersection_id", "approach_id", "angle").groupBy("intersection_id").applyInPandas(fold, schema)
+    rows = approaches.select("intersection_id", "approach_id", F.col("angle").cast("double").alias("angle"))
+    got = fold_groups(rows, ["intersection_id"], ["angle", "approach_id"], fold, "intersection_id bigint, approach_id bigint, arm int")
     return approaches.join(got, ["intersection_id", "approach_id"])
 
 

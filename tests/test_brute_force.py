@@ -7,7 +7,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from roadloom.operators import assembly, movements, network, series, zones
+from roadloom.operators import assembly, evidence, movements, network, series, zones
 from roadloom.plans import QUERIES
 
 
@@ -178,3 +178,32 @@ def test_crossings_of_slanted_cross_sections(spark):
     got = zones.crossing_events(lines, spark.createDataFrame(xsecs, "node_id long, x1 double, y1 double, x2 double, y2 double"), ["traj_id"])
     assert {(r["traj_id"], r["node_id"]) for r in got.collect()} == want
     assert got.where(F.col("seq_at") < 0).count() == 0
+
+
+def test_chain_line_merge_against_plain_loops(spark):
+    rnd = random.Random(9)
+    nodes = {n: (rnd.random() < 0.6, rnd.random() < 0.6, float(rnd.randrange(40)), *(float(rnd.randrange(9)) for _ in range(4))) for n in range(60)}
+    edges = sorted({(n // 10, n, 10 * (n // 10) + rnd.randrange(10)): float(rnd.randrange(1, 9)) for n in range(60) for _ in range(3)}.items())
+    edges = [(*k, m) for k, m in edges if k[1] != k[2]]
+
+    def gap(a, b):
+        spots = lambda x1, y1, x2, y2: [(x1 + t / 200 * (x2 - x1), y1 + t / 200 * (y2 - y1)) for t in range(201)]
+        side = lambda p, q, r: (q[0] - p[0]) * (r[1] - p[1]) - (q[1] - p[1]) * (r[0] - p[0])
+        p, q, r, s = a[:2], a[2:], b[:2], b[2:]
+        if side(p, q, r) * side(p, q, s) < 0 and side(r, s, p) * side(r, s, q) < 0:
+            return 0.0
+        return min(math.dist(x, y) for x in spots(*a) for y in spots(*b))
+
+    want = set()
+    for c in range(6):
+        used = set()
+        for _, a, b, m in sorted((e for e in edges if e[0] == c), key=lambda e: (e[3], e[1], e[2])):
+            nearest = min((e[3], e[1]) for e in edges if e[2] == b)[1]
+            s, t = nodes[a], nodes[b]
+            if a in used or b in used or not s[0] or not t[1] or s[2] >= t[2] or nearest != a or gap(s[3:], t[3:]) > 1.001:
+                continue
+            used |= {a, b}
+            want.add((a, b, a if round(math.dist(s[3:5], s[5:]), 9) >= round(math.dist(t[3:5], t[5:]), 9) else b))
+    df = spark.createDataFrame([(n, *v) for n, v in nodes.items()], "node_id long, diverge boolean, merge boolean, offset_m double, x1 double, y1 double, x2 double, y2 double")
+    got = evidence.chain_line_merge(spark.createDataFrame(edges, "component long, src long, dst long, dist_m double"), df).collect()
+    assert {(r["src"], r["dst"], r["keeper"]) for r in got} == want and want
