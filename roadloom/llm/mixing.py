@@ -99,7 +99,10 @@ def mix(docs: DataFrame, weight: Column | None = None) -> DataFrame:
         F.struct(*[F.col(f"`{c}`") for c in own]).alias("row"), F.xxhash64("doc_id", "text").alias("rid"), F.col("source").alias("host"),
         word_count(F.col("text").cast("string")).alias("n"), exponential(name).alias("key"), weight.alias("weight"),
     ).withColumn("key", F.col("key") / F.col("weight"))
-    sized = keep(rows.drop("row"), "sizes")
+    # Kept with the rows, so that texts are measured and weighed once; columns that the
+    # caller drops are not read again.
+    rows = keep(rows, "sizes")
+    sized = rows.drop("row")
     # In units of the smallest weight, no range has more than its share times the ratio of weights.
     least = sized.agg(F.min("weight")).first()[0] or 1.0
     bucket = F.floor((1 - F.exp(-F.col("key") * least)) * BUCKETS).cast("int")
