@@ -72,6 +72,17 @@ def keep(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(*tables: DataFrame) -> None:
+    """Deletes tables from keep() that nothing reads any more."""
+    for table in tables:
+        files = table.inputFiles()
+        if files:
+            path = files[0].rsplit("/", 1)[0]
+            spark = table.sparkSession
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(place, True)
+
+
 def discard(spark: SparkSession) -> None:
     """Deletes the tables kept so far. Results that still read them can't be used after it."""
     jvm, conf = spark._jvm, spark._jsparkSession.sessionState().newHadoopConf()
@@ -101,18 +112,19 @@ def components(edges: DataFrame, name: str) -> DataFrame:
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
         # Kept apart from its own shuffle, so that Spark can split an id with many neighbours.
-        low = small(keep(low, name), 1_000_000)
-        large = both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        low = keep(low, name)
+        large = both.join(small(low, 1_000_000), "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         large = keep(large.distinct(), name)
-        low = small(keep(large.groupBy("a").agg(F.min("b").alias("m")), name), 1_000_000)
+        least = keep(large.groupBy("a").agg(F.min("b").alias("m")), name)
         small_star = (
-            large.join(low, "a")
+            large.join(small(least, 1_000_000), "a")
             .select(F.explode(F.array(F.struct(F.col("a").alias("x"), F.col("m").alias("y")), F.struct(F.col("b").alias("x"), F.col("m").alias("y")))).alias("e"))
             .where("e.x <> e.y")
             .select(F.greatest("e.x", "e.y").alias("a"), F.least("e.x", "e.y").alias("b"))
             .distinct()
         )
         new = keep(small_star, name)
+        release(edges, low, large, least)
         # Done when every edge leads from an id to a root: no b is itself an a.
         chained = new.join(new.select(F.col("a").alias("b")).distinct(), "b", "left_semi").limit(1).count()
         several = 0 if chained else new.groupBy("a").count().where("count > 1").limit(1).count()

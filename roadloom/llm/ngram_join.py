@@ -31,7 +31,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, components, keep, small
+from .common import bounded_batches, components, keep, release, small
 from .kernels import P, blocks, distinct, mix
 from .signature_tree import bitmap, link, possible_ties
 
@@ -186,6 +186,7 @@ def ngram_components(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFram
         yield pd.DataFrame(close(), columns=["a", "b"]).astype("int64")
 
     clusters = components(met.mapInPandas(tie, "a long, b long").union(stars), "ties")
+    release(shared, several)
 
     # 4. Links within clusters.
     links = _links(alone, keep(clusters.join(sizes, clusters["id"] == sizes["doc_id"]).select("doc_id", F.col("label").alias("cluster"), "n"), "clusters"), k, percent, n_parts)
