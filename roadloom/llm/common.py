@@ -111,20 +111,22 @@ def components(edges: DataFrame, name: str) -> DataFrame:
     while True:
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        # Kept apart from its own shuffle, so that Spark can split an id with many neighbours.
-        low = keep(low, name)
-        large = both.join(small(low, 1_000_000), "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        large = keep(large.distinct(), name)
-        least = keep(large.groupBy("a").agg(F.min("b").alias("m")), name)
+        # Broadcast where it must be small. Else kept apart from its own shuffle, so that
+        # Spark can split an id with many neighbours.
+        few = edges.count() <= BROADCAST_ROWS
+        aside = F.broadcast if few else lambda df: keep(df, name)
+        large = both.join(aside(low), "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        large = large.distinct()
+        least = large.groupBy("a").agg(F.min("b").alias("m"))
         small_star = (
-            large.join(small(least, 1_000_000), "a")
+            large.join(aside(least), "a")
             .select(F.explode(F.array(F.struct(F.col("a").alias("x"), F.col("m").alias("y")), F.struct(F.col("b").alias("x"), F.col("m").alias("y")))).alias("e"))
             .where("e.x <> e.y")
             .select(F.greatest("e.x", "e.y").alias("a"), F.least("e.x", "e.y").alias("b"))
             .distinct()
         )
         new = keep(small_star, name)
-        release(edges, low, large, least)
+        release(edges)
         # Done when every edge leads from an id to a root: no b is itself an a.
         chained = new.join(new.select(F.col("a").alias("b")).distinct(), "b", "left_semi").limit(1).count()
         several = 0 if chained else new.groupBy("a").count().where("count > 1").limit(1).count()
