@@ -140,3 +140,55 @@ def crossline_clip(pieces: DataFrame, by: list[str], centre: float) -> DataFrame
     far = F.greatest(F.lit(0.0), F.col("start_s") - centre, centre - F.col("end_s"))
     got = pieces.groupBy(*by).agg(F.min_by(F.struct("start_s", "end_s"), F.struct(F.round(far, 6), "start_s")).alias("p"))
     return got.select(*by, "p.start_s", "p.end_s")
+
+
+def reverse_tip(nodes: DataFrame, forward: DataFrame, tips: DataFrame, zone_edges: DataFrame, step: float = 1.0, half: float = 20.0, reach: float = 10.0, near: float = 1.0, max_offset: float = 10.0) -> DataFrame:
+    """Looks for an anchor behind nodes (node_id, x, y, ux, uy), where the way ahead gives
+    none that can be trusted: (node_id, trigger, source, s, used). forward: node_id, first_s,
+    tip_s, split_s, at_node (a divider lies at the node itself), multi (more than one branch,
+    not searched) and back_tip_s (the divider's tip projected, negative behind the node).
+    Steps go back to `reach`, from one step on where a divider lies at the node. What is
+    found behind replaces the choice ahead, which stays otherwise."""
+    ahead = forward.withColumn("c", reference_choice(max_offset))
+    none = F.col("first_s").isNull() & F.col("tip_s").isNull() & F.col("split_s").isNull()
+    why = F.when(none, "missing_ref").when(F.col("at_node"), "untrusted_divstrip_at_node").when(F.col("first_s").isNotNull() & F.col("split_s").isNull(), "first_hit_no_split")
+    ahead = ahead.withColumn("trigger", F.when(~F.col("multi"), why))
+    behind = nodes.join(ahead.where("trigger IS NOT NULL").select("node_id", "at_node"), "node_id")
+    behind = behind.withColumns({"ux": -F.col("ux"), "uy": -F.col("uy"), "stop_m": F.lit(float(reach))})
+    at = behind.select("node_id", F.when(F.col("at_node"), step).otherwise(0.0).alias("from_s"))
+    scan = crossline_scan(behind, step, half).join(at, "node_id").where("s >= from_s").drop("from_s")
+    split = first_split(scan, scan_pieces(scan, zone_edges)).select("node_id", (-F.col("split_s")).alias("split_s"))
+    hit = divstrip_first_hit(scan, tips, near).select("node_id", (-F.col("first_s")).alias("first_s"))
+    tip = F.when((F.col("back_tip_s") >= -reach) & (F.col("back_tip_s") <= 0) & (~F.col("at_node") | (F.col("back_tip_s") < 0)), F.col("back_tip_s"))
+    back = ahead.where("trigger IS NOT NULL").select("node_id", tip.alias("tip_s")).join(split, "node_id", "left").join(hit, "node_id", "left")
+    back = back.select("node_id", reference_choice(max_offset).alias("b"))
+    rows = ahead.join(back, "node_id", "left").withColumn("used", F.coalesce(F.col("b.source") != "none", F.lit(False)))
+    return rows.select("node_id", "trigger", F.when(F.col("used"), F.concat(F.lit("reverse_"), "b.source")).otherwise(F.col("c.source")).alias("source"), F.when(F.col("used"), F.col("b.s")).otherwise(F.col("c.s")).alias("s"), "used")
+
+
+def k16_search(nodes: DataFrame, roads: DataFrame, away: DataFrame, zone_edges: DataFrame, step: float = 0.5, half: float = 10.0, reach: float = 10.0, ahead: float = 5.0, least_m: float = 0.01) -> DataFrame:
+    """Anchors of nodes (node_id, x, y) with one road: (node_id, s, first_s, start_s, end_s,
+    n_pieces, reason). Crosslines go along the road, away from the node; s is negative where the
+    road's direction leads to the node. The first one within `reach` that meets a zone counts, or
+    one up to `ahead` farther on, if its piece (the one that holds the centre, else the
+    nearest) is longer, or as long in fewer pieces. Other nodes get the reason why not.
+    away: road_id, node_id, at_end, ax, ay, as of evidence.away_and_trend_vector."""
+    starts = ((F.col("direction") == 2) & ~F.col("at_end")) | ((F.col("direction") == 3) & F.col("at_end"))
+    at = away.join(roads.select("road_id", "direction"), "road_id").withColumn("back", ~F.coalesce(starts, F.lit(False)))
+    own = at.groupBy("node_id").agg(F.count_distinct("road_id").alias("n_roads"), F.min(F.struct("back", "road_id", "direction", "ax", "ay")).alias("r"))
+    rows = nodes.select("node_id", "x", "y").join(own, "node_id", "left")
+    single = rows.where("n_roads = 1 AND r.direction IN (2, 3)")
+    scan = crossline_scan(single.select("node_id", "x", "y", F.col("r.ax").alias("ux"), F.col("r.ay").alias("uy"), F.lit(float(reach + ahead)).alias("stop_m")), step, half)
+    pieces = scan_pieces(scan, zone_edges, least_m)
+    key = ["node_id", "k", "s"]
+    clip = crossline_clip(pieces, key, half).join(pieces.groupBy(*key).agg(F.count("*").alias("n_pieces")), key)
+    first = pieces.where(F.col("s") <= reach).groupBy("node_id").agg(F.min("s").alias("first_s"))
+    tried = clip.join(first, "node_id").where((F.col("s") >= F.col("first_s")) & (F.col("s") <= F.col("first_s") + ahead))
+    rank = F.struct((-F.round(F.col("end_s") - F.col("start_s"), 4)).alias("l"), F.col("n_pieces"), F.col("s"))
+    best = tried.groupBy("node_id").agg(F.min_by(F.struct("s", "first_s", "start_s", "end_s", "n_pieces"), rank).alias("b"))
+    why = (
+        F.when(F.coalesce("n_roads", F.lit(0)) != 1, "K16_ROAD_NOT_UNIQUE").when(~F.coalesce(F.col("r.direction").isin(2, 3), F.lit(False)), "K16_ROAD_DIR_UNSUPPORTED")
+        .when(F.col("b").isNull(), "K16_DRIVEZONE_NOT_REACHED").when(F.col("b.s") > F.col("b.first_s"), "ok_refined").otherwise("ok")
+    )
+    sign = F.when(F.col("r.back"), -1.0).otherwise(1.0)
+    return rows.join(best, "node_id", "left").select("node_id", (sign * F.col("b.s")).alias("s"), (sign * F.col("b.first_s")).alias("first_s"), "b.start_s", "b.end_s", "b.n_pieces", why.alias("reason"))

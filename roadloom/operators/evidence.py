@@ -242,3 +242,103 @@ def chain_line_merge(edges: DataFrame, nodes: DataFrame, reach: float = 1.0) ->
 
     return fold_groups(rows, ["component"], ["dist_m", "src", "dst"], fold, "src long, dst long, keeper long, how string")
 
+
+
+def endpoint_interval_raw(arcs: DataFrame, crossings: DataFrame, surfaces: DataFrame, width: float = 1.0) -> DataFrame:
+    """The interval of each arc at a cross-section (node_id, role, arc_id, start_s, end_s, width_m,
+    mode, n_used). arcs: node_id, role, arc_id, ord, length_m (of the cross-section) and
+    projection_s (or null); crossings: node_id, role, arc_id, traj_id, s, clean; surfaces: node_id,
+    start_s, end_s. Clean crossings come first, then all, then the projection, then the
+    arc's place by (ord, arc_id) in the longest surface interval (if it has company there), then that interval,
+    then the first metre. One trajectory gives `width` around its (upper) median. All but the last two are
+    clipped to the surface interval that holds their centre, else overlaps most, else is nearest."""
+    key = ["node_id", "role", "arc_id"]
+    cols = {"lo": F.min, "hi": F.max, "t0": F.min, "t1": F.max}
+    source = {"lo": "s", "hi": "s", "t0": "traj_id", "t1": "traj_id"}
+    aggs = [f(source[n]).alias(f"all_{n}") for n, f in cols.items()] + [f(F.when(F.col("clean"), F.col(source[n]))).alias(f"clean_{n}") for n, f in cols.items()]
+    mids = [F.expr("-percentile_disc(0.5) WITHIN GROUP (ORDER BY -s)").alias("all_mid"), F.expr("-percentile_disc(0.5) WITHIN GROUP (ORDER BY -s) FILTER (WHERE clean)").alias("clean_mid")]
+    met = crossings.groupBy(*key).agg(F.count("*").alias("n_all"), F.count_if("clean").alias("n_clean"), *aggs, *mids)
+    pick = {n: F.when(F.col("n_clean") > 0, F.col(f"clean_{n}")).otherwise(F.col(f"all_{n}")) for n in [*cols, "mid"]}
+    met = met.select(*key, F.col("n_clean") > 0, F.when(F.col("n_clean") > 0, F.col("n_clean")).otherwise(F.col("n_all")).alias("n_used"), *[c.alias(n) for n, c in pick.items()]).toDF(*key, "has_clean", "n_used", *pick)
+    longest = surfaces.groupBy("node_id").agg(F.min(F.struct((-F.round(F.col("end_s") - F.col("start_s"), 9)).alias("l"), "start_s", "end_s")).alias("c"))
+    group = Window.partitionBy("node_id", "role")
+    rows = arcs.withColumns({"_rank": F.row_number().over(group.orderBy("ord", "arc_id")), "_n": F.count("*").over(group)})
+    rows = rows.join(met, key, "left").join(longest, "node_id", "left")
+    share = F.when(F.col("_n") > 1, F.col("c.start_s") + F.col("_rank") / (F.col("_n") + 1) * (F.col("c.end_s") - F.col("c.start_s")))
+    spot = F.coalesce("projection_s", share)
+    crossed, one = F.col("n_used").isNotNull(), F.coalesce(F.col("t0") == F.col("t1"), F.lit(True)) | (F.col("hi") - F.col("lo") < 1e-6)
+    centre = F.when(crossed & F.coalesce(F.col("t0") == F.col("t1"), F.lit(True)), F.col("mid")).when(crossed, (F.col("lo") + F.col("hi")) / 2).otherwise(spot)
+    rows = rows.withColumn("centre", centre).withColumns({"a": F.when(crossed & ~one, F.col("lo")).otherwise(F.col("centre") - width / 2), "b": F.when(crossed & ~one, F.col("hi")).otherwise(F.col("centre") + width / 2)})
+    rows = rows.withColumns({"raw_m": F.greatest(F.col("b") - F.col("a"), F.lit(width)), "a": F.greatest(F.lit(0.0), "a")}).withColumn("b", F.greatest("a", "b"))
+    mode = F.when(crossed & F.col("has_clean"), "clean_traj_crossing").when(crossed, "ambiguous_traj_crossing").when(spot.isNotNull(), "fallback_projection").when(F.col("c").isNotNull(), "surface_legal_interval").otherwise("xsec_fallback_interval")
+    rows = rows.withColumn("mode", mode)
+
+    part = rows.where("centre IS NOT NULL").select(*key, "a", "b", "centre").join(surfaces.select("node_id", F.col("start_s").alias("p"), F.col("end_s").alias("q")), "node_id")
+    over = F.greatest(F.lit(0.0), F.least("q", "b") - F.greatest("p", "a"))
+    holds = F.col("centre").between(F.col("p") - 1e-6, F.col("q") + 1e-6)
+    rank = F.struct((~holds).alias("h"), (-F.round(over, 9)).alias("o"), F.round(F.abs((F.col("p") + F.col("q")) / 2 - F.col("centre")), 9).alias("d"), F.col("p"))
+    cut_to = F.struct(F.when(over > 1e-6, F.greatest("p", "a")).otherwise(F.col("p")).alias("p"), F.when(over > 1e-6, F.least("q", "b")).otherwise(F.col("q")).alias("q"))
+    clip = part.groupBy(*key).agg(F.min_by(cut_to, rank).alias("k"))
+    rows = rows.join(clip, key, "left")
+    plain = F.col("mode") == "xsec_fallback_interval"
+    start = F.when(plain, 0.0).when(F.col("mode") == "surface_legal_interval", F.col("c.start_s")).otherwise(F.coalesce("k.p", "a"))
+    end = F.when(plain, F.least("length_m", F.lit(1.0))).when(F.col("mode") == "surface_legal_interval", F.col("c.end_s")).otherwise(F.coalesce("k.q", "b"))
+    wide = F.when(F.col("centre").isNull(), F.col("end_s") - F.col("start_s")).otherwise(F.greatest("raw_m", F.col("end_s") - F.col("start_s")))
+    rows = rows.withColumns({"start_s": start, "end_s": end})
+    return rows.select(*key, "start_s", "end_s", wide.alias("width_m"), "mode", F.coalesce("n_used", F.lit(0)).alias("n_used"))
+
+
+def lane_boundary_centerline(
+    roads: DataFrame, boundaries: DataFrame, zones: DataFrame, reach: float = 12.0, step: float = 8.0, low: float = 1.5, high: float = 18.0, target: float = 6.0, inside: float = 0.75
+) -> DataFrame:
+    """The middle between two lane boundaries for each road: (patch_id, road_id, lane_a, lane_b,
+    quality, offset_m, length_m, line: array of (k, x, y)). roads and boundaries are segments (zones.segments) by
+    (patch_id, road_id) and (patch_id, lane_id). Boundaries within `reach` of the road's middle are tried in pairs:
+    at samples every `step` and at the end, the nearest places on both must be `low` to `high`
+    apart, three samples or more, and `inside` of their middle line in a zone. Quality falls with
+    the offset from the road, the spread of the width and its distance from `target`; the best
+    pair stays, of equal ones that with the smaller offset, then the longer line. Roads without
+    such a pair have no row."""
+    from .zones import line_project, polyline_densify, segments
+
+    key = ["patch_id", "road_id"]
+    sizes = roads.groupBy(*key).agg(F.sum("seg_m").alias("road_m")).where("road_m > 1e-6")
+    own = roads.where("seg_m > 0").join(sizes, key)
+
+    def place(s: Column) -> list[Column]:
+        f = (s - F.col("s1")) / F.col("seg_m")
+        return [(F.col("x1") + f * (F.col("x2") - F.col("x1"))).alias("x"), (F.col("y1") + f * (F.col("y2") - F.col("y1"))).alias("y")]
+
+    middle = own.where("road_m / 2 >= s1 AND road_m / 2 < s1 + seg_m").select(*key, *place(F.col("road_m") / 2))
+    tried = line_project(middle, boundaries, ["lane_id"], ["road_id"], reach).select(*key, "lane_id")
+    last = own.groupBy(*key).agg(F.max_by(F.struct("x2", "y2", "s1", "seg_m"), "seq").alias("e"))
+    end = last.select(*key, F.ceil((F.col("e.s1") + F.col("e.seg_m")) / step).cast("int").alias("k"), F.col("e.x2").alias("x"), F.col("e.y2").alias("y"))
+    spots = polyline_densify(own, key, step).select(*key, "k", "x", "y").union(end)
+    n = spots.groupBy(*key).agg(F.count("*").alias("n_spots"))
+
+    b = boundaries.select("patch_id", "lane_id", F.col("seq").alias("bseq"), *[F.col(c).alias(f"b{c}") for c in ("x1", "y1", "x2", "y2")])
+    rows = spots.join(tried, key).join(b, ["patch_id", "lane_id"])
+    dx, dy = F.col("bx2") - F.col("bx1"), F.col("by2") - F.col("by1")
+    t = F.coalesce(F.greatest(F.lit(0.0), F.least(F.lit(1.0), ((F.col("x") - F.col("bx1")) * dx + (F.col("y") - F.col("by1")) * dy) / F.nullif(dx * dx + dy * dy, F.lit(0.0)))), F.lit(0.0))
+    rows = rows.withColumns({"px": F.col("bx1") + t * dx, "py": F.col("by1") + t * dy})
+    off = F.round(F.sqrt((F.col("px") - F.col("x")) ** 2 + (F.col("py") - F.col("y")) ** 2), 9)
+    near = rows.groupBy(*key, "k", "x", "y", "lane_id").agg(F.min_by(F.struct("px", "py"), F.struct(off.alias("d"), F.col("bseq"))).alias("p"))
+
+    one = near.select(*key, "k", "x", "y", F.col("lane_id").alias("lane_a"), F.col("p").alias("pa"))
+    two = near.select(*key, "k", F.col("lane_id").alias("lane_b"), F.col("p").alias("pb"))
+    both = one.join(two, [*key, "k"]).where("lane_a < lane_b")
+    both = both.withColumns({"cx": (F.col("pa.px") + F.col("pb.px")) / 2, "cy": (F.col("pa.py") + F.col("pb.py")) / 2, "sep": F.sqrt((F.col("pa.px") - F.col("pb.px")) ** 2 + (F.col("pa.py") - F.col("pb.py")) ** 2)})
+    both = both.withColumn("off", F.sqrt((F.col("cx") - F.col("x")) ** 2 + (F.col("cy") - F.col("y")) ** 2))
+    pair = [*key, "lane_a", "lane_b"]
+    line = F.sort_array(F.collect_list(F.struct("k", F.col("cx").alias("x"), F.col("cy").alias("y")))).alias("line")
+    stats = both.groupBy(*pair).agg(F.count("*").alias("n"), F.min("sep").alias("sep1"), F.max("sep").alias("sep2"), F.avg("sep").alias("sep"), F.avg("off").alias("offset_m"), line)
+    fit = cut(stats.join(n, key).where((F.col("n") >= 3) & (F.col("n") == F.col("n_spots")) & (F.col("sep1") >= low) & (F.col("sep2") <= high)))
+    drawn = segments(fit.select(*pair, F.inline("line")), pair, "k")
+    lengths = drawn.groupBy(*pair).agg(F.sum("seg_m").alias("length_m")).where("length_m > 1e-6")
+    covered = line_zone_pieces(drawn, zones, pair).groupBy(*pair).agg(F.sum(F.col("end_s") - F.col("start_s")).alias("in_m"))
+    kept = fit.join(lengths, pair).join(covered, pair).where(F.round(F.col("in_m") / F.col("length_m"), 9) >= inside)
+    loss = F.col("offset_m") / max(reach, 1.0) + F.least(F.lit(0.45), (F.col("sep2") - F.col("sep1")) / max(high, 1.0)) + F.least(F.lit(0.25), F.abs(F.col("sep") - target) / max(high, 1.0))
+    kept = kept.withColumn("quality", F.round(F.greatest(F.lit(0.0), F.least(F.lit(1.0), 1 - loss)), 9))
+    rank = F.struct(-F.col("quality"), F.round("offset_m", 9), -F.round("length_m", 9), F.col("lane_a"), F.col("lane_b"))
+    best = kept.groupBy(*key).agg(F.min_by(F.struct("lane_a", "lane_b", "quality", "offset_m", "length_m", "line"), rank).alias("b"))
+    return best.select(*key, "b.*")
