@@ -351,3 +351,34 @@ def summary_bundle(metrics: DataFrame, by: list[str], top: int = 10) -> DataFram
     line = F.concat("name", F.lit("="), F.format_string("%.3f", "value"))
     lists = rows.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct("r", line.alias("t")))).alias("l"))
     return lists.select(*by, F.array_join(F.transform("l", lambda x: x.t), "\n").alias("text"))
+
+
+def pair_decision_audit(pairs: DataFrame, registry: DataFrame, segments: DataFrame, excluded: DataFrame, bridges: DataFrame, should_not: DataFrame, stages: list[str]) -> DataFrame:
+    """Why each pair (src, dst) was kept or dropped: (src, dst, n_arcs, arc_id, segment_id, built,
+    entered, selected, reject_stage, reject_reason, should_not_reason). Each table has src and dst:
+    registry arc_id, built, entry_allowed, entered, hard_block, unbuilt_stage, unbuilt_reason;
+    segments segment_id, direct_legal, is_unique, pair_rank, support; excluded candidate_id, stage,
+    reason; bridges stage, reason; should_not reason. A pair's best row speaks for it: of the registry built, allowed and
+    entered ones first; of the segments direct, unique, better ranked, better supported ones; of what was excluded the
+    first of `stages`. Only pairs that are neither built, entered nor selected have a reason to be rejected."""
+    key = ["src", "dst"]
+    no = lambda c: (~F.coalesce(F.col(c), F.lit(False))).alias(f"_{c}")
+    text = lambda c: F.nullif(F.col(c), F.lit(""))
+    reg = registry.groupBy(*key).agg(F.count("*").alias("n_arcs"), F.min(F.struct(no("built"), no("entry_allowed"), no("entered"), "arc_id", "hard_block", "unbuilt_stage", "unbuilt_reason")).alias("r"))
+    rank = [no("direct_legal"), no("is_unique"), F.coalesce("pair_rank", F.lit(999999)).alias("p"), (-F.coalesce("support", F.lit(0))).alias("s"), F.col("segment_id")]
+    seg = segments.groupBy(*key).agg(F.min(F.struct(*rank)).alias("g"))
+    place = F.coalesce(F.nullif(F.array_position(F.lit(stages), F.col("stage")), F.lit(0)), F.lit(len(stages) + 1))
+    out = excluded.groupBy(*key).agg(F.min(F.struct(place.alias("p"), "reason", "candidate_id", "stage")).alias("x"))
+    gap = bridges.groupBy(*key).agg(F.min(F.struct("stage", "reason")).alias("b"))
+    bad = should_not.groupBy(*key).agg(F.min("reason").alias("should_not_reason"))
+    rows = pairs.select(*key).distinct()
+    for part in (reg, seg, out, gap, bad):
+        rows = rows.join(part, key, "left")
+    built, entered, chosen = F.coalesce(~F.col("r._built"), F.lit(False)), F.coalesce(~F.col("r._entered"), F.lit(False)), F.col("g").isNotNull()
+    lost = ~built & ~entered & ~chosen
+    stage = F.coalesce(text("x.stage"), text("r.unbuilt_stage"), text("b.stage"))
+    reason = F.coalesce(text("x.reason"), text("r.hard_block"), text("r.unbuilt_reason"), text("b.reason"))
+    return rows.select(
+        *key, F.coalesce("n_arcs", F.lit(0)).alias("n_arcs"), F.col("r.arc_id").alias("arc_id"), F.col("g.segment_id").alias("segment_id"), built.alias("built"), entered.alias("entered"), chosen.alias("selected"),
+        F.when(lost, stage).alias("reject_stage"), F.when(lost, reason).alias("reject_reason"), "should_not_reason",
+    )
