@@ -11,7 +11,8 @@ A boundary is the number of ids up to and including a document. An Elias-Fano se
 of n values up to `top` has the l = floor(log2(top / n)) low bits of each, padded to 8
 bytes, then a unary bit string with a set bit at place (value >> l) + i for value i,
 padded to 8 bytes: about 2 + log2(top / n) bits a value instead of 64. `select` finds
-set bits by the running counts of the string's 64-bit words.
+set bits by the running count before every eighth of the string's 64-bit words and the
+counts within those eight, so it adds one bit for each eight of the string.
 
 A shard is a row of a Parquet table (shard, bytes). Spark writes and commits it, so
 any file system will do and a lost executor's shards are simply written again.
@@ -33,6 +34,7 @@ from .pieces import shared_vocabulary, task_encoder
 
 MAGIC, HEADER = b"RLTI", "<4sBBHQQQqQ"
 SHARD_IDS = 1_000_000
+RUN = 8  # words with one running count
 
 
 class EliasFano:
@@ -41,9 +43,9 @@ class EliasFano:
     def __init__(self, n: int, top: int, low: np.ndarray, high: np.ndarray):
         self.n, self.low_bits = n, self.width(n, top)
         self.low, self.high = low, high  # packed bytes
-        self._words = high.reshape(-1, 8)
-        self._ones = np.bitwise_count(high.view("<u8")).astype(np.int64)
-        self._upto = np.cumsum(self._ones)
+        full = np.frombuffer(high.tobytes() + bytes(-len(high) % (8 * RUN)), "<u8").reshape(-1, RUN)
+        self._words = full
+        self._before = np.append(0, np.cumsum(np.bitwise_count(full).sum(1, dtype=np.int64)))  # set bits before each run
 
     @staticmethod
     def width(n: int, top: int) -> int:
@@ -74,10 +76,15 @@ class EliasFano:
     def select(self, i: np.ndarray) -> np.ndarray:
         """The values of the given numbers, from one word of the unary string each."""
         i = np.asarray(i, np.int64)
-        word = np.searchsorted(self._upto, i, "right")
-        left = i - (self._upto[word] - self._ones[word])
-        bits = np.unpackbits(self._words[word], axis=1, bitorder="little")
-        place = 64 * word + (np.cumsum(bits, axis=1) == left[:, None] + 1).argmax(1)
+        run = np.searchsorted(self._before, i, "right") - 1
+        words = self._words[run]
+        upto = np.cumsum(np.bitwise_count(words), axis=1, dtype=np.int64)
+        left = i - self._before[run]
+        word = (upto > left[:, None]).argmax(1)
+        row = np.arange(len(i))
+        left -= np.where(word > 0, upto[row, np.maximum(word - 1, 0)], 0)
+        bits = np.unpackbits(words[row, word].reshape(-1, 1).view(np.uint8), axis=1, bitorder="little")
+        place = 64 * (RUN * run + word) + (np.cumsum(bits, axis=1) == left[:, None] + 1).argmax(1)
         at = i[:, None] * self.low_bits + np.arange(self.low_bits)
         low = (self.low[at >> 3] >> (at & 7).astype(np.uint8)) & 1
         high = (place - i).astype(np.uint64) << np.uint64(self.low_bits)
@@ -89,13 +96,16 @@ def _pad(b: bytes) -> bytes:
 
 
 def pack_shard(doc_ids: list[int | None], ids: list[np.ndarray], width: int) -> bytes:
-    """A shard of documents in ascending order of their ids, those without one first."""
+    """A shard of documents, which must come in ascending order of their ids, those without
+    one first."""
     ends = np.cumsum([len(x) for x in ids], dtype=np.int64)
     m = int(ends[-1]) if len(ends) else 0
     flat = np.concatenate(ids) if ids else np.zeros(0, np.uint32)
     if m and int(flat.max()) >> (8 * width):
         raise ValueError(f"id {flat.max()} does not fit into {width} bytes")
     named = [d for d in doc_ids if d is not None]
+    if any(d is not None for d in doc_ids[: len(doc_ids) - len(named)]) or any(a > b for a, b in zip(named, named[1:])):
+        raise ValueError("a shard's documents come in ascending order of their ids, those without one first")
     first, reach = (named[0], named[-1] - named[0]) if named else (0, 0)
     offsets = np.array([d - first for d in named], np.uint64)
     head = struct.pack(HEADER, MAGIC, 2, width, 0, len(doc_ids), m, len(doc_ids) - len(named), first, reach)

@@ -1,6 +1,8 @@
 import random
+from pathlib import Path
 
 import numpy as np
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -51,7 +53,7 @@ def test_encoder_on_fixed_texts_and_nulls():
 def test_a_full_cache_starts_anew():
     from roadloom.llm.pieces import PieceEncoder
 
-    enc = PieceEncoder(default_vocabulary(), most=50)
+    enc = PieceEncoder(Path(default_vocabulary()).read_bytes(), most=50)
     texts = [" ".join(f"w{i * j}" for j in range(30)) for i in range(20)]
     assert [x.tolist() for x in enc.ids(texts)] == [enc.encode_whole(t) for t in texts]
 
@@ -74,18 +76,37 @@ def test_blocks_keep_all_texts():
 
 def test_elias_fano_round_trip():
     rnd = random.Random(3)
-    for values in ([], [0], [0, 0, 5], [7] * 300, sorted(rnd.randrange(10**6) for _ in range(1000))):
-        ef = EliasFano.build(np.array(values, np.int64), max(values, default=0))
-        assert ef.values().tolist() == values
-        assert [ef.select(i) for i in range(len(values))] == values
-    # about 2 + log2(m / n) bits a value
-    low, high = EliasFano.sizes(1000, 10**6)
-    assert (low + high) * 8 < 1000 * 13
+    for values in ([], [0], [0, 0, 5], [7] * 300, sorted(rnd.randrange(10**6) for _ in range(1000)), list(range(5000)), [0] * 700 + [10**12]):
+        top = max(values, default=0)
+        ef = EliasFano.build(np.array(values, np.int64), top)
+        assert ef.select(np.arange(len(values))).tolist() == values
+        some = np.array(rnd.choices(range(len(values)), k=20) if values else [], np.int64)  # any order, repeated
+        assert ef.select(some).tolist() == [values[i] for i in some]
+        data = b"head" * 2 + ef.tobytes() + b"tail"
+        again, at = EliasFano.read(data, 8, len(values), top)
+        assert at == len(data) - 4 and again.select(np.arange(len(values))).tolist() == values
+    # about 2 + log2(top / n) bits a value
+    assert len(EliasFano.build(np.array(sorted(rnd.randrange(10**6) for _ in range(1000))), 10**6).tobytes()) * 8 < 1000 * 13
 
 
 def test_shard_round_trip():
-    ids = [np.array(x, np.uint32) for x in ([1, 2, 0], [0], list(range(70)))]
+    ids = [np.array(x, np.uint32) for x in ([9], [1, 2, 0], [0], [], list(range(70)))]
+    keys = [None, -7, 5, 5, 6]
     for width in (2, 4):
-        shard = Shard(pack_shard([5, 6, -7], ids, width))
-        assert shard.doc_ids.tolist() == [5, 6, -7]
-        assert all((shard.document(i) == ids[i]).all() for i in range(3))
+        shard = Shard(pack_shard(keys, ids, width))
+        assert (shard.n, shard.m) == (5, 75)
+        assert shard.doc_ids(np.arange(5)) == keys and shard.doc_ids(np.array([0, 3])) == [None, 5]
+        assert shard.bounds(np.arange(6)).tolist() == [0, 1, 4, 5, 5, 75]
+        assert all((shard.document(i) == ids[i]).all() for i in range(5))
+    assert Shard(pack_shard([], [], 2)).n == 0
+
+
+def test_shards_refuse_what_they_cannot_hold():
+    one = np.zeros(1, np.uint32)
+    for keys in ([5, 7, 6, 9], [1, None]):
+        with pytest.raises(ValueError, match="ascending"):
+            pack_shard(keys, [one] * len(keys), 2)
+    with pytest.raises(ValueError, match="does not fit"):
+        pack_shard([1], [np.array([1 << 16], np.uint32)], 2)
+    with pytest.raises(ValueError, match="not a token shard"):
+        Shard(b"XXXX" + bytes(60))
