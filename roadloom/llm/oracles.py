@@ -72,4 +72,14 @@ r AS (SELECT doc_id, item_id, start, c / (tot.k + bt.k - c) AS sim FROM m JOIN t
 SELECT doc_id, item_id, max(sim) AS similarity, CAST(min_by(start, (-sim, start)) AS INTEGER) AS start_word FROM r GROUP BY ALL
 """
 
-ORACLES: dict[str, str] = {"op3_decontamination": OP3, "op4_ngram_join": OP4, "op5_mixing": OP5}
+# All pairs. Vectors are finite there; list_cosine_similarity of doubles.
+OP11 = r"""
+WITH RECURSIVE v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+p AS (SELECT a.vec_id AS x, b.vec_id AS y FROM v a JOIN v b ON a.vec_id <> b.vec_id AND list_cosine_similarity(a.e, b.e) >= 0.95e0),
+r AS (SELECT vec_id, vec_id AS root FROM v UNION SELECT p.y, r.root FROM r JOIN p ON p.x = r.vec_id),
+c AS (SELECT vec_id, min(root) AS component_id FROM r GROUP BY vec_id),
+n AS (SELECT x, count(*) AS n_links FROM p GROUP BY x)
+SELECT c.vec_id, coalesce(n.n_links, 0) AS n_links, c.component_id, c.vec_id = c.component_id AS kept FROM c LEFT JOIN n ON n.x = c.vec_id
+"""
+
+ORACLES: dict[str, str] = {"op3_decontamination": OP3, "op4_ngram_join": OP4, "op5_mixing": OP5, "op11_near_vectors": OP11}

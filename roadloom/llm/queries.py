@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, fingerprints, licenses, lm_score, mixing, ngram_join, pieces, quality, token_counts, token_file
-from .common import fold, keep, table
+from . import chat, decontaminate, fingerprints, licenses, lm_score, mixing, near_vectors, ngram_join, pieces, quality, token_counts, token_file
+from .common import fold, table
 
 
 def vocabulary(name: str) -> str:
@@ -77,6 +77,10 @@ def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_score.lm_scores(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"), fold("doc_id", 10) != 0)
 
 
+def op11_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -87,8 +91,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_token_counts, op2_quality, op3_decontamination, op4_ngram_join, op5_mixing,
-        op6_fingerprints, op7_token_file, op8_chat, op9_licenses, op10_lm_score, pipeline,
+        op6_fingerprints, op7_token_file, op8_chat, op9_licenses, op10_lm_score,
+        op11_near_vectors, pipeline,
     )
 }
 
-__all__ = ["QUERIES", "keep"]
+__all__ = ["QUERIES"]
