@@ -111,6 +111,18 @@ class Block:
         cut[:-1] &= ~space[1:]
         cut[2:] |= (data[1:-1] == 0x0A) & ~space[:-2] & ~space[2:]
         cut[1:] |= _LETTER[data[:-1]] & _MARK[data[1:]]
+        return self._between(cut)
+
+    def cut_words(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Like pieces(), cut before each space that follows another byte, and around each line feed."""
+        feed = self.data == 0x0A
+        cut = self.data == 0x20
+        cut[1:] &= self.data[:-1] != 0x20
+        cut |= feed
+        cut[1:] |= feed[:-1]
+        return self._between(cut)
+
+    def _between(self, cut: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         cut[self.ends[self.ends < len(cut)]] = False
         full = self.ends > self.starts
         cut[self.starts[~full]] = False

@@ -82,4 +82,35 @@ n AS (SELECT x, count(*) AS n_links FROM p GROUP BY x)
 SELECT c.vec_id, coalesce(n.n_links, 0) AS n_links, c.component_id, c.vec_id = c.component_id AS kept FROM c LEFT JOIN n ON n.x = c.vec_id
 """
 
-ORACLES: dict[str, str] = {"op3_decontamination": OP3, "op4_ngram_join": OP4, "op5_mixing": OP5, "op11_near_vectors": OP11}
+# CRC-32 from its table of 256 remainders (polynomial 3988292384); a turn is the digest of its
+# role's length, role and text.
+OP13 = r"""
+WITH crc AS (SELECT list_transform(range(256), lambda i: list_reduce(list_concat([i], [0, 0, 0, 0, 0, 0, 0, 0]), lambda a, z: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END)) AS tab),
+t AS (
+  SELECT conv_id, turn, md5(CAST(length(coalesce(role, '')) AS VARCHAR) || ':' || coalesce(role, '') || coalesce(text, '')) AS k, CAST(strlen(coalesce(text, '')) AS BIGINT) AS b
+  FROM conversations WHERE conv_id IS NOT NULL
+),
+c AS (SELECT conv_id, list({'k': k, 'b': b} ORDER BY turn NULLS FIRST, k) AS own FROM t GROUP BY conv_id),
+g AS (
+  SELECT conv_id, own, CAST(xor(list_reduce(list_concat([4294967295], list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))),
+    lambda a, x: xor(a >> 8, tab[CAST((xor(a, x) & 255) AS BIGINT) + 1])), 4294967295) % 9 AS BIGINT) AS h
+  FROM c, crc
+),
+s AS (
+  SELECT g.conv_id, list_concat(coalesce(z.own, [])[1:g.h], g.own[g.h + 1:]) AS seq
+  FROM g LEFT JOIN c z ON z.conv_id = g.conv_id - g.conv_id % 5
+),
+p AS (SELECT conv_id, d, list_transform(seq[1:d], lambda x: x.k) AS path, CASE WHEN d > 0 THEN seq[d].b ELSE 0 END AS b, d = len(seq) AS ends FROM (SELECT conv_id, seq, unnest(range(len(seq) + 1)) AS d FROM s)),
+n AS (
+  SELECT path, d, min(conv_id) AS conv_id, count(*) AS n_convs, (count(*) - 1) * max(b) AS own,
+    sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256
+  FROM p GROUP BY path, d
+),
+k AS (SELECT path[1:d - 1] AS path, count(*) AS n_children FROM n WHERE d > 0 GROUP BY 1),
+m AS (SELECT n.*, coalesce(k.n_children, 0) AS n_children FROM n LEFT JOIN k USING (path)),
+u AS (SELECT path[1:j] AS path, CAST(sum(own) AS BIGINT) AS saved_tokens, count(*) FILTER (n_children = 0) AS n_leaves FROM (SELECT path, own, n_children, unnest(range(d + 1)) AS j FROM m) GROUP BY 1)
+SELECT m.conv_id, m.d AS depth, q.conv_id AS parent_conv_id, m.n_convs, m.n_children, u.n_leaves, u.saved_tokens, m.ends_sha256
+FROM m JOIN u USING (path) LEFT JOIN m q ON m.d > 0 AND q.path = m.path[1:m.d - 1]
+"""
+
+ORACLES: dict[str, str] = {"op3_decontamination": OP3, "op4_ngram_join": OP4, "op5_mixing": OP5, "op11_near_vectors": OP11, "op13_prefix_trie": OP13}

@@ -55,6 +55,23 @@ class PieceEncoder:
     def encode_whole(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
+    def cut(self, block: Block) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        return block.pieces()
+
+    def stays_whole(self, text: str) -> bool:
+        """Whether pieces would not give the ids of the whole."""
+        return bool(_WIDE_SPACE.search(text))
+
+    def token_bytes(self) -> list[bytes]:
+        """The bytes that each id stands for."""
+        letter = {c: b for b, c in self.letters.items()}
+        entries = self.tokenizer.get_vocab(with_added_tokens=True)
+        added = {t.content for t in self.tokenizer.get_added_tokens_decoder().values()}
+        out = [b""] * (max(entries.values()) + 1)
+        for entry, i in entries.items():
+            out[i] = entry.encode() if entry in added else bytes(letter[c] for c in entry)
+        return out
+
     def _encode(self, pieces: list[bytes]) -> tuple[list[int], list[int]]:
         """(ids of all pieces, how many there are up to each piece's end)"""
         merge = self.tokenizer.model.tokenize
@@ -88,7 +105,7 @@ class PieceEncoder:
 
     def codes(self, block: Block) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(piece codes, their starts, their ends, index of each text's first piece)."""
-        start, end, first = block.pieces()
+        start, end, first = self.cut(block)
         keys = np.maximum(block.hashes(start, end), 1)
         codes = self.table.find(keys)
         missing = np.flatnonzero(codes < 0)
@@ -119,10 +136,10 @@ class PieceEncoder:
             to = np.zeros(len(n) + 1, np.int64)
             np.cumsum(n, out=to[1:])
             flat = self.flat[np.repeat(self.offset[codes] - to[:-1], n) + np.arange(to[-1])]
-            wide = bool(_WIDE_SPACE.search(block.raw.decode()))
+            wide = self.stays_whole(block.raw.decode())
             for i in range(len(block.starts)):
                 text = (texts[first_text + i] or "") if wide else ""
-                if wide and _WIDE_SPACE.search(text):
+                if wide and self.stays_whole(text):
                     got = np.array(self.encode_whole(text), np.uint32)
                 else:
                     got = flat[to[first[i]] : to[first[i + 1]]]
@@ -130,6 +147,51 @@ class PieceEncoder:
         return out
 
 
+class SentencePieces(PieceEncoder):
+    """Ids of a sentencepiece BPE model for texts that bring their own leading space.
+
+    No piece of the model has a space after another character, and none has a line
+    feed, so merges can't cross the places before a space that follows another character and
+    around a line feed. (A model with such pieces encodes texts whole.)"""
+
+    def __init__(self, vocabulary: bytes, most: int = 1_500_000):
+        import sentencepiece
+
+        self.model = sentencepiece.SentencePieceProcessor(model_proto=vocabulary)
+        self.entries = [self.model.id_to_piece(i) for i in range(self.model.get_piece_size())]
+        plain = [e for i, e in enumerate(self.entries) if not (self.model.is_control(i) or self.model.is_byte(i) or self.model.is_unknown(i))]
+        self.whole = any("\u2581" in e.lstrip("\u2581") or "\n" in e for e in plain)
+        self.most = most
+        self._clear()
+
+    def encode_whole(self, text: str) -> list[int]:
+        if not text.startswith(" "):
+            raise ValueError("a text brings the space that the model would add")
+        return self.model.encode(text[1:], num_threads=1)
+
+    def cut(self, block: Block) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        return block.cut_words()
+
+    def stays_whole(self, text: str) -> bool:
+        return self.whole
+
+    def token_bytes(self) -> list[bytes]:
+        """A byte piece stands for its byte, U+2581 for a space."""
+        return [bytes([int(e[3:5], 16)]) if self.model.is_byte(i) else e.replace("\u2581", " ").encode() for i, e in enumerate(self.entries)]
+
+    def _encode(self, pieces: list[bytes]) -> tuple[list[int], list[int]]:
+        # The model adds a space: in place of the piece's own, or else before a line
+        # feed that keeps it apart; those two ids go.
+        spaced = [p[:1] == b" " for p in pieces]
+        got = self.model.encode([p[1:].decode() if own else "\n" + p.decode() for p, own in zip(pieces, spaced)], num_threads=1)
+        ids: list[int] = []
+        ends: list[int] = []
+        for found, own in zip(got, spaced):
+            ids += found if own else found[2:]
+            ends.append(len(ids))
+        return ids, ends
+
+
 _encoders: dict[str, PieceEncoder] = {}
 
 
@@ -145,11 +207,11 @@ def shared_vocabulary(spark: SparkSession, path: str) -> Broadcast[bytes]:
     return spark.sparkContext.broadcast(Path(path).read_bytes())
 
 
-def task_encoder(vocabulary: Broadcast[bytes]) -> PieceEncoder:
+def task_encoder(vocabulary: Broadcast[bytes], kind: type[PieceEncoder] = PieceEncoder) -> PieceEncoder:
     """This worker's encoder for a vocabulary that was shared."""
-    key = f"{hash(vocabulary.value)}:{len(vocabulary.value)}"
+    key = f"{kind.__name__}:{hash(vocabulary.value)}:{len(vocabulary.value)}"
     if key not in _encoders:
-        _encoders[key] = PieceEncoder(vocabulary.value)
+        _encoders[key] = kind(vocabulary.value)
     return _encoders[key]
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, fingerprints, licenses, lm_score, mixing, near_vectors, ngram_join, pieces, quality, token_counts, token_file
+from . import alignment, chat, decontaminate, fingerprints, licenses, lm_score, mixing, near_vectors, ngram_join, pieces, prefix_trie, quality, token_counts, token_file
 from .common import fold, table
 
 
@@ -81,6 +81,14 @@ def op11_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors.near_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align_tokenizers(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model"))
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_nodes(table(spark, sf_dir, "conversations"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -92,7 +100,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_token_counts, op2_quality, op3_decontamination, op4_ngram_join, op5_mixing,
         op6_fingerprints, op7_token_file, op8_chat, op9_licenses, op10_lm_score,
-        op11_near_vectors, pipeline,
+        op11_near_vectors, op12_alignment, op13_prefix_trie, pipeline,
     )
 }
 
