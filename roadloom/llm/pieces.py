@@ -181,8 +181,8 @@ class SentencePieces(PieceEncoder):
 
     def _encode(self, pieces: list[bytes]) -> tuple[list[int], list[int]]:
         # The model adds a space: in place of the piece's own, or else before a line
-        # feed that keeps it apart; those two ids go.
-        spaced = [p[:1] == b" " for p in pieces]
+        # feed that keeps it apart; those two ids go. (It adds none to an empty text.)
+        spaced = [p[:1] == b" " and len(p) > 1 for p in pieces]
         got = self.model.encode([p[1:].decode() if own else "\n" + p.decode() for p, own in zip(pieces, spaced)], num_threads=1)
         ids: list[int] = []
         ends: list[int] = []

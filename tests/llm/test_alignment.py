@@ -51,11 +51,14 @@ class Plain:
                 own.append((at, i))
             ends.append(own)
         both = sorted({e for e, _ in ends[0]} & {e for e, _ in ends[1]})
-        out, low = [], 0
-        for e in both:
-            out.append(tuple([i for at, i in side if low < at <= e] for side in ends))
-            low = e
-        links = [(i, j) for x, i in ends[0] for y, j in ends[1] if x == y]
+        at_end = [dict(side) for side in ends]  # every token has a byte, so one ends at a place at most
+        links = [(at_end[0][e], at_end[1][e]) for e in both]
+        out = [([], []) for _ in both]
+        for k in (0, 1):
+            group = 0
+            for e, i in ends[k]:
+                out[group][k].append(i)
+                group += e == both[group]
         return len(a), len(b), out, links
 
     def rows(self, docs):
