@@ -136,9 +136,27 @@ def components(edges: DataFrame) -> DataFrame:
             return own.withColumnsRenamed({"c": "component"})
 
 
+def on_cycles(edges: DataFrame) -> DataFrame:
+    """(node_id) of the nodes from which no order by edges remains: peeling nodes without an edge in,
+    round by round, leaves those on cycles and behind them. A round peels all such nodes at
+    once, so there are as many as edges on the longest peeled path; each is a
+    count of edges in, kept up to date by what the round removed."""
+    edges = cut(edges.select("src", "dst"))
+    degree = edges.groupBy(F.col("dst").alias("node_id")).agg(F.count("*").alias("n_in"))
+    nodes = edges.select(F.col("src").alias("node_id")).union(edges.select("dst")).distinct()
+    left = cut(nodes.join(degree, "node_id", "left").fillna(0, ["n_in"]))
+    while True:
+        free = left.where("n_in = 0").select(F.col("node_id").alias("src"))
+        if not free.limit(1).count():
+            return left.select("node_id")
+        gone = edges.join(free, "src").groupBy(F.col("dst").alias("node_id")).agg(F.count("*").alias("gone"))
+        left = left.where("n_in > 0").join(gone, "node_id", "left")
+        left = cut(left.select("node_id", (F.col("n_in") - F.coalesce("gone", F.lit(0))).alias("n_in")))
+
+
 def chain_offsets(edges: DataFrame) -> DataFrame:
-    """Least distance of each node from the sources of its chain (nodes without an edge
-    in; on a cycle without any, its smallest node). edges: src, dst, dist_m, which is not
+    """(node_id, component, offset_m, is_dag): least distance of each node from the sources of its chain (nodes without an edge
+    in; on a cycle without any, its smallest node), and whether its chain has no cycle. edges: src, dst, dist_m, which is not
     negative. Rounds go on until no distance changes; a round sees the nodes that the one
     before it has changed."""
     edges = cut(edges.select("src", "dst", "dist_m"))
@@ -156,47 +174,79 @@ def chain_offsets(edges: DataFrame) -> DataFrame:
         lower = F.coalesce(F.col("step_m") < F.col("offset_m"), F.col("step_m").isNotNull())
         off = off.drop("new").join(step, "node_id", "full_outer")
         off = cut(off.select("node_id", F.least("offset_m", "step_m").alias("offset_m"), lower.alias("new")))
-    return label.join(off.drop("new"), "node_id")
+    cyclic = label.join(on_cycles(edges), "node_id", "left_semi").select("component").distinct().withColumn("is_dag", F.lit(False))
+    return label.join(off.drop("new"), "node_id").join(cyclic, "component", "left").withColumn("is_dag", F.coalesce("is_dag", F.lit(True)))
 
 
-def walks(edges: DataFrame, starts: DataFrame, stops: DataFrame, depth: int) -> DataFrame:
-    """Simple paths of at most `depth` edges from `starts` (node_id) through nodes that
-    aren't in `stops` to the next one that is: (src, dst, nodes, edge_ids, length_m).
-    `overflow` marks sources that still had open paths at the depth limit."""
-    edges = cut(edges.select("src", "dst", "edge_id", "length_m"))
+def as_paths(edges: DataFrame) -> DataFrame:
+    """Single edges in the form of graph_compress()."""
+    return edges.select("src", "dst", F.array("src", "dst").alias("nodes"), F.array("edge_id").alias("edge_ids"), "length_m")
+
+
+def walks(paths: DataFrame, starts: DataFrame, stops: DataFrame, budget: int = 2048) -> DataFrame:
+    """Simple ways from `starts` (node_id) over `paths` (src, dst, nodes, edge_ids, length_m: what
+    graph_compress() or as_paths() gives) through nodes that aren't in `stops` to the next one that is:
+    (src, anchor, dst, nodes, edge_ids, length_m, overflow). A way may return to its start if that is a stop.
+
+    Each first path of a start is a search of its own, known by its first edge (anchor). A search
+    takes in at most `budget` partial ways: rounds go one path further, and the round that
+    would exceed the budget keeps its first ones by nodes and edges and ends the search. No search
+    is lost: one that was cut has a row of its own, without dst, nodes and edges, and `overflow`
+    marks all its rows."""
+    paths = cut(paths.select("src", "dst", "nodes", "edge_ids", "length_m"))
     stop = cut(stops.select("node_id", F.lit(True).alias("stop")).distinct())
-    open_ = starts.select(F.col("node_id").alias("src"), F.array("node_id").alias("nodes"), F.array().cast("array<bigint>").alias("edge_ids"), F.lit(0.0).alias("length_m")).distinct()
-    found: list[DataFrame] = []
-    for level in range(depth):
-        nxt = edges.select(F.col("src").alias("at"), F.col("dst").alias("to"), "edge_id", F.col("length_m").alias("m"))
-        rows = open_.withColumn("at", F.element_at("nodes", -1)).join(nxt, "at").join(stop.withColumnsRenamed({"node_id": "to"}), "to", "left")
-        rows = rows.where(F.col("stop").isNotNull() | ~F.array_contains("nodes", F.col("to")))
-        rows = cut(rows.select("src", F.concat("nodes", F.array("to")).alias("nodes"), F.concat("edge_ids", F.array("edge_id")).alias("edge_ids"), (F.col("length_m") + F.col("m")).alias("length_m"), F.coalesce("stop", F.lit(False)).alias("stop")))
-        found.append(rows.where("stop").drop("stop"))
-        open_ = rows.where("NOT stop").drop("stop")
-        if not open_.limit(1).count():
+    nxt = paths.select(F.col("src").alias("at"), F.col("dst").alias("to"), F.expr("slice(nodes, 2, size(nodes))").alias("more"), F.col("edge_ids").alias("via"), F.col("length_m").alias("m"))
+    nxt = cut(nxt.join(stop.withColumnsRenamed({"node_id": "to"}), "to", "left"))
+    first = starts.select(F.col("node_id").alias("at")).distinct().join(nxt, "at")
+    rows = first.select(
+        F.col("at").alias("src"), F.col("via")[0].alias("anchor"), "to", F.concat(F.array("at"), "more").alias("nodes"), F.col("via").alias("edge_ids"),
+        F.col("m").alias("length_m"), F.coalesce("stop", F.lit(False)).alias("stop"), F.lit(1).cast("long").alias("used"),
+    )
+    rows = cut(rows.where(F.col("stop") | (F.col("src") != F.col("to"))))
+    found, late = [rows.where("stop")], []
+    while True:
+        going = rows.where("NOT stop")
+        if not going.limit(1).count():
             break
+        rows = going.withColumnsRenamed({"to": "at"}).drop("stop").join(nxt, "at").where(F.coalesce("stop", F.lit(False)) | ~F.array_contains("nodes", F.col("to")))
+        rows = rows.select(
+            "src", "anchor", "to", F.concat("nodes", "more").alias("nodes"), F.concat("edge_ids", "via").alias("edge_ids"), (F.col("length_m") + F.col("m")).alias("length_m"),
+            F.coalesce("stop", F.lit(False)).alias("stop"), "used",
+        )
+        search = Window.partitionBy("src", "anchor")
+        rows = rows.withColumns({"n": F.count("*").over(search), "rank": F.row_number().over(search.orderBy("nodes", "edge_ids"))})
+        rows = cut(rows.withColumns({"over": F.col("used") + F.col("n") > budget, "kept": F.col("used") + F.col("rank") <= budget}))
+        late.append(rows.where("over").select("src", "anchor").distinct())
+        rows = rows.where("kept").withColumn("used", F.col("used") + F.col("n")).drop("n", "rank", "kept")
+        found.append(rows.where("stop").drop("over"))
+        rows = rows.where("NOT over").drop("over")
     out = found[0]
     for f in found[1:]:
         out = out.union(f)
-    late = open_.select("src").distinct().withColumn("overflow", F.lit(True))
-    out = out.join(late, "src", "left").withColumn("overflow", F.coalesce("overflow", F.lit(False)))
-    return out.withColumn("dst", F.element_at("nodes", -1))
+    out = out.select("src", "anchor", F.col("to").alias("dst"), "nodes", "edge_ids", "length_m")
+    if not late:
+        return out.withColumn("overflow", F.lit(False))
+    cut_off = late[0]
+    for x in late[1:]:
+        cut_off = cut_off.union(x)
+    cut_off = cut(cut_off.distinct())
+    out = out.unionByName(cut_off, allowMissingColumns=True)
+    return out.join(cut_off.withColumn("overflow", F.lit(True)), ["src", "anchor"], "left").withColumn("overflow", F.coalesce("overflow", F.lit(False)))
 
 
 def graph_compress(edges: DataFrame, fixed: DataFrame) -> DataFrame:
-    """Contracts nodes with one neighbour in and one out that aren't `fixed`: paths
-    (src, dst, nodes, edge_ids, length_m, closed) between the nodes that stay, one for each
-    choice among parallel edges. A loop of contracted nodes alone is a path from its
+    """Contracts nodes with one edge in and one out that aren't `fixed`: paths
+    (src, dst, nodes, edge_ids, length_m, closed) between the nodes that stay. Parallel edges
+    are paths of their own, so a node at either end of them stays, and there are never more paths than
+    edges. A loop of contracted nodes alone is a path from its
     smallest node back to it, with `closed`.
 
     Contracted nodes point at the node before them, and each round lets them point where
     that node points, so the rounds grow with the logarithm of the longest chain, of any
     length."""
     edges = cut(edges.select("src", "dst", "edge_id", "length_m"))
-    steps = cut(edges.groupBy("src", "dst").agg(F.array_sort(F.collect_list(F.struct("edge_id", "length_m"))).alias("choices")))
-    out = steps.groupBy(F.col("src").alias("node_id")).agg(F.count("*").alias("n_out"))
-    into = steps.groupBy(F.col("dst").alias("node_id")).agg(F.count("*").alias("n_in"), F.first("src").alias("up"))
+    out = edges.groupBy(F.col("src").alias("node_id")).agg(F.count("*").alias("n_out"))
+    into = edges.groupBy(F.col("dst").alias("node_id")).agg(F.count("*").alias("n_in"), F.min("src").alias("up"))
     inner = out.join(into, "node_id").where("n_out = 1 AND n_in = 1").join(fixed.select("node_id").distinct(), "node_id", "left_anti")
     inner = cut(inner.select("node_id", "up"))
 
@@ -220,23 +270,21 @@ def graph_compress(edges: DataFrame, fixed: DataFrame) -> DataFrame:
     closed = inner.select("node_id").limit(0)
     if loops:
         round_ = own.where("NOT done").select("node_id")
-        among = steps.join(round_.withColumnsRenamed({"node_id": "src"}), "src", "left_semi")
+        among = edges.join(round_.withColumnsRenamed({"node_id": "src"}), "src", "left_semi")
         closed = cut(components(among).groupBy("component").agg(F.min("node_id").alias("node_id")).select("node_id"))
         own, _ = pointed(cut(inner.join(closed, "node_id", "left_anti")))
 
+    # The step from a contracted node belongs to the path that enters its chain; one from a
+    # node that stays begins a path, known by the contracted node it leads to or, between two that stay, by itself.
     place = own.select(F.col("node_id").alias("src"), F.col("up").alias("head"), "low", "n")
-    rows = steps.join(place, "src", "left").select(
-        F.coalesce("head", "src").alias("head"), F.coalesce("low", "dst").alias("low"), F.coalesce("n", F.lit(0)).alias("n"), "dst", "choices"
-    )
-    paths = rows.groupBy("head", "low").agg(F.array_sort(F.collect_list(F.struct("n", "dst", "choices"))).alias("steps"))
+    rows = edges.join(place, "src", "left").join(own.select(F.col("node_id").alias("dst"), F.lit(True).alias("enters")), "dst", "left")
+    own_path = F.when(F.col("low").isNull() & F.col("enters").isNull(), F.col("edge_id"))
+    rows = rows.select(F.coalesce("head", "src").alias("head"), F.coalesce("low", "dst").alias("low"), own_path.alias("single"), F.coalesce("n", F.lit(0)).alias("n"), "dst", "edge_id", "length_m")
+    paths = rows.groupBy("head", "low", "single").agg(F.array_sort(F.collect_list(F.struct("n", "dst", "edge_id", "length_m"))).alias("steps"))
     nodes = F.concat(F.array("head"), F.transform("steps", lambda s: s.dst))
-    single = F.forall("steps", lambda s: F.size(s.choices) == 1)
-    one = F.array(F.flatten(F.transform("steps", lambda s: s.choices)))
-    none = F.array(F.array().cast("array<struct<edge_id:bigint,length_m:double>>"))
-    every = F.aggregate("steps", none, lambda acc, s: F.flatten(F.transform(acc, lambda a: F.transform(s.choices, lambda e: F.concat(a, F.array(e))))))
-    paths = paths.select(F.col("head").alias("src"), nodes.alias("nodes"), F.explode(F.when(single, one).otherwise(every)).alias("e"))
-    length = F.aggregate("e", F.lit(0.0), lambda acc, e: acc + e.length_m)
-    paths = paths.select("src", F.element_at("nodes", -1).alias("dst"), "nodes", F.transform("e", lambda e: e.edge_id).alias("edge_ids"), length.alias("length_m"))
+    length = F.aggregate("steps", F.lit(0.0), lambda acc, s: acc + s.length_m)
+    paths = paths.select(F.col("head").alias("src"), nodes.alias("nodes"), F.transform("steps", lambda s: s.edge_id).alias("edge_ids"), length.alias("length_m"))
+    paths = paths.select("src", F.element_at("nodes", -1).alias("dst"), "nodes", "edge_ids", "length_m")
     return paths.join(closed.select(F.col("node_id").alias("src"), F.lit(True).alias("closed")), "src", "left").withColumn("closed", F.coalesce("closed", F.lit(False)))
 
 
@@ -265,34 +313,79 @@ def gate_reason() -> Column:
     )
 
 
-def terminal_ownership(direct: DataFrame) -> DataFrame:
-    """Per terminal cross-section (arcs in, none out): its owner if one source leads
-    there, else ambiguous."""
-    out = direct.select(F.col("src").alias("dst")).distinct()
-    got = direct.join(out, "dst", "left_anti").groupBy("dst").agg(F.count_distinct("src").alias("n_sources"), F.count("*").alias("n_arcs"), F.min("src").alias("first"))
-    status = F.when(F.col("n_sources") >= 2, "multi_owner").when(F.col("n_arcs") >= 2, "ambiguous_owner").otherwise("unique_owner")
-    return got.select("dst", status.alias("owner_status"), F.when(F.col("n_sources") == 1, F.col("first")).alias("owner"))
+def terminal_ownership(paths: DataFrame, xsecs: DataFrame, budget: int = 2048) -> DataFrame:
+    """(dst, owner_status, owner, n_anchors, n_accepted, n_multi_src, n_multi_chain, n_no_owner,
+    n_overflow) of each terminal, a cross-section with legal arcs in and none out. Each compressed edge into it is an anchor, from which
+    a search goes backwards to the cross-sections before it. One source by one way is accepted;
+    several sources or several ways are not. A terminal whose anchors all accept the same source
+    is owned by it (n_overflow tells whether a search that found it was cut); more sources make it 'multi_owner', several ways or a search out of
+    budget 'ambiguous_owner', anything else 'no_owner'."""
+    paths = cut(paths.select("src", "dst", "nodes", "edge_ids", "length_m"))
+    arcs = legal_arcs(paths, xsecs)
+    terminals = arcs.select(F.col("dst").alias("node_id")).distinct().join(arcs.select(F.col("src").alias("node_id")), "node_id", "left_anti")
+    terminals = cut(terminals)
+    back = paths.select(F.col("dst").alias("src"), F.col("src").alias("dst"), F.reverse("nodes").alias("nodes"), F.reverse("edge_ids").alias("edge_ids"), "length_m")
+    ways = walks(back, terminals, xsecs, budget).where("dst IS NULL OR dst <> src")
+    by_src = ways.groupBy("src", "anchor", "dst").agg(F.count_distinct("edge_ids").alias("n_ways"), F.bool_or("overflow").alias("overflow"))
+    named = F.col("dst").isNotNull()
+    found = by_src.groupBy("src", "anchor").agg(F.count_if(named).alias("n_src"), F.max(F.when(named, F.col("n_ways"))).alias("n_ways"), F.min("dst").alias("owner"), F.bool_or("overflow").alias("overflow"))
+    anchors = back.join(terminals.withColumnsRenamed({"node_id": "src"}), "src").select("src", F.col("edge_ids")[0].alias("anchor")).distinct()
+    state = F.when(F.col("n_src") >= 2, "multi_src").when(F.col("n_src") == 1, F.when(F.col("n_ways") >= 2, "multi_chain").otherwise("accepted")).otherwise("no_owner")
+    rows = anchors.join(found, ["src", "anchor"], "left").withColumn("state", state)
+    count = lambda name: F.count_if(F.col("state") == name)
+    own = rows.groupBy(F.col("src").alias("dst")).agg(
+        F.count("*").alias("n_anchors"), count("accepted").alias("n_accepted"), count("multi_src").alias("n_multi_src"), count("multi_chain").alias("n_multi_chain"), count("no_owner").alias("n_no_owner"),
+        F.count_if(F.coalesce("overflow", F.lit(False))).alias("n_overflow"), F.count_distinct(F.when(F.col("state") == "accepted", F.col("owner"))).alias("n_owners"),
+        F.min(F.when(F.col("state") == "accepted", F.col("owner"))).alias("first"),
+    )
+    unique = (F.col("n_owners") == 1) & (F.col("n_multi_src") + F.col("n_multi_chain") + F.col("n_no_owner") == 0)
+    many = (F.col("n_multi_src") > 0) | (F.col("n_owners") >= 2)
+    status = F.when(unique, "unique_owner").when(many, "multi_owner").when((F.col("n_multi_chain") > 0) | (F.col("n_overflow") > 0), "ambiguous_owner").otherwise("no_owner")
+    out = own.withColumn("owner_status", status).withColumn("owner", F.when(unique, F.col("first")))
+    return out.select("dst", "owner_status", "owner", "n_anchors", "n_accepted", "n_multi_src", "n_multi_chain", "n_no_owner", "n_overflow")
 
 
 def trace_only_pairs(traced: DataFrame, direct: DataFrame) -> DataFrame:
     return traced.select("src", "dst").distinct().subtract(direct.select("src", "dst"))
 
 
-def bridge_paths(direct: DataFrame, hops: int = 4, most: int = 32) -> DataFrame:
-    """Class of each pair without a direct arc by its paths over direct pairs: one middle
-    node of two-hop paths is unique, more are ambiguous; longer paths leave a gap."""
-    pairs = cut(direct.select("src", "dst").distinct())
-    path = pairs.select("src", F.col("dst").alias("at"), F.array("src", "dst").alias("nodes"))
-    levels = []
+def bridge_paths(asked: DataFrame, direct: DataFrame, traced: DataFrame, hops: int = 4, most: int = 32, budget: int = 2048) -> DataFrame:
+    """(src, dst, n_paths, n_middle, bridge, overflow) of each asked pair (src, dst) without a
+    direct arc, by the simple paths of at most `hops` direct pairs between its ends: one middle node of
+    two-hop paths is 'unique', more are 'ambiguous'; longer paths, or a way in `traced`, leave a 'gap';
+    a pair with nothing of this is a 'reject'.
+
+    Partial paths stay on nodes from which the pair's end is still within reach, and a
+    pair takes in at most `budget` of them, the first by their nodes in the round that
+    would exceed it; `overflow` marks such a pair. n_paths counts up to `most` paths. Middle nodes come from a join of their own and need no budget."""
+    steps = cut(direct.select("src", "dst").where("src <> dst").distinct())
+    pairs = asked.select("src", "dst").distinct().where("src <> dst").join(steps, ["src", "dst"], "left_anti")
+    pairs = cut(pairs)
+    # Nodes from which an asked end is within 1, 2, ... hops.
+    reach = [pairs.select("dst", F.col("dst").alias("at")).distinct()]
     for _ in range(hops - 1):
-        path = path.join(pairs.select(F.col("src").alias("at"), F.col("dst").alias("to")), "at").where(~F.array_contains("nodes", F.col("to")))
-        path = cut(path.select("src", F.col("to").alias("at"), F.concat("nodes", F.array("to")).alias("nodes")))
-        levels.append(path)
-    rows = levels[0]
-    for p in levels[1:]:
-        rows = rows.union(p)
-    got = rows.groupBy("src", F.col("at").alias("dst")).agg(
-        F.least(F.count("*"), F.lit(most)).alias("n_paths"), F.count_distinct(F.when(F.size("nodes") == 3, F.element_at("nodes", 2))).alias("n_middle"),
-    )
-    kind = F.when(F.col("n_middle") == 1, "unique").when(F.col("n_middle") >= 2, "ambiguous").otherwise("gap")
-    return got.join(pairs, ["src", "dst"], "left_anti").withColumn("bridge", kind)
+        further = reach[-1].join(steps.select(F.col("src").alias("from"), F.col("dst").alias("at")), "at").select("dst", F.col("from").alias("at"))
+        reach.append(cut(reach[-1].union(further).distinct()))
+    path = pairs.select("src", "dst", F.col("src").alias("at"), F.array("src").alias("nodes"), F.lit(0).cast("long").alias("used"))
+    done, late = [], []
+    for hop in range(hops):
+        ahead = steps.select(F.col("src").alias("at"), F.col("dst").alias("to"))
+        path = path.join(ahead, "at").where(~F.array_contains("nodes", F.col("to"))).drop("at").withColumnRenamed("to", "at").join(reach[hops - 1 - hop], ["dst", "at"], "left_semi")
+        pair = Window.partitionBy("src", "dst")
+        path = path.withColumn("nodes", F.concat("nodes", F.array("at"))).withColumns({"n": F.count("*").over(pair), "rank": F.row_number().over(pair.orderBy("nodes"))})
+        path = cut(path.withColumns({"over": F.col("used") + F.col("n") > budget, "kept": F.col("used") + F.col("rank") <= budget}))
+        late.append(path.where("over").select("src", "dst").distinct())
+        path = path.where("kept").withColumn("used", F.col("used") + F.col("n")).drop("n", "rank", "kept")
+        done.append(path.where("at = dst").groupBy("src", "dst").agg(F.count("*").alias("n")))
+        path = path.where("NOT over AND at <> dst").drop("over")
+    found, cut_off = done[0], late[0]
+    for d, x in zip(done[1:], late[1:]):
+        found, cut_off = found.union(d), cut_off.union(x)
+    found = found.groupBy("src", "dst").agg(F.least(F.sum("n"), F.lit(most)).alias("n_paths"))
+    to_middle = pairs.join(steps.select("src", F.col("dst").alias("middle")), "src")
+    middle = to_middle.join(steps.select(F.col("src").alias("middle"), "dst"), ["middle", "dst"], "left_semi").groupBy("src", "dst").agg(F.count_distinct("middle").alias("n_middle"))
+    trace = traced.where("dst IS NOT NULL").select("src", "dst", F.lit(True).alias("traced")).distinct()
+    rows = pairs.join(found, ["src", "dst"], "left").join(middle, ["src", "dst"], "left").join(trace, ["src", "dst"], "left")
+    rows = rows.join(cut_off.distinct().withColumn("overflow", F.lit(True)), ["src", "dst"], "left").fillna(0, ["n_paths", "n_middle"]).fillna(False, ["traced", "overflow"])
+    kind = F.when(F.col("n_middle") == 1, "unique").when(F.col("n_middle") >= 2, "ambiguous").when((F.col("n_paths") > 0) | F.col("traced") | F.col("overflow"), "gap").otherwise("reject")
+    return rows.select("src", "dst", "n_paths", "n_middle", kind.alias("bridge"), "overflow")

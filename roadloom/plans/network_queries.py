@@ -97,8 +97,9 @@ r AS (SELECT a AS node_id, a AS c FROM b UNION SELECT b.b, r.c FROM r JOIN b ON
 s AS (SELECT * FROM lab WHERE node_id NOT IN (SELECT dst FROM ed)), h AS (SELECT component, min(node_id) AS node_id FROM lab WHERE component NOT IN (SELECT component FROM s) GROUP BY component),
 st AS (SELECT node_id FROM s UNION ALL SELECT node_id FROM h),
 wk AS (SELECT node_id, 0e0 AS o, [node_id] AS p FROM st UNION ALL SELECT dst, o + dist_m, list_append(p, dst) FROM wk JOIN ed ON ed.src = wk.node_id WHERE NOT list_contains(p, dst)),
-mo AS (SELECT node_id, min(o) AS offset_m FROM wk GROUP BY node_id)
-SELECT lab.node_id, component, offset_m FROM lab JOIN mo USING (node_id)"""
+mo AS (SELECT node_id, min(o) AS offset_m FROM wk GROUP BY node_id),
+cy AS (SELECT src AS root, dst AS place FROM ed UNION SELECT cy.root, ed.dst FROM cy JOIN ed ON ed.src = cy.place)
+SELECT lab.node_id, component, offset_m, component NOT IN (SELECT lab.component FROM cy JOIN lab ON lab.node_id = cy.root WHERE cy.root = cy.place) AS is_dag FROM lab JOIN mo USING (node_id)"""
 
 
 @query(OFFSETS, R)
@@ -107,17 +108,30 @@ def chain_offsets(spark, d):
     return network.chain_offsets(edges)
 
 
-# Cross-sections for graph queries: nodes of a merge or diverge kind.
+# Cross-sections for graph queries: nodes of a merge or diverge kind. The walk has no depth
+# limit: simple paths end by themselves, and the operators' budget is far beyond them here.
+# An arc's inner nodes are plain, with one edge in and one out.
 WALK = f"""{ARC}, fx AS (SELECT node_id FROM v_nodes WHERE kind & 24 <> 0),
-wk AS (SELECT node_id AS src, node_id AS place, [node_id] AS nodes, CAST([] AS BIGINT[]) AS edge_ids, 0e0 AS length_m, false AS stop FROM fx
-  UNION ALL SELECT wk.src, ae.dst, list_append(nodes, ae.dst), list_append(edge_ids, ae.edge_id), wk.length_m + ae.length_m, ae.dst IN (SELECT node_id FROM fx)
-  FROM wk JOIN ae ON ae.src = wk.place WHERE NOT stop AND len(nodes) <= 8 AND (ae.dst IN (SELECT node_id FROM fx) OR NOT list_contains(nodes, ae.dst))),
-paths AS (SELECT src, place AS dst, nodes, edge_ids, length_m FROM wk WHERE stop)"""
+dg AS (SELECT node_id, count(*) FILTER (o) AS n_out, count(*) FILTER (NOT o) AS n_in FROM (SELECT src AS node_id, true AS o FROM ae UNION ALL SELECT dst, false FROM ae) GROUP BY 1),
+plain AS (SELECT node_id FROM dg WHERE n_out = 1 AND n_in = 1 AND node_id NOT IN (SELECT node_id FROM fx)),
+wk AS (SELECT node_id AS src, node_id AS place, [node_id] AS nodes, CAST([] AS BIGINT[]) AS edge_ids, 0e0 AS length_m, false AS stop, true AS direct FROM fx
+  UNION ALL SELECT wk.src, ae.dst, list_append(nodes, ae.dst), list_append(edge_ids, ae.edge_id), wk.length_m + ae.length_m, ae.dst IN (SELECT node_id FROM fx), direct AND (len(nodes) = 1 OR wk.place IN (SELECT node_id FROM plain))
+  FROM wk JOIN ae ON ae.src = wk.place WHERE NOT stop AND (ae.dst IN (SELECT node_id FROM fx) OR NOT list_contains(nodes, ae.dst))),
+paths AS (SELECT src, place AS dst, nodes, edge_ids, length_m, direct FROM wk WHERE stop)"""
+ARCS = f"{WALK}, da AS (SELECT * FROM paths WHERE direct AND src <> dst)"
 
 
-def _paths(spark, d) -> tuple[DataFrame, DataFrame]:
-    fixed = v.nodes(spark, d).where(scalars.has_kind(F.col("kind"), scalars.MERGE | scalars.DIVERGE)).select("node_id")
-    return network.walks(scalars.arc_edges_of(v.roads(spark, d)), fixed, fixed, 8), fixed
+def _fixed(spark, d) -> DataFrame:
+    return v.nodes(spark, d).where(scalars.has_kind(F.col("kind"), scalars.MERGE | scalars.DIVERGE)).select("node_id")
+
+
+def _compressed(spark, d) -> tuple[DataFrame, DataFrame]:
+    fixed = _fixed(spark, d)
+    return network.cut(network.graph_compress(scalars.arc_edges_of(v.roads(spark, d)), fixed)), fixed
+
+
+def _traced(paths: DataFrame, fixed: DataFrame) -> DataFrame:
+    return network.walks(paths, fixed, fixed)
 
 
 TEXT = "array_to_string(nodes, ',') AS nodes, array_to_string(edge_ids, ',') AS edges"
@@ -128,62 +142,69 @@ def _listed(df: DataFrame, *more: str) -> DataFrame:
     return df.select("src", "dst", join("nodes").alias("nodes"), join("edge_ids").alias("edges"), "length_m", *more)
 
 
-@query(f"{WALK} SELECT src, dst, {TEXT}, length_m FROM paths", RN)
+@query(f"{WALK} SELECT src, edge_ids[1] AS anchor, dst, {TEXT}, length_m, false AS overflow FROM paths", RN)
 def reachable_paths(spark, d):
-    return _listed(_paths(spark, d)[0])
+    return _listed(_traced(*_compressed(spark, d)), "anchor", "overflow")
 
 
-@query(f"{WALK} SELECT src, dst, {TEXT}, length_m, row_number() OVER (PARTITION BY src, dst ORDER BY length_m, edge_ids) AS arc_no FROM paths WHERE src <> dst", RN)
+@query(f"{ARCS} SELECT src, dst, {TEXT}, length_m, row_number() OVER (PARTITION BY src, dst ORDER BY length_m, edge_ids) AS arc_no FROM da", RN)
 def legal_arcs(spark, d):
-    paths, fixed = _paths(spark, d)
-    return _listed(network.legal_arcs(paths, fixed), "arc_no")
+    return _listed(network.legal_arcs(*_compressed(spark, d)), "arc_no")
 
 
-OWNER = f"""{WALK}, da AS (SELECT * FROM paths WHERE src <> dst),
-own AS (SELECT dst, CASE WHEN count(DISTINCT src) >= 2 THEN 'multi_owner' WHEN count(*) >= 2 THEN 'ambiguous_owner' ELSE 'unique_owner' END AS owner_status, CASE WHEN count(DISTINCT src) = 1 THEN min(src) END AS owner
-  FROM da WHERE dst NOT IN (SELECT src FROM da) GROUP BY dst)"""
+# Backwards from each terminal, one search for each compressed edge into it.
+OWNER = f"""{ARCS}, tm AS (SELECT DISTINCT dst AS node_id FROM da WHERE dst NOT IN (SELECT src FROM da)),
+bk AS (SELECT tm.node_id AS dst, ae.edge_id AS anchor, ae.src AS place, [tm.node_id, ae.src] AS nodes, ae.src IN (SELECT node_id FROM fx) AS stop FROM tm JOIN ae ON ae.dst = tm.node_id WHERE ae.src <> tm.node_id OR ae.src IN (SELECT node_id FROM fx)
+  UNION ALL SELECT bk.dst, bk.anchor, ae.src, list_append(nodes, ae.src), ae.src IN (SELECT node_id FROM fx) FROM bk JOIN ae ON ae.dst = bk.place WHERE NOT stop AND (ae.src IN (SELECT node_id FROM fx) OR NOT list_contains(nodes, ae.src))),
+an AS (SELECT tm.node_id AS dst, ae.edge_id AS anchor FROM tm JOIN ae ON ae.dst = tm.node_id),
+fo AS (SELECT dst, anchor, count(DISTINCT place) AS n_src, count(*) AS n_ways, min(place) AS src FROM bk WHERE stop AND place <> dst GROUP BY ALL),
+st AS (SELECT an.dst, CASE WHEN n_src >= 2 THEN 'multi_src' WHEN n_src = 1 AND n_ways >= 2 THEN 'multi_chain' WHEN n_src = 1 THEN 'accepted' ELSE 'no_owner' END AS state, src FROM an LEFT JOIN fo USING (dst, anchor)),
+ow AS (SELECT dst, count(*) AS n_anchors, count(*) FILTER (state = 'accepted') AS n_accepted, count(*) FILTER (state = 'multi_src') AS n_multi_src, count(*) FILTER (state = 'multi_chain') AS n_multi_chain, count(*) FILTER (state = 'no_owner') AS n_no_owner,
+  0 AS n_overflow, count(DISTINCT src) FILTER (state = 'accepted') AS n_owners, min(src) FILTER (state = 'accepted') AS one FROM st GROUP BY dst),
+own AS (SELECT dst, CASE WHEN n_owners = 1 AND n_accepted = n_anchors THEN 'unique_owner' WHEN n_multi_src > 0 OR n_owners >= 2 THEN 'multi_owner' WHEN n_multi_chain > 0 THEN 'ambiguous_owner' ELSE 'no_owner' END AS owner_status,
+  CASE WHEN n_owners = 1 AND n_accepted = n_anchors THEN one END AS owner, n_anchors, n_accepted, n_multi_src, n_multi_chain, n_no_owner, n_overflow FROM ow)"""
 
 
 @query(f"{OWNER} SELECT * FROM own", RN)
 def terminal_ownership(spark, d):
-    paths, fixed = _paths(spark, d)
-    return network.terminal_ownership(network.legal_arcs(paths, fixed))
+    return network.terminal_ownership(*_compressed(spark, d))
 
 
-@query(f"{WALK} SELECT src, dst FROM paths WHERE len(nodes) > 2 AND src <> dst EXCEPT SELECT src, dst FROM paths WHERE len(nodes) = 2", RN)
+@query(f"{ARCS} SELECT src, dst FROM paths WHERE src <> dst EXCEPT SELECT src, dst FROM da", RN)
 def trace_only_pairs(spark, d):
-    paths, _ = _paths(spark, d)
-    return network.trace_only_pairs(paths.where("size(nodes) > 2 AND src <> dst"), paths.where("size(nodes) = 2"))
+    paths, fixed = _compressed(spark, d)
+    return network.trace_only_pairs(_traced(paths, fixed).where("src <> dst"), network.legal_arcs(paths, fixed))
 
 
 @query(
-    f"""{OWNER}, di AS (SELECT * FROM da WHERE len(nodes) = 2), pr AS (SELECT src, dst FROM da UNION SELECT dst, src FROM da),
-    n AS (SELECT src, dst, count(*) AS n_direct FROM di GROUP BY ALL), o2 AS (SELECT dst, CASE WHEN count(DISTINCT src) >= 2 THEN 'multi_owner' WHEN count(*) >= 2 THEN 'ambiguous_owner' ELSE 'unique_owner' END AS owner_status, CASE WHEN count(DISTINCT src) = 1 THEN min(src) END AS owner
-      FROM di WHERE dst NOT IN (SELECT src FROM di) GROUP BY dst)
+    f"""{OWNER}, tr AS (SELECT DISTINCT src, dst FROM paths WHERE src <> dst), pr AS (SELECT src, dst FROM tr UNION SELECT dst, src FROM tr), n AS (SELECT src, dst, count(*) AS n_direct FROM da GROUP BY ALL)
     SELECT src, dst, CASE WHEN owner_status = 'unique_owner' AND owner <> src THEN 'owner_mismatch' WHEN n_direct = 1 THEN 'direct_unique' WHEN n_direct > 1 THEN 'direct_ambiguous'
-      WHEN (src, dst) IN (SELECT (src, dst) FROM da) THEN 'trace_only' WHEN (dst, src) IN (SELECT (src, dst) FROM di) THEN 'reverse_only' ELSE 'not_reachable' END AS reason
-    FROM pr LEFT JOIN n USING (src, dst) LEFT JOIN o2 USING (dst)""",
+      WHEN (src, dst) IN (SELECT (src, dst) FROM tr) THEN 'trace_only' WHEN (dst, src) IN (SELECT (src, dst) FROM da) THEN 'reverse_only' ELSE 'not_reachable' END AS reason
+    FROM pr LEFT JOIN n USING (src, dst) LEFT JOIN own USING (dst)""",
     RN,
 )
 def pair_gate(spark, d):
-    paths, fixed = _paths(spark, d)
-    arcs = network.cut(network.legal_arcs(paths, fixed))
-    direct = arcs.where("size(nodes) = 2")
-    pairs = arcs.select("src", "dst").union(arcs.select("dst", "src")).distinct()
-    return network.pair_gate(pairs, direct, arcs, network.terminal_ownership(direct)).select("src", "dst", "reason")
+    paths, fixed = _compressed(spark, d)
+    direct, traced = network.cut(network.legal_arcs(paths, fixed)), network.cut(_traced(paths, fixed).where("src <> dst"))
+    pairs = traced.select("src", "dst").union(traced.select("dst", "src")).distinct()
+    return network.pair_gate(pairs, direct, traced, network.terminal_ownership(paths, fixed).select("dst", "owner_status", "owner")).select("src", "dst", "reason")
 
 
+# Asked for: cross-sections whose ids are up to 12 apart, in either order.
 @query(
-    f"""{WALK}, p AS (SELECT DISTINCT src, dst FROM paths WHERE src <> dst),
-    b AS (SELECT src, dst AS place, [src, dst] AS nodes FROM p UNION ALL SELECT b.src, p.dst, list_append(nodes, p.dst) FROM b JOIN p ON p.src = b.place WHERE len(nodes) <= 4 AND NOT list_contains(nodes, p.dst))
-    SELECT src, place AS dst, least(count(*), 32) AS n_paths, count(DISTINCT CASE WHEN len(nodes) = 3 THEN nodes[2] END) AS n_middle,
-      CASE WHEN count(DISTINCT CASE WHEN len(nodes) = 3 THEN nodes[2] END) = 1 THEN 'unique' WHEN count(DISTINCT CASE WHEN len(nodes) = 3 THEN nodes[2] END) >= 2 THEN 'ambiguous' ELSE 'gap' END AS bridge
-    FROM b WHERE len(nodes) > 2 AND (src, place) NOT IN (SELECT (src, dst) FROM p) GROUP BY ALL""",
+    f"""{ARCS}, dp AS (SELECT DISTINCT src, dst FROM da), k AS (SELECT node_id AS src, node_id + o AS dst FROM fx, unnest(range(-12, 13)) t(o) WHERE o <> 0 AND node_id + o IN (SELECT node_id FROM fx) AND (node_id, node_id + o) NOT IN (SELECT (src, dst) FROM dp)),
+    b AS (SELECT src, dst AS place, [src, dst] AS nodes FROM dp UNION ALL SELECT b.src, dp.dst, list_append(nodes, dp.dst) FROM b JOIN dp ON dp.src = b.place WHERE len(nodes) <= 4 AND NOT list_contains(nodes, dp.dst)),
+    f AS (SELECT src, place AS dst, count(*) AS n, count(DISTINCT CASE WHEN len(nodes) = 3 THEN nodes[2] END) AS m FROM b GROUP BY ALL)
+    SELECT src, dst, least(coalesce(n, 0), 32) AS n_paths, coalesce(m, 0) AS n_middle, false AS overflow,
+      CASE WHEN m = 1 THEN 'unique' WHEN m >= 2 THEN 'ambiguous' WHEN n > 0 OR (src, dst) IN (SELECT (src, dst) FROM paths) THEN 'gap' ELSE 'reject' END AS bridge
+    FROM k LEFT JOIN f USING (src, dst)""",
     RN,
 )
 def bridge_paths(spark, d):
-    paths, fixed = _paths(spark, d)
-    return network.bridge_paths(network.legal_arcs(paths, fixed))
+    paths, fixed = _compressed(spark, d)
+    near = fixed.select(F.col("node_id").alias("src"), F.explode(F.sequence(F.col("node_id") - 12, F.col("node_id") + 12)).alias("dst")).where("src <> dst")
+    asked = near.join(fixed.withColumnsRenamed({"node_id": "dst"}), "dst", "left_semi")
+    return network.bridge_paths(asked, network.legal_arcs(paths, fixed), _traced(paths, fixed))
 
 
 # --- crossings and zones ---------------------------------------------------------

@@ -54,13 +54,74 @@ def test_graph_compress_of_loops_and_parallel_edges(spark):
     rows = [(1, 2, 10), (2, 3, 11), (2, 3, 12), (3, 4, 13), (7, 8, 20), (8, 9, 21), (9, 7, 22), (4, 4, 30)]
     edges = spark.createDataFrame([(*r, 1.0) for r in rows], "src long, dst long, edge_id long, length_m double")
     got = {(r["src"], r["dst"], tuple(r["nodes"]), tuple(r["edge_ids"]), r["closed"]) for r in network.graph_compress(edges, spark.createDataFrame([(1,)], "node_id long")).collect()}
-    assert got == {(1, 4, (1, 2, 3, 4), (10, 11, 13), False), (1, 4, (1, 2, 3, 4), (10, 12, 13), False), (4, 4, (4, 4), (30,), False), (7, 7, (7, 8, 9, 7), (20, 21, 22), True)}
+    assert got == {(1, 2, (1, 2), (10,), False), (2, 3, (2, 3), (11,), False), (2, 3, (2, 3), (12,), False), (3, 4, (3, 4), (13,), False), (4, 4, (4, 4), (30,), False), (7, 7, (7, 8, 9, 7), (20, 21, 22), True)}
+
+
+EDGE = "src long, dst long, edge_id long, length_m double"
+
+
+def test_forty_doubled_edges_in_a_row_end_at_once(spark):
+    edges = spark.createDataFrame([(i, i + 1, 2 * i + k, 1.0 + k) for i in range(40) for k in (0, 1)], EDGE)
+    fixed = spark.createDataFrame([(0,), (40,)], "node_id long")
+    paths = network.graph_compress(edges, fixed)
+    assert paths.count() == 80
+    rows = network.walks(paths, fixed, fixed, 50).collect()
+    # Both searches from node 0 run out of budget, and both say so.
+    assert sorted((r["src"], r["anchor"], r["dst"], r["overflow"]) for r in rows) == [(0, 0, None, True), (0, 1, None, True)]
+
+
+def test_walks_lose_no_source(spark):
+    chain = [(i, i + 1, i, 1.0) for i in range(11)]
+    fan = [(100, 101 + k, 200 + k, 1.0) for k in range(3)] + [(101 + k, 110, 210 + k, 1.0) for k in range(3)] + [(110, 100, 220, 1.0)]
+    edges = spark.createDataFrame(chain + fan, EDGE)
+    fixed = spark.createDataFrame([(0,), (11,), (100,), (110,)], "node_id long")
+    got = {(r["src"], r["dst"], tuple(r["edge_ids"] or ()), r["overflow"]) for r in network.walks(network.as_paths(edges), fixed, fixed, 5).collect()}
+    ways = {(100, 110, (200 + k, 210 + k), False) for k in range(3)} | {(110, 100, (220,), False)}
+    assert got == ways | {(0, None, (), True)}
+    got = {(r["src"], r["dst"], tuple(r["edge_ids"]), r["overflow"]) for r in network.walks(network.as_paths(edges), fixed, fixed, 11).collect()}
+    assert got == ways | {(0, 11, tuple(range(11)), False)}
+
+
+def test_legal_arcs_of_any_length(spark):
+    edges = spark.range(3000).selectExpr("id AS src", "id + 1 AS dst", "id AS edge_id", "1D AS length_m")
+    fixed = spark.createDataFrame([(0,), (3000,)], "node_id long")
+    (arc,) = network.legal_arcs(network.graph_compress(edges, fixed), fixed).collect()
+    assert (arc["src"], arc["dst"], arc["length_m"], arc["arc_no"]) == (0, 3000, 3000.0, 1)
+
+
+def test_each_class_of_terminal_ownership(spark):
+    rows = [
+        (1, 10, 1), (1, 10, 2),  # two accepted anchors of one source
+        (2, 20, 3), (3, 20, 4),  # two sources
+        (4, 90, 5), (4, 91, 6), (90, 92, 7), (91, 92, 8), (92, 30, 9), (4, 30, 10),  # two ways of one source
+        (5, 40, 11), (95, 40, 12),  # an anchor that nothing leads to
+    ]
+    edges = spark.createDataFrame([(*r, 1.0) for r in rows], EDGE)
+    fixed = spark.createDataFrame([(i,) for i in (1, 2, 3, 4, 5, 10, 20, 30, 40)], "node_id long")
+    paths = network.graph_compress(edges, fixed)
+    got = {r["dst"]: (r["owner_status"], r["owner"], r["n_anchors"], r["n_accepted"]) for r in network.terminal_ownership(paths, fixed).collect()}
+    assert got == {10: ("unique_owner", 1, 2, 2), 20: ("multi_owner", None, 2, 2), 30: ("ambiguous_owner", None, 2, 1), 40: ("no_owner", None, 2, 1)}
+    cut = {r["dst"]: (r["owner_status"], r["n_overflow"]) for r in network.terminal_ownership(paths, fixed, 1).collect()}
+    assert cut[30] == ("ambiguous_owner", 1) and cut[20] == ("multi_owner", 0)
+
+
+def test_each_class_of_bridges_and_a_dense_graph(spark):
+    direct = [(1, 2), (2, 3), (4, 5), (5, 6), (4, 7), (7, 6), (10, 11), (11, 12), (12, 13), (20, 21)]
+    dense = [(100 + i, 100 + j) for i in range(9) for j in range(9) if i != j and (i, j) != (0, 8)]
+    direct = spark.createDataFrame(direct + dense, "src long, dst long")
+    asked = spark.createDataFrame([(1, 3), (4, 6), (10, 13), (20, 30), (20, 31), (1, 2), (100, 108), (3, 1)], "src long, dst long")
+    traced = spark.createDataFrame([(20, 31), (20, None)], "src long, dst long")
+    run = lambda **more: {(r["src"], r["dst"]): (r["bridge"], r["n_paths"], r["n_middle"], r["overflow"]) for r in network.bridge_paths(asked, direct, traced, **more).collect()}
+    small = {(1, 3): ("unique", 1, 1, False), (4, 6): ("ambiguous", 2, 2, False), (10, 13): ("gap", 1, 0, False), (20, 30): ("reject", 0, 0, False), (20, 31): ("gap", 0, 0, False), (3, 1): ("reject", 0, 0, False)}
+    assert run() == {**small, (100, 108): ("ambiguous", 32, 7, False)}
+    assert run(budget=20) == {**small, (100, 108): ("ambiguous", 7, 7, True)}
 
 
 def test_components_and_offsets_of_a_long_path(spark):
-    edges = spark.range(120).selectExpr("id AS src", "id + 1 AS dst", "0.5D AS dist_m")
-    got = {r["node_id"]: (r["component"], r["offset_m"]) for r in network.chain_offsets(edges).collect()}
-    assert got == {i: (0, 0.5 * i) for i in range(121)}
+    rows = [(i, i + 1, 0.5) for i in range(60)] + [(200, 201, 1.0), (201, 202, 1.0), (202, 201, 1.0), (202, 203, 1.0), (300, 301, 1.0), (301, 300, 2.0), (400, 401, 1.0), (400, 402, 5.0), (401, 402, 1.0)]
+    got = {r["node_id"]: (r["component"], r["offset_m"], r["is_dag"]) for r in network.chain_offsets(spark.createDataFrame(rows, "src long, dst long, dist_m double")).collect()}
+    want = {i: (0, 0.5 * i, True) for i in range(61)} | {200 + i: (200, float(i), False) for i in range(4)}
+    assert got == want | {300: (300, 0.0, False), 301: (300, 1.0, False), 400: (400, 0.0, True), 401: (400, 1.0, True), 402: (400, 2.0, True)}
 
 
 def test_arm_cluster_against_plain_loops(spark):
