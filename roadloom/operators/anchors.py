@@ -29,9 +29,9 @@ def crossline_scan(nodes: DataFrame, step: float = 1.0, half: float = 20.0) -> D
 
 
 def scan_pieces(scan: DataFrame, zone_edges: DataFrame, least_m: float = 1.0) -> DataFrame:
-    """Inside pieces of each crossline, over all zones: (node_id, k, s, piece, start_s, end_s)."""
+    """Inside pieces of each crossline in the union of all zones: (node_id, k, s, piece, start_s, end_s)."""
     lines = scan.withColumns({"seq": F.lit(1), "s1": F.lit(0.0), "seg_m": F.sqrt((F.col("x2") - F.col("x1")) ** 2 + (F.col("y2") - F.col("y1")) ** 2)})
-    return line_zone_pieces(lines, zone_edges, ["node_id", "k", "s"], least_m)
+    return line_zone_pieces(lines, zone_edges, ["node_id", "k", "s"], least_m, union=True)
 
 
 def first_split(scan: DataFrame, pieces: DataFrame, extend: float = 5.0) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .groups import fold_groups
+from .network import cut
 from .series import points_near
 
 
@@ -113,13 +114,54 @@ def xsec_id_canonicalize(candidates: DataFrame) -> DataFrame:
     return candidates.groupBy("xsec_id").agg(best).select("xsec_id", "b.node_id", "b.score")
 
 
-def arc_assign(fits: DataFrame, gap: float = 1.0) -> DataFrame:
-    """Arc of each candidate (cand_id, arc_id, score): the only one, or the least score if
-    the second is at least `gap` away; else ambiguous."""
-    w = Window.partitionBy("cand_id").orderBy("score", "arc_id")
-    rows = fits.withColumns({"_r": F.row_number().over(w), "second": F.lead("score").over(w)}).where("_r = 1")
-    state = F.when(F.col("second").isNull(), "unique").when(F.col("second") - F.col("score") >= gap, "best").otherwise("ambiguous")
-    return rows.select("cand_id", "arc_id", "score", state.alias("state"))
+def arc_fit(candidates: DataFrame, arcs: DataFrame, pairs: DataFrame) -> DataFrame:
+    """How well arcs fit candidate lines: (cand_id, arc_id, line_m, anchor_m, middle_m, length_gap_m)
+    for each pair of `pairs` (cand_id, arc_id). Lines are segments (zones.segments) by cand_id or arc_id. line_m is the
+    Hausdorff distance at vertices: the farthest that a vertex of either line is from the
+    other line. anchor_m adds the distances of the two starts and the two ends, middle_m is that of the
+    middles by length, length_gap_m the difference of lengths.
+
+    Vertices look for the nearest segment in cells (nearest.k_nearest), so long lines aren't multiplied out."""
+    from .nearest import k_nearest
+
+    pairs = cut(pairs.select("cand_id", "arc_id").distinct())
+    lines = {"cand_id": cut(candidates.where("seg_m > 0")), "arc_id": cut(arcs.where("seg_m > 0"))}
+
+    def vertices(by: str) -> DataFrame:
+        rows = lines[by]
+        last = rows.groupBy(by).agg(F.max_by(F.struct("x2", "y2", "seq"), "seq").alias("e")).select(by, (F.col("e.seq") + 1).alias("seq"), F.col("e.x2").alias("x1"), F.col("e.y2").alias("y1"))
+        return rows.select(by, "seq", "x1", "y1").union(last).withColumns({"x2": F.col("x1"), "y2": F.col("y1")})
+
+    def farthest(by: str, other: str) -> DataFrame:
+        asks = pairs.join(vertices(by), by)
+        has = pairs.join(lines[other].select(other, F.col("seq").alias("t_seq"), "x1", "y1", "x2", "y2"), other)
+        near = k_nearest(asks, has, ["cand_id", "arc_id"], ["seq"], ["t_seq"], points="queries")
+        return near.groupBy("cand_id", "arc_id").agg(F.max("d").alias(f"from_{by}"))
+
+    def shape(by: str) -> DataFrame:
+        rows = lines[by]
+        size = rows.groupBy(by).agg(F.sum("seg_m").alias("m"), F.min_by(F.struct(F.col("x1").alias("x"), F.col("y1").alias("y")), "seq").alias("a"), F.max_by(F.struct(F.col("x2").alias("x"), F.col("y2").alias("y")), "seq").alias("b"))
+        f = (F.col("m") / 2 - F.col("s1")) / F.col("seg_m")
+        mid = rows.join(size.select(by, "m"), by).where("m / 2 >= s1 AND m / 2 < s1 + seg_m").groupBy(by).agg(F.min(F.struct("seq", (F.col("x1") + f * (F.col("x2") - F.col("x1"))).alias("x"), (F.col("y1") + f * (F.col("y2") - F.col("y1"))).alias("y"))).alias("c"))
+        return size.join(mid, by).select(by, *[F.col(c).alias(f"{by[0]}_{c}") for c in "mabc"])
+
+    away = lambda k: F.sqrt((F.col(f"c_{k}.x") - F.col(f"a_{k}.x")) ** 2 + (F.col(f"c_{k}.y") - F.col(f"a_{k}.y")) ** 2)
+    rows = pairs.join(farthest("cand_id", "arc_id"), ["cand_id", "arc_id"]).join(farthest("arc_id", "cand_id"), ["cand_id", "arc_id"]).join(shape("cand_id"), "cand_id").join(shape("arc_id"), "arc_id")
+    return rows.select("cand_id", "arc_id", F.greatest("from_cand_id", "from_arc_id").alias("line_m"), (away("a") + away("b")).alias("anchor_m"), away("c").alias("middle_m"), F.abs(F.col("c_m") - F.col("a_m")).alias("length_gap_m"))
+
+
+def arc_assign(fits: DataFrame) -> DataFrame:
+    """The arc of each candidate from its fits (arc_fit): (cand_id, arc_id, n_arcs, mode, line_m, anchor_m,
+    middle_m, gap_m). A single arc is taken as it is; of several the one that comes first
+    by line, anchors, middle, length and id, and gap_m is by how much the second is worse, over the first three together."""
+    measures = ["line_m", "anchor_m", "middle_m"]
+    exact = fits.withColumns({c: F.round(c, 9) for c in [*measures, "length_gap_m"]})
+    own = Window.partitionBy("cand_id")
+    w = own.orderBy(*measures, "length_gap_m", "arc_id")
+    total = sum((F.col(c) for c in measures), F.lit(0.0))
+    rows = exact.withColumns({"_r": F.row_number().over(w), "n_arcs": F.count("*").over(own), "gap_m": F.lead(total).over(w) - total}).where("_r = 1")
+    alone = F.col("n_arcs") == 1
+    return rows.select("cand_id", "arc_id", "n_arcs", F.when(alone, "unique_direct_arc").otherwise("same_pair_fit").alias("mode"), *[F.when(alone, 0.0).otherwise(F.col(c)).alias(c) for c in measures], "gap_m")
 
 
 def arc_registry(arcs: DataFrame, **stages: DataFrame) -> DataFrame:

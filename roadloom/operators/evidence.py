@@ -106,7 +106,7 @@ def corridor_witness(
     cross = cut(probes(lines, by, places, half))
     key = [*by, "k"]
     flat = cross.withColumns({"seq": F.lit(1), "s1": F.lit(0.0), "seg_m": F.lit(2.0 * half)})
-    found = line_zone_pieces(flat, zones, key, least_m)
+    found = line_zone_pieces(flat, zones, key, least_m, union=True)
     order = Window.partitionBy(*key).orderBy("start_s", "end_s")
     ranked = found.withColumns({"rank": F.row_number().over(order), "gap": F.col("start_s") - F.lag("end_s").over(order), "gap2": F.lead("start_s").over(order) - F.col("end_s")})
     holds = (F.col("start_s") <= half) & (F.col("end_s") >= half)
@@ -153,23 +153,71 @@ def surface_centerline(pairs: DataFrame, points: DataFrame, step: float = 10.0,
 
 
 def samples(xsecs: DataFrame, step: float = 1.0) -> DataFrame:
-    """Points along cross-sections: (node_id, i, s, x, y) and patch_id, if there is one."""
+    """Points along cross-sections, both ends included: (node_id, i, s, x, y) and patch_id, if there is one.
+    A cross-section is cut into the fewest equal parts of at most `step`."""
     more = ["patch_id"] if "patch_id" in xsecs.columns else []
     length = F.sqrt((F.col("x2") - F.col("x1")) ** 2 + (F.col("y2") - F.col("y1")) ** 2)
-    rows = xsecs.withColumn("len", length).where("len > 0").withColumn("i", F.explode(F.sequence(F.lit(0), F.floor(F.col("len") / step).cast("int"))))
-    s = F.col("i") * step
-    return rows.select(*more, "node_id", "i", s.alias("s"), (F.col("x1") + s / F.col("len") * (F.col("x2") - F.col("x1"))).alias("x"), (F.col("y1") + s / F.col("len") * (F.col("y2") - F.col("y1"))).alias("y"))
-
-
-def barrier_runs(xsecs: DataFrame, points: DataFrame, step: float = 1.0, radius: float = 1.0, least: int = 2, least_m: float = 4.0) -> DataFrame:
-    """(patch_id, node_id, run, start_s, end_s): stretches of a cross-section of `least_m` or more where
-    every sample has `least` of the given (non-ground) points of its patch within `radius`."""
-    spots = samples(xsecs, step)
-    near = points_near(spots, points.select("patch_id", "x", "y"), radius, ["node_id", "i", "s"]).groupBy("patch_id", "node_id", "i", "s").agg(F.count("*").alias("n")).where(F.col("n") >= least)
+    parts = F.greatest(F.lit(1), F.ceil(F.round(F.col("len") / step, 9))).cast("int")
+    rows = xsecs.withColumn("len", length).where("len > 1e-6").withColumn("parts", parts).withColumn("i", F.explode(F.sequence(F.lit(0), F.col("parts"))))
+    f = F.col("i") / F.col("parts")
+    return rows.select(*more, "node_id", "i", (f * F.col("len")).alias("s"), (F.col("x1") + f * (F.col("x2") - F.col("x1"))).alias("x"), (F.col("y1") + f * (F.col("y2") - F.col("y1"))).alias("y"))
+
+
+def barrier_runs(
+    xsecs: DataFrame, points: DataFrame, traj: DataFrame | None = None, step: float = 1.0, radius: float = 1.0, least: int = 2, least_m: float = 4.0,
+    ahead_m: float = 60.0, width_m: float = 2.5, bin_m: float = 2.0, least_share: float = 0.65,
+) -> DataFrame:
+    """(patch_id, node_id, run, start_s, end_s, n_samples, occupancy, final): runs of samples of a cross-section
+    that each have `least` of the given (non-ground) points of its patch within `radius`, as many
+    as make up `least_m` at `step` each. A run is final if vehicles went past it: of the bins along
+    the road (at right angles to the cross-section) within `ahead_m` of the run's middle sample, and `width_m` wide in all,
+    at least a share `least_share` holds a vertex of the patch's trajectories. Without
+    trajectories none is."""
+    spots = cut(samples(xsecs, max(0.5, step)))
+    step = max(0.5, step)
+    near = points_near(spots, points.select("patch_id", "x", "y"), radius, ["node_id", "i", "s"]).groupBy("patch_id", "node_id", "i", "s").agg(F.count("*").alias("n")).where(F.col("n") >= max(1, least))
     key = ["patch_id", "node_id"]
-    runs = near.withColumn("_r", F.col("i") - F.row_number().over(Window.partitionBy(*key).orderBy("i"))).groupBy(*key, "_r").agg(F.min("s").alias("start_s"), F.max("s").alias("end_s"))
-    runs = runs.where(F.col("end_s") - F.col("start_s") >= least_m)
-    return runs.withColumn("run", F.row_number().over(Window.partitionBy(*key).orderBy("start_s"))).drop("_r")
+    runs = near.withColumn("_r", F.col("i") - F.row_number().over(Window.partitionBy(*key).orderBy("i"))).groupBy(*key, "_r").agg(F.min("s").alias("start_s"), F.max("s").alias("end_s"), F.min("i").alias("_lo"), F.max("i").alias("_hi"))
+    runs = runs.withColumn("n_samples", F.col("_hi") - F.col("_lo") + 1).where(F.col("n_samples") * step >= max(step, least_m))
+    runs = runs.withColumn("run", F.row_number().over(Window.partitionBy(*key).orderBy("start_s"))).withColumn("i", F.floor((F.col("_lo") + F.col("_hi")) / 2).cast("int"))
+    runs = cut(runs.join(spots.select(*key, "i", "x", "y"), [*key, "i"]).select(*key, "run", "start_s", "end_s", "n_samples", "x", "y"))
+    if traj is None:
+        return runs.drop("x", "y").withColumns({"occupancy": F.lit(0.0), "final": F.lit(False)})
+    half, side = max(1.0, ahead_m), max(0.2, width_m / 2)
+    bins = max(1, math.ceil(2 * half / max(0.5, bin_m)))
+    length = F.sqrt((F.col("x2") - F.col("x1")) ** 2 + (F.col("y2") - F.col("y1")) ** 2)
+    across = xsecs.select(*key, ((F.col("x2") - F.col("x1")) / length).alias("vx"), ((F.col("y2") - F.col("y1")) / length).alias("vy"))
+    lit = runs.join(across, key)
+    lit = lit.withColumns({"ux": F.col("vy"), "uy": -F.col("vx")})
+    # Cells that the strip's axis passes, widened by its half width.
+    strip = lit.withColumn("at", F.explode(F.sequence(F.lit(-math.ceil(half / 10)), F.lit(math.ceil(half / 10))))).withColumn("at", F.col("at") * 10.0)
+    low, high = (lambda c, u: F.floor((F.col(c) + F.col("at") * F.col(u) - 5 - side) / 10).cast("long")), (lambda c, u: F.floor((F.col(c) + F.col("at") * F.col(u) + 5 + side) / 10).cast("long"))
+    strip = strip.withColumn("cx", F.explode(F.sequence(low("x", "ux"), high("x", "ux")))).withColumn("cy", F.explode(F.sequence(low("y", "uy"), high("y", "uy"))))
+    strip = strip.select(*key, "run", "x", "y", "ux", "uy", "vx", "vy", "cx", "cy").distinct()
+    seen = traj.select("patch_id", F.col("x").alias("px"), F.col("y").alias("py"), F.floor(F.col("x") / 10).cast("long").alias("cx"), F.floor(F.col("y") / 10).cast("long").alias("cy"))
+    dx, dy = F.col("px") - F.col("x"), F.col("py") - F.col("y")
+    hit = strip.join(seen, ["patch_id", "cx", "cy"]).withColumns({"along": F.round(dx * F.col("ux") + dy * F.col("uy"), 9), "off": F.round(F.abs(dx * F.col("vx") + dy * F.col("vy")), 9)})
+    hit = hit.where((F.abs("along") <= half) & (F.col("off") <= side)).withColumn("bin", F.least(F.floor((F.col("along") + half) / max(0.5, bin_m)), F.lit(bins - 1)))
+    share = hit.groupBy(*key, "run").agg((F.count_distinct("bin") / bins).alias("occupancy"))
+    out = runs.drop("x", "y").join(share, [*key, "run"], "left").withColumn("occupancy", F.coalesce("occupancy", F.lit(0.0)))
+    return out.withColumn("final", F.col("occupancy") >= least_share)
+
+
+def barrier_parts(xsecs: DataFrame, runs: DataFrame, step: float = 1.0, radius: float = 1.0) -> DataFrame:
+    """(patch_id, node_id, part, start_s, end_s): what remains of each cross-section without the discs of
+    `radius` (0.5 at least) around the samples of its final runs."""
+    key, r, step = ["patch_id", "node_id"], max(0.5, radius), max(0.5, step)
+    own = xsecs.select(*key, F.sqrt((F.col("x2") - F.col("x1")) ** 2 + (F.col("y2") - F.col("y1")) ** 2).alias("len")).where("len > 1e-6")
+    final = runs.where("final")
+    if 2 * r < step:  # the discs of neighbouring samples don't meet
+        inner = samples(xsecs, step).join(final.select(*key, "start_s", "end_s"), key).where("s >= start_s - 1e-9 AND s <= end_s + 1e-9").select(*key, (F.col("s") - r).alias("a"), (F.col("s") + r).alias("b"))
+    else:
+        inner = final.select(*key, (F.col("start_s") - r).alias("a"), (F.col("end_s") + r).alias("b"))
+    bars = own.select(*key, F.lit(0.0).alias("a"), F.lit(0.0).alias("b")).union(inner).union(own.select(*key, "len", "len"))
+    w = Window.partitionBy(*key).orderBy("a", "b")
+    gaps = bars.withColumn("from_s", F.max("b").over(w.rowsBetween(Window.unboundedPreceding, -1))).where("from_s IS NOT NULL").join(own, key)
+    parts = gaps.select(*key, F.greatest("from_s", F.lit(0.0)).alias("start_s"), F.least("a", "len").alias("end_s")).where("end_s > start_s + 1e-9")
+    return parts.withColumn("part", F.row_number().over(Window.partitionBy(*key).orderBy("start_s")))
 
 
 def xsec_passable_span(xsecs: DataFrame, zones: DataFrame, dividers: DataFrame, step: float = 1.0, anchor: float = 0.5) -> DataFrame:
@@ -298,7 +346,7 @@ def lane_boundary_centerline(
     apart, three samples or more, and `inside` of their middle line in a zone. Quality falls with
     the offset from the road, the spread of the width and its distance from `target`; the best
     pair stays, of equal ones that with the smaller offset, then the longer line. Roads without
-    such a pair have no row."""
+    such a pair have no row. Without any zones the middle line may lie anywhere."""
     from .zones import line_project, polyline_densify, segments
 
     key = ["patch_id", "road_id"]
@@ -335,8 +383,10 @@ def lane_boundary_centerline(
     fit = cut(stats.join(n, key).where((F.col("n") >= 3) & (F.col("n") == F.col("n_spots")) & (F.col("sep1") >= low) & (F.col("sep2") <= high)))
     drawn = segments(fit.select(*pair, F.inline("line")), pair, "k")
     lengths = drawn.groupBy(*pair).agg(F.sum("seg_m").alias("length_m")).where("length_m > 1e-6")
-    covered = line_zone_pieces(drawn, zones, pair).groupBy(*pair).agg(F.sum(F.col("end_s") - F.col("start_s")).alias("in_m"))
-    kept = fit.join(lengths, pair).join(covered, pair).where(F.round(F.col("in_m") / F.col("length_m"), 9) >= inside)
+    covered = line_zone_pieces(drawn, zones, pair, union=True).groupBy(*pair).agg(F.sum(F.col("end_s") - F.col("start_s")).alias("in_m"))
+    kept = fit.join(lengths, pair)
+    if zones.limit(1).count():
+        kept = kept.join(covered, pair).where(F.round(F.col("in_m") / F.col("length_m"), 9) >= inside)
     loss = F.col("offset_m") / max(reach, 1.0) + F.least(F.lit(0.45), (F.col("sep2") - F.col("sep1")) / max(high, 1.0)) + F.least(F.lit(0.25), F.abs(F.col("sep") - target) / max(high, 1.0))
     kept = kept.withColumn("quality", F.round(F.greatest(F.lit(0.0), F.least(F.lit(1.0), 1 - loss)), 9))
     rank = F.struct(-F.col("quality"), F.round("offset_m", 9), -F.round("length_m", 9), F.col("lane_a"), F.col("lane_b"))

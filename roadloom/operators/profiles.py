@@ -26,7 +26,10 @@ def xsec_profile_fit(traj: DataFrame, ground: DataFrame, radius: float = 8.0, ha
     support = rows.groupBy(*own).agg(F.count("*").alias("support"))
     mids = rows.where(F.col("bin") < bins).groupBy(*own, "bin").agg(F.percentile("p_z", F.lit(0.5)).alias("mid"))
     mids = mids.withColumn("at", (F.col("bin") + 0.5) * width - half_width)
-    fit = mids.groupBy(*own).agg(F.count("*").alias("n_bins"), F.regr_slope("mid", "at").alias("slope"), F.regr_intercept("mid", "at").alias("level"))
+    # One bin alone gives a level line through it.
+    fit = mids.groupBy(*own).agg(F.count("*").alias("n_bins"), F.regr_slope("mid", "at").alias("slope"), F.regr_intercept("mid", "at").alias("level"), F.min("mid").alias("_one"))
+    alone = F.col("n_bins") == 1
+    fit = fit.withColumns({"slope": F.when(alone, 0.0).otherwise(F.col("slope")), "level": F.when(alone, F.col("_one")).otherwise(F.col("level"))}).drop("_one")
     rest = mids.join(fit, own).withColumn("r", F.abs(F.col("mid") - F.col("slope") * F.col("at") - F.col("level")))
     p90 = rest.groupBy(*own).agg(F.percentile("r", F.lit(0.9)).alias("p90"))
     out = traj.select(*own).join(support, own, "left").join(fit, own, "left").join(p90, own, "left")

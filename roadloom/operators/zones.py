@@ -75,8 +75,9 @@ def point_in_zone(points: DataFrame, edges: DataFrame, key: list[str]) -> DataFr
     return crossings.where("n % 2 = 1").drop("n")
 
 
-def line_zone_pieces(lines: DataFrame, edges: DataFrame, by: list[str], least_m: float = 0.0) -> DataFrame:
-    """Inside pieces of lines (from segments()): (by..., poly_id, piece, start_s, end_s).
+def line_zone_pieces(lines: DataFrame, edges: DataFrame, by: list[str], least_m: float = 0.0, union: bool = False) -> DataFrame:
+    """Inside pieces of lines (from segments()): (by..., poly_id, piece, start_s, end_s), or
+    with `union` those inside any polygon, without poly_id: polygons that touch or overlap are one zone then.
     Each segment is cut at its crossings with the polygon's edges; sub-intervals whose
     middle is inside are kept and touching ones are merged. Segments meet polygons, and then
     their edges, in cells (of their patch, if both have one)."""
@@ -107,11 +108,13 @@ def line_zone_pieces(lines: DataFrame, edges: DataFrame, by: list[str], least_m:
         parts.join(spans, [*patch, "poly_id", "strip"]).where("my >= ylo AND my < yhi").groupBy(*key, "t", "t2", "s1", "seg_m").agg(F.sum((F.col("mx") < x_at).cast("int")).alias("n")).where("n % 2 = 1")
         .select(*by, "poly_id", (F.col("s1") + F.col("t") * F.col("seg_m")).alias("a"), (F.col("s1") + F.col("t2") * F.col("seg_m")).alias("b"))
     )
-    order = Window.partitionBy(*by, "poly_id").orderBy("a", "b")
-    new = F.coalesce(F.col("a") > F.lag("b").over(order) + 1e-9, F.lit(True)).cast("int")
+    owner = by if union else [*by, "poly_id"]
+    order = Window.partitionBy(*owner).orderBy("a", "b")
+    reach = F.max("b").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    new = F.coalesce(F.col("a") > reach + 1e-9, F.lit(True)).cast("int")
     runs = inside.withColumn("_n", new).withColumn("run", F.sum("_n").over(order))
-    pieces = runs.groupBy(*by, "poly_id", "run").agg(F.min("a").alias("start_s"), F.max("b").alias("end_s")).where(F.col("end_s") - F.col("start_s") >= least_m)
-    return pieces.withColumn("piece", F.row_number().over(Window.partitionBy(*by, "poly_id").orderBy("start_s"))).drop("run")
+    pieces = runs.groupBy(*owner, "run").agg(F.min("a").alias("start_s"), F.max("b").alias("end_s")).where(F.col("end_s") - F.col("start_s") >= least_m)
+    return pieces.withColumn("piece", F.row_number().over(Window.partitionBy(*owner).orderBy("start_s"))).drop("run")
 
 
 def line_zone_ratio(lines: DataFrame, edges: DataFrame, by: list[str]) -> DataFrame:

@@ -94,9 +94,42 @@ def xsec_id_canonicalize(spark, d):
     return S.xsec_id_canonicalize(rows)
 
 
-@query("f AS (SELECT snode % 200 AS cand_id, enode AS arc_id, min(length_m / 4) AS score FROM v_roads GROUP BY ALL), r AS (SELECT *, row_number() OVER w AS r, lead(score) OVER w AS second FROM f WINDOW w AS (PARTITION BY cand_id ORDER BY score, arc_id)) SELECT cand_id, arc_id, score, CASE WHEN second IS NULL THEN 'unique' WHEN second - score >= 1 THEN 'best' ELSE 'ambiguous' END AS state FROM r WHERE r = 1", R)
+# Each trajectory is a candidate for the lines of the next two of its patch.
+FITS = """sg AS (SELECT traj_id AS id, seq, x AS x1, y AS y1, lead(x) OVER w AS x2, lead(y) OVER w AS y2 FROM v_traj WINDOW w AS (PARTITION BY traj_id ORDER BY seq)),
+sl AS (SELECT *, sqrt((x2 - x1) ** 2 + (y2 - y1) ** 2) AS m, coalesce(sum(sqrt((x2 - x1) ** 2 + (y2 - y1) ** 2)) OVER (PARTITION BY id ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS s1 FROM sg WHERE x2 IS NOT NULL),
+vx AS (SELECT traj_id AS id, seq, x, y FROM v_traj WHERE traj_id IN (SELECT id FROM sl)), pr AS (SELECT a.id AS cand_id, b.id AS arc_id FROM (SELECT DISTINCT id FROM sl) a JOIN (SELECT DISTINCT id FROM sl) b ON b.id IN (a.id + 8, a.id + 16)),
+far AS (SELECT p, q, max(d) AS d FROM (SELECT k.p, k.q, v.seq, min(sqrt((v.x - sl.x1 - greatest(0e0, least(1e0, ((v.x - sl.x1) * (sl.x2 - sl.x1) + (v.y - sl.y1) * (sl.y2 - sl.y1)) / (m * m))) * (sl.x2 - sl.x1)) ** 2
+    + (v.y - sl.y1 - greatest(0e0, least(1e0, ((v.x - sl.x1) * (sl.x2 - sl.x1) + (v.y - sl.y1) * (sl.y2 - sl.y1)) / (m * m))) * (sl.y2 - sl.y1)) ** 2)) AS d
+  FROM (SELECT cand_id AS p, arc_id AS q FROM pr UNION ALL SELECT arc_id, cand_id FROM pr) k JOIN vx v ON v.id = k.p JOIN sl ON sl.id = k.q GROUP BY ALL) GROUP BY ALL),
+tl AS (SELECT id, sum(m) AS m FROM sl GROUP BY id), sh AS (SELECT tl.id, tl.m, min_by(x1, seq) AS ax, min_by(y1, seq) AS ay, max_by(x2, seq) AS bx, max_by(y2, seq) AS b_y,
+    min(CASE WHEN tl.m / 2 >= s1 AND tl.m / 2 < s1 + sl.m THEN x1 + (tl.m / 2 - s1) / sl.m * (x2 - x1) END) AS cx, min(CASE WHEN tl.m / 2 >= s1 AND tl.m / 2 < s1 + sl.m THEN y1 + (tl.m / 2 - s1) / sl.m * (y2 - y1) END) AS cy FROM tl JOIN sl USING (id) GROUP BY ALL),
+ft AS (SELECT cand_id, arc_id, greatest(f.d, g.d) AS line_m, sqrt((a.ax - b.ax) ** 2 + (a.ay - b.ay) ** 2) + sqrt((a.bx - b.bx) ** 2 + (a.b_y - b.b_y) ** 2) AS anchor_m, sqrt((a.cx - b.cx) ** 2 + (a.cy - b.cy) ** 2) AS middle_m, abs(a.m - b.m) AS length_gap_m
+  FROM pr JOIN far f ON f.p = cand_id AND f.q = arc_id JOIN far g ON g.p = arc_id AND g.q = cand_id JOIN sh a ON a.id = cand_id JOIN sh b ON b.id = arc_id)"""
+
+
+def _fits(spark, d):
+    from ..operators.zones import segments
+
+    lines = segments(v.traj(spark, d), ["traj_id"])
+    ids = lines.select("traj_id").distinct()
+    pairs = ids.select(F.col("traj_id").alias("cand_id"), F.explode(F.array(F.col("traj_id") + 8, F.col("traj_id") + 16)).alias("arc_id")).join(ids.withColumnRenamed("traj_id", "arc_id"), "arc_id", "left_semi")
+    return S.arc_fit(lines.withColumnRenamed("traj_id", "cand_id"), lines.withColumnRenamed("traj_id", "arc_id"), pairs)
+
+
+@query(f"{FITS} SELECT cand_id, arc_id, round(line_m, 5) AS line_m, round(anchor_m, 5) AS anchor_m, round(middle_m, 5) AS middle_m, round(length_gap_m, 5) AS length_gap_m FROM ft", T)
+def arc_fit(spark, d):
+    return rounded(_fits(spark, d), 5)
+
+
+@query(
+    f"""{FITS}, ro AS (SELECT cand_id, arc_id, round(line_m, 9) AS line_m, round(anchor_m, 9) AS anchor_m, round(middle_m, 9) AS middle_m, round(length_gap_m, 9) AS g FROM ft),
+    rk AS (SELECT *, row_number() OVER w AS r, count(*) OVER (PARTITION BY cand_id) AS n_arcs, lead(line_m + anchor_m + middle_m) OVER w - (line_m + anchor_m + middle_m) AS gap_m FROM ro WINDOW w AS (PARTITION BY cand_id ORDER BY line_m, anchor_m, middle_m, g, arc_id))
+    SELECT cand_id, arc_id, n_arcs, CASE WHEN n_arcs = 1 THEN 'unique_direct_arc' ELSE 'same_pair_fit' END AS mode, CASE WHEN n_arcs = 1 THEN 0e0 ELSE round(line_m, 5) END AS line_m, CASE WHEN n_arcs = 1 THEN 0e0 ELSE round(anchor_m, 5) END AS anchor_m,
+      CASE WHEN n_arcs = 1 THEN 0e0 ELSE round(middle_m, 5) END AS middle_m, round(gap_m, 5) AS gap_m FROM rk WHERE r = 1""",
+    T,
+)
 def arc_assign(spark, d):
-    return S.arc_assign(v.roads(spark, d).groupBy((F.col("snode") % 200).alias("cand_id"), F.col("enode").alias("arc_id")).agg(F.min(F.col("length_m") / 4).alias("score")))
+    return rounded(S.arc_assign(_fits(spark, d)), 5)
 
 
 @query("SELECT road_id AS arc_id, CASE WHEN road_id % 3 > 0 THEN 's' || road_id % 3 END AS support_status, CASE WHEN road_id % 5 = 0 THEN 'built' END AS build_status FROM v_roads", R)

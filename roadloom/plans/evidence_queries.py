@@ -89,20 +89,42 @@ def surface_centerline(spark, d):
     return rounded(E.surface_centerline(pairs, v.points(spark, d).where("cls = 2")).withColumn("k", F.col("k").cast("long")), 5)
 
 
-SAMPLES = "sm AS (SELECT node_id, node_id % 8 AS patch_id, x1, y1, x2, y2, sqrt((x2 - x1) ** 2 + (y2 - y1) ** 2) AS len, unnest(range(CAST(floor(sqrt((x2 - x1) ** 2 + (y2 - y1) ** 2)) AS BIGINT) + 1)) AS i FROM v_xsecs), sq AS (SELECT node_id, patch_id, len, i, i * 1e0 AS s, x1 + i * 1e0 / len * (x2 - x1) AS x, y1 + i * 1e0 / len * (y2 - y1) AS y FROM sm)"
+SAMPLES = """sm AS (SELECT node_id, node_id % 8 AS patch_id, x1, y1, x2, y2, sqrt((x2 - x1) ** 2 + (y2 - y1) ** 2) AS len, CAST(greatest(1, ceil(round(sqrt((x2 - x1) ** 2 + (y2 - y1) ** 2), 9))) AS BIGINT) AS parts FROM v_xsecs),
+sq AS (SELECT node_id, patch_id, len, i, i / parts * len AS s, x1 + i / parts * (x2 - x1) AS x, y1 + i / parts * (y2 - y1) AS y FROM sm, unnest(range(parts + 1)) t(i))"""
+BARRIERS = f"""{SAMPLES}, nr AS (SELECT sq.patch_id, sq.node_id, i, s FROM sq JOIN v_points p ON p.patch_id = sq.patch_id AND cls <> 2 AND (p.x - sq.x) * (p.x - sq.x) + (p.y - sq.y) * (p.y - sq.y) <= 9 GROUP BY ALL HAVING count(*) >= 2),
+rr AS (SELECT *, i - row_number() OVER (PARTITION BY node_id ORDER BY i) AS r FROM nr), g AS (SELECT patch_id, node_id, r, min(s) AS start_s, max(s) AS end_s, min(i) AS lo, max(i) AS hi FROM rr GROUP BY ALL HAVING count(*) >= 4),
+br AS (SELECT patch_id, node_id, row_number() OVER (PARTITION BY node_id ORDER BY start_s) AS run, start_s, end_s, hi - lo + 1 AS n_samples, (lo + hi) // 2 AS mid FROM g),
+oc AS (SELECT br.node_id, run, count(DISTINCT least(floor((along + 60) / 2), 59)) / 60 AS occupancy FROM br JOIN sq ON sq.node_id = br.node_id AND i = mid JOIN sm ON sm.node_id = br.node_id JOIN v_traj t ON t.patch_id = br.patch_id,
+  LATERAL (SELECT round((t.x - sq.x) * (sm.y2 - sm.y1) / sm.len - (t.y - sq.y) * (sm.x2 - sm.x1) / sm.len, 9) AS along, round(abs((t.x - sq.x) * (sm.x2 - sm.x1) / sm.len + (t.y - sq.y) * (sm.y2 - sm.y1) / sm.len), 9) AS off) WHERE abs(along) <= 60 AND off <= 1.25e0 GROUP BY ALL),
+ba AS (SELECT br.*, coalesce(occupancy, 0) AS occupancy, coalesce(occupancy, 0) >= 0.25e0 AS final FROM br LEFT JOIN oc USING (node_id, run))"""
 
 
-@query(f"{SAMPLES}, nr AS (SELECT sq.patch_id, sq.node_id, i, s FROM sq JOIN v_points p ON p.patch_id = sq.patch_id AND cls <> 2 AND (p.x - sq.x) * (p.x - sq.x) + (p.y - sq.y) * (p.y - sq.y) <= 9 GROUP BY ALL HAVING count(*) >= 2), rr AS (SELECT *, i - row_number() OVER (PARTITION BY node_id ORDER BY i) AS r FROM nr), g AS (SELECT patch_id, node_id, r, min(s) AS start_s, max(s) AS end_s FROM rr GROUP BY ALL HAVING max(s) - min(s) >= 4) SELECT patch_id, node_id, row_number() OVER (PARTITION BY node_id ORDER BY start_s) AS run, start_s, end_s FROM g", ("v_xsecs", "v_points"))
-def barrier_runs(spark, d):
+def _barriers(spark, d):
     xsecs = v.xsecs(spark, d).withColumn("patch_id", F.col("node_id") % 8)
-    return E.barrier_runs(xsecs, v.points(spark, d).where("cls <> 2"), radius=3.0).select("patch_id", "node_id", F.col("run").cast("long").alias("run"), "start_s", "end_s")
+    return xsecs, E.barrier_runs(xsecs, v.points(spark, d).where("cls <> 2"), v.traj(spark, d), radius=3.0, least_share=0.25)
+
+
+@query(f"{BARRIERS} SELECT patch_id, node_id, run, round(start_s, 6) AS start_s, round(end_s, 6) AS end_s, n_samples, round(occupancy, 9) AS occupancy, final FROM ba", ("v_xsecs", "v_points", "v_traj"))
+def barrier_runs(spark, d):
+    runs = _barriers(spark, d)[1].withColumns({"run": F.col("run").cast("long"), "n_samples": F.col("n_samples").cast("long"), "occupancy": F.round("occupancy", 9)})
+    return runs.withColumns({c: F.round(c, 6) for c in ("start_s", "end_s")})
+
+
+@query(
+    f"""{BARRIERS}, b AS (SELECT patch_id, node_id, 0e0 AS a, 0e0 AS b FROM sm UNION ALL SELECT patch_id, node_id, start_s - 3, end_s + 3 FROM ba WHERE final UNION ALL SELECT patch_id, node_id, len, len FROM sm),
+    w AS (SELECT *, max(b) OVER (PARTITION BY node_id ORDER BY a, b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS f FROM b), p AS (SELECT w.patch_id, w.node_id, greatest(0e0, f) AS start_s, least(a, len) AS end_s FROM w JOIN sm USING (node_id) WHERE least(a, len) > greatest(0e0, f) + 1e-9)
+    SELECT patch_id, node_id, row_number() OVER (PARTITION BY node_id ORDER BY start_s) AS part, round(start_s, 6) AS start_s, round(end_s, 6) AS end_s FROM p""",
+    ("v_xsecs", "v_points", "v_traj"),
+)
+def barrier_parts(spark, d):
+    return rounded(E.barrier_parts(*_barriers(spark, d), radius=3.0).withColumn("part", F.col("part").cast("long")))
 
 
 @query(
     f"""{SAMPLES}, {STRIPES.split('hit AS')[0].rstrip().rstrip(',')}, bx AS (SELECT poly_id, min(x1) AS bx1, max(x1) AS bx2, min(y1) AS by1, max(y1) AS by2 FROM v_zone_edges GROUP BY 1),
     fr AS (SELECT * FROM sq WHERE EXISTS (SELECT 1 FROM bx WHERE x >= bx1 AND x < bx2 AND y >= by1 AND y < by2) AND NOT EXISTS (SELECT 1 FROM bd WHERE x >= bd.bx1 AND x < bd.bx2 AND y >= bd.by1 AND y < bd.by2)),
     rr AS (SELECT *, i - row_number() OVER (PARTITION BY node_id ORDER BY i) AS r FROM fr), g AS (SELECT node_id, len / 2 AS a, min(s) AS start_s, max(s) AS end_s FROM rr GROUP BY node_id, len, r)
-    SELECT node_id, start_s, end_s, round(a - start_s, 6) AS left_m, round(end_s - a, 6) AS right_m FROM g QUALIFY row_number() OVER (PARTITION BY node_id ORDER BY round(greatest(0e0, start_s - a, a - end_s), 9), start_s) = 1""",
+    SELECT node_id, round(start_s, 6) AS start_s, round(end_s, 6) AS end_s, round(a - start_s, 6) AS left_m, round(end_s - a, 6) AS right_m FROM g QUALIFY row_number() OVER (PARTITION BY node_id ORDER BY round(greatest(0e0, start_s - a, a - end_s), 9), start_s) = 1""",
     ("v_xsecs", "v_zone_edges"),
 )
 def xsec_passable_span(spark, d):

@@ -266,10 +266,11 @@ def point_in_zone(spark, d):
 
 
 # The zones are rectangles, so the oracle clips each segment to the box in closed form.
-PIECES = f"""{SEG}, bx AS (SELECT poly_id, min(x1) AS bx1, max(x1) AS bx2, min(y1) AS by1, max(y1) AS by2 FROM v_zone_edges GROUP BY 1),
-cl AS (SELECT s.*, poly_id, greatest(0e0, least((bx1 - x1) / (x2 - x1), (bx2 - x1) / (x2 - x1)), CASE WHEN y2 <> y1 THEN least((by1 - y1) / (y2 - y1), (by2 - y1) / (y2 - y1)) ELSE 0 END) AS ta,
+CLIP = """cl AS (SELECT s.*, poly_id, greatest(0e0, least((bx1 - x1) / (x2 - x1), (bx2 - x1) / (x2 - x1)), CASE WHEN y2 <> y1 THEN least((by1 - y1) / (y2 - y1), (by2 - y1) / (y2 - y1)) ELSE 0 END) AS ta,
   least(1e0, greatest((bx1 - x1) / (x2 - x1), (bx2 - x1) / (x2 - x1)), CASE WHEN y2 <> y1 THEN greatest((by1 - y1) / (y2 - y1), (by2 - y1) / (y2 - y1)) ELSE 1 END) AS tb FROM s, bx WHERE (y1 <> y2 OR (y1 >= by1 AND y1 < by2))),
-ins AS (SELECT patch_id, traj_id, poly_id, s1 + ta * seg_m AS a, s1 + tb * seg_m AS b FROM cl WHERE tb > ta),
+ins AS (SELECT patch_id, traj_id, poly_id, s1 + ta * seg_m AS a, s1 + tb * seg_m AS b FROM cl WHERE tb > ta)"""
+PIECES = f"""{SEG}, bx AS (SELECT poly_id, min(x1) AS bx1, max(x1) AS bx2, min(y1) AS by1, max(y1) AS by2 FROM v_zone_edges GROUP BY 1),
+{CLIP},
 nw AS (SELECT *, CAST(coalesce(a > lag(b) OVER w + 1e-6, true) AS INTEGER) AS n FROM ins WINDOW w AS (PARTITION BY traj_id, poly_id ORDER BY a, b)),
 rn AS (SELECT *, sum(n) OVER (PARTITION BY traj_id, poly_id ORDER BY a, b) AS run FROM nw),
 pc AS (SELECT patch_id, traj_id, poly_id, run AS piece, min(a) AS start_s, max(b) AS end_s FROM rn GROUP BY ALL)"""
@@ -282,6 +283,29 @@ def line_zone_pieces(spark, d):
     return rounded(pieces.withColumn("piece", F.col("piece").cast("long")), 4).select(*LINE, "poly_id", "piece", "start_s", "end_s")
 
 
+# Three zones in place of each: the first two touch, the third overlaps both.
+UNION = f"""{SEG}, bx AS (SELECT DISTINCT poly_id * 3 + i AS poly_id, poly_id * 70e0 + CASE i WHEN 0 THEN 0 WHEN 1 THEN 30 ELSE 20 END AS bx1, poly_id * 70e0 + CASE i WHEN 0 THEN 30 WHEN 1 THEN 60 ELSE 40 END AS bx2, CASE i WHEN 2 THEN 10e0 ELSE 0e0 END AS by1, CASE i WHEN 2 THEN 58e0 ELSE 55e0 END AS by2 FROM v_zone_edges, range(3) r(i)),
+{CLIP},
+nw AS (SELECT *, CAST(coalesce(a > max(b) OVER (PARTITION BY traj_id ORDER BY a, b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) + 1e-6, true) AS INTEGER) AS n FROM ins),
+rn AS (SELECT *, sum(n) OVER (PARTITION BY traj_id ORDER BY a, b ROWS UNBOUNDED PRECEDING) AS run FROM nw), pc AS (SELECT patch_id, traj_id, run AS piece, min(a) AS start_s, max(b) AS end_s FROM rn GROUP BY ALL)"""
+
+
+def _touching(spark, d):
+    base = v.zone_edges(spark, d).select("poly_id", F.explode(F.array(F.lit(0), F.lit(1), F.lit(2))).alias("i")).distinct()
+    low, high = "poly_id * 70e0D + CASE i WHEN 0 THEN 0e0D WHEN 1 THEN 30e0D ELSE 20e0D END", "poly_id * 70e0D + CASE i WHEN 0 THEN 30e0D WHEN 1 THEN 60e0D ELSE 40e0D END"
+    y1, y2 = "CASE i WHEN 2 THEN 10e0D ELSE 0e0D END", "CASE i WHEN 2 THEN 58e0D ELSE 55e0D END"
+    corners = [(low, y1), (high, y1), (high, y2), (low, y2)]
+    edges = ", ".join(f"named_struct('edge_ix', {k}, 'x1', {a[0]}, 'y1', {a[1]}, 'x2', {b[0]}, 'y2', {b[1]})" for k, (a, b) in enumerate(zip(corners, corners[1:] + corners[:1])))
+    return base.selectExpr("poly_id * 3 + i AS poly_id", f"inline(array({edges}))")
+
+
+@query(f"{UNION} SELECT patch_id, traj_id, CAST(piece AS BIGINT) AS piece, round(start_s, 4) AS start_s, round(end_s, 4) AS end_s FROM pc", TZ)
+def line_zone_union(spark, d):
+    """Pieces of lines in the union of zones that touch and overlap."""
+    pieces = zones.line_zone_pieces(zones.segments(v.traj(spark, d), LINE), _touching(spark, d), LINE, union=True)
+    return rounded(pieces.withColumn("piece", F.col("piece").cast("long")), 4).select(*LINE, "piece", "start_s", "end_s")
+
+
 RATIO = f"{PIECES}, tl AS (SELECT patch_id, traj_id, sum(seg_m) AS length_m FROM s GROUP BY ALL), rt AS (SELECT patch_id, traj_id, poly_id, sum(end_s - start_s) AS inside_m, max(length_m) AS length_m, sum(end_s - start_s) / max(length_m) AS ratio FROM pc JOIN tl USING (patch_id, traj_id) GROUP BY ALL)"
 
 

@@ -17,7 +17,7 @@ sw AS (SELECT *, dy * hx - dx * hy AS side FROM nr WHERE dx * dx + dy * dy <= 64
 bn AS (SELECT *, CAST(floor(round((side + 5e0) / (10e0 / 21), 9)) AS INTEGER) AS bin FROM sw),
 su AS (SELECT patch_id, traj_id, seq, count(*) AS support FROM bn GROUP BY ALL),
 md AS (SELECT patch_id, traj_id, seq, (bin + 0.5e0) * (10e0 / 21) - 5e0 AS pos, median(z) AS mid FROM bn WHERE bin < 21 GROUP BY patch_id, traj_id, seq, bin),
-ft AS (SELECT patch_id, traj_id, seq, count(*) AS n_bins, regr_slope(mid, pos) AS slope, regr_intercept(mid, pos) AS level FROM md GROUP BY ALL),
+ft AS (SELECT patch_id, traj_id, seq, count(*) AS n_bins, CASE WHEN count(*) = 1 THEN 0e0 ELSE regr_slope(mid, pos) END AS slope, CASE WHEN count(*) = 1 THEN min(mid) ELSE regr_intercept(mid, pos) END AS level FROM md GROUP BY ALL),
 rs AS (SELECT patch_id, traj_id, seq, quantile_cont(abs(mid - slope * pos - level), 0.9e0) AS p90 FROM md JOIN ft USING (patch_id, traj_id, seq) GROUP BY ALL),
 xp AS (SELECT t.patch_id, t.traj_id, t.seq, coalesce(support, 0) AS support, n_bins, p90, coalesce(n_bins, 0) / 21 AS coverage, coalesce(n_bins < 5 OR p90 > 0.5e0 OR p90 IS NULL, true) AS anomaly
   FROM v_traj t LEFT JOIN su USING (patch_id, traj_id, seq) LEFT JOIN ft USING (patch_id, traj_id, seq) LEFT JOIN rs USING (patch_id, traj_id, seq))"""
