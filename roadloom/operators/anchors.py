@@ -28,6 +28,45 @@ def crossline_scan(nodes: DataFrame, step: float = 1.0, half: float = 20.0) -> D
     )
 
 
+def between_branches(nodes: DataFrame, branches: DataFrame, step: float = 1.0, half: float = 120.0) -> DataFrame:
+    """Crosslines that end on a node's two branches: (node_id, k, s, x1, y1, x2, y2, seg_m, a_hit, b_hit), from
+    branch 'a' to branch 'b'. nodes as in crossline_scan(); branches: node_id, branch ('a' or 'b'), seq, x1, y1, x2, y2.
+
+    Each branch gives the point where it meets the long crossline (`half` to either side, at
+    least 120 m), of several the one nearest to the axis; a branch that doesn't meet it gives its point
+    nearest to the crossline, and `a_hit` or `b_hit` says so. So the width follows the road. Nodes without both
+    branches have no row."""
+    long = crossline_scan(nodes, step, max(half, 120.0))
+    e = branches.where("branch IN ('a', 'b')").select("node_id", "branch", "seq", *[F.col(c).alias(f"e{c}") for c in ("x1", "y1", "x2", "y2")])
+    rows = long.join(e, "node_id")
+    c = {n: F.col(n) for n in ("x1", "y1", "x2", "y2", "ex1", "ey1", "ex2", "ey2")}
+    dx, dy, ex, ey = c["x2"] - c["x1"], c["y2"] - c["y1"], c["ex2"] - c["ex1"], c["ey2"] - c["ey1"]
+    den = F.nullif(dx * ey - dy * ex, F.lit(0.0))
+    t = ((c["ex1"] - c["x1"]) * ey - (c["ey1"] - c["y1"]) * ex) / den  # along the crossline
+    u = ((c["ex1"] - c["x1"]) * dy - (c["ey1"] - c["y1"]) * dx) / den  # along the branch
+    meets = F.coalesce(t.between(0, 1) & u.between(0, 1), F.lit(False))
+    mx, my = (c["x1"] + c["x2"]) / 2, (c["y1"] + c["y2"]) / 2
+
+    def foot(px: Column, py: Column, ax: Column, ay: Column, bx: Column, by: Column) -> tuple[Column, Column]:
+        n = F.nullif((bx - ax) ** 2 + (by - ay) ** 2, F.lit(0.0))
+        f = F.coalesce(F.greatest(F.lit(0.0), F.least(F.lit(1.0), ((px - ax) * (bx - ax) + (py - ay) * (by - ay)) / n)), F.lit(0.0))
+        return ax + f * (bx - ax), ay + f * (by - ay)
+
+    # Where they don't meet, the nearest point is an end of the segment, or faces an end of the crossline.
+    near = []
+    for i in ("1", "2"):
+        fx, fy = foot(c[f"ex{i}"], c[f"ey{i}"], c["x1"], c["y1"], c["x2"], c["y2"])
+        near.append((c[f"ex{i}"], c[f"ey{i}"], (c[f"ex{i}"] - fx) ** 2 + (c[f"ey{i}"] - fy) ** 2))
+        gx, gy = foot(c[f"x{i}"], c[f"y{i}"], c["ex1"], c["ey1"], c["ex2"], c["ey2"])
+        near.append((gx, gy, (c[f"x{i}"] - gx) ** 2 + (c[f"y{i}"] - gy) ** 2))
+    found = [F.struct((~meets).alias("off"), F.when(meets, F.round((c["ex1"] + u * ex - mx) ** 2 + (c["ey1"] + u * ey - my) ** 2, 9)).otherwise(F.round(d, 9)).alias("d"), F.col("seq"), F.when(meets, c["ex1"] + u * ex).otherwise(x).alias("x"), F.when(meets, c["ey1"] + u * ey).otherwise(y).alias("y")) for x, y, d in near]
+    best = rows.groupBy("node_id", "k", "s", "branch").agg(F.min(F.least(*found)).alias("p"))
+    side = lambda b: best.where(F.col("branch") == b).select("node_id", "k", "s", F.col("p.x").alias(f"x{b}"), F.col("p.y").alias(f"y{b}"), (~F.col("p.off")).alias(f"{b}_hit"))
+    both = side("a").join(side("b"), ["node_id", "k", "s"])
+    both = both.select("node_id", "k", "s", F.col("xa").alias("x1"), F.col("ya").alias("y1"), F.col("xb").alias("x2"), F.col("yb").alias("y2"), "a_hit", "b_hit")
+    return both.withColumn("seg_m", F.sqrt((F.col("x2") - F.col("x1")) ** 2 + (F.col("y2") - F.col("y1")) ** 2))
+
+
 def scan_pieces(scan: DataFrame, zone_edges: DataFrame, least_m: float = 1.0) -> DataFrame:
     """Inside pieces of each crossline in the union of all zones: (node_id, k, s, piece, start_s, end_s)."""
     lines = scan.withColumns({"seq": F.lit(1), "s1": F.lit(0.0), "seg_m": F.sqrt((F.col("x2") - F.col("x1")) ** 2 + (F.col("y2") - F.col("y1")) ** 2)})

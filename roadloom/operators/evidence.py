@@ -256,6 +256,38 @@ def support_fuse_line(pieces: DataFrame, arcs: DataFrame, by: str = "arc_id") ->
     return out.withColumn("ord", F.row_number().over(Window.partitionBy(by).orderBy("from_s", "to_s")))
 
 
+def cut_lines(lines: DataFrame, spans: DataFrame, by: list[str], ord: str = "ord") -> DataFrame:
+    """(by..., ord, i, x, y): the vertices of lines (zones.segments) between two stations, with cut ends. spans: by..., ord, from_s,
+    to_s, within the line. Each segment that a span meets gives its two (cut) ends, so inner vertices come twice."""
+    rows = lines.where("seg_m > 0").join(spans.select(*by, ord, "from_s", "to_s"), by).where("s1 < to_s AND s1 + seg_m > from_s")
+    at = lambda s: (s - F.col("s1")) / F.col("seg_m")
+    low, high = at(F.greatest("from_s", "s1")), at(F.least(F.col("to_s"), F.col("s1") + F.col("seg_m")))
+    spot = lambda f, k: F.struct((2 * F.col("seq") + k).alias("i"), (F.col("x1") + f * (F.col("x2") - F.col("x1"))).alias("x"), (F.col("y1") + f * (F.col("y2") - F.col("y1"))).alias("y"))
+    return rows.select(*by, ord, F.inline(F.array(spot(low, 0), spot(high, 1))))
+
+
+def fused_line(pieces: DataFrame, piece_lines: DataFrame, arcs: DataFrame, arc_lines: DataFrame) -> DataFrame:
+    """One line for each arc, as vertices: (arc_id, k, x, y, how). The stretches of support_fuse_line() in order; a support piece gives
+    all vertices of its own line (segments by arc_id, piece_id), turned if it was given backwards, and a gap
+    the arc's vertices between its stations. Equal neighbours are one. how: 'arc' without support, 'support' if support covers
+    the arc, 'support_and_arc' for both."""
+    from .zones import polyline_vertices
+
+    spans = cut(support_fuse_line(pieces, arcs))
+    gaps = cut_lines(arc_lines, spans.where("source = 'arc'"), ["arc_id"])
+    turned = pieces.groupBy("arc_id", "piece_id").agg(F.bool_or(F.col("start_s") > F.col("end_s")).alias("back"))
+    own = polyline_vertices(piece_lines, ["arc_id", "piece_id"]).join(turned, ["arc_id", "piece_id"])
+    support = spans.where("source = 'support'").select("arc_id", "piece_id", "ord").join(own, ["arc_id", "piece_id"])
+    support = support.select("arc_id", "ord", F.when(F.col("back"), -F.col("i")).otherwise(F.col("i")).alias("i"), "x", "y")
+    w = Window.partitionBy("arc_id").orderBy("ord", "i")
+    rows = gaps.select("arc_id", "ord", "i", "x", "y").union(support)
+    same = (F.abs(F.col("x") - F.lag("x").over(w)) <= 1e-9) & (F.abs(F.col("y") - F.lag("y").over(w)) <= 1e-9)
+    rows = rows.withColumn("_same", F.coalesce(same, F.lit(False))).where("NOT _same").withColumn("k", F.row_number().over(w))
+    kinds = spans.groupBy("arc_id").agg(F.bool_or(F.col("source") == "arc").alias("a"), F.bool_or(F.col("source") == "support").alias("s"))
+    how = F.when(F.col("a") & F.col("s"), "support_and_arc").when(F.col("s"), "support").otherwise("arc")
+    return rows.join(kinds, "arc_id").select("arc_id", "k", "x", "y", how.alias("how"))
+
+
 def chain_line_merge(edges: DataFrame, nodes: DataFrame, reach: float = 1.0) -> DataFrame:
     """(src, dst, keeper, how): chain edges (component, src, dst, dist_m) whose two anchors become one.
     nodes: node_id, diverge, merge, offset_m, x1, y1, x2, y2 (the anchor's line). An edge

@@ -125,6 +125,48 @@ def channel_split(rows: DataFrame, by: list[str], key: str, value: str, sep: flo
     return out.withColumns({"main_share": F.col("main_n") / F.col("n"), "multi": (F.col("n") >= least) & (F.col("spread") > sep)})
 
 
+def channel_labels(rows: DataFrame, by: list[str], key: str, sep: float, top: int = 40, least: int = 4) -> DataFrame:
+    """The channel of each item (by..., key, x, y: its middle) of a group: (by..., key, label, kept, n, n_clusters, spread,
+    main_label, main_share, multi).
+
+    The medoid is the one of the group's first `top` items (by key) with the least sum of distances to the others
+    of them. Their distances from it, in order, join the last cluster while they are within
+    max(1, 0.45 * sep) of its running mean, and else begin one. Every item of the group then has the cluster with the
+    nearest centre (the first of equally near ones). Groups whose centres span more than `sep` are
+    `multi`, and only their largest cluster (the first of equal ones) is kept. Groups of fewer than `least` items or with one cluster stay whole."""
+    ranked = rows.select(*by, key, "x", "y").withColumn("_r", F.row_number().over(Window.partitionBy(*by).orderBy(key)))
+    first = ranked.where(F.col("_r") <= max(3, top))
+    other = first.select(*by, F.col("x").alias("x2"), F.col("y").alias("y2"))
+    away = F.sqrt((F.col("x") - F.col("x2")) ** 2 + (F.col("y") - F.col("y2")) ** 2)
+    total = first.join(other, by).groupBy(*by, "_r").agg(F.round(F.sum(away), 6).alias("total"), F.first("x").alias("mx"), F.first("y").alias("my"))
+    medoid = total.groupBy(*by).agg(F.min_by(F.struct("mx", "my"), F.struct("total", "_r")).alias("m"))
+    radial = F.round(F.sqrt((F.col("x") - F.col("m.mx")) ** 2 + (F.col("y") - F.col("m.my")) ** 2), 9)
+    spread = ranked.join(medoid, by).withColumn("radial", radial).drop("m")
+    # The fold's state: centres, the last one open, and how many it has taken in.
+    zero = F.struct(F.array().cast("array<double>").alias("c"), F.lit(0.0).alias("n"))
+
+    def take(a, v):
+        last = F.try_element_at(a.c, F.size(a.c))
+        joined = F.struct(F.concat(F.slice(a.c, 1, F.size(a.c) - 1), F.array(last + (v - last) / (a.n + 1))).alias("c"), (a.n + 1).alias("n"))
+        begun = F.struct(F.concat(a.c, F.array(v)).alias("c"), F.lit(1.0).alias("n"))
+        return F.when((F.size(a.c) > 0) & (F.round(v - last, 9) <= max(1.0, 0.45 * sep)), joined).otherwise(begun)
+
+    centres = spread.where(F.col("_r") <= max(3, top)).groupBy(*by).agg(F.array_sort(F.collect_list("radial")).alias("v"))
+    centres = centres.select(*by, F.aggregate("v", zero, take).c.alias("centres"))
+    gaps = F.transform("centres", lambda c: F.round(F.abs(F.col("radial") - c), 9))
+    marked = spread.join(centres, by).withColumn("label", (F.array_position(gaps, F.array_min(gaps)) - 1).cast("int"))
+    sizes = marked.groupBy(*by, "label", "centres").agg(F.count("*").alias("size"))
+    wide = F.element_at("centres", -1) - F.element_at("centres", 1)
+    group = sizes.groupBy(*by).agg(F.sum("size").alias("n"), F.max(F.size("centres")).alias("n_clusters"), F.max(wide).alias("spread"), F.max(F.struct("size", (-F.col("label")).alias("l"))).alias("main"))
+    split = (F.col("n") >= least) & (F.col("n_clusters") > 1)
+    group = group.select(
+        *by, "n", F.when(split, F.col("n_clusters")).otherwise(1).alias("n_clusters"), F.when(split, F.col("spread")).alias("spread"), F.when(split, -F.col("main.l")).otherwise(0).alias("main_label"),
+        F.when(split, F.col("main.size") / F.col("n")).otherwise(1.0).alias("main_share"), (split & (F.col("spread") > sep)).alias("multi"),
+    )
+    out = marked.select(*by, key, "label").join(group, by).withColumn("label", F.when(F.col("n_clusters") > 1, F.col("label")).otherwise(0))
+    return out.withColumn("kept", ~F.col("multi") | (F.col("label") == F.col("main_label")))
+
+
 def segment_select(rows: DataFrame, by: list[str], keys: list[Column], top: int = 2) -> DataFrame:
     """Rank within each pair by several keys; the first `top` stay, the rest say why."""
     w = Window.partitionBy(*by).orderBy(*keys)

@@ -6,6 +6,9 @@ trajectory is sorted once and never gathered.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -278,14 +281,39 @@ def offset_interpolate(rows: DataFrame, by: list[str], order: str, value: str) -
     return rows.withColumn("filled", F.coalesce(F.col(value), mid, v0, v1))
 
 
-def offset_smooth(rows: DataFrame, by: list[str], order: str, value: str, half: int = 2) -> DataFrame:
-    """Two passes of a centred moving average, with the edge values repeated."""
+def offset_smooth(rows: DataFrame, by: list[str], order: str, value: str, half: int = 2, most_step: float = 0.0) -> DataFrame:
+    """Two passes of a centred moving average, with the edge values repeated, then, where `most_step` is
+    above 0, a slew limit."""
     w = Window.partitionBy(*by).orderBy(order)
     whole = Window.partitionBy(*by)
     for _ in range(2):
         rows = rows.withColumns({"_i": F.row_number().over(w), "_n": F.count("*").over(whole)})
         first, last = F.first(value).over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)), F.last(value).over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+        # A value beyond an edge is the edge's own: in a short line both may be repeated.
         low, high = F.greatest(F.lit(0), half + 1 - F.col("_i")), F.greatest(F.lit(0), F.col("_i") + half - F.col("_n"))
         total = F.sum(value).over(w.rowsBetween(-half, half)) + first * low + last * high
         rows = rows.withColumn(value, total / (2 * half + 1)).drop("_i", "_n")
-    return rows
+    return slew_limit(rows, by, order, value, most_step) if most_step > 0 else rows
+
+
+def slew_limit(rows: DataFrame, by: list[str], order: str, value: str, most_step: float) -> DataFrame:
+    """Each value moved towards the one before it (as already moved) until it is at most
+    `most_step` away; nulls stay and are passed over. The rule goes along a line, so a task streams through sorted
+    lines and holds one value."""
+    names = rows.columns
+    dealt = rows.repartition(*by).sortWithinPartitions(*by, order)
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        key, held = None, None
+        for pdf in frames:
+            out = []
+            for own, x in zip(zip(*[pdf[c] for c in by]), pdf[value].tolist()):
+                if own != key:
+                    key, held = own, None
+                if x is not None and x == x:
+                    held = x if held is None else min(max(x, held - most_step), held + most_step)
+                    x = held
+                out.append(x)
+            yield pdf.assign(**{value: out})[names]
+
+    return dealt.mapInPandas(run, dealt.schema)

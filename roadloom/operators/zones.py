@@ -30,6 +30,13 @@ def polyline_measure(vertices: DataFrame, by: list[str], order: str = "seq") ->
     return rows.withColumn("_d", d).groupBy(*by).agg(F.count("*").alias("n"), F.coalesce(F.sum("_d"), F.lit(0.0)).alias("length_m"), *ends)
 
 
+def polyline_vertices(lines: DataFrame, by: list[str]) -> DataFrame:
+    """(by..., i, x, y): the vertices of lines (from segments()) in order, i being the segment's seq or one more."""
+    last = lines.groupBy(*by).agg(F.max_by(F.struct("seq", "x2", "y2"), "seq").alias("e"))
+    ends = last.select(*by, (F.col("e.seq") + 1).alias("i"), F.col("e.x2").alias("x"), F.col("e.y2").alias("y"))
+    return lines.select(*by, F.col("seq").alias("i"), F.col("x1").alias("x"), F.col("y1").alias("y")).union(ends)
+
+
 #: Side of the cells in which lines, polygons and their edges meet.
 CELL = 50.0
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import scalars
-from ..operators import anchors, repair
+from ..operators import anchors, network, repair
 from ..sources import views as v
 from .registry import query, rounded
 
@@ -134,6 +134,31 @@ def pieces_pick(spark, d):
     return rounded(anchors.pieces_pick(pieces, ["node_id", "k"], 20.0))
 
 
+# Branches leave a node along x, one to the left for 25 m, one to the right: the crosslines end on them.
+BRANCHES = f"""{SCAN}, bb AS (SELECT node_id, k, s, cx, s <= 25 AS a_hit, true AS b_hit, cx - greatest(0e0, s - 25) AS ax, cy + 0.4e0 * least(s, 25e0) AS ay, cy - 0.3e0 * s AS b_y FROM sn),
+{STRIPES.split("hit AS")[0].rstrip().rstrip(",")}, bp AS (SELECT node_id, bb.k, bb.s, greatest(by1, b_y) AS lo, least(by2, ay) AS hi, ay FROM bb JOIN bd ON s <= 25 AND cx >= bx1 AND cx < bx2), pc AS (SELECT node_id, k, s, hi - lo AS m FROM bp WHERE hi - lo >= 1)"""
+
+
+def _branch_lines(spark, d):
+    stop, _ = anchors.scan_stop(30.0, F.when(F.col("node_id") % 3 == 0, 20.0))
+    nodes = v.nodes(spark, d).withColumns({"ux": F.lit(1.0), "uy": F.lit(0.0), "stop_m": stop})
+    parts = "array(named_struct('branch', 'a', 'seq', 1, 'd1', 0e0D, 'e1', 0e0D, 'd2', 10e0D, 'e2', 4e0D), named_struct('branch', 'a', 'seq', 2, 'd1', 10e0D, 'e1', 4e0D, 'd2', 25e0D, 'e2', 10e0D), named_struct('branch', 'b', 'seq', 1, 'd1', 0e0D, 'e1', 0e0D, 'd2', 40e0D, 'e2', -12e0D))"
+    rows = nodes.selectExpr("node_id", "x", "y", f"inline({parts})")
+    return nodes, rows.selectExpr("node_id", "branch", "seq", "x + d1 AS x1", "y + e1 AS y1", "x + d2 AS x2", "y + e2 AS y2")
+
+
+@query(f"{BRANCHES} SELECT node_id, k, s, round(ax, 6) AS x1, round(ay, 6) AS y1, round(cx, 6) AS x2, round(b_y, 6) AS y2, a_hit, b_hit, round(sqrt((ax - cx) ** 2 + (ay - b_y) ** 2), 6) AS seg_m FROM bb", NZ)
+def between_branches(spark, d):
+    return rounded(anchors.between_branches(*_branch_lines(spark, d), step=2.0))
+
+
+@query(f"{BRANCHES}, n AS (SELECT node_id, k, s, count(*) AS n FROM pc GROUP BY ALL) SELECT bb.node_id, min(CASE WHEN n >= 2 THEN bb.s END) AS split_s, coalesce(max(n), 0) AS most_pieces FROM bb LEFT JOIN n USING (node_id, k) WHERE bb.s <= 25 GROUP BY bb.node_id", NZ)
+def branch_split(spark, d):
+    """The first split between branches: pieces are counted on crosslines as wide as the road."""
+    scan = network.cut(anchors.between_branches(*_branch_lines(spark, d), step=2.0).where("s <= 25"))
+    return anchors.first_split(scan, anchors.scan_pieces(scan, _stripes(spark, d))).select("node_id", "split_s", "most_pieces")
+
+
 TIPS = "tp AS (SELECT DISTINCT poly_id * 70e0 + 30e0 + poly_id * 1.5e0 AS px, 27e0 AS py FROM v_zone_edges), ht AS (SELECT node_id, s, round(sqrt((px - cx) ** 2 + greatest(0e0, abs(py - cy) - 20) ** 2), 6) AS d FROM sn JOIN tp ON px BETWEEN cx - 60 AND cx + 60), fh AS (SELECT node_id, min(CASE WHEN d <= 1 THEN s END) AS first_s, min(d) AS closest_m FROM ht GROUP BY node_id)"
 
 

@@ -264,9 +264,15 @@ def graph_compress(spark, d):
     return got.where("NOT closed").select("src", "dst", F.size("nodes").cast("long").alias("n_nodes"), "length_m")
 
 
-@query("SELECT traj_id, seq, round(a, 6) AS z FROM (SELECT traj_id, seq, avg(m) OVER w2 AS a FROM (SELECT traj_id, seq, avg(z) OVER w1 AS m FROM v_traj WINDOW w1 AS (PARTITION BY traj_id ORDER BY seq ROWS BETWEEN 2 PRECEDING AND 2 FOLLOWING)) WINDOW w2 AS (PARTITION BY traj_id ORDER BY seq ROWS BETWEEN 2 PRECEDING AND 2 FOLLOWING)) QUALIFY row_number() OVER (PARTITION BY traj_id ORDER BY seq) > 4 AND row_number() OVER (PARTITION BY traj_id ORDER BY seq DESC) > 4", T)
+# Lists by trajectory: the average of five with the edges repeated, twice, then steps of 0.1 at most.
+_AVERAGE = "list_transform(range(1, len({0}) + 1), lambda i: ({0}[greatest(1, i - 2)] + {0}[greatest(1, i - 1)] + {0}[i] + {0}[least(len({0}), i + 1)] + {0}[least(len({0}), i + 2)]) / 5)"
+
+
+@query(
+    f"""l AS (SELECT traj_id, list(seq ORDER BY seq) AS q, list(z ORDER BY seq) AS a FROM v_traj GROUP BY traj_id), m AS (SELECT traj_id, q, {_AVERAGE.format('a')} AS b FROM l), n AS (SELECT traj_id, q, {_AVERAGE.format('b')} AS c FROM m),
+    o AS (SELECT traj_id, q, list_reduce(list_transform(c, lambda x: [x]), lambda s, x: list_append(s, greatest(s[len(s)] - 0.1e0, least(s[len(s)] + 0.1e0, x[1])))) AS r FROM n)
+    SELECT traj_id, unnest(q) AS seq, round(unnest(r), 6) AS z FROM o""",
+    T,
+)
 def offset_smooth(spark, d):
-    """Inner vertices, where the average needs no repeated edge values."""
-    rows = series.offset_smooth(v.traj(spark, d).select("traj_id", "seq", "z"), ["traj_id"], "seq", "z")
-    n = rows.groupBy("traj_id").agg(F.max("seq").alias("n"))
-    return rounded(rows.join(n, "traj_id").where("seq > 4 AND seq <= n - 4").select("traj_id", "seq", "z"))
+    return rounded(series.offset_smooth(v.traj(spark, d).select("traj_id", "seq", "z"), ["traj_id"], "seq", "z", most_step=0.1))

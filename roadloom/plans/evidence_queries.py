@@ -146,6 +146,28 @@ def support_fuse_line(spark, d):
     return E.support_fuse_line(pieces, arcs)
 
 
+@query(
+    f"""{SEG}, ar AS (SELECT traj_id AS arc_id, max(s1 + seg_m) AS m FROM s GROUP BY 1), sp AS (SELECT arc_id, i, 20e0 * i + 5 AS a, least(20e0 * i + 15, m) AS b FROM ar, range(3) r(i) WHERE 20 * i + 5 < m - 1e-6),
+    ga AS (SELECT arc_id, 2 * i AS o, CASE WHEN i = 0 THEN 0e0 ELSE 20e0 * i - 5 END AS f, a AS t FROM sp UNION ALL SELECT arc_id, 99, max(b), any_value(m) FROM sp JOIN ar USING (arc_id) GROUP BY arc_id HAVING max(b) < any_value(m) - 1e-6 UNION ALL SELECT arc_id, 99, 0e0, m FROM ar WHERE arc_id NOT IN (SELECT arc_id FROM sp)),
+    gv AS (SELECT arc_id, o, unnest([2 * seq, 2 * seq + 1]) AS i, unnest([x1 + (greatest(f, s1) - s1) / seg_m * (x2 - x1), x1 + (least(t, s1 + seg_m) - s1) / seg_m * (x2 - x1)]) AS x, unnest([y1 + (greatest(f, s1) - s1) / seg_m * (y2 - y1), y1 + (least(t, s1 + seg_m) - s1) / seg_m * (y2 - y1)]) AS y FROM ga JOIN s ON traj_id = arc_id AND seg_m > 0 AND s1 < t AND s1 + seg_m > f),
+    sv AS (SELECT arc_id, 2 * i + 1 AS o, unnest([0, 1, 2]) AS i, unnest([a, a + 4, a + 9]) AS x, unnest([-1e0 - i, -2e0 - i, -1e0 - i]) AS y FROM sp), al AS (SELECT * FROM gv UNION ALL SELECT * FROM sv),
+    dd AS (SELECT *, coalesce(abs(x - lag(x) OVER w) <= 1e-9 AND abs(y - lag(y) OVER w) <= 1e-9, false) AS same FROM al WINDOW w AS (PARTITION BY arc_id ORDER BY o, i))
+    SELECT arc_id, row_number() OVER (PARTITION BY arc_id ORDER BY o, i) AS k, round(x, 6) AS x, round(y, 6) AS y, CASE WHEN arc_id IN (SELECT arc_id FROM sp) THEN 'support_and_arc' ELSE 'arc' END AS how FROM dd WHERE NOT same""",
+    ("v_traj",),
+)
+def fused_line(spark, d):
+    """Trajectories as arcs, each with up to three support lines beside it, of which every other one comes backwards."""
+    arc_lines = zones.segments(v.traj(spark, d), ["traj_id"]).withColumnRenamed("traj_id", "arc_id")
+    arcs = network.cut(arc_lines.groupBy("arc_id").agg(F.max(F.col("s1") + F.col("seg_m")).alias("length_m")))
+    spans = arcs.withColumn("i", F.explode(F.array(F.lit(0), F.lit(1), F.lit(2)))).withColumns({"a": 20.0 * F.col("i") + 5, "b": F.least(20.0 * F.col("i") + 15, F.col("length_m"))}).where("a < length_m - 1e-6")
+    odd = F.col("i") % 2 == 1
+    pieces = spans.select("arc_id", F.col("i").cast("long").alias("piece_id"), F.when(odd, F.col("b")).otherwise(F.col("a")).alias("start_s"), F.when(odd, F.col("a")).otherwise(F.col("b")).alias("end_s"))
+    spot = lambda k, dx, dy: F.struct(F.when(odd, 2 - k).otherwise(k).alias("seq"), (F.col("a") + dx).alias("x"), (-F.col("i") + dy).alias("y"))
+    drawn = spans.select("arc_id", F.col("i").cast("long").alias("piece_id"), F.inline(F.array(spot(0, 0.0, -1.0), spot(1, 4.0, -2.0), spot(2, 9.0, -1.0))))
+    lines = zones.segments(drawn, ["arc_id", "piece_id"])
+    return rounded(E.fused_line(pieces, lines, arcs, arc_lines).withColumn("k", F.col("k").cast("long")))
+
+
 @query()
 def chain_line_merge(spark, d):
     roads, nodes = v.roads(spark, d), v.nodes(spark, d)

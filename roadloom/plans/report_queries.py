@@ -112,6 +112,22 @@ def channel_split(spark, d):
     return rounded(profiles.channel_split(_events(spark, d), ["node_id"], "traj_id", "y", 8.0))
 
 
+@query(
+    f"""{CROSS}, it AS (SELECT node_id, traj_id, x, y, row_number() OVER (PARTITION BY node_id ORDER BY traj_id) AS r FROM ev), tp AS (SELECT * FROM it WHERE r <= 40),
+    su AS (SELECT a.node_id, a.r, a.x AS mx, a.y AS my, round(sum(sqrt((a.x - b.x) ** 2 + (a.y - b.y) ** 2)), 6) AS t FROM tp a JOIN tp b USING (node_id) GROUP BY ALL),
+    md AS (SELECT * FROM su QUALIFY row_number() OVER (PARTITION BY node_id ORDER BY t, r) = 1), rd AS (SELECT it.*, round(sqrt((x - mx) ** 2 + (y - my) ** 2), 9) AS d FROM it JOIN md USING (node_id)),
+    ce AS (SELECT node_id, list_reduce(list_transform(list(d ORDER BY d), lambda v: [1e0, v]), lambda a, b: CASE WHEN round(b[2] - a[len(a)], 9) <= 3.6e0 THEN list_concat([a[1] + 1], a[2:len(a) - 1], [a[len(a)] + (b[2] - a[len(a)]) / (a[1] + 1)]) ELSE list_concat([1e0], a[2:], [b[2]]) END)[2:] AS c FROM rd WHERE r <= 40 GROUP BY node_id),
+    lb AS (SELECT rd.node_id, traj_id, c, list_position(list_transform(c, lambda v: round(abs(d - v), 9)), list_min(list_transform(c, lambda v: round(abs(d - v), 9)))) - 1 AS label FROM rd JOIN ce USING (node_id)),
+    sz AS (SELECT node_id, label, count(*) AS size FROM lb GROUP BY ALL), mn AS (SELECT * FROM sz QUALIFY row_number() OVER (PARTITION BY node_id ORDER BY size DESC, label) = 1),
+    gr AS (SELECT node_id, count(*) AS n, any_value(len(c)) AS k, any_value(c[len(c)] - c[1]) AS spread FROM lb GROUP BY node_id), g AS (SELECT gr.*, mn.label AS main, mn.size, n >= 4 AND k > 1 AS split FROM gr JOIN mn USING (node_id))
+    SELECT node_id, traj_id, CASE WHEN split THEN lb.label ELSE 0 END AS label, n, CASE WHEN split THEN k ELSE 1 END AS n_clusters, CASE WHEN split THEN round(spread, 6) END AS spread, CASE WHEN split THEN main ELSE 0 END AS main_label,
+      CASE WHEN split THEN round(size / n, 6) ELSE 1e0 END AS main_share, split AND spread > 8 AS multi, NOT (split AND spread > 8) OR lb.label = main AS kept FROM lb JOIN g USING (node_id)""",
+    TX,
+)
+def channel_labels(spark, d):
+    return rounded(profiles.channel_labels(_events(spark, d), ["node_id"], "traj_id", 8.0))
+
+
 @query(f"{PAIRS}, r AS (SELECT *, row_number() OVER (PARTITION BY src, dst ORDER BY seq_to - seq_from, seq_from, traj_id) AS rank FROM pr) SELECT src, dst, traj_id, rank, CASE WHEN rank > 3 THEN 'beyond_top_k' END AS drop_reason FROM r", TX)
 def segment_select(spark, d):
     pairs = zones.traj_pair_candidates(_events(spark, d), LINE)
