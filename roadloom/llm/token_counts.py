@@ -1,11 +1,12 @@
 """Operator 1: edit-aware token counts.
 
-Each document keeps a segment tree whose leaves are its pieces (see pieces.py) with
-their token counts and whose inner nodes hold subtree sums. Edits replace the leaves
+Each document keeps a segment tree whose leaves are its pieces (see pieces.py), with the tokens
+and characters of each leaf and sums of both over subtrees. Places are found by descending by
+characters. Edits replace the leaves
 that they touch. Those leaves, with one leaf of context on either side, form a region
-(regions that meet are one); each region is encoded anew once, and only the sums on
-the paths from its leaves to the root change. So work is linear in the edits and in
-what they touch.
+(regions that meet are one); each region is encoded anew once, its new pieces are dealt to its leaves, and only the sums on
+the paths from them to the root change. So work is linear in the edits and in
+what they touch, and the tree is ready for the next batch of edits.
 """
 
 from __future__ import annotations
@@ -19,23 +20,25 @@ from pyspark.sql import functions as F
 
 from .common import bounded_batches
 from .kernels import Block
-from .pieces import _WIDE_SPACE, shared_vocabulary, task_encoder
+from .pieces import PieceEncoder, shared_vocabulary, task_encoder
 
 
 class CountTree:
     """Token counts of one document's leaves. `starts` has each leaf's first character,
-    `counts` its tokens, `total` the number of tokens of the text as edited."""
+    `counts` its tokens; `total` is the number of tokens of the text as edited so far, `chars` that of its characters.
+    `split` gives both for a text: (starts of its pieces, their token counts)."""
 
-    def __init__(self, text: str, starts: np.ndarray, counts: np.ndarray, count):
-        self.count = count  # number of tokens of a string
+    def __init__(self, text: str, starts: np.ndarray, counts: np.ndarray, split):
+        self.split = split
         if not len(starts):
             starts, counts = np.zeros(1, np.int64), np.zeros(1, np.int64)
         self.n = len(starts)
-        self.bounds = np.append(starts, len(text)).astype(np.int64)
-        self.text = text
+        self.given, self.bounds = text, np.append(starts, len(text)).astype(np.int64)
+        self.changed: dict[int, str] = {}  # texts of leaves that edits have touched
         self.size = 1 << max(0, (self.n - 1).bit_length())
-        self.sums = np.zeros(2 * self.size, np.int64)
-        self.sums[self.size : self.size + self.n] = counts
+        self.sums = np.zeros((2 * self.size, 2), np.int64)  # tokens, characters
+        self.sums[self.size : self.size + self.n, 0] = counts
+        self.sums[self.size : self.size + self.n, 1] = np.diff(self.bounds)
         level = self.size
         while level > 1:
             self.sums[level // 2 : level] = self.sums[level : 2 * level : 2] + self.sums[level + 1 : 2 * level : 2]
@@ -44,39 +47,106 @@ class CountTree:
 
     @property
     def total(self) -> int:
-        return int(self.sums[1])
+        return int(self.sums[1, 0])
 
-    def _set(self, leaves: np.ndarray, counts: np.ndarray) -> None:
-        """Puts new counts at leaves and renews the sums above them, level by level."""
+    @property
+    def chars(self) -> int:
+        return int(self.sums[1, 1])
+
+    def _leaf(self, i: int) -> str:
+        return self.changed[i] if i in self.changed else self.given[self.bounds[i] : self.bounds[i + 1]]
+
+    def text(self) -> str:
+        return "".join(self._leaf(i) for i in range(self.n))
+
+    def _find(self, place: int) -> tuple[int, int]:
+        """(leaf that holds the character at `place`, its first character's place); at the end of
+        the text the last leaf with text."""
+        place = min(place, self.chars - 1)
+        at, before = 1, 0
+        while at < self.size:
+            at *= 2
+            left = int(self.sums[at, 1])
+            if place - before >= left and before + left < self.chars:
+                before += left
+                at += 1
+        return at - self.size, before
+
+    def _set(self, leaves: np.ndarray, values: np.ndarray) -> None:
+        """Puts new tokens and characters at leaves and renews the sums above them, level by level."""
         at = leaves + self.size
-        self.sums[at] = counts
+        self.sums[at] = values
         while at[0] > 1:
             at = np.unique(at >> 1)
             self.sums[at] = self.sums[2 * at] + self.sums[2 * at + 1]
 
     def apply(self, edits: list[tuple[int, int, str]]) -> None:
-        """Replaces characters [start, end) by a text for each (start, end, text), which
-        come in ascending order and don't overlap."""
-        if not edits:
-            return
-        start, end = np.array([e[0] for e in edits]), np.array([e[1] for e in edits])
-        lead = self.bounds[:-1]
-        first = np.maximum(0, np.searchsorted(lead, start, "right") - 2)
-        last = np.minimum(self.n - 1, np.maximum(0, np.searchsorted(lead, np.maximum(start, end - 1), "right") - 1) + 1)
-        # Regions: runs of edits whose leaves meet.
-        new = np.flatnonzero(np.append(True, first[1:] > np.maximum.accumulate(last)[:-1]))
-        leaves, counts = [], []
-        for a, b in zip(new, np.append(new[1:], len(edits))):
-            low, high = int(first[a]), int(last[a:b].max())
-            at, parts = int(self.bounds[low]), []
-            for x, y, by in edits[a:b]:
-                parts += [self.text[at:x], by]
-                at = y
-            text = "".join(parts) + self.text[at : self.bounds[high + 1]]
+        """Replaces characters [start, end) of the present text by a text for each (start, end, text), which
+        come in ascending order and don't overlap. May be called again and again."""
+        # Regions: first leaf, its place, last leaf, place after it, and the edits within.
+        regions: list[list] = []
+        total = self.chars
+        for edit in edits:
+            if not total:
+                low, first, high, end = 0, 0, self.n - 1, 0
+            else:
+                low, first = self._find(edit[0])
+                if first:
+                    low, first = self._find(first - 1)
+                high, last = self._find(max(edit[0], edit[1] - 1))
+                end = last + int(self.sums[self.size + high, 1])
+                if end < total:
+                    high, end = self._find(end)
+                    end += int(self.sums[self.size + high, 1])
+            if regions and low <= regions[-1][2]:
+                regions[-1][2:4] = max(high, regions[-1][2]), max(end, regions[-1][3])
+                regions[-1][4].append(edit)
+            else:
+                regions.append([low, first, high, end, [edit]])
+        leaves, values = [], []
+        for low, first, high, end, own in regions:
+            old = "".join(self._leaf(i) for i in range(low, high + 1))
+            parts, at = [], 0
+            for x, y, by in own:
+                parts += [old[at : x - first], by]
+                at = y - first
+            new = "".join(parts) + old[at:]
+            starts, counts = self.split(new)
+            self.encoded += len(new)
+            # The region's leaves share its new pieces in runs.
+            n = high - low + 1
+            deal = np.arange(n + 1) * len(counts) // n
+            cut = np.append(starts, len(new))[deal]
+            cut[0] = 0
+            upto = np.append(0, np.cumsum(counts))[deal]
+            for i in range(n):
+                self.changed[low + i] = new[cut[i] : cut[i + 1]]
             leaves.append(np.arange(low, high + 1))
-            counts.append(np.append(self.count(text), np.zeros(high - low, np.int64)))
-            self.encoded += len(text)
-        self._set(np.concatenate(leaves), np.concatenate(counts))
+            values.append(np.stack([np.diff(upto), np.diff(cut)], axis=1))
+        if regions:
+            self._set(np.concatenate(leaves), np.concatenate(values))
+
+
+def leaves_of(block: Block, i: int, start: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """First characters of the pieces of text i of a block."""
+    leaves = start[first[i] : first[i + 1]] - block.starts[i]
+    lead = (block.data[block.starts[i] : block.ends[i]] & 0xC0) != 0x80
+    return leaves if lead.all() else (np.cumsum(lead) - 1)[leaves]  # bytes to characters
+
+
+def splitter(enc: PieceEncoder):
+    """A text's pieces as (first characters, token counts); one piece where it can't be cut."""
+
+    def split(text: str) -> tuple[np.ndarray, np.ndarray]:
+        if not text:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        if enc.stays_whole(text):
+            return np.zeros(1, np.int64), np.array([len(enc.encode_whole(text))])
+        block = Block([text.encode("utf-8", "replace")], lower=False)
+        codes, start, _, first = enc.codes(block)
+        return leaves_of(block, 0, start, first), enc.lengths(codes)
+
+    return split
 
 
 def count_with_edits(docs: DataFrame, vocabulary: str) -> DataFrame:
@@ -90,7 +160,7 @@ def count_with_edits(docs: DataFrame, vocabulary: str) -> DataFrame:
     are moved to its end. Of overlapping edits the ones that start later win and the
     rest are skipped; n_edits has the number applied. Repeated rows and null ids
     pass through; other columns are not read. Texts with white space outside ASCII
-    are encoded whole, before and after.
+    are encoded whole, before and after; so is a text without any place to cut (one word, say), as it is one leaf.
     """
 
     bounded_batches(docs.sparkSession)
@@ -98,7 +168,8 @@ def count_with_edits(docs: DataFrame, vocabulary: str) -> DataFrame:
 
     def run(rows: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         enc = task_encoder(shared)
-        whole = lambda s: len(enc.encode_whole(s))
+        split = splitter(enc)
+        one = lambda t: (np.zeros(1, np.int64), np.array([len(enc.encode_whole(t))]))
         for pdf in rows:
             out = []
             texts = pdf["text"].tolist()
@@ -109,8 +180,8 @@ def count_with_edits(docs: DataFrame, vocabulary: str) -> DataFrame:
                 n = enc.lengths(codes)
                 sums = np.append(0, np.cumsum(n))
                 for i, (text, edits) in enumerate(zip(part, pdf["edits"].iloc[at : at + 128])):
-                    wide = bool(_WIDE_SPACE.search(text))
-                    tokens = whole(text) if wide else int(sums[first[i + 1]] - sums[first[i]])
+                    wide = enc.stays_whole(text)
+                    tokens = len(enc.encode_whole(text)) if wide else int(sums[first[i + 1]] - sums[first[i]])
                     todo = _plan(edits, len(text))
                     if not todo:
                         out.append((tokens, 0, tokens, len(text), 0))
@@ -118,15 +189,11 @@ def count_with_edits(docs: DataFrame, vocabulary: str) -> DataFrame:
                     if wide:
                         leaves, counts = np.zeros(1, np.int64), np.array([tokens])
                     else:
-                        leaves = start[first[i] : first[i + 1]] - block.starts[i]
-                        if len(text) != block.ends[i] - block.starts[i]:  # bytes to characters
-                            lead = (block.data[block.starts[i] : block.ends[i]] & 0xC0) != 0x80
-                            leaves = (np.cumsum(lead) - 1)[leaves]
+                        leaves = leaves_of(block, i, start, first)
                         counts = n[first[i] : first[i + 1]]
-                    tree = CountTree(text, leaves, counts, whole)
+                    tree = CountTree(text, leaves, counts, one if wide else split)
                     tree.apply(todo[::-1])
-                    change = sum(len(by) - (b - a) for a, b, by in todo)
-                    out.append((tokens, len(todo), tree.total, len(text) + change, tree.encoded))
+                    out.append((tokens, len(todo), tree.total, tree.chars, tree.encoded))
             cols = ["n_tokens", "n_edits", "edited_tokens", "edited_chars", "reencoded_chars"]
             made = pd.DataFrame(out, columns=cols).astype("int64")
             made.insert(0, "doc_id", pdf["doc_id"].array)
