@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..sources import features
@@ -63,3 +64,68 @@ COUNTS = "SELECT patch_id, count(*) AS n, count(*) FILTER (WHERE cls = 2) AS g,
 def export_verify(spark, d):
     points = v.points(spark, d)
     return rounded(features.export_verify(points.where("patch_id <> 5 AND (patch_id <> 3 OR cls <> 12)"), points))
+
+
+# --- round trips: what a sink wrote, read back -----------------------------------------
+
+
+def _point_features(spark, d):
+    """Trajectories as files of point features, without seq in every fifth."""
+    rows = v.traj(spark, d).withColumn("layer", F.concat(F.lit("traj_"), F.col("traj_id").cast("string"))).withColumn("place", F.col("seq") - 1)
+    rows = rows.withColumns({"seq": F.when(F.col("seq") % 5 != 0, F.col("seq")), "Frame_ID": F.when(F.col("seq") % 5 == 0, F.col("seq")), "idx": -F.col("seq")})
+    path = features.shared_path(spark, "features")
+    geometry = F.struct(F.lit("Point").alias("type"), F.array("x", "y", "z").alias("coordinates"))
+    features.sink_collections(rows, path, "place", geometry, ["seq", "Frame_ID", "idx"])
+    return path
+
+
+@query("SELECT CAST(patch_id AS VARCHAR) AS patch_id, 'traj_' || traj_id AS layer, CAST(seq - 1 AS INTEGER) AS feature_ix, 'Point' AS geometry_type, x, y, z, CASE WHEN seq % 5 <> 0 THEN CAST(seq AS VARCHAR) END AS seq FROM v_traj", ("v_traj",))
+def scan_geojson(spark, d):
+    got = features.scan_geojson(spark, _point_features(spark, d) + "/*/*")
+    spot = features.point(F.col("coords"))
+    return got.select("patch_id", "layer", "feature_ix", "geometry_type", *[c.alias(n) for n, c in spot.items()], F.try_element_at("props", F.lit("seq")).alias("seq"))
+
+
+# By file: no field but idx is in all features, and it counts backwards. By row: seq, else frame_id.
+@query("SELECT 'file' AS rule, CAST(patch_id AS VARCHAR) AS patch_id, 'traj_' || traj_id AS traj_id, CAST(max(seq) OVER (PARTITION BY traj_id) - seq AS INTEGER) AS seq, x, y, z FROM v_traj UNION ALL SELECT 'row', CAST(patch_id AS VARCHAR), 'traj_' || traj_id, CAST(seq - 1 AS INTEGER), x, y, z FROM v_traj", ("v_traj",))
+def scan_traj(spark, d):
+    got = features.scan_geojson(spark, _point_features(spark, d) + "/*/*")
+    rule = lambda name, per_row: features.scan_traj(got, per_row=per_row).select(F.lit(name).alias("rule"), "patch_id", "traj_id", "seq", "x", "y", "z")
+    return rule("file", False).union(rule("row", True))
+
+
+@query("SELECT CAST(patch_id AS VARCHAR) AS patch_id, x, y, z, cls FROM v_points", ("v_points",))
+def scan_points(spark, d):
+    path = features.shared_path(spark, "points")
+    v.points(spark, d).selectExpr("patch_id", "x AS X", "y AS Northing", "0e0D AS label", "z AS Z", "cls AS Classification").write.partitionBy("patch_id").parquet(path)
+    return features.scan_points(spark, path)
+
+
+@query("p AS (SELECT patch_id, traj_id FROM v_traj GROUP BY ALL) SELECT CAST(patch_id AS VARCHAR) AS patch_id, count(*) FILTER (traj_id % 3 = 0) AS zero, count(*) FILTER (traj_id % 3 = 1) AS one, 0 AS zones FROM p WHERE traj_id % 3 < 2 GROUP BY patch_id", ("v_traj",))
+def patch_inventory(spark, d):
+    """Files of one feature each, so that a layer of a patch has several."""
+    rows = v.traj(spark, d).where("traj_id % 3 < 2").groupBy("patch_id", "traj_id").agg(F.max("x").alias("x"), F.max("y").alias("y"))
+    order = Window.partitionBy("patch_id", "layer").orderBy("traj_id")
+    rows = rows.withColumn("layer", F.when(F.col("traj_id") % 3 == 0, "zero").otherwise("one")).withColumn("place", F.row_number().over(order) - 1)
+    path = features.shared_path(spark, "inventory")
+    features.sink_collections(rows, path, "place", F.struct(F.lit("Point").alias("type"), F.array("x", "y").alias("coordinates")), ["traj_id"], most=1)
+    return features.patch_inventory(spark, path, ["zero", "one", "zones"])
+
+
+@query("SELECT CAST(node_id % 8 AS INTEGER) AS patch_id, node_id, kind, x, y FROM v_nodes", ("v_nodes",))
+def sink_features(spark, d):
+    path = features.shared_path(spark, "nodes")
+    rows = v.nodes(spark, d).withColumn("patch_id", F.col("node_id") % 8)
+    features.sink_features(rows, path, F.struct(F.lit("Point").alias("type"), F.array("x", "y").alias("coordinates")), ["node_id", "kind"])
+    shape = "struct<type:string,properties:struct<node_id:bigint,kind:int>,geometry:struct<type:string,coordinates:array<double>>>"
+    got = spark.read.text(path).select("patch_id", F.from_json("value", shape).alias("f"))
+    return got.select("patch_id", "f.properties.node_id", "f.properties.kind", F.col("f.geometry.coordinates")[0].alias("x"), F.col("f.geometry.coordinates")[1].alias("y"))
+
+
+@query("SELECT patch_id, CAST(floor(x / 5) AS BIGINT) AS cx, CAST(floor(y / 5) AS BIGINT) AS cy, count(*) AS n, min(z) AS low, max(z) AS high FROM v_points GROUP BY ALL", ("v_points",))
+def sink_cell_csv(spark, d):
+    path = features.shared_path(spark, "cells")
+    size = lambda c: F.floor(F.col(c) / 5).cast("long")
+    cells = v.points(spark, d).groupBy("patch_id", size("x").alias("cx"), size("y").alias("cy")).agg(F.count("*").alias("n"), F.min("z").alias("low"), F.max("z").alias("high"))
+    features.sink_cell_csv(cells, path)
+    return spark.read.schema(cells.schema).option("header", True).csv(path)

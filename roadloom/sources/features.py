@@ -1,11 +1,15 @@
 """Reading and writing features, trajectories and points of many patches at once.
 
-Paths follow <root>/<patch_id>/<layer>.<ext>; the patch and layer come from the path,
+Paths follow <root>/<patch_id>/<layer>.<ext>, or <root>/patch_id=<patch_id>/layer=<layer>/<file> as Spark
+writes them; the patch and layer come from the path,
 so one scan reads any number of patches.
 """
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -16,7 +20,16 @@ FEATURES = (
 
 
 def _of_path(path: Column) -> dict[str, Column]:
-    return {"patch_id": F.regexp_extract(path, r"([^/]+)/[^/]+$", 1), "layer": F.regexp_extract(path, r"([^/]+)\.[^./]+$", 1)}
+    either = lambda key, plain: F.coalesce(F.nullif(F.regexp_extract(path, rf"/{key}=([^/]+)/", 1), F.lit("")), F.regexp_extract(path, plain, 1))
+    return {"patch_id": either("patch_id", r"([^/]+)/[^/]+$"), "layer": either("layer", r"([^/]+)\.[^./]+$")}
+
+
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A new folder's path below the one that driver and executors share (spark.checkpoint.dir)."""
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return f"{shared or tempfile.gettempdir()}/{name}-{uuid.uuid4().hex}"
 
 
 def scan_geojson(spark: SparkSession, path: str) -> DataFrame:
@@ -39,17 +52,21 @@ def point(coords: Column) -> dict[str, Column]:
     return {"x": p[0], "y": p[1], "z": F.coalesce(F.try_element_at(p, F.lit(3)), F.lit(0.0))}
 
 
-def scan_traj(features: DataFrame, fields: tuple[str, ...] = ("seq", "frame_id", "idx", "index")) -> DataFrame:
+def scan_traj(features: DataFrame, fields: tuple[str, ...] = ("seq", "frame_id", "idx", "index"), per_row: bool = False) -> DataFrame:
     """Ordered vertices (patch_id, traj_id, seq, x, y, z) of point features: by the first
-    of `fields` that is a number in all features of the file, else in file order."""
+    of `fields` that is a number in all features of the file, else in file order. With `per_row` each feature goes by the first
+    of `fields` that is a number in it, else by its timestamp in ms, else by its place in the file."""
     rows = features.where("geometry_type = 'Point'")
     low = F.transform_keys("props", lambda k, _: F.lower(k))
     values = {f"_k{i}": F.try_element_at(low, F.lit(f)).try_cast("double") for i, f in enumerate(fields)}
     rows = rows.withColumns(values)
     whole = Window.partitionBy("patch_id", "layer")
     pick = F.col("feature_ix").cast("double")
-    for name in reversed(values):
-        pick = F.when(F.min(F.col(name).isNotNull()).over(whole), F.col(name)).otherwise(pick)
+    if per_row:
+        pick = F.coalesce(*[F.col(n) for n in values], F.try_element_at(low, F.lit("timestamp")).try_cast("double") * 1000, pick)
+    else:
+        for name in reversed(values):
+            pick = F.when(F.min(F.col(name).isNotNull()).over(whole), F.col(name)).otherwise(pick)
     rows = rows.withColumns({"_key": pick} | point(F.col("coords")))
     order = Window.partitionBy("patch_id", "layer").orderBy("_key", "feature_ix")
     return rows.select("patch_id", F.col("layer").alias("traj_id"), (F.row_number().over(order) - 1).alias("seq"), "x", "y", "z")
@@ -71,6 +88,28 @@ def layer_alias_resolve(files: DataFrame, aliases: dict[str, str]) -> DataFrame:
     return out.select("patch_id", F.col("primary").alias("layer"), "path", F.when(F.col("legacy"), F.concat(F.lit("legacy_name:"), F.col("layer"))).alias("note"))
 
 
+#: Column names of points, by priority, in any case.
+POINT_NAMES = {"x": ("x", "easting", "lon"), "y": ("y", "northing", "lat"), "z": ("z", "height", "elevation"), "cls": ("classification", "class", "cls", "label")}
+
+
+def scan_points(spark: SparkSession, path: str, file_format: str = "parquet", names: dict[str, tuple[str, ...]] = POINT_NAMES) -> DataFrame:
+    """(patch_id, x, y, z, cls) of point tables, of which each coordinate is the first column that `names` lists for it; z and cls may be
+    missing (0 and null). Rows without finite x and y are left out. The patch comes from the path."""
+    found = spark.read.format(file_format).options(**({"header": True} if file_format == "csv" else {})).load(path)
+    columns = {c.lower(): c for c in found.columns}
+    pick = {key: next((columns[n] for n in own if n in columns), None) for key, own in names.items()}
+    if not (pick["x"] and pick["y"]):
+        raise ValueError(f"no columns for x and y among {found.columns}")
+    value = lambda c: F.col(f"`{c}`").try_cast("double")
+    patch = F.col(columns["patch_id"]).cast("string") if "patch_id" in columns else _of_path(F.col("_metadata.file_path"))["patch_id"]
+    rows = found.select(
+        patch.alias("patch_id"), value(pick["x"]).alias("x"), value(pick["y"]).alias("y"), (value(pick["z"]) if pick["z"] else F.lit(0.0)).alias("z"),
+        (F.col(f"`{pick['cls']}`").try_cast("int") if pick["cls"] else F.lit(None).cast("int")).alias("cls"),
+    )
+    finite = lambda c: F.col(c).isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf"))
+    return rows.where(finite("x") & finite("y"))
+
+
 def thin_points(points: DataFrame, most: int) -> DataFrame:
     """Every k-th point of a patch, so that about `most` are left (a feature of the scan)."""
     n = points.groupBy("patch_id").agg(F.count("*").alias("_n"))
@@ -98,6 +137,15 @@ def sink_features(rows: DataFrame, path: str, geometry: Column, props: list[str]
     rows.select("patch_id", feature.alias("value")).write.partitionBy("patch_id").mode("overwrite").text(path)
 
 
+def sink_collections(rows: DataFrame, path: str, order: str, geometry: Column, props: list[str], most: int = 100_000) -> None:
+    """Writes FeatureCollections, one file for each patch_id and layer, or several of at most `most` features each, in
+    the order of a column `order` that counts from 0."""
+    feature = F.struct(F.lit("Feature").alias("type"), F.struct(*props).alias("properties"), geometry.alias("geometry"))
+    listed = F.transform(F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), feature.alias("f")))), lambda e: e.f)
+    whole = rows.groupBy("patch_id", "layer", F.floor(F.col(order) / most).alias("_part")).agg(F.to_json(F.struct(F.lit("FeatureCollection").alias("type"), listed.alias("features"))).alias("value"))
+    whole.drop("_part").repartition("patch_id", "layer").write.partitionBy("patch_id", "layer").mode("overwrite").option("maxRecordsPerFile", 1).text(path)
+
+
 def sink_cell_csv(cells: DataFrame, path: str) -> None:
     cells.write.mode("overwrite").option("header", True).csv(path)
 
