@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import scalars
-from ..operators import movements, network, series, zones
+from ..operators import arcs, movements, network, series, zones
 from ..sources import views as v
 from .registry import query, rounded
 
@@ -207,6 +207,26 @@ def bridge_paths(spark, d):
     return network.bridge_paths(asked, network.legal_arcs(paths, fixed), _traced(paths, fixed))
 
 
+# Arcs are the ways to the next cross-section, known by their edges; peers are alone in their pair, and their
+# ends lie beside the destination by their last edge.
+@query(
+    f"""{WALK}, a AS (SELECT array_to_string(edge_ids, ',') AS arc_id, src, dst, nodes[2:len(nodes) - 1] AS mid, edge_ids, edge_ids[len(edge_ids)] % 9 * 4e0 AS end_x, count(*) OVER (PARTITION BY src, dst) = 1 AS is_peer FROM paths WHERE src <> dst),
+    p AS (SELECT a.arc_id, list_intersect(a.mid, b.mid) AS n, list_intersect(a.edge_ids, b.edge_ids) AS e, abs(a.end_x - b.end_x) <= 5 AS near FROM a JOIN a b ON b.dst = a.dst AND b.src <> a.src AND b.is_peer),
+    g AS (SELECT arc_id, list_sort(list_distinct(flatten(list(n)))) AS n, list_sort(list_distinct(flatten(list(e)))) AS e, bool_or(near) AS near FROM p GROUP BY arc_id)
+    SELECT a.arc_id, coalesce(array_to_string(n, ','), '') AS shared_nodes, coalesce(array_to_string(e, ','), '') AS shared_edges, CASE WHEN len(n) > 0 OR len(e) > 0 OR near THEN 'merge_multi_upstream' ELSE 'single' END AS structure,
+      array_to_string(list_filter([CASE WHEN len(n) > 0 OR len(e) > 0 OR near THEN 'same_downstream_destination' END, CASE WHEN len(n) > 0 THEN 'shared_intermediate_xsec_signal' END, CASE WHEN len(e) > 0 THEN 'shared_topology_edge_signal' END, CASE WHEN near THEN 'shared_terminal_geometry_signal' END], lambda x: x IS NOT NULL), ',') AS signals
+    FROM a LEFT JOIN g USING (arc_id)""",
+    RN,
+)
+def shared_downstream(spark, d):
+    ways = network.cut(_traced(*_compressed(spark, d)).where("src <> dst"))
+    text = lambda c: F.array_join(F.transform(c, lambda x: x.cast("string")), ",")
+    last = F.element_at("edge_ids", -1) % 9 * F.lit(4.0)
+    alone = F.count("*").over(Window.partitionBy("src", "dst")) == 1
+    found = arcs.shared_downstream(ways.select(text("edge_ids").alias("arc_id"), "src", "dst", "nodes", "edge_ids", last.alias("end_x"), F.lit(0.0).alias("end_y"), alone.alias("is_peer")))
+    return found.select("arc_id", text("shared_nodes").alias("shared_nodes"), text("shared_edges").alias("shared_edges"), "structure", F.array_join("signals", ",").alias("signals"))
+
+
 # --- crossings and zones ---------------------------------------------------------
 
 SEG = """sg AS (SELECT patch_id, traj_id, seq, x AS x1, y AS y1, lead(x) OVER w AS x2, lead(y) OVER w AS y2 FROM v_traj WINDOW w AS (PARTITION BY traj_id ORDER BY seq)),

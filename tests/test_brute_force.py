@@ -7,7 +7,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from roadloom.operators import assembly, evidence, movements, network, series, zones
+from roadloom.operators import arcs, assembly, evidence, movements, network, series, zones
 from roadloom.plans import QUERIES
 
 
@@ -114,7 +114,26 @@ def test_each_class_of_bridges_and_a_dense_graph(spark):
     run = lambda **more: {(r["src"], r["dst"]): (r["bridge"], r["n_paths"], r["n_middle"], r["overflow"]) for r in network.bridge_paths(asked, direct, traced, **more).collect()}
     small = {(1, 3): ("unique", 1, 1, False), (4, 6): ("ambiguous", 2, 2, False), (10, 13): ("gap", 1, 0, False), (20, 30): ("reject", 0, 0, False), (20, 31): ("gap", 0, 0, False), (3, 1): ("reject", 0, 0, False)}
     assert run() == {**small, (100, 108): ("ambiguous", 32, 7, False)}
-    assert run(budget=20) == {**small, (100, 108): ("ambiguous", 7, 7, True)}
+    # 7 partial paths of one hop, then 13 of 49 with two, of which one has arrived; middles need no budget.
+    assert run(budget=20) == {**small, (100, 108): ("ambiguous", 1, 7, True)}
+
+
+def test_each_signal_of_shared_downstream_explains_a_row(spark):
+    rows = [
+        ("node", 1, 10, [1, 50, 10], [1, 2], 0.0, True), ("node2", 2, 10, [2, 50, 10], [3, 4], 100.0, True),
+        ("edge", 3, 20, [3, 60, 20], [5, 6], 0.0, True), ("edge2", 4, 20, [4, 61, 20], [7, 6], 100.0, True),
+        ("end", 5, 30, [5, 30], [8], 0.0, True), ("end2", 6, 30, [6, 30], [9], 5.0, True), ("far", 7, 30, [7, 30], [10], 11.0, True),
+        ("same source", 8, 40, [8, 70, 40], [11, 12], 0.0, True), ("same source 2", 8, 40, [8, 70, 40], [13, 12], 0.0, True),
+        ("no peer", 9, 80, [9, 71, 80], [14, 15], 0.0, True), ("not a peer", 11, 80, [11, 71, 80], [16, 15], 0.0, False), ("direct", 12, 90, [12, 90], [17], None, True),
+    ]
+    df = spark.createDataFrame([(*r[:6], 0.0, r[6]) for r in rows], "arc_id string, src long, dst long, nodes array<long>, edge_ids array<long>, end_x double, end_y double, is_peer boolean")
+    got = {r["arc_id"]: (r["shared_nodes"], r["shared_edges"], [x.split("_")[1] for x in r["signals"][1:]], r["structure"]) for r in arcs.shared_downstream(df).collect()}
+    merge, single = "merge_multi_upstream", ([], [], [], "single")
+    assert got == {
+        "node": ([50], [], ["intermediate"], merge), "node2": ([50], [], ["intermediate"], merge), "edge": ([], [6], ["topology"], merge), "edge2": ([], [6], ["topology"], merge),
+        "end": ([], [], ["terminal"], merge), "end2": ([], [], ["terminal"], merge), "far": single, "same source": single, "same source 2": single, "no peer": single,
+        "not a peer": ([71], [15], ["intermediate", "topology", "terminal"], merge), "direct": single,
+    }
 
 
 def test_components_and_offsets_of_a_long_path(spark):
