@@ -11,7 +11,6 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .groups import fold_groups
 from .network import cut
 from .series import points_near
 from .zones import CELL, _shared, in_cells, line_zone_pieces, point_in_zone
@@ -289,16 +288,21 @@ def fused_line(pieces: DataFrame, piece_lines: DataFrame, arcs: DataFrame, arc_l
 
 
 def chain_line_merge(edges: DataFrame, nodes: DataFrame, reach: float = 1.0) -> DataFrame:
-    """(src, dst, keeper, how): chain edges (component, src, dst, dist_m) whose two anchors become one.
-    nodes: node_id, diverge, merge, offset_m, x1, y1, x2, y2 (the anchor's line). An edge
-    qualifies from a diverge to a merge node that lies farther along, if the source is the
-    destination's nearest predecessor and the lines meet or come within `reach`. By
+    """(component, src, dst, keeper, how, gap_m, merged_s, apart_m): chain edges (component, src, dst, dist_m) whose two anchors
+    become one. nodes: node_id, diverge, merge, failed, offset_m, at_s (the anchor's position, or null), x1, y1, x2, y2 (its line).
+    An edge qualifies from a diverge to a merge node that lies farther along, if neither anchor has failed, the
+    source is the destination's nearest predecessor and the lines meet or come within `reach`. By
     ascending distance, then ids, each node is used once; the longer line stays (of equally
-    long ones the source's). The choice is a fold over a component's qualifying edges."""
+    long ones the source's). merged_s is the middle of both positions, apart_m their difference, null where one is missing.
+
+    The choice is made in rounds: an edge that comes first at both of its ends is taken, and the edges that
+    share an end with it go, which is what one pass over all edges in order would choose. As a node has at most one
+    qualifying edge in, only chains of nodes that diverge and merge at once take further rounds."""
     first = edges.groupBy("dst").agg(F.min(F.struct("dist_m", "src")).alias("p")).select("dst", F.col("p.src").alias("nearest"))
-    cols = ["diverge", "merge", "offset_m", "x1", "y1", "x2", "y2"]
+    cols = ["diverge", "merge", "failed", "offset_m", "at_s", "x1", "y1", "x2", "y2"]
     side = lambda p: nodes.select(F.col("node_id").alias({"s": "src", "d": "dst"}[p]), *[F.col(c).alias(f"{p}_{c}") for c in cols])
-    rows = edges.join(first, "dst").where("src = nearest").join(side("s"), "src").join(side("d"), "dst").where("s_diverge AND d_merge AND s_offset_m < d_offset_m - 1e-6")
+    rows = edges.join(first, "dst").where("src = nearest").join(side("s"), "src").join(side("d"), "dst")
+    rows = rows.where("s_diverge AND d_merge AND NOT coalesce(s_failed, false) AND NOT coalesce(d_failed, false) AND s_offset_m < d_offset_m - 1e-6")
     c = {f"{p}{k}": F.col(f"{p}_{k}") for p in "sd" for k in ("x1", "y1", "x2", "y2")}
     sx, sy, dx, dy = c["sx2"] - c["sx1"], c["sy2"] - c["sy1"], c["dx2"] - c["dx1"], c["dy2"] - c["dy1"]
     den = sx * dy - sy * dx
@@ -309,19 +313,25 @@ def chain_line_merge(edges: DataFrame, nodes: DataFrame, reach: float = 1.0) ->
     gap = F.round(F.when(meet, 0.0).otherwise(F.least(*one("s", "d"), *one("d", "s"))), 9)
     size = lambda x, y: F.round(F.sqrt(x * x + y * y), 9)
     keeper = F.when(size(sx, sy) >= size(dx, dy), F.col("src")).otherwise(F.col("dst"))
-    rows = rows.withColumn("gap", gap).where(F.col("gap") <= reach).select("component", "src", "dst", "dist_m", keeper.alias("keeper"), F.when(F.col("gap") == 0, "geom_intersects").otherwise("geom_near_tol").alias("how"))
-
-    def fold(own: list) -> list[tuple]:
-        used: set = set()
-        out = []
-        for r in own:
-            if r.src not in used and r.dst not in used:
-                used |= {r.src, r.dst}
-                out.append((r.src, r.dst, r.keeper, r.how))
-        return out
-
-    return fold_groups(rows, ["component"], ["dist_m", "src", "dst"], fold, "src long, dst long, keeper long, how string")
-
+    rows = rows.withColumn("gap_m", gap).where(F.col("gap_m") <= reach)
+    left = cut(
+        rows.select(
+            "component", "src", "dst", "dist_m", keeper.alias("keeper"), F.when(F.col("gap_m") == 0, "geom_intersects").otherwise("geom_near_tol").alias("how"), "gap_m",
+            ((F.col("s_at_s") + F.col("d_at_s")) / 2).alias("merged_s"), F.abs(F.col("s_at_s") - F.col("d_at_s")).alias("apart_m"),
+        )
+    )
+    place, pair = F.struct("dist_m", "src", "dst"), F.explode(F.array("src", "dst")).alias("end")
+    out = left.limit(0)
+    while left.limit(1).count():
+        least = left.select(pair, place.alias("place")).groupBy("end").agg(F.min("place").alias("place"))
+        taken = least.groupBy("place").agg(F.count("*").alias("n")).where("n = 2").select("place.src", "place.dst")
+        taken = cut(left.join(taken, ["src", "dst"], "left_semi"))
+        out = out.unionByName(taken)
+        used = taken.select(pair)
+        for own in ("src", "dst"):
+            left = left.join(used.withColumnRenamed("end", own), own, "left_anti")
+        left = cut(left)
+    return out.drop("dist_m")
 
 
 def endpoint_interval_raw(arcs: DataFrame, crossings: DataFrame, surfaces: DataFrame, width: float = 1.0) -> DataFrame:

@@ -92,13 +92,14 @@ def connected_components(spark, d):
     return network.components(scalars.chain_edges_of(v.roads(spark, d)))
 
 
-OFFSETS = f"""{CHAIN}, ed AS (SELECT src, dst, length_m AS dist_m FROM ce), b AS (SELECT src AS a, dst AS b FROM ed UNION SELECT dst, src FROM ed),
+OFFSET = """b AS (SELECT src AS a, dst AS b FROM ed UNION SELECT dst, src FROM ed),
 r AS (SELECT a AS node_id, a AS c FROM b UNION SELECT b.b, r.c FROM r JOIN b ON b.a = r.node_id), lab AS (SELECT node_id, min(c) AS component FROM r GROUP BY node_id),
 s AS (SELECT * FROM lab WHERE node_id NOT IN (SELECT dst FROM ed)), h AS (SELECT component, min(node_id) AS node_id FROM lab WHERE component NOT IN (SELECT component FROM s) GROUP BY component),
 st AS (SELECT node_id FROM s UNION ALL SELECT node_id FROM h),
 wk AS (SELECT node_id, 0e0 AS o, [node_id] AS p FROM st UNION ALL SELECT dst, o + dist_m, list_append(p, dst) FROM wk JOIN ed ON ed.src = wk.node_id WHERE NOT list_contains(p, dst)),
 mo AS (SELECT node_id, min(o) AS offset_m FROM wk GROUP BY node_id),
-cy AS (SELECT src AS root, dst AS place FROM ed UNION SELECT cy.root, ed.dst FROM cy JOIN ed ON ed.src = cy.place)
+cy AS (SELECT src AS root, dst AS place FROM ed UNION SELECT cy.root, ed.dst FROM cy JOIN ed ON ed.src = cy.place)"""
+OFFSETS = f"""{CHAIN}, ed AS (SELECT src, dst, length_m AS dist_m FROM ce), {OFFSET}
 SELECT lab.node_id, component, offset_m, component NOT IN (SELECT lab.component FROM cy JOIN lab ON lab.node_id = cy.root WHERE cy.root = cy.place) AS is_dag FROM lab JOIN mo USING (node_id)"""
 
 

@@ -262,7 +262,7 @@ def test_crossings_of_slanted_cross_sections(spark):
 
 def test_chain_line_merge_against_plain_loops(spark):
     rnd = random.Random(9)
-    nodes = {n: (rnd.random() < 0.6, rnd.random() < 0.6, float(rnd.randrange(40)), *(float(rnd.randrange(9)) for _ in range(4))) for n in range(60)}
+    nodes = {n: (rnd.random() < 0.7, rnd.random() < 0.7, rnd.random() < 0.1, float(rnd.randrange(40)), rnd.choice([None, float(n)]), *(float(rnd.randrange(9)) for _ in range(4))) for n in range(60)}
     edges = sorted({(n // 10, n, 10 * (n // 10) + rnd.randrange(10)): float(rnd.randrange(1, 9)) for n in range(60) for _ in range(3)}.items())
     edges = [(*k, m) for k, m in edges if k[1] != k[2]]
 
@@ -280,10 +280,22 @@ def test_chain_line_merge_against_plain_loops(spark):
         for _, a, b, m in sorted((e for e in edges if e[0] == c), key=lambda e: (e[3], e[1], e[2])):
             nearest = min((e[3], e[1]) for e in edges if e[2] == b)[1]
             s, t = nodes[a], nodes[b]
-            if a in used or b in used or not s[0] or not t[1] or s[2] >= t[2] or nearest != a or gap(s[3:], t[3:]) > 1.001:
+            if a in used or b in used or not s[0] or not t[1] or s[2] or t[2] or s[3] >= t[3] or nearest != a or gap(s[5:], t[5:]) > 1.001:
                 continue
             used |= {a, b}
-            want.add((a, b, a if round(math.dist(s[3:5], s[5:]), 9) >= round(math.dist(t[3:5], t[5:]), 9) else b))
-    df = spark.createDataFrame([(n, *v) for n, v in nodes.items()], "node_id long, diverge boolean, merge boolean, offset_m double, x1 double, y1 double, x2 double, y2 double")
+            merged = None if s[4] is None or t[4] is None else ((s[4] + t[4]) / 2, abs(s[4] - t[4]))
+            want.add((c, a, b, a if round(math.dist(s[5:7], s[7:]), 9) >= round(math.dist(t[5:7], t[7:]), 9) else b, merged))
+    df = spark.createDataFrame([(n, *v) for n, v in nodes.items()], "node_id long, diverge boolean, merge boolean, failed boolean, offset_m double, at_s double, x1 double, y1 double, x2 double, y2 double")
     got = evidence.chain_line_merge(spark.createDataFrame(edges, "component long, src long, dst long, dist_m double"), df).collect()
-    assert {(r["src"], r["dst"], r["keeper"]) for r in got} == want and want
+    assert {(r["component"], r["src"], r["dst"], r["keeper"], None if r["merged_s"] is None else (r["merged_s"], r["apart_m"])) for r in got} == want and want
+    assert len(got) == len(want)
+
+
+def test_chain_line_merge_along_one_chain(spark):
+    """Every node diverges and merges, so each choice hangs on the one before it."""
+    chain = [(1, n, n + 1, float(n)) for n in range(1, 8)]
+    nodes = [(n, True, True, False, float(n), None, 0.0, 0.0, 1.0, 0.0) for n in range(1, 9)]
+    df = spark.createDataFrame(nodes, "node_id long, diverge boolean, merge boolean, failed boolean, offset_m double, at_s double, x1 double, y1 double, x2 double, y2 double")
+    got = evidence.chain_line_merge(spark.createDataFrame(chain, "component long, src long, dst long, dist_m double"), df).collect()
+    assert {(r["src"], r["dst"], r["merged_s"]) for r in got} == {(1, 2, None), (3, 4, None), (5, 6, None), (7, 8, None)}
+    assert {r["how"] for r in got} == {"geom_intersects"}
