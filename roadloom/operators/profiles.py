@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .groups import fold_groups
 from .series import TRAJ, along, heading, points_near, runs
 
 
@@ -65,47 +66,71 @@ def param_sweep(rows: DataFrame, trials: DataFrame, value: Column, gate: float)
     return got.groupBy("patch_id").agg(F.min_by(F.struct("trial_id", "outliers", "p90", "passed"), order).alias("best"), F.count("*").alias("n_trials")).select("patch_id", "best.*", "n_trials")
 
 
-def road_z_layer_path(visits: DataFrame, switch_cost: float = 0.5) -> DataFrame:
+def road_z_layer_path(visits: DataFrame, switch_cost: float = 0.5, carry: tuple[str, ...] = ()) -> DataFrame:
     """Layer of each visited cell along a trajectory: of its two height peaks (peak0,
     peak1, the latter perhaps NULL) the choice with the least sum of height changes
-    plus `switch_cost` for each change of layer. visits: patch_id, traj_id, seq, peak0, peak1.
+    plus `switch_cost` for each change of layer. visits: patch_id, traj_id, seq, peak0, peak1 and
+    the columns of whole numbers to `carry`.
 
     A two-state dynamic program, one trajectory at a time; trajectories stay spread
-    over the cluster. Ties stay on the same layer."""
-
-    def solve(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("seq")
-        z = pdf[["peak0", "peak1"]].to_numpy(float)
-        cost = np.where(np.isnan(z), np.inf, 0.0)
-        back = np.zeros(z.shape, int)
-        for i in range(1, len(z)):
-            for s in (0, 1):
-                came = [cost[i - 1, p] + (abs(z[i, s] - z[i - 1, p]) if np.isfinite(cost[i - 1, p]) and np.isfinite(z[i, s]) else np.inf) + (0 if p == s else switch_cost) for p in (0, 1)]
-                back[i, s] = s if came[s] <= came[1 - s] else 1 - s
-                cost[i, s] = min(came) if np.isfinite(z[i, s]) else np.inf
-        path = np.zeros(len(z), int)
-        path[-1] = 0 if cost[-1, 0] <= cost[-1, 1] else 1
-        for i in range(len(z) - 1, 0, -1):
-            path[i - 1] = back[i, path[i]]
-        return pd.DataFrame({"patch_id": pdf["patch_id"], "traj_id": pdf["traj_id"], "seq": pdf["seq"], "layer": path, "layer_z": z[np.arange(len(z)), path]})
-
-    return visits.groupBy(*TRAJ).applyInPandas(solve, "patch_id long, traj_id long, seq long, layer int, layer_z double")
+    over the cluster. Of equal ways the one over the first peak is taken."""
+
+    def solve(rows: list) -> list[tuple]:
+        inf, back, cost, last = float("inf"), [], (0.0, 0.0), None
+        for r in rows:
+            z = (float(r.peak0), inf if r.peak1 is None or r.peak1 != r.peak1 else float(r.peak1))
+            if last is None:
+                came, cost = (0, 0), (0.0, 0.0 if z[1] < inf else inf)
+            else:
+                way = lambda p, s: inf if inf in (cost[p], z[s], last[p]) else cost[p] + abs(z[s] - last[p]) + (0 if p == s else switch_cost)  # noqa: E731, B023
+                ways = [(way(0, s), way(1, s)) for s in (0, 1)]
+                came, cost = tuple(0 if x <= y else 1 for x, y in ways), tuple(min(w) for w in ways)
+            back.append((came, z))
+            last = z
+        layer, out = 0 if cost[0] <= cost[1] else 1, []
+        for r, (came, z) in zip(reversed(rows), reversed(back)):
+            out.append((r.patch_id, r.traj_id, r.seq, *[getattr(r, c) for c in carry], layer, z[layer]))
+            layer = came[layer]
+        return out
+
+    schema = ", ".join(f"{c} long" for c in (*TRAJ, "seq", *carry)) + ", layer int, layer_z double"
+    return fold_groups(visits.select(*TRAJ, "seq", *carry, "peak0", "peak1"), list(TRAJ), ["seq"], solve, schema)
+
+
+def road_z_by_votes(peaks: DataFrame, path: DataFrame) -> DataFrame:
+    """Road height of each cell (patch_id, ix, iy, n_votes, road_z): the median of what trajectories chose there
+    (road_z_layer_path with ix, iy), else the cell's first peak."""
+    cell = ["patch_id", "ix", "iy"]
+    votes = path.groupBy(*cell).agg(F.count("*").alias("n_votes"), F.percentile("layer_z", F.lit(0.5)).alias("mid"))
+    rows = peaks.select(*cell, "peak0").join(votes, cell, "left")
+    return rows.select(*cell, F.coalesce("n_votes", F.lit(0)).alias("n_votes"), F.coalesce("mid", "peak0").alias("road_z"))
+
+
+def layer_path_stats(path: DataFrame) -> DataFrame:
+    """Per trajectory of road_z_layer_path: (n_cells, dz_p50, dz_p90, dz_max, upper_share): quantiles of the steps in height
+    (0 where there is none) and the share of cells on the second peak."""
+    step = F.abs(F.col("layer_z") - F.lag("layer_z").over(Window.partitionBy(*TRAJ).orderBy("seq")))
+    rows = path.withColumn("dz", step)
+    q = lambda p: F.coalesce(F.percentile("dz", F.lit(p)), F.lit(0.0))
+    return rows.groupBy(*TRAJ).agg(
+        F.count("*").alias("n_cells"), q(0.5).alias("dz_p50"), q(0.9).alias("dz_p90"), F.coalesce(F.max("dz"), F.lit(0.0)).alias("dz_max"), F.avg((F.col("layer") == 1).cast("double")).alias("upper_share")
+    )
 
 
 def distance_downsample(traj: DataFrame, step: float) -> DataFrame:
     """Vertices at least `step` from the last kept one, and both ends: a fold over the
     ordered vertices of one trajectory."""
 
-    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("seq")
-        xy, keep, last = pdf[["x", "y"]].to_numpy(), [], None
-        for i, p in enumerate(xy):
-            far = last is None or float(np.hypot(*(p - last))) >= step
-            keep.append(far or i == len(xy) - 1)
-            last = p if far else last
-        return pdf[keep]
+    def fold(rows: list) -> list[tuple]:
+        out, last = [], None
+        for i, r in enumerate(rows):
+            far = last is None or math.hypot(r.x - last.x, r.y - last.y) >= step
+            if far or i == len(rows) - 1:
+                out.append((r.patch_id, r.traj_id, r.seq, r.x, r.y))
+            last = r if far else last
+        return out
 
-    return traj.select(*TRAJ, "seq", "x", "y").groupBy(*TRAJ).applyInPandas(fold, "patch_id long, traj_id long, seq long, x double, y double")
+    return fold_groups(traj.select(*TRAJ, "seq", "x", "y"), list(TRAJ), ["seq"], fold, "patch_id long, traj_id long, seq long, x double, y double")
 
 
 def cluster_1d(rows: DataFrame, by: list[str], key: str, value: str, tolerance: float) -> DataFrame:

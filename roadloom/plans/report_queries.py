@@ -70,12 +70,12 @@ def config_dedup(spark, d):
 def _visits(spark, d):
     visits = series.consecutive_cell_dedup(v.traj(spark, d), 5.0)
     peaks = cells.cell_z_peaks(v.points(spark, d)).select("patch_id", "ix", "iy", "peak0", "peak1")
-    return visits.join(peaks, ["patch_id", "ix", "iy"]).select("patch_id", "traj_id", "seq", "peak0", "peak1")
+    return visits.join(peaks, ["patch_id", "ix", "iy"]).select("patch_id", "traj_id", "seq", "ix", "iy", "peak0", "peak1")
 
 
 LAYERS = f"""{PEAKS}, t AS (SELECT *, CAST(floor(x / 5e0) AS BIGINT) AS ix, CAST(floor(y / 5e0) AS BIGINT) AS iy FROM v_traj),
 l AS (SELECT *, lag(ix) OVER w AS px, lag(iy) OVER w AS py FROM t WINDOW w AS (PARTITION BY traj_id ORDER BY seq)),
-vs AS (SELECT l.patch_id, traj_id, seq, peak0, peak1, row_number() OVER (PARTITION BY traj_id ORDER BY seq) AS i FROM l JOIN peaks USING (patch_id, ix, iy) WHERE px IS NULL OR px <> ix OR py <> iy),
+vs AS (SELECT l.patch_id, traj_id, seq, ix, iy, peak0, peak1, row_number() OVER (PARTITION BY traj_id ORDER BY seq) AS i FROM l JOIN peaks USING (patch_id, ix, iy) WHERE px IS NULL OR px <> ix OR py <> iy),
 dp AS (SELECT patch_id, traj_id, i, peak0, peak1, 0e0 AS c0, CASE WHEN peak1 IS NULL THEN CAST('inf' AS DOUBLE) ELSE 0e0 END AS c1 FROM vs WHERE i = 1
   UNION ALL SELECT vs.patch_id, vs.traj_id, vs.i, vs.peak0, vs.peak1, least(c0 + abs(vs.peak0 - dp.peak0), coalesce(c1 + abs(vs.peak0 - dp.peak1) + 0.5e0, CAST('inf' AS DOUBLE))),
     CASE WHEN vs.peak1 IS NULL THEN CAST('inf' AS DOUBLE) ELSE least(c0 + abs(vs.peak1 - dp.peak0) + 0.5e0, coalesce(c1 + abs(vs.peak1 - dp.peak1), CAST('inf' AS DOUBLE))) END
@@ -91,6 +91,31 @@ def road_z_layer_path(spark, d):
     return path.withColumn("c", step).groupBy(*LINE).agg(F.count("*").alias("n"), F.round(F.coalesce(F.sum("c"), F.lit(0.0)), 5).alias("cost"))
 
 
+# The path itself: each step keeps where it came from, and the last cell's choice is followed back.
+VOTED = f"""{LAYERS.rsplit("dp AS", 1)[0]}dp AS (SELECT patch_id, traj_id, i, seq, ix, iy, peak0, peak1, 0e0 AS c0, CASE WHEN peak1 IS NULL THEN CAST('inf' AS DOUBLE) ELSE 0e0 END AS c1, 0 AS b0, 0 AS b1 FROM vs WHERE i = 1
+  UNION ALL SELECT patch_id, traj_id, i, seq, ix, iy, peak0, peak1, least(w00, w10), CASE WHEN peak1 IS NULL THEN CAST('inf' AS DOUBLE) ELSE least(w01, w11) END, CASE WHEN w00 <= w10 THEN 0 ELSE 1 END, CASE WHEN w01 <= w11 THEN 0 ELSE 1 END
+  FROM (SELECT vs.*, c0 + abs(vs.peak0 - dp.peak0) AS w00, coalesce(c1 + abs(vs.peak0 - dp.peak1) + 0.5e0, CAST('inf' AS DOUBLE)) AS w10, c0 + abs(vs.peak1 - dp.peak0) + 0.5e0 AS w01, coalesce(c1 + abs(vs.peak1 - dp.peak1), CAST('inf' AS DOUBLE)) AS w11
+    FROM dp JOIN vs ON vs.traj_id = dp.traj_id AND vs.i = dp.i + 1) s),
+la AS (SELECT * FROM dp QUALIFY row_number() OVER (PARTITION BY traj_id ORDER BY i DESC) = 1),
+ch AS (SELECT traj_id, i, CASE WHEN c0 <= c1 THEN 0 ELSE 1 END AS layer, CASE WHEN c0 <= c1 THEN b0 ELSE b1 END AS came FROM la
+  UNION ALL SELECT dp.traj_id, dp.i, came, CASE came WHEN 0 THEN b0 ELSE b1 END FROM ch JOIN dp ON dp.traj_id = ch.traj_id AND dp.i = ch.i - 1),
+pa AS (SELECT dp.*, layer, CASE layer WHEN 0 THEN peak0 ELSE peak1 END AS layer_z FROM ch JOIN dp USING (traj_id, i))"""
+
+
+def _layer_path(spark, d):
+    return profiles.road_z_layer_path(_visits(spark, d), carry=("ix", "iy"))
+
+
+@query(f"{VOTED}, vt AS (SELECT patch_id, ix, iy, count(*) AS n_votes, median(layer_z) AS mid FROM pa GROUP BY ALL) SELECT patch_id, ix, iy, coalesce(n_votes, 0) AS n_votes, round(coalesce(mid, peak0), 6) AS road_z FROM peaks LEFT JOIN vt USING (patch_id, ix, iy)", PT)
+def road_z_by_votes(spark, d):
+    return rounded(profiles.road_z_by_votes(cells.cell_z_peaks(v.points(spark, d)), _layer_path(spark, d)))
+
+
+@query(f"{VOTED}, st AS (SELECT *, abs(layer_z - lag(layer_z) OVER (PARTITION BY traj_id ORDER BY i)) AS dz FROM pa) SELECT patch_id, traj_id, count(*) AS n_cells, round(coalesce(median(dz), 0), 6) AS dz_p50, round(coalesce(quantile_cont(dz, 0.9e0), 0), 6) AS dz_p90, round(coalesce(max(dz), 0), 6) AS dz_max, round(avg(layer), 6) AS upper_share FROM st GROUP BY ALL", PT)
+def layer_path_stats(spark, d):
+    return rounded(profiles.layer_path_stats(_layer_path(spark, d)))
+
+
 @query(
     """k AS (SELECT patch_id, traj_id, seq, x, y, x AS lx, y AS ly, true AS kept FROM v_traj WHERE seq = 1
       UNION ALL SELECT t.patch_id, t.traj_id, t.seq, t.x, t.y, CASE WHEN sqrt((t.x - lx) ** 2 + (t.y - ly) ** 2) >= 12 THEN t.x ELSE lx END, CASE WHEN sqrt((t.x - lx) ** 2 + (t.y - ly) ** 2) >= 12 THEN t.y ELSE ly END, sqrt((t.x - lx) ** 2 + (t.y - ly) ** 2) >= 12

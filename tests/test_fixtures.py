@@ -88,6 +88,20 @@ def test_layer_path_stays_on_the_continuous_layer(spark):
     assert [g[1] for g in got] == [10.0, 10.1, 10.2, 10.3]
 
 
+def test_road_height_by_votes(spark):
+    z = [(10.0, 15.0), (10.1, 15.1), (15.0, 10.2), (10.3, None)]
+    visits = [(0, t, i, i, 0, a, b) for t in (1, 2) for i, (a, b) in enumerate(z)] + [(0, 3, 0, 1, 0, 10.1, 15.1), (0, 4, 0, 2, 0, 15.0, 10.2)]
+    df = spark.createDataFrame(visits, "patch_id long, traj_id long, seq long, ix long, iy long, peak0 double, peak1 double")
+    peaks = spark.createDataFrame([(0, i, 0, a) for i, (a, _) in enumerate(z)] + [(0, 9, 0, 7.0)], "patch_id long, ix long, iy long, peak0 double")
+    path = profiles.road_z_layer_path(df, carry=("ix", "iy"))
+    got = {r["ix"]: (r["n_votes"], r["road_z"]) for r in profiles.road_z_by_votes(peaks, path).collect()}
+    # A trajectory of one cell takes the first peak: in cell 2 that is 15.0, against two votes for 10.2.
+    assert got == {0: (2, 10.0), 1: (3, 10.1), 2: (3, 10.2), 3: (2, 10.3), 9: (0, 7.0)}
+    stats = {r["traj_id"]: r for r in profiles.layer_path_stats(path).collect()}
+    assert (stats[1]["n_cells"], round(stats[1]["dz_max"], 9), stats[1]["upper_share"]) == (4, 0.1, 0.25)
+    assert (stats[3]["n_cells"], stats[3]["dz_p90"], stats[3]["upper_share"]) == (1, 0.0, 0.0)
+
+
 def test_plane_with_a_raised_strip(spark):
     ground = [(0, x * 1.0, y * 0.5, 3.0 if 40 <= x <= 55 else 0.0) for x in range(101) for y in range(-12, 13)]
     points = spark.createDataFrame(ground, "patch_id long, x double, y double, z double")
