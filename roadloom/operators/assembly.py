@@ -377,6 +377,38 @@ def traj_stitch_candidates(tails: DataFrame, heads: DataFrame, radii: tuple[floa
     return rows.withColumn("rank", F.row_number().over(own.orderBy("d2", "p_traj_id", "p_seq"))).where(F.col("rank") <= top).select("patch_id", "traj_id", "p_traj_id", "p_seq", "level", "rank")
 
 
+def tail_stitches(vertices: DataFrame, radii: tuple[float, ...] = (2.0, 5.0, 10.0), tail_m: float = 30.0, max_turn: float = 35.0, advance_m: float = 5.0, top: int = 3) -> DataFrame:
+    """(patch_id, traj_id, seq, p_traj_id, p_seq, level, rank, d, turn): from every vertex in the last `tail_m` of a trajectory the
+    `top` vertices of other ones in the smallest radius that has any: those ahead of it, at most `max_turn` degrees off, with
+    `advance_m` left to go. Nearer ones first, then by turn and ids. vertices: patch_id, traj_id, seq, x,
+    y, hx, hy, left_m (to the trajectory's end); those without a heading are passed over."""
+    spots = cut(vertices.where("hx IS NOT NULL").select("patch_id", "traj_id", "seq", "x", "y", "hx", "hy", "left_m"))
+    tails, heads = spots.where(F.col("left_m") <= tail_m + 1e-6), spots.where(F.col("left_m") >= advance_m).drop("left_m")
+    own = ["patch_id", "traj_id", "seq"]
+    rows = points_near(tails, heads, max(radii), own[1:]).where("p_traj_id <> traj_id").join(tails.select(*own, "hx", "hy"), own)
+    ahead = (F.col("p_x") - F.col("x")) * F.col("hx") + (F.col("p_y") - F.col("y")) * F.col("hy")
+    turn = F.degrees(F.atan2(F.abs(F.col("hx") * F.col("p_hy") - F.col("hy") * F.col("p_hx")), F.col("hx") * F.col("p_hx") + F.col("hy") * F.col("p_hy")))
+    rows = rows.withColumns({"d": F.round(F.sqrt("d2"), 9), "turn": F.round(turn, 6)}).where((ahead > 0) & (F.col("turn") <= max_turn))
+    level = F.lit(len(radii) - 1)
+    for i in range(len(radii) - 2, -1, -1):
+        level = F.when(F.col("d") <= radii[i], i).otherwise(level)
+    w = Window.partitionBy(*own)
+    rows = rows.withColumn("level", level).withColumn("_l", F.min("level").over(w)).where("level = _l")
+    rows = rows.withColumn("rank", F.row_number().over(w.orderBy("d", "turn", "p_traj_id", "p_seq"))).where(F.col("rank") <= top)
+    return rows.select(*own, "p_traj_id", "p_seq", "level", "rank", "d", "turn")
+
+
+def arc_margins(pieces: DataFrame, piece_lines: DataFrame, arcs: DataFrame, arc_lines: DataFrame) -> DataFrame:
+    """competing_arc_margin() of lines: pieces (piece_id, arc_id: its own), arcs (arc_id, src) and their segments
+    (by cand_id and arc_id, see zones.segments). Distances are the Hausdorff distances of arc_fit(); several lines of one
+    piece are given by piece_lines with a cand_id each and the column piece_id."""
+    own = pieces.select("piece_id", F.col("arc_id").alias("own_arc")).join(arcs.select(F.col("arc_id").alias("own_arc"), "src"), "own_arc")
+    lines = piece_lines.select("piece_id", "cand_id").distinct()
+    pairs = cut(own.join(arcs.select("src", "arc_id"), "src").join(lines, "piece_id"))
+    fits = arc_fit(piece_lines, arc_lines, pairs).select("cand_id", "arc_id", F.round("line_m", 9).alias("dist"))
+    return competing_arc_margin(pairs.join(fits, ["cand_id", "arc_id"]))
+
+
 def competing_arc_margin(distances: DataFrame) -> DataFrame:
     """Per support piece (piece_id, src, arc_id): distance to its nearest rival (another
     arc of the same source) less that to its own arc. distances: piece_id, src, own_arc,

@@ -269,6 +269,29 @@ def interval_allocate(rows: DataFrame, by: list[str], centre: str, length: str,
     return rows.withColumn("moved", run).withColumn("moved", F.col("moved") - over)
 
 
+def interval_keep_apart(rows: DataFrame, by: list[str], gap: float = 0.1) -> DataFrame:
+    """Intervals of one line (by..., arc_id, start_s, end_s, length: of the line) without overlaps:
+    (by..., arc_id, rank, raw_s, raw_e, start_s, end_s, ordered). By centre, then arc, centres move apart
+    (interval_allocate). A centre stays within its own interval, and ends lie half a gap from the middle between
+    neighbouring centres. An interval with nothing left is a quarter of its width, 0.01 to 0.25 m, to
+    either side of its centre. `ordered` is whether it begins no earlier than the one before it ends."""
+    order = Window.partitionBy(*by).orderBy("rank")
+    ranked = rows.withColumn("centre", (F.col("start_s") + F.col("end_s")) / 2).withColumn("rank", F.row_number().over(Window.partitionBy(*by).orderBy(F.round("centre", 9), "arc_id")))
+    moved = interval_allocate(ranked, by, "centre", "length", gap).withColumn("moved", F.when(F.max("moved").over(Window.partitionBy(*by)) + 1e-12 >= F.col("length"), F.greatest(F.lit(0.0), F.col("moved"))).otherwise(F.col("moved")))
+    at = F.least(F.greatest("moved", "start_s"), F.col("end_s"))
+    rest = moved.withColumns({"at": at, "before": F.lag("moved").over(order), "after": F.lead("moved").over(order)})
+    low = F.greatest(F.col("start_s"), (F.col("before") + F.col("at")) / 2 + gap / 2)  # nulls are passed over
+    high = F.least(F.col("end_s"), (F.col("at") + F.col("after")) / 2 - gap / 2)
+    rest = rest.withColumns({"lo": low, "hi": high})
+    empty = F.col("hi") < F.col("lo")
+    rest = rest.withColumns({"lo": F.greatest("start_s", F.when(empty, F.col("at")).otherwise(F.col("lo"))), "hi": F.least("end_s", F.when(empty, F.col("at")).otherwise(F.col("hi")))})
+    half = F.least(F.lit(0.25), F.greatest(F.lit(0.01), (F.col("end_s") - F.col("start_s")) / 4))
+    thin = F.col("hi") <= F.col("lo") + 1e-6
+    rest = rest.withColumns({"lo": F.when(thin, F.greatest("start_s", F.col("at") - half)).otherwise(F.col("lo")), "hi": F.when(thin, F.least("end_s", F.col("at") + half)).otherwise(F.col("hi"))})
+    ordered = F.coalesce(F.col("lo") >= F.lag("hi").over(order) - 1e-6, F.lit(True))
+    return rest.withColumn("ordered", ordered).select(*by, "arc_id", "rank", F.col("start_s").alias("raw_s"), F.col("end_s").alias("raw_e"), F.col("lo").alias("start_s"), F.col("hi").alias("end_s"), "ordered")
+
+
 def offset_interpolate(rows: DataFrame, by: list[str], order: str, value: str) -> DataFrame:
     """Fills missing values linearly between their neighbours, and with the nearest
     value at the ends."""

@@ -173,6 +173,19 @@ def traj_pair_candidates(events: DataFrame, by: list[str]) -> DataFrame:
     return rows.where("dst IS NOT NULL AND dst <> node_id").select(*by, F.col("node_id").alias("src"), "dst", F.col("seq_at").alias("seq_from"), "seq_to")
 
 
+def traj_pair_all(events: DataFrame, by: list[str]) -> DataFrame:
+    """All ordered pairs of a line's crossings (by..., src, dst, seq_from, seq_to, index_gap, mode, inner): how many crossings
+    apart, 'adjacent' or 'skip_pair', and the distinct nodes between them other than both ends,
+    ascending. Pairs of one node are left out. The pairs of a line with n crossings are n * (n - 1) / 2."""
+    line = events.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct("seq_at", "node_id"))).alias("e"))
+    rows = line.select(*by, "e", F.posexplode("e").alias("i", "a")).select(*by, "e", "i", "a", F.explode(F.slice(F.transform("e", lambda x, j: F.struct(j.alias("j"), x.alias("b"))), F.col("i") + 2, F.size("e"))).alias("p"))
+    rows = rows.withColumns({"src": F.col("a.node_id"), "dst": F.col("p.b.node_id"), "index_gap": F.col("p.j") - F.col("i")}).where("src <> dst")
+    between = F.transform(F.slice("e", F.col("i") + 2, F.col("index_gap") - 1), lambda x: x.node_id)
+    inner = F.array_sort(F.array_except(between, F.array("src", "dst")))
+    mode = F.when(F.col("index_gap") == 1, "adjacent").otherwise("skip_pair")
+    return rows.select(*by, "src", "dst", F.col("a.seq_at").alias("seq_from"), F.col("p.b.seq_at").alias("seq_to"), "index_gap", mode.alias("mode"), inner.alias("inner"))
+
+
 def pair_support(pairs: DataFrame) -> DataFrame:
     """Per (src, dst): supporting trajectories, crossings and a representative."""
     return pairs.groupBy("src", "dst").agg(

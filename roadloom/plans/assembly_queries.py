@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..operators import assembly as S
@@ -233,6 +234,43 @@ def traj_stitch_candidates(spark, d):
     return S.traj_stitch_candidates(rows.join(last, ["traj_id", "seq"]), rows)
 
 
+TAILS = f"""{SEG_FREE}, w0 AS (SELECT traj_id, seq, coalesce(sqrt((lead(x) OVER w - x) ** 2 + (lead(y) OVER w - y) ** 2), 0) AS m FROM v_traj WINDOW w AS (PARTITION BY traj_id ORDER BY seq)), lf AS (SELECT traj_id, seq, sum(m) OVER (PARTITION BY traj_id ORDER BY seq ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS left_m FROM w0),
+hh AS (SELECT h.*, left_m FROM h JOIN lf USING (traj_id, seq) WHERE hx IS NOT NULL),
+cd AS (SELECT a.patch_id, a.traj_id, a.seq, b.traj_id AS p_traj_id, b.seq AS p_seq, round(sqrt((b.x - a.x) * (b.x - a.x) + (b.y - a.y) * (b.y - a.y)), 9) AS d, (b.x - a.x) * a.hx + (b.y - a.y) * a.hy AS ahead, round(degrees(atan2(abs(a.hx * b.hy - a.hy * b.hx), a.hx * b.hx + a.hy * b.hy)), 6) AS turn
+  FROM hh a JOIN hh b ON b.patch_id = a.patch_id AND b.traj_id <> a.traj_id AND b.x BETWEEN a.x - 10 AND a.x + 10 AND b.y BETWEEN a.y - 10 AND a.y + 10 WHERE a.left_m <= 30 + 1e-6 AND b.left_m >= 5),
+lv AS (SELECT *, CASE WHEN d <= 2 THEN 0 WHEN d <= 5 THEN 1 ELSE 2 END AS level FROM cd WHERE d <= 10 AND ahead > 0 AND turn <= 35), ml AS (SELECT *, min(level) OVER (PARTITION BY traj_id, seq) AS m FROM lv)
+SELECT patch_id, traj_id, seq, p_traj_id, p_seq, level, rank, round(d, 5) AS d, round(turn, 4) AS turn FROM (SELECT *, row_number() OVER (PARTITION BY traj_id, seq ORDER BY d, turn, p_traj_id, p_seq) AS rank FROM ml WHERE level = m) WHERE rank <= 3"""
+
+
+@query(TAILS, T)
+def tail_stitches(spark, d):
+    traj = v.traj(spark, d)
+    w = Window.partitionBy("traj_id").orderBy("seq")
+    step = F.coalesce(F.sqrt((F.lead("x").over(w) - F.col("x")) ** 2 + (F.lead("y").over(w) - F.col("y")) ** 2), F.lit(0.0))
+    rows = series.heading(traj.withColumn("m", step)).withColumn("left_m", F.sum("m").over(w.rowsBetween(0, Window.unboundedFollowing)))
+    got = S.tail_stitches(rows)
+    return got.withColumns({"d": F.round("d", 5), "turn": F.round("turn", 4)})
+
+
+# Arcs are the lines of every seventh trajectory, four groups of them share a source; the others are support pieces.
+MARGIN = FITS.replace("pr AS (SELECT a.id AS cand_id, b.id AS arc_id FROM (SELECT DISTINCT id FROM sl) a JOIN (SELECT DISTINCT id FROM sl) b ON b.id IN (a.id + 8, a.id + 16))",
+    "own AS (SELECT DISTINCT id AS piece_id, id // 7 % 6 * 7 AS own_arc FROM sl WHERE id % 7 <> 0), pr AS (SELECT piece_id AS cand_id, b.id AS arc_id FROM own JOIN (SELECT DISTINCT id FROM sl WHERE id % 7 = 0) b ON b.id % 4 = own_arc % 4 WHERE own_arc IN (SELECT id FROM sl))")
+
+
+@query(
+    f"""{MARGIN}, g AS (SELECT piece_id, own_arc % 4 AS src, own_arc, min(CASE WHEN arc_id = own_arc THEN round(line_m, 9) END) AS own_m, min(CASE WHEN arc_id <> own_arc THEN round(line_m, 9) END) AS rival_m FROM ft JOIN own ON piece_id = cand_id GROUP BY ALL)
+    SELECT piece_id, src, own_arc, round(own_m, 5) AS own_m, round(rival_m, 5) AS rival_m, round(rival_m - own_m, 5) AS margin, coalesce(rival_m - own_m >= 1.5, true) AS preferred FROM g""",
+    T,
+)
+def arc_margins(spark, d):
+    lines = network.cut(zones.segments(v.traj(spark, d), ["traj_id"]))
+    arc_lines = lines.where("traj_id % 7 = 0").withColumnRenamed("traj_id", "arc_id")
+    piece_lines = lines.where("traj_id % 7 <> 0").withColumn("piece_id", F.col("traj_id")).withColumnRenamed("traj_id", "cand_id")
+    pieces = piece_lines.select("piece_id").distinct().withColumn("arc_id", F.floor(F.col("piece_id") / 7) % 6 * 7)
+    arcs = arc_lines.select("arc_id").distinct().withColumn("src", F.col("arc_id") % 4)
+    return rounded(S.arc_margins(pieces, piece_lines, arcs, arc_lines), 5)
+
+
 @query("d AS (SELECT snode AS piece_id, snode % 5 AS src, snode % 4 AS own_arc, enode % 4 AS arc_id, length_m AS dist FROM v_roads), g AS (SELECT piece_id, src, own_arc, min(CASE WHEN arc_id = own_arc THEN dist END) AS own_m, min(CASE WHEN arc_id <> own_arc THEN dist END) AS rival_m FROM d GROUP BY ALL) SELECT *, rival_m - own_m AS margin, coalesce(rival_m - own_m >= 1.5, true) AS preferred FROM g", R)
 def competing_arc_margin(spark, d):
     return S.competing_arc_margin(v.roads(spark, d).selectExpr("snode AS piece_id", "snode % 5 AS src", "snode % 4 AS own_arc", "enode % 4 AS arc_id", "length_m AS dist"))

@@ -263,6 +263,14 @@ def traj_pair_candidates(spark, d):
     return rounded(zones.traj_pair_candidates(_events(spark, d), LINE))
 
 
+@query(f"""{CROSS}, n AS (SELECT *, row_number() OVER (PARTITION BY traj_id ORDER BY seq_at, node_id) AS i FROM ev), p AS (SELECT a.patch_id, a.traj_id, a.node_id AS src, b.node_id AS dst, a.seq_at AS seq_from, b.seq_at AS seq_to, a.i AS i, b.i AS j FROM n a JOIN n b ON a.traj_id = b.traj_id AND a.i < b.i AND a.node_id <> b.node_id),
+q AS (SELECT p.traj_id, p.i, p.j, list_sort(list(DISTINCT n.node_id)) AS l FROM p JOIN n ON n.traj_id = p.traj_id AND n.i > p.i AND n.i < p.j AND n.node_id <> src AND n.node_id <> dst GROUP BY ALL)
+SELECT patch_id, p.traj_id, src, dst, round(seq_from, 6) AS seq_from, round(seq_to, 6) AS seq_to, CAST(p.j - p.i AS INTEGER) AS index_gap, CASE WHEN p.j - p.i = 1 THEN 'adjacent' ELSE 'skip_pair' END AS mode, coalesce(array_to_string(l, ','), '') AS inner_nodes FROM p LEFT JOIN q ON q.traj_id = p.traj_id AND q.i = p.i AND q.j = p.j""", TX)
+def traj_pair_all(spark, d):
+    got = rounded(zones.traj_pair_all(_events(spark, d), LINE))
+    return got.withColumn("inner_nodes", F.array_join(F.transform("inner", lambda x: x.cast("string")), ",")).drop("inner")
+
+
 @query(f"{PAIRS} SELECT src, dst, count(DISTINCT traj_id) AS n_traj, count(*) AS n_events, min(traj_id) AS first_traj, round(avg(seq_to - seq_from), 6) AS mean_gap FROM pr GROUP BY ALL", TX)
 def pair_support(spark, d):
     return rounded(zones.pair_support(zones.traj_pair_candidates(_events(spark, d), LINE)))
@@ -390,6 +398,22 @@ def interval_allocate(spark, d):
     return rounded(series.interval_allocate(ranked, ["node_id"], "y", "length", 0.5).select("node_id", "traj_id", "rank", "moved"))
 
 
+# Every crossing of a cross-section wants room to either side of it.
+APART = f"""{CROSS}, iv AS (SELECT node_id, traj_id AS arc_id, y - 0.5e0 - traj_id % 3 AS a, y + 0.5e0 + traj_id % 4 AS b FROM ev), rk AS (SELECT *, (a + b) / 2 AS c, row_number() OVER (PARTITION BY node_id ORDER BY round((a + b) / 2, 9), arc_id) AS rank FROM iv),
+mv AS (SELECT *, max(c - rank * 0.1e0) OVER (PARTITION BY node_id ORDER BY rank) + rank * 0.1e0 AS m0 FROM rk), mw AS (SELECT *, CASE WHEN max(m0) OVER (PARTITION BY node_id) > 58 THEN greatest(0e0, m0 - (max(m0) OVER (PARTITION BY node_id) - 58e0)) ELSE m0 END AS m FROM mv),
+nb AS (SELECT *, least(greatest(m, a), b) AS t, lag(m) OVER w AS p, lead(m) OVER w AS q FROM mw WINDOW w AS (PARTITION BY node_id ORDER BY rank)),
+e1 AS (SELECT *, coalesce(greatest(a, (p + t) / 2 + 0.05e0), a) AS lo, coalesce(least(b, (t + q) / 2 - 0.05e0), b) AS hi FROM nb),
+e2 AS (SELECT *, greatest(a, CASE WHEN hi < lo THEN t ELSE lo END) AS l2, least(b, CASE WHEN hi < lo THEN t ELSE hi END) AS h2, least(0.25e0, greatest(0.01e0, (b - a) / 4)) AS half FROM e1),
+e3 AS (SELECT *, CASE WHEN h2 <= l2 + 1e-6 THEN greatest(a, t - half) ELSE l2 END AS l3, CASE WHEN h2 <= l2 + 1e-6 THEN least(b, t + half) ELSE h2 END AS h3 FROM e2)
+SELECT node_id, arc_id, rank, round(a, 6) AS raw_s, round(b, 6) AS raw_e, round(l3, 6) AS start_s, round(h3, 6) AS end_s, coalesce(l3 >= lag(h3) OVER (PARTITION BY node_id ORDER BY rank) - 1e-6, true) AS ordered FROM e3"""
+
+
+@query(APART, TX)
+def interval_keep_apart(spark, d):
+    rows = _events(spark, d).select("node_id", F.col("traj_id").alias("arc_id"), (F.col("y") - 0.5 - F.col("traj_id") % 3).alias("start_s"), (F.col("y") + 0.5 + F.col("traj_id") % 4).alias("end_s"), F.lit(58.0).alias("length"))
+    return rounded(series.interval_keep_apart(rows, ["node_id"]))
+
+
 @query(
     """o AS (SELECT patch_id, traj_id, seq, CASE WHEN seq % 3 = 0 OR seq < 4 THEN NULL ELSE z END AS z FROM v_traj),
     k AS (SELECT *, last_value(z IGNORE NULLS) OVER b AS v0, last_value(CASE WHEN z IS NOT NULL THEN seq END IGNORE NULLS) OVER b AS s0, first_value(z IGNORE NULLS) OVER a AS v1, first_value(CASE WHEN z IS NOT NULL THEN seq END IGNORE NULLS) OVER a AS s1 FROM o

@@ -3,7 +3,8 @@ import random
 
 import pytest
 
-from roadloom.operators import anchors, evidence, profiles, series, zones
+from roadloom.operators import anchors, assembly, evidence, profiles, series, zones
+from roadloom.operators import arcs as arcs_
 
 
 def test_crosslines_end_on_the_branches_of_a_fork(spark):
@@ -98,3 +99,56 @@ def test_a_fused_line_is_as_long_as_its_arc(spark):
     line = got[(1, "support_and_arc")]
     assert line == [(0.0, 0.0), (20.0, 0.0), (30.0, 0.0), (30.0, 20.0), (30.0, 40.0), (40.0, 40.0), (60.0, 40.0), (70.0, 40.0)]
     assert sum(math.dist(a, b) for a, b in zip(line, line[1:])) == 110.0
+
+
+def test_intervals_are_kept_apart(spark):
+    raw = [(1, 1, 0.0, 4.0, 20.0), (1, 2, 2.0, 6.0, 20.0), (1, 3, 3.95, 4.05, 20.0), (2, 1, 8.0, 10.0, 9.0), (2, 2, 8.0, 10.0, 9.0)]
+    df = spark.createDataFrame(raw, "node_id long, arc_id long, start_s double, end_s double, length double")
+    got = {(r["node_id"], r["arc_id"]): r for r in series.interval_keep_apart(df, ["node_id"]).collect()}
+    # Centres 2, 4 and 4: the third moves to 4.1, which its own interval holds back at 4.05.
+    assert [round(got[1, a][c], 6) for a in (1, 2, 3) for c in ("start_s", "end_s")] == [0.0, 2.95, 3.05, 4.0, 4.025, 4.05]
+    assert all(r["ordered"] for r in got.values())
+    # Both want the end of a line of 9: the centres 9 and 9.1 go back to 8.9 and 9.
+    assert (round(got[2, 1]["start_s"], 6), round(got[2, 1]["end_s"], 6), round(got[2, 2]["start_s"], 6)) == (8.0, 8.9, 9.0)
+    assert got[2, 2]["end_s"] == 10.0
+
+
+def test_all_pairs_of_crossings(spark):
+    events = spark.createDataFrame([(1, 10, 0.5), (1, 20, 1.5), (1, 10, 2.5), (1, 30, 3.5), (2, 10, 0.0)], "traj_id long, node_id long, seq_at double")
+    got = {(r["seq_from"], r["seq_to"]): (r["src"], r["dst"], r["index_gap"], r["mode"], r["inner"]) for r in zones.traj_pair_all(events, ["traj_id"]).collect()}
+    assert got == {
+        (0.5, 1.5): (10, 20, 1, "adjacent", []), (1.5, 2.5): (20, 10, 1, "adjacent", []), (2.5, 3.5): (10, 30, 1, "adjacent", []),
+        (0.5, 3.5): (10, 30, 3, "skip_pair", [20]), (1.5, 3.5): (20, 30, 2, "skip_pair", [10]),
+    }
+
+
+def test_tails_stitch_to_what_lies_ahead(spark):
+    cols = "patch_id long, traj_id long, seq long, x double, y double, hx double, hy double, left_m double"
+    rows = [(0, 1, 1, 0.0, 0.0, 1.0, 0.0, 40.0), (0, 1, 2, 30.0, 0.0, 1.0, 0.0, 0.0)]
+    rows += [(0, 2, 1, 29.0, 0.0, 1.0, 0.0, 50.0), (0, 2, 2, 33.0, 0.5, 1.0, 0.0, 46.0), (0, 2, 3, 36.0, 0.0, 1.0, 0.0, 42.0)]  # behind, in 5 m, in 10 m
+    rows += [(0, 3, 1, 31.0, 0.0, 0.0, 1.0, 50.0), (0, 4, 1, 31.0, 0.0, 1.0, 0.0, 3.0), (1, 5, 1, 31.0, 0.0, 1.0, 0.0, 50.0)]  # turned, ending, another patch
+    got = assembly.tail_stitches(spark.createDataFrame(rows, cols)).where("traj_id = 1").collect()
+    assert [(r["seq"], r["p_traj_id"], r["p_seq"], r["level"], r["rank"]) for r in got] == [(2, 2, 2, 1, 1)]
+
+
+def test_owners_by_tier(spark):
+    seg = "arc_id long, seq long, x1 double, y1 double, x2 double, y2 double, seg_m double"
+    lines = spark.createDataFrame([(1, 1, 0.0, 0.0, 100.0, 0.0, 100.0), (2, 1, 0.0, 10.0, 100.0, 10.0, 100.0), (3, 1, 0.0, 20.0, 100.0, 20.0, 100.0)], seg)
+    corridors, working = lines.where("arc_id = 1"), lines.where("arc_id <> 3")
+    arcs = spark.createDataFrame([(7, 1, 0), (7, 2, 1), (7, 3, 2), (8, 2, 0), (8, 3, 0)], "node_id long, arc_id long, place long")
+    at = [(7, 1, 50.0, 3.9), (7, 2, 50.0, 6.5), (7, 3, 50.0, 5.0), (7, 4, 50.0, 900.0), (7, 5, 50.0, 15.0), (8, 1, 50.0, 0.0), (9, 1, 50.0, 0.0)]
+    got = arcs_.crossing_owners(spark.createDataFrame(at, "node_id long, crossing_id long, x double, y double"), arcs, corridors, working, lines)
+    assert {(r["node_id"], r["crossing_id"]): (r["arc_id"], r["tier"], r["dist"]) for r in got.collect()} == {
+        (7, 1): (1, 0, 3.9), (7, 2): (2, 1, 3.5), (7, 3): (1, 2, 5.0), (7, 4): (3, 2, 880.0), (7, 5): (2, 2, 5.0), (8, 1): (2, 2, 10.0),
+    }
+
+
+def test_margin_to_rival_lines(spark):
+    line = lambda k, y, n=1: (k, 1, 0.0, y, 50.0, y, 50.0, 0.0)
+    seg = "{} long, seq long, x1 double, y1 double, x2 double, y2 double, seg_m double, s1 double"
+    arc_lines = spark.createDataFrame([line(1, 0.0), line(2, 8.0), line(3, 100.0)], seg.format("arc_id"))
+    arcs = spark.createDataFrame([(1, 5), (2, 5), (3, 6)], "arc_id long, src long")
+    lines = spark.createDataFrame([line(10, 1.0), line(11, 3.5), line(12, 90.0)], seg.format("cand_id")).selectExpr("*", "cand_id AS piece_id")
+    pieces = spark.createDataFrame([(10, 1), (11, 1), (12, 3)], "piece_id long, arc_id long")
+    got = {r["piece_id"]: (r["own_m"], r["rival_m"], r["preferred"]) for r in assembly.arc_margins(pieces, lines, arcs, arc_lines).collect()}
+    assert got == {10: (1.0, 7.0, True), 11: (3.5, 4.5, False), 12: (10.0, None, True)}
