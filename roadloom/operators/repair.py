@@ -64,6 +64,48 @@ def endpoint_repair(roads: DataFrame, nodes: DataFrame, zone_edges: DataFrame, s
     return out.select("road_id", "x1", "y1", "x2", "y2", src.alias("new_snode"), dst.alias("new_enode"), reason.alias("reason"))
 
 
+def endpoint_repair_lines(roads: DataFrame, lines: DataFrame, nodes: DataFrame, zone_edges: DataFrame, grow: float = 5.0, snap: float = 2.0) -> DataFrame:
+    """endpoint_repair() for polylines: roads (road_id, snode, enode) of which an end has no node, with the segments of
+    their lines (zones.segments), clipped to the zones grown by `grow`. Gives (road_id, snode, enode, new_src, new_dst, start_s,
+    end_s, sx, sy, dx, dy, reason, outside_ratio): the ids to write, which of them are new, the stretch of the line that stays
+    (its vertices: evidence.cut_lines), where it starts and ends, seen from source to destination, and which share of it lies
+    outside the zones themselves. A line's sides are told by its nodes (endpoint_assign); an end that
+    has moved over `snap` gets a new node as well. Roads that no zone holds keep their ids and have the reason 'clipped_empty'."""
+    from .evidence import cut_lines
+    from .network import cut
+    from .zones import grown_zone_pieces
+
+    c, spot = F.col, lambda x, y: F.struct(F.col(x).alias("x"), F.col(y).alias("y"))
+    own = nodes.select("node_id", "x", "y").dropDuplicates(["node_id"])
+    rows = roads.select("road_id", "snode", "enode").join(own.selectExpr("node_id AS snode", "x AS sx", "y AS sy"), "snode", "left").join(own.selectExpr("node_id AS enode", "x AS dx", "y AS dy"), "enode", "left")
+    rows = cut(rows.where("sx IS NULL OR dx IS NULL"))
+    own_lines = cut(lines.join(rows.select("road_id"), "road_id", "left_semi"))
+    ends = own_lines.groupBy("road_id").agg(F.min_by(spot("x1", "y1"), "seq").alias("p"), F.max_by(spot("x2", "y2"), "seq").alias("q"))
+    sides = endpoint_assign(rows.join(ends, "road_id").withColumns({"x1": c("p.x"), "y1": c("p.y"), "x2": c("q.x"), "y2": c("q.y")}))
+    side = lambda a, b: F.when(c("flip"), c(b)).otherwise(c(a))
+    sides = sides.select("road_id", *[side(a, b).alias(n) for a, b, n in (("x1", "x2", "osx"), ("y1", "y2", "osy"), ("x2", "x1", "odx"), ("y2", "y1", "ody"))])
+    pieces = cut(grown_zone_pieces(own_lines, zone_edges, ["road_id"], grow))
+    shape = cut_lines(own_lines, pieces.select("road_id", c("piece").alias("ord"), c("start_s").alias("from_s"), c("end_s").alias("to_s")), ["road_id"])
+    shape = shape.groupBy("road_id", c("ord").alias("piece")).agg(F.min_by(spot("x", "y"), "i").alias("p"), F.max_by(spot("x", "y"), "i").alias("q"))
+    cand = pieces.join(shape, ["road_id", "piece"]).join(rows, "road_id").withColumns({"x1": c("p.x"), "y1": c("p.y"), "x2": c("q.x"), "y2": c("q.y")})
+    best = choose_clipped_piece(cand, ["road_id"], snap).select("road_id", "start_s", "end_s", "x1", "y1", "x2", "y2", "reason")
+    inside = line_zone_pieces(own_lines, zone_edges, ["road_id"], union=True).select("road_id", c("start_s").alias("a"), c("end_s").alias("b"))
+    held = best.join(inside, "road_id").groupBy("road_id").agg(F.sum(F.greatest(F.lit(0.0), F.least("end_s", "b") - F.greatest("start_s", "a"))).alias("held"))
+    out = rows.join(sides, "road_id", "left").join(best, "road_id", "left").join(held, "road_id", "left")
+    out = out.withColumns({"rsx": F.coalesce("sx", "osx"), "rsy": F.coalesce("sy", "osy"), "rdx": F.coalesce("dx", "odx"), "rdy": F.coalesce("dy", "ody")})
+    d = lambda a, n: distance(c(f"{a}x"), c(f"{a}y"), c(f"x{n}"), c(f"y{n}"))
+    out = out.withColumn("flip", d("rs", 1) + d("rd", 2) > d("rs", 2) + d("rd", 1))
+    out = out.withColumns({"no_src": c("sx").isNull(), "no_dst": c("dx").isNull()}).withColumns({"sx": side("x1", "x2"), "sy": side("y1", "y2"), "dx": side("x2", "x1"), "dy": side("y2", "y1")})
+    kept = c("start_s").isNotNull()
+    new_src, new_dst = kept & (c("no_src") | (distance(c("osx"), c("osy"), c("sx"), c("sy")) > snap)), kept & (c("no_dst") | (distance(c("odx"), c("ody"), c("dx"), c("dy")) > snap))
+    fresh = lambda s: stable_node_id(c("road_id"), F.lit(f"{s}"), c(f"{s[0]}x"), c(f"{s[0]}y"), F.lit(0))
+    return out.select(
+        "road_id", F.when(new_src, fresh("src")).otherwise(c("snode")).alias("snode"), F.when(new_dst, fresh("dst")).otherwise(c("enode")).alias("enode"), new_src.alias("new_src"), new_dst.alias("new_dst"), "start_s", "end_s",
+        F.when(kept, c("sx")).alias("sx"), F.when(kept, c("sy")).alias("sy"), F.when(kept, c("dx")).alias("dx"), F.when(kept, c("dy")).alias("dy"), F.when(kept, c("reason")).otherwise("clipped_empty").alias("reason"),
+        F.when(kept, 1 - F.coalesce("held", F.lit(0.0)) / (c("end_s") - c("start_s"))).alias("outside_ratio"),
+    )
+
+
 def node_alias_resolve(nodes: DataFrame, roads: DataFrame, order: tuple[str, ...] = ("mainid", "mainnodeid", "id", "nodeid")) -> DataFrame:
     """Canonical id of each node row (row_id, id_fields map): the first of its ids, in a
     fixed order, that a road ends at, else the first it has; and the first row of each

@@ -124,6 +124,54 @@ def line_zone_pieces(lines: DataFrame, edges: DataFrame, by: list[str], least_m:
     return pieces.withColumn("piece", F.row_number().over(Window.partitionBy(*owner).orderBy("start_s"))).drop("run")
 
 
+def near_edge_spans(lines: DataFrame, edges: DataFrame, by: list[str], reach: float) -> DataFrame:
+    """(by..., a, b): stretches of lines (from segments()) within `reach` of an edge, one for each segment and edge. What lies
+    within `reach` of an edge is a rectangle with a disc at either end, which is convex, so a segment is in it for
+    one stretch: from the first to the last of its stretches in the three. Segments and edges meet in cells (of their patch, if both have one)."""
+    patch = _shared(lines, edges)
+    own = [*dict.fromkeys([*patch, *by])]
+    given = lines.where("seg_m > 0").select(*own, "seq", "x1", "y1", "x2", "y2", "s1", "seg_m")
+    e = edges.select(*patch, *[F.col(c).alias(f"e{c}") for c in ("x1", "y1", "x2", "y2")])
+    e = e.withColumns({"_a": F.least("ex1", "ex2") - reach, "_b": F.least("ey1", "ey2") - reach, "_c": F.greatest("ex1", "ex2") + reach, "_d": F.greatest("ey1", "ey2") + reach})
+    rows = in_cells(given, "x1", "y1", "x2", "y2", "l").join(in_cells(e, "_a", "_b", "_c", "_d", "e"), [*patch, "cx", "cy"]).where(_once("l", "e"))
+    size = F.sqrt((F.col("ex2") - F.col("ex1")) ** 2 + (F.col("ey2") - F.col("ey1")) ** 2)
+    rows = rows.withColumn("el", size).withColumns({"ux": F.when(F.col("el") > 0, (F.col("ex2") - F.col("ex1")) / F.col("el")).otherwise(1.0), "uy": F.when(F.col("el") > 0, (F.col("ey2") - F.col("ey1")) / F.col("el")).otherwise(0.0)})
+    # Along and across the edge, from its first end: place + t * step for t from 0 to 1.
+    dx, dy, px, py = F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1"), F.col("x1") - F.col("ex1"), F.col("y1") - F.col("ey1")
+    rows = rows.withColumns({"p0": px * F.col("ux") + py * F.col("uy"), "p1": dx * F.col("ux") + dy * F.col("uy"), "q0": py * F.col("ux") - px * F.col("uy"), "q1": dy * F.col("ux") - dx * F.col("uy")})
+    none = F.lit(None).cast("double")
+
+    def slab(k0, k1, low, high):
+        u, w = (low - k0) / k1, (high - k0) / k1
+        flat, out = F.abs(k1) < 1e-12, (k0 < low) | (k0 > high)
+        return F.when(flat, F.when(out, 2.0).otherwise(0.0)).otherwise(F.least(u, w)), F.when(flat, F.when(out, -1.0).otherwise(1.0)).otherwise(F.greatest(u, w))
+
+    (a0, a1), (c0, c1) = slab(F.col("p0"), F.col("p1"), F.lit(0.0), F.col("el")), slab(F.col("q0"), F.col("q1"), F.lit(-reach), F.lit(reach))
+    found = [(F.greatest(a0, c0, F.lit(0.0)), F.least(a1, c1, F.lit(1.0)))]
+    for at in (F.lit(0.0), F.col("el")):
+        along, q = F.col("p0") - at, F.col("p1") ** 2 + F.col("q1") ** 2
+        half = along * F.col("p1") + F.col("q0") * F.col("q1")
+        root = half * half - q * (along * along + F.col("q0") ** 2 - reach * reach)
+        root = F.when(root > 0, F.sqrt(root))
+        found.append((F.greatest((-half - root) / q, F.lit(0.0)), F.least((-half + root) / q, F.lit(1.0)) + root * 0))
+    met = [(F.when(hi > lo, lo).otherwise(none), F.when(hi > lo, hi).otherwise(none)) for lo, hi in found]
+    rows = rows.withColumns({"t0": F.least(*[m[0] for m in met]), "t1": F.greatest(*[m[1] for m in met])}).where("t1 > t0")
+    return rows.select(*by, (F.col("s1") + F.col("t0") * F.col("seg_m")).alias("a"), (F.col("s1") + F.col("t1") * F.col("seg_m")).alias("b"))
+
+
+def grown_zone_pieces(lines: DataFrame, edges: DataFrame, by: list[str], grow: float) -> DataFrame:
+    """(by..., piece, start_s, end_s): the stretches of lines in the zones grown by `grow`: inside any of them or within
+    that distance of an edge."""
+    inside = line_zone_pieces(lines, edges, by, union=True).select(*by, F.col("start_s").alias("a"), F.col("end_s").alias("b"))
+    spans = inside.union(near_edge_spans(lines, edges, by, grow)).where("b > a + 1e-9")
+    w = Window.partitionBy(*by).orderBy("a", "b")
+    reach = F.max("b").over(w.rowsBetween(Window.unboundedPreceding, -1))
+    new = F.coalesce(F.col("a") > reach + 1e-6, F.lit(True)).cast("int")
+    runs = spans.withColumn("_n", new).withColumn("_run", F.sum("_n").over(w))
+    got = runs.groupBy(*by, "_run").agg(F.min("a").alias("start_s"), F.max("b").alias("end_s"))
+    return got.select(*by, F.col("_run").cast("int").alias("piece"), "start_s", "end_s")
+
+
 def line_zone_ratio(lines: DataFrame, edges: DataFrame, by: list[str]) -> DataFrame:
     """Share of each line's length inside each polygon that it touches."""
     total = lines.groupBy(*by).agg(F.sum("seg_m").alias("length_m"))

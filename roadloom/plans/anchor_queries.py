@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import scalars
-from ..operators import anchors, network, repair
+from ..operators import anchors, network, repair, zones
 from ..sources import views as v
 from .registry import query, rounded
 
@@ -45,6 +45,71 @@ def endpoint_repair(spark, d):
     return rounded(got.select("road_id", "x1", "y1", "x2", "y2", F.col("new_snode").isNotNull().alias("new_src"), F.col("new_enode").isNotNull().alias("new_dst"), "reason"), 4)
 
 
+# The same roads with a bend in the middle, clipped to the zones grown by 3 m: in SQL a grown rectangle is
+# two rectangles and four discs.
+def _slab(x1: str, y1: str, x2: str, y2: str) -> str:
+    one = lambda p, lo, hi, f, inn, out: f"CASE WHEN d{p} <> 0 THEN {f}(({lo} - {p}1) / d{p}, ({hi} - {p}1) / d{p}) WHEN {p}1 BETWEEN {lo} AND {hi} THEN {inn} ELSE {out} END"
+    low = f"greatest(0e0, {one('x', x1, x2, 'least', 0, 2)}, {one('y', y1, y2, 'least', 0, 2)})"
+    return f"SELECT road_id, s1, m, {low} AS t0, least(1e0, {one('x', x1, x2, 'greatest', 1, -1)}, {one('y', y1, y2, 'greatest', 1, -1)}) AS t1 FROM bs2, bx"
+
+
+BENT = LINES.split("cl AS", 1)[0] + f"""mm AS (SELECT *, (x1 + x2) / 2 AS xm, (y1 + y2) / 2 + road_id % 5 * 4 AS ym FROM ms),
+b2 AS (SELECT road_id, 0 AS i, x1, y1, xm AS x2, ym AS y2 FROM mm UNION ALL SELECT road_id, 1, xm, ym, x2, y2 FROM mm),
+b3 AS (SELECT *, x2 - x1 AS dx, y2 - y1 AS dy, sqrt((x2 - x1) ** 2 + (y2 - y1) ** 2) AS m FROM b2), bs2 AS (SELECT *, coalesce(lag(m) OVER (PARTITION BY road_id ORDER BY i), 0) AS s1 FROM b3 QUALIFY m > 0),
+co AS (SELECT unnest([bx1, bx1, bx2, bx2]) AS px, unnest([by1, by2, by1, by2]) AS py FROM bx), di AS (SELECT *, (x1 - px) * dx + (y1 - py) * dy AS h, ((x1 - px) * dx + (y1 - py) * dy) ** 2 - m * m * ((x1 - px) ** 2 + (y1 - py) ** 2 - 9) AS r FROM bs2, co),
+iv AS ({_slab("bx1 - 3", "by1", "bx2 + 3", "by2")} UNION ALL {_slab("bx1", "by1 - 3", "bx2", "by2 + 3")} UNION ALL SELECT road_id, s1, m, greatest(0e0, (-h - sqrt(r)) / (m * m)), least(1e0, (-h + sqrt(r)) / (m * m)) FROM di WHERE r > 0),
+ab AS (SELECT road_id, s1 + t0 * m AS a, s1 + t1 * m AS b FROM iv WHERE t1 > t0 AND (t1 - t0) * m > 1e-9), mk AS (SELECT *, CAST(coalesce(a > max(b) OVER (PARTITION BY road_id ORDER BY a, b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) + 1e-6, true) AS INTEGER) AS n FROM ab),
+rn AS (SELECT *, sum(n) OVER (PARTITION BY road_id ORDER BY a, b) AS piece FROM mk), gp AS (SELECT road_id, CAST(piece AS INTEGER) AS piece, min(a) AS start_s, max(b) AS end_s FROM rn GROUP BY ALL)"""
+
+
+def _bent(spark, d):
+    from ..operators.zones import segments
+
+    mid = F.struct(F.lit(1).alias("seq"), ((F.col("x1") + F.col("x2")) / 2).alias("x"), ((F.col("y1") + F.col("y2")) / 2 + F.col("road_id") % 5 * 4).alias("y"))
+    ends = [F.struct(F.lit(2 * i).alias("seq"), F.col(f"x{i + 1}").alias("x"), F.col(f"y{i + 1}").alias("y")) for i in (0, 1)]
+    return segments(_lines(spark, d).select("road_id", F.inline(F.array(ends[0], mid, ends[1]))), ["road_id"])
+
+
+@query(f"{BENT} SELECT road_id, piece, round(start_s, 5) AS start_s, round(end_s, 5) AS end_s FROM gp", RNZ)
+def grown_zone_pieces(spark, d):
+    lines = _bent(spark, d).join(_open_roads(spark, d), "road_id", "left_semi")
+    return rounded(zones.grown_zone_pieces(lines, v.zone_edges(spark, d), ["road_id"], 3.0), 5)
+
+
+def _open_roads(spark, d):
+    has = v.nodes(spark, d).where("node_id % 7 <> 0").select("node_id")
+    roads = v.roads(spark, d).select("road_id", "snode", "enode")
+    both = roads.join(has.withColumnsRenamed({"node_id": "snode"}), "snode", "left_semi").join(has.withColumnsRenamed({"node_id": "enode"}), "enode", "left_semi")
+    return roads.join(both, "road_id", "left_anti")
+
+
+def _spot(s: str, p: str) -> str:
+    """Coordinate of a bent road at the station s."""
+    return f"CASE WHEN {s} <= m1 THEN coalesce({p}1 + ({p}m - {p}1) * {s} / nullif(m1, 0), {p}1) ELSE {p}m + ({p}2 - {p}m) * ({s} - m1) / m2 END"
+
+
+_away = lambda a, b: f"sqrt(({a}x - {b}x) ** 2 + ({a}y - {b}y) ** 2)"
+REPAIR = f"""{BENT}, ml AS (SELECT *, sqrt((xm - x1) ** 2 + (ym - y1) ** 2) AS m1, sqrt((x2 - xm) ** 2 + (y2 - ym) ** 2) AS m2 FROM mm),
+pc AS (SELECT ml.*, piece, start_s, end_s, {_spot("start_s", "x")} AS px, {_spot("start_s", "y")} AS py, {_spot("end_s", "x")} AS qx, {_spot("end_s", "y")} AS qy FROM gp JOIN ml USING (road_id)),
+sc AS (SELECT *, least({_away("s", "p")}, {_away("s", "q")}) AS to_s, least({_away("d", "p")}, {_away("d", "q")}) AS to_d FROM pc),
+bs AS (SELECT *, coalesce(CAST(to_s <= 2 AS INTEGER), 0) + coalesce(CAST(to_d <= 2 AS INTEGER), 0) AS n_hits FROM sc QUALIFY row_number() OVER (PARTITION BY road_id ORDER BY coalesce(CAST(to_s <= 2 AS INTEGER), 0) + coalesce(CAST(to_d <= 2 AS INTEGER), 0) DESC, round(end_s - start_s, 6) DESC, round(coalesce(to_s, to_d, 0), 6), start_s) = 1),
+og AS (SELECT ml.road_id, ml.snode, ml.enode, ml.sx, ml.dx, coalesce(CASE WHEN ml.sx IS NOT NULL THEN sqrt((ml.sx - x1) ** 2 + (ml.sy - y1) ** 2) > sqrt((ml.sx - x2) ** 2 + (ml.sy - y2) ** 2) WHEN ml.dx IS NOT NULL THEN sqrt((ml.dx - x2) ** 2 + (ml.dy - y2) ** 2) > sqrt((ml.dx - x1) ** 2 + (ml.dy - y1) ** 2) END, false) AS fl, x1, y1, x2, y2, ml.sy, ml.dy FROM ml),
+rf AS (SELECT og.road_id, og.snode, og.enode, og.sx IS NULL AS ns, og.dx IS NULL AS nd, CASE WHEN fl THEN og.x2 ELSE og.x1 END AS ox, CASE WHEN fl THEN og.y2 ELSE og.y1 END AS oy, CASE WHEN fl THEN og.x1 ELSE og.x2 END AS ex, CASE WHEN fl THEN og.y1 ELSE og.y2 END AS ey,
+  coalesce(og.sx, CASE WHEN fl THEN og.x2 ELSE og.x1 END) AS ax, coalesce(og.sy, CASE WHEN fl THEN og.y2 ELSE og.y1 END) AS ay, coalesce(og.dx, CASE WHEN fl THEN og.x1 ELSE og.x2 END) AS gx, coalesce(og.dy, CASE WHEN fl THEN og.y1 ELSE og.y2 END) AS gy, start_s, end_s, px, py, qx, qy, n_hits FROM og LEFT JOIN bs USING (road_id)),
+fi AS (SELECT *, {_away("a", "p")} + {_away("g", "q")} > {_away("a", "q")} + {_away("g", "p")} AS f2 FROM rf),
+pt AS (SELECT *, CASE WHEN f2 THEN qx ELSE px END AS ux, CASE WHEN f2 THEN qy ELSE py END AS uy, CASE WHEN f2 THEN px ELSE qx END AS wx, CASE WHEN f2 THEN py ELSE qy END AS wy FROM fi),
+nw AS (SELECT *, start_s IS NOT NULL AND (ns OR {_away("o", "u")} > 2) AS new_src, start_s IS NOT NULL AND (nd OR {_away("e", "w")} > 2) AS new_dst FROM pt)
+SELECT road_id, CASE WHEN NOT new_src THEN snode END AS old_snode, CASE WHEN NOT new_dst THEN enode END AS old_enode, new_src, new_dst, round(start_s, 4) AS start_s, round(end_s, 4) AS end_s, round(ux, 4) + 0e0 AS sx, round(uy, 4) + 0e0 AS sy, round(wx, 4) + 0e0 AS dx, round(wy, 4) + 0e0 AS dy,
+  CASE WHEN start_s IS NULL THEN 'clipped_empty' WHEN ns AND nd THEN 'fallback_longest_no_existing_endpoint' WHEN n_hits = 0 THEN 'fallback_longest_no_endpoint_match' END AS reason FROM nw"""
+
+
+@query(REPAIR, RNZ)
+def endpoint_repair_lines(spark, d):
+    got = repair.endpoint_repair_lines(v.roads(spark, d), _bent(spark, d), v.nodes(spark, d).where("node_id % 7 <> 0"), v.zone_edges(spark, d), 3.0)
+    got = got.withColumns({"old_snode": F.when(~F.col("new_src"), F.col("snode")), "old_enode": F.when(~F.col("new_dst"), F.col("enode"))})
+    return rounded(got.drop("snode", "enode", "outside_ratio"), 4)
+
+
 @query("SELECT road_id, CASE WHEN snode % 7 <> 0 AND enode % 7 <> 0 THEN sqrt((ax - x1) ** 2 + (ay - y1) ** 2) + sqrt((bx - x2) ** 2 + (b_y - y2) ** 2) > sqrt((ax - x2) ** 2 + (ay - y2) ** 2) + sqrt((bx - x1) ** 2 + (b_y - y1) ** 2) WHEN snode % 7 <> 0 THEN sqrt((ax - x1) ** 2 + (ay - y1) ** 2) > sqrt((ax - x2) ** 2 + (ay - y2) ** 2) WHEN enode % 7 <> 0 THEN sqrt((bx - x2) ** 2 + (b_y - y2) ** 2) > sqrt((bx - x1) ** 2 + (b_y - y1) ** 2) ELSE false END AS flip FROM (SELECT road_id, snode, enode, snode % 11 * 1e0 AS x1, snode % 5 * 1e0 AS y1, enode % 11 * 1e0 AS x2, enode % 5 * 1e0 AS y2, snode % 3 * 4e0 AS ax, 1e0 AS ay, enode % 4 * 3e0 AS bx, 2e0 AS b_y FROM v_roads)", ("v_roads",))
 def endpoint_assign(spark, d):
     rows = v.roads(spark, d).selectExpr(

@@ -239,7 +239,7 @@ hh AS (SELECT h.*, left_m FROM h JOIN lf USING (traj_id, seq) WHERE hx IS NOT NU
 cd AS (SELECT a.patch_id, a.traj_id, a.seq, b.traj_id AS p_traj_id, b.seq AS p_seq, round(sqrt((b.x - a.x) * (b.x - a.x) + (b.y - a.y) * (b.y - a.y)), 9) AS d, (b.x - a.x) * a.hx + (b.y - a.y) * a.hy AS ahead, round(degrees(atan2(abs(a.hx * b.hy - a.hy * b.hx), a.hx * b.hx + a.hy * b.hy)), 6) AS turn
   FROM hh a JOIN hh b ON b.patch_id = a.patch_id AND b.traj_id <> a.traj_id AND b.x BETWEEN a.x - 10 AND a.x + 10 AND b.y BETWEEN a.y - 10 AND a.y + 10 WHERE a.left_m <= 30 + 1e-6 AND b.left_m >= 5),
 lv AS (SELECT *, CASE WHEN d <= 2 THEN 0 WHEN d <= 5 THEN 1 ELSE 2 END AS level FROM cd WHERE d <= 10 AND ahead > 0 AND turn <= 35), ml AS (SELECT *, min(level) OVER (PARTITION BY traj_id, seq) AS m FROM lv)
-SELECT patch_id, traj_id, seq, p_traj_id, p_seq, level, rank, round(d, 5) AS d, round(turn, 4) AS turn FROM (SELECT *, row_number() OVER (PARTITION BY traj_id, seq ORDER BY d, turn, p_traj_id, p_seq) AS rank FROM ml WHERE level = m) WHERE rank <= 3"""
+SELECT patch_id, traj_id, seq, p_traj_id, p_seq, level, rank, d, turn FROM (SELECT *, row_number() OVER (PARTITION BY traj_id, seq ORDER BY d, turn, p_traj_id, p_seq) AS rank FROM ml WHERE level = m) WHERE rank <= 3"""
 
 
 @query(TAILS, T)
@@ -248,8 +248,7 @@ def tail_stitches(spark, d):
     w = Window.partitionBy("traj_id").orderBy("seq")
     step = F.coalesce(F.sqrt((F.lead("x").over(w) - F.col("x")) ** 2 + (F.lead("y").over(w) - F.col("y")) ** 2), F.lit(0.0))
     rows = series.heading(traj.withColumn("m", step)).withColumn("left_m", F.sum("m").over(w.rowsBetween(0, Window.unboundedFollowing)))
-    got = S.tail_stitches(rows)
-    return got.withColumns({"d": F.round("d", 5), "turn": F.round("turn", 4)})
+    return S.tail_stitches(rows)
 
 
 # Arcs are the lines of every seventh trajectory, four groups of them share a source; the others are support pieces.

@@ -81,6 +81,26 @@ def test_repair_cases(spark):
     assert got[3]["reason"] == "clipped_empty" and got[3]["new_snode"] is None
 
 
+def test_repair_of_polylines(spark):
+    box = [(0, 0.0, 0.0, 10.0, 0.0), (0, 10.0, 0.0, 10.0, 10.0), (0, 10.0, 10.0, 0.0, 10.0), (0, 0.0, 10.0, 0.0, 0.0)]
+    zone = spark.createDataFrame(box, "poly_id int, x1 double, y1 double, x2 double, y2 double")
+    roads = spark.createDataFrame([(1, 1, 9), (2, 9, 1), (3, 8, 9), (4, 1, 2), (5, 8, 1)], "road_id long, snode long, enode long")
+    spots = {1: [(5, 5), (5, 8), (25, 8)], 2: [(5, 5), (5, 8), (25, 8)], 3: [(40, 40), (50, 40)], 4: [(5, 5), (1, 1)], 5: [(13, 14), (13, 30), (5, 30), (5, 5)]}
+    vertices = [(r, i, float(x), float(y)) for r, at in spots.items() for i, (x, y) in enumerate(at)]
+    lines = zones.segments(spark.createDataFrame(vertices, "road_id long, seq long, x double, y double"), ["road_id"])
+    nodes = spark.createDataFrame([(1, 5.0, 5.0), (2, 1.0, 1.0)], "node_id long, x double, y double")
+    got = {r["road_id"]: r for r in repair.endpoint_repair_lines(roads, lines, nodes, zone).collect()}
+    assert set(got) == {1, 2, 3, 5}
+    at = lambda r: tuple(round(r[c], 6) for c in ("sx", "sy", "dx", "dy"))
+    assert at(got[1]) == (5.0, 5.0, 15.0, 8.0) and got[1]["snode"] == 1 and got[1]["new_dst"] and not got[1]["new_src"] and got[1]["reason"] is None
+    assert abs(got[1]["outside_ratio"] - 5 / 13) < 1e-9
+    # Drawn against its direction: the line begins at the destination's node.
+    assert at(got[2]) == (15.0, 8.0, 5.0, 5.0) and got[2]["enode"] == 1 and got[2]["new_src"]
+    assert got[3]["reason"] == "clipped_empty" and (got[3]["snode"], got[3]["enode"], got[3]["new_src"]) == (8, 9, False)
+    # The piece at the node is kept, not the one within 5 m of the corner (3 and 4 m away: on the rim).
+    assert at(got[5]) == (5.0, 15.0, 5.0, 5.0) and got[5]["new_src"] and not got[5]["new_dst"]
+
+
 def test_layer_path_stays_on_the_continuous_layer(spark):
     z = [(10.0, 15.0), (10.1, 15.1), (15.0, 10.2), (10.3, None)]
     df = spark.createDataFrame([(0, 1, i, a, b) for i, (a, b) in enumerate(z)], "patch_id long, traj_id long, seq long, peak0 double, peak1 double")
