@@ -139,7 +139,6 @@ def near_edge_spans(lines: DataFrame, edges: DataFrame, by: list[str], reach: fl
     # Along and across the edge, from its first end: place + t * step for t from 0 to 1.
     dx, dy, px, py = F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1"), F.col("x1") - F.col("ex1"), F.col("y1") - F.col("ey1")
     rows = rows.withColumns({"p0": px * F.col("ux") + py * F.col("uy"), "p1": dx * F.col("ux") + dy * F.col("uy"), "q0": py * F.col("ux") - px * F.col("uy"), "q1": dy * F.col("ux") - dx * F.col("uy")})
-    none = F.lit(None).cast("double")
 
     def slab(k0, k1, low, high):
         u, w = (low - k0) / k1, (high - k0) / k1
@@ -154,8 +153,9 @@ def near_edge_spans(lines: DataFrame, edges: DataFrame, by: list[str], reach: fl
         root = half * half - q * (along * along + F.col("q0") ** 2 - reach * reach)
         root = F.when(root > 0, F.sqrt(root))
         found.append((F.greatest((-half - root) / q, F.lit(0.0)), F.least((-half + root) / q, F.lit(1.0)) + root * 0))
-    met = [(F.when(hi > lo, lo).otherwise(none), F.when(hi > lo, hi).otherwise(none)) for lo, hi in found]
-    rows = rows.withColumns({"t0": F.least(*[m[0] for m in met]), "t1": F.greatest(*[m[1] for m in met])}).where("t1 > t0")
+    met = F.filter(F.array(*[F.struct(lo.alias("lo"), hi.alias("hi")) for lo, hi in found]), lambda m: m.hi > m.lo)
+    rows = rows.withColumn("met", met).where(F.size("met") > 0)
+    rows = rows.withColumns({"t0": F.array_min(F.transform("met", lambda m: m.lo)), "t1": F.array_max(F.transform("met", lambda m: m.hi))})
     return rows.select(*by, (F.col("s1") + F.col("t0") * F.col("seg_m")).alias("a"), (F.col("s1") + F.col("t1") * F.col("seg_m")).alias("b"))
 
 
