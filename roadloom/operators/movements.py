@@ -117,6 +117,13 @@ def movement_matrix(decided: DataFrame, by: list[str], row: str = "turn", status
     return decided.groupBy(*by, row).agg(*[F.count_if(F.col("status") == s).alias(s) for s in statuses])
 
 
+def movement_cells(decided: DataFrame, by: list[str], entry: str, exit: str) -> DataFrame:
+    """(by..., entry, cells, n): the status of each exit from an entry, as 'exit=status' in the order of exits."""
+    cells = F.array_sort(F.collect_list(F.struct(exit, "status")))
+    got = decided.groupBy(*by, entry).agg(cells.alias("l"), F.count("*").alias("n"))
+    return got.select(*by, entry, F.array_join(F.transform("l", lambda x: F.concat(x[exit].cast("string"), F.lit("="), x.status)), ",").alias("cells"), "n")
+
+
 def run_diff(before: DataFrame, after: DataFrame, key: list[str], compare: list[str]) -> DataFrame:
     """Rows whose presence or compared values differ between two runs."""
     a = before.select(*key, F.struct(*compare).alias("was"), F.lit(True).alias("in_a"))

@@ -247,6 +247,18 @@ def snapshot_compare(a: DataFrame, b: DataFrame) -> DataFrame:
     return a.select(*cols).exceptAll(b.select(*cols)).withColumn("side", F.lit("a")).union(b.select(*cols).exceptAll(a.select(*cols)).withColumn("side", F.lit("b")))
 
 
+def snapshot_first_mismatch(actual: DataFrame, expected: DataFrame) -> DataFrame:
+    """(file, path, code, expected, actual): where each file first departs from its snapshot, in the snapshot's order. Both hold one row
+    for each node of a document: file, ord, path, kind, value; an object's value is the list of its keys, in order, a list's value its
+    length. Codes: missing, type_mismatch, key_mismatch, list_length_mismatch, value_mismatch. Files that agree have no row."""
+    other = actual.select("file", "path", F.col("kind").alias("a_kind"), F.col("value").alias("a_value"))
+    rows = expected.select("file", "ord", "path", "kind", "value").join(other, ["file", "path"], "left")
+    code = F.when(F.col("a_kind").isNull(), "missing").when(F.col("kind") != F.col("a_kind"), "type_mismatch").when(~F.col("value").eqNullSafe(F.col("a_value")), F.when(F.col("kind") == "object", "key_mismatch").when(F.col("kind") == "list", "list_length_mismatch").otherwise("value_mismatch"))
+    of = lambda p: F.when(F.col("code") == "type_mismatch", F.col(f"{p}kind")).otherwise(F.col(f"{p}value"))
+    rows = rows.withColumn("code", code).where("code IS NOT NULL").select("file", "ord", "path", "code", of("").alias("expected"), of("a_").alias("actual"))
+    return rows.groupBy("file").agg(F.min_by(F.struct("path", "code", "expected", "actual"), "ord").alias("m")).select("file", "m.*")
+
+
 def batch_manifest(done: DataFrame, patches: DataFrame) -> DataFrame:
     """A row for each patch: its state and reason, `missing` without a result."""
     return patches.join(done, "patch_id", "left").withColumn("state", F.coalesce("state", F.lit("missing")))

@@ -491,6 +491,11 @@ def movement_matrix(spark, d):
     return movements.movement_matrix(_decided(spark, d), ["intersection_id"])
 
 
+@query(f"{APPROACH} SELECT intersection_id, s_id, string_agg(t_id || '=' || status, ',' ORDER BY t_id, status) AS cells, count(*) AS n FROM fin GROUP BY ALL", R)
+def movement_cells(spark, d):
+    return movements.movement_cells(_decided(spark, d), ["intersection_id"], "s_approach_id", "t_approach_id").withColumnRenamed("s_approach_id", "s_id")
+
+
 @query(f"{APPROACH} SELECT intersection_id, count(*) AS n, count(*) FILTER (status = 'unknown') AS n_unknown FROM fin GROUP BY ROLLUP (intersection_id)", R)
 def batch_run_summary(spark, d):
     return _decided(spark, d).rollup("intersection_id").agg(F.count("*").alias("n"), F.count_if(F.col("status") == "unknown").alias("n_unknown"))

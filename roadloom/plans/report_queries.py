@@ -340,3 +340,20 @@ def snapshot_compare(spark, d):
     a = spark.read.parquet(f"{d}/orders.parquet").selectExpr("o_orderkey AS k", "concat('o', o_orderkey) AS path", "'string' AS kind", "o_orderpriority AS value")
     b = a.where("k % 101 <> 0").withColumn("value", F.when(F.col("k") % 97 == 0, "changed").otherwise(F.col("value")))
     return profiles.snapshot_compare(a, b)
+
+
+# A file for each customer: the list of its orders and their values. The actual ones have lost, changed or retyped some.
+SNAP = """WITH k AS (SELECT o_custkey AS file, o_orderkey AS k, 'o' || o_orderkey AS path, 'string' AS kind, o_orderpriority AS value FROM orders),
+x AS (SELECT file, k AS ord, path, kind, value FROM k UNION ALL SELECT file, -1, 'root', 'list', CAST(count(*) AS VARCHAR) FROM k GROUP BY file),
+y0 AS (SELECT file, path, CASE WHEN k % 53 = 0 THEN 'number' ELSE kind END AS kind, CASE WHEN k % 37 = 0 THEN 'changed' ELSE value END AS value FROM k WHERE k % 101 <> 0),
+y AS (SELECT * FROM y0 UNION ALL SELECT file, 'root', 'list', CAST(count(*) AS VARCHAR) FROM y0 GROUP BY file),
+c AS (SELECT x.*, y.kind AS ak, y.value AS av, CASE WHEN y.kind IS NULL THEN 'missing' WHEN y.kind <> x.kind THEN 'type_mismatch' WHEN x.value IS DISTINCT FROM y.value THEN CASE x.kind WHEN 'list' THEN 'list_length_mismatch' ELSE 'value_mismatch' END END AS code FROM x LEFT JOIN y ON y.file = x.file AND y.path = x.path)
+SELECT file, path, code, CASE code WHEN 'type_mismatch' THEN kind ELSE value END AS expected, CASE code WHEN 'type_mismatch' THEN ak ELSE av END AS actual FROM c WHERE code IS NOT NULL QUALIFY row_number() OVER (PARTITION BY file ORDER BY ord) = 1"""
+
+
+@query(SNAP)
+def snapshot_first_mismatch(spark, d):
+    rows = spark.read.parquet(f"{d}/orders.parquet").selectExpr("o_custkey AS file", "o_orderkey AS ord", "concat('o', o_orderkey) AS path", "'string' AS kind", "o_orderpriority AS value")
+    lost = rows.where("ord % 101 <> 0").withColumns({"kind": F.when(F.col("ord") % 53 == 0, "number").otherwise(F.col("kind")), "value": F.when(F.col("ord") % 37 == 0, "changed").otherwise(F.col("value"))})
+    whole = lambda df: df.unionByName(df.groupBy("file").agg(F.count("*").cast("string").alias("value")).withColumns({"ord": F.lit(-1).cast("long"), "path": F.lit("root"), "kind": F.lit("list")}))
+    return profiles.snapshot_first_mismatch(whole(lost), whole(rows))

@@ -229,3 +229,14 @@ def test_streamed_gap_sessions(spark, data, tmp_path):
     got = spark.table("sessions")
     want = sessions.gap_sessions(events, "6 hours", "1 hour")
     assert got.count() > 0 and got.exceptAll(want).count() == 0 == want.exceptAll(got).count()
+
+
+def test_first_departure_from_a_snapshot(spark):
+    cols = "file string, ord long, path string, kind string, value string"
+    want = [(f, i, p, k, v) for f in "abcde" for i, (p, k, v) in enumerate([("$", "object", "x,y"), ("$.x", "list", "1"), ("$.x[0]", "number", "5"), ("$.y", "null", None)])]
+    edits = {("a", "$.x[0]"): ("number", "6"), ("b", "$.x[0]"): ("string", "5"), ("c", "$"): ("object", "y,x"), ("c", "$.x"): ("list", "2"), ("d", "$.x"): ("list", "2")}
+    have = [(f, 9 - i, p, *edits.get((f, p), (k, v))) for f, i, p, k, v in want if f != "e"] + [("z", 0, "$", "object", "")]
+    got = profiles.snapshot_first_mismatch(spark.createDataFrame(have, cols), spark.createDataFrame(want, cols)).collect()
+    assert {tuple(r) for r in got} == {
+        ("a", "$.x[0]", "value_mismatch", "5", "6"), ("b", "$.x[0]", "type_mismatch", "number", "string"), ("c", "$", "key_mismatch", "x,y", "y,x"), ("d", "$.x", "list_length_mismatch", "1", "2"), ("e", "$", "missing", "x,y", None),
+    }
