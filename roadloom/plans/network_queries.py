@@ -112,13 +112,14 @@ def chain_offsets(spark, d):
 # Cross-sections for graph queries: nodes of a merge or diverge kind. The walk has no depth
 # limit: simple paths end by themselves, and the operators' budget is far beyond them here.
 # An arc's inner nodes are plain, with one edge in and one out.
-WALK = f"""{ARC}, fx AS (SELECT node_id FROM v_nodes WHERE kind & 24 <> 0),
-dg AS (SELECT node_id, count(*) FILTER (o) AS n_out, count(*) FILTER (NOT o) AS n_in FROM (SELECT src AS node_id, true AS o FROM ae UNION ALL SELECT dst, false FROM ae) GROUP BY 1),
-plain AS (SELECT node_id FROM dg WHERE n_out = 1 AND n_in = 1 AND node_id NOT IN (SELECT node_id FROM fx)),
+FIXED = f"{ARC}, fx AS (SELECT node_id FROM v_nodes WHERE kind & 24 <> 0)"
+WAYS = """plain AS (SELECT node_id FROM dg WHERE n_out = 1 AND n_in = 1 AND node_id NOT IN (SELECT node_id FROM fx)),
 wk AS (SELECT node_id AS src, node_id AS place, [node_id] AS nodes, CAST([] AS BIGINT[]) AS edge_ids, 0e0 AS length_m, false AS stop, true AS direct FROM fx
   UNION ALL SELECT wk.src, ae.dst, list_append(nodes, ae.dst), list_append(edge_ids, ae.edge_id), wk.length_m + ae.length_m, ae.dst IN (SELECT node_id FROM fx), direct AND (len(nodes) = 1 OR wk.place IN (SELECT node_id FROM plain))
   FROM wk JOIN ae ON ae.src = wk.place WHERE NOT stop AND (ae.dst IN (SELECT node_id FROM fx) OR NOT list_contains(nodes, ae.dst))),
 paths AS (SELECT src, place AS dst, nodes, edge_ids, length_m, direct FROM wk WHERE stop)"""
+DEGREE = "dg AS (SELECT node_id, count(*) FILTER (o) AS n_out, count(*) FILTER (NOT o) AS n_in FROM (SELECT src AS node_id, true AS o FROM ae UNION ALL SELECT dst, false FROM ae) GROUP BY 1)"
+WALK = f"{FIXED},\n{DEGREE},\n{WAYS}"
 ARCS = f"{WALK}, da AS (SELECT * FROM paths WHERE direct AND src <> dst)"
 
 
@@ -148,9 +149,16 @@ def reachable_paths(spark, d):
     return _listed(_traced(*_compressed(spark, d)), "anchor", "overflow")
 
 
-@query(f"{ARCS} SELECT src, dst, {TEXT}, length_m, row_number() OVER (PARTITION BY src, dst ORDER BY length_m, edge_ids) AS arc_no FROM da", RN)
+# All ways between two cross-sections, those of compressed edges alone (direct: the legal arcs of the
+# reference) numbered first. Their inner nodes have one neighbour in and one out, by however many edges.
+NEIGHBOURS = "dg AS (SELECT node_id, count(DISTINCT beside) FILTER (o) AS n_out, count(DISTINCT beside) FILTER (NOT o) AS n_in FROM (SELECT src AS node_id, dst AS beside, true AS o FROM ae UNION ALL SELECT dst, src, false FROM ae) GROUP BY 1)"
+
+
+@query(f"{FIXED}, {NEIGHBOURS}, {WAYS} SELECT src, dst, {TEXT}, length_m, direct, row_number() OVER (PARTITION BY src, dst ORDER BY direct DESC, length_m, edge_ids) AS arc_no FROM paths WHERE src <> dst", RN)
 def legal_arcs(spark, d):
-    return _listed(network.legal_arcs(*_compressed(spark, d)), "arc_no")
+    fixed = _fixed(spark, d)
+    paths = network.cut(network.graph_compress(scalars.arc_edges_of(v.roads(spark, d)), fixed, by_neighbours=True))
+    return _listed(network.numbered_ways(paths, fixed), "direct", "arc_no")
 
 
 # Backwards from each terminal, one search for each compressed edge into it.

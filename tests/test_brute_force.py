@@ -105,6 +105,24 @@ def test_forty_doubled_edges_in_a_row_end_at_once(spark):
     assert sorted((r["src"], r["anchor"], r["dst"], r["overflow"]) for r in rows) == [(0, 0, None, True), (0, 1, None, True)]
 
 
+def test_legal_arcs_query_lists_arcs_over_parallel_roads_and_all_other_ways(spark, monkeypatch):
+    from roadloom.plans import QUERIES
+
+    branch = [(1, 9, 20, 1.0), (9, 8, 21, 1.0), (9, 5, 22, 0.5)]  # a way through a node with two ways out
+    long = [(100 + i, 101 + i, 100 + i, 1.0) for i in range(30)] + [(100 + i, 500, 200 + i, 1.0) for i in range(1, 30)]  # 29 such nodes in a row
+    _views(monkeypatch, spark, DOUBLED + branch + long, [(i, 8) for i in (1, 5, 100, 130)])
+    got = {(r["src"], r["dst"], r["edges"], r["length_m"], r["direct"], r["arc_no"]) for r in QUERIES["legal_arcs"](spark, "").collect()}
+    arcs = {(1, 5, f"10,{a},{b},16", 65.0 + m + n, True, k) for k, (a, m, b, n) in enumerate(CHOICES, 1)}
+    assert got == arcs | {(1, 5, "20,22", 1.5, False, 7), (100, 130, ",".join(str(100 + i) for i in range(30)), 30.0, False, 1)}
+
+
+def test_ways_between_cross_sections_have_no_budget(spark):
+    edges = spark.createDataFrame([(layer * 10 + i, (layer + 1) * 10 + j, layer * 100 + i * 10 + j, 1.0) for layer in range(6) for i in range(1 if layer == 0 else 6) for j in range(1 if layer == 5 else 6)], EDGE)
+    fixed = spark.createDataFrame([(0,), (60,)], "node_id long")
+    got = network.numbered_ways(network.graph_compress(edges, fixed, by_neighbours=True), fixed).collect()
+    assert sorted(r["arc_no"] for r in got) == list(range(1, 6**5 + 1)) and len({tuple(r["edge_ids"]) for r in got}) == 6**5
+
+
 def test_walks_lose_no_source(spark):
     chain = [(i, i + 1, i, 1.0) for i in range(11)]
     fan = [(100, 101 + k, 200 + k, 1.0) for k in range(3)] + [(101 + k, 110, 210 + k, 1.0) for k in range(3)] + [(110, 100, 220, 1.0)]
