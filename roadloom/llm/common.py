@@ -108,13 +108,13 @@ def components(edges: DataFrame, name: str) -> DataFrame:
         edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(),
         name,
     )
-    while True:
+    n, stars = _state(edges)
+    while not stars:
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
         # Broadcast where it must be small. Else kept apart from its own shuffle, so that
         # Spark can split an id with many neighbours.
-        few = edges.count() <= BROADCAST_ROWS
-        aside = F.broadcast if few else lambda df: keep(df, name)
+        aside = F.broadcast if n <= BROADCAST_ROWS else lambda df: keep(df, name)
         large = both.join(aside(low), "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         large = large.distinct()
         least = large.groupBy("a").agg(F.min("b").alias("m"))
@@ -127,11 +127,17 @@ def components(edges: DataFrame, name: str) -> DataFrame:
         )
         new = keep(small_star, name)
         release(edges)
-        # Done when every edge leads from an id to a root: no b is itself an a.
-        chained = new.join(new.select(F.col("a").alias("b")).distinct(), "b", "left_semi").limit(1).count()
-        several = 0 if chained else new.groupBy("a").count().where("count > 1").limit(1).count()
         edges = new
-        if not chained and not several:
-            return edges.select(F.col("a").alias("id"), F.col("b").alias("label")).union(
-                edges.select(F.col("b").alias("id"), F.col("b").alias("label")).distinct()
-            )
+        n, stars = _state(edges)
+    return edges.select(F.col("a").alias("id"), F.col("b").alias("label")).union(
+        edges.select(F.col("b").alias("id"), F.col("b").alias("label")).distinct()
+    )
+
+
+def _state(edges: DataFrame) -> tuple[int, bool]:
+    """How many edges (a, b) there are, and whether each leads from an id to a root: no b is
+    itself an a, and no a has two. One job with one shuffle, so that a round leaves little with the driver."""
+    ends = edges.select(F.col("a").alias("id"), F.lit(1).alias("out"), F.lit(0).alias("met")).union(edges.select("b", F.lit(0), F.lit(1)))
+    ids = ends.groupBy("id").agg(F.sum("out").alias("out"), F.max("met").alias("met"))
+    n, open_ = ids.agg(F.sum("out"), F.count_if(F.expr("out > 1 or (out = 1 and met = 1)"))).first()
+    return n or 0, not open_

@@ -45,6 +45,22 @@ def empty(spark):
 # --- shared pieces ---------------------------------------------------------------
 
 
+def test_components_ask_for_their_state_in_one_job(spark):
+    """Finished edges need no round, and what a round asks takes one job: the driver keeps every job's tasks and plans."""
+    ids = lambda: set(spark.sparkContext.statusTracker().getJobIdsForGroup("components"))
+    edges = spark.createDataFrame([(1, 2), (3, 4), (5, 3), (6, 6), (4, 3)], "a long, b long")
+    spark.sparkContext.setJobGroup("components", "components")
+    try:
+        done, before = components(edges, "test-stars"), ids()
+        chain = components(spark.range(40).selectExpr("id AS a", "id + 1 AS b"), "test-chain")
+        rounds = ids() - before
+    finally:
+        spark.sparkContext._jsc.sc().clearJobGroup()
+    assert {tuple(r) for r in done.collect()} == {(1, 1), (2, 1), (3, 3), (4, 3), (5, 3)}
+    assert {tuple(r) for r in chain.collect()} == {(i, 0) for i in range(41)}
+    assert len(before) <= 8 and len(rounds) <= 72
+
+
 def test_components(spark):
     rnd = random.Random(2)
     edges = [(rnd.randrange(200), rnd.randrange(200)) for _ in range(110)] + [(i, i + 1) for i in range(300, 360)]
