@@ -207,4 +207,5 @@ def chain_line_merge(spark, d):
         (F.col("node_id") % 11 == 0).alias("failed"), F.when(F.col("node_id") % 7 != 0, F.col("offset_m") + F.col("node_id") % 5).alias("at_s"),
         (F.col("x") - half).alias("x1"), (F.col("y") - lean).alias("y1"), (F.col("x") + half).alias("x2"), (F.col("y") + lean).alias("y2"),
     )
-    return rounded(E.chain_line_merge(edges.join(offsets.select(F.col("node_id").alias("src"), "component"), "src"), lines))
+    # An edge from a cycle that no source reaches has no offset, but its source may be the nearest predecessor.
+    return rounded(E.chain_line_merge(edges.join(offsets.select(F.col("node_id").alias("src"), "component"), "src", "left"), lines))
