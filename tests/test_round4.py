@@ -1,7 +1,10 @@
 """Cases from the review of round 4."""
 
+import random
+
 import duckdb
 
+from roadloom.operators import cells
 from roadloom.plans import ORACLES, QUERIES
 
 from .conftest import canonical
@@ -24,3 +27,14 @@ def test_a_cycle_that_no_source_reaches_has_the_nearest_predecessor(spark, tmp_p
     # 219639 and 219646 lead to each other; 219632 is nearer to 219639 than to 219631, its only predecessor with an offset.
     orders = [(219627, 15124), (219630, 24794), (219631, 23805), (219634, 18687), (219635, 22942)]
     assert against_sql(spark, tmp_path, "chain_line_merge", orders=(orders, "o_orderkey long, o_custkey long")) == []
+
+
+def test_ground_heights_are_those_of_the_sql_to_the_last_bit(spark, tmp_path):
+    rnd = random.Random(18)
+    rows = [(1, 1, 5.0 * g + 1, 1.0, 10 + rnd.randrange(400) / 100) for g in range(300) for _ in range(rnd.randrange(8, 24))]
+    got = cells.dem_quantile(spark.createDataFrame(rows, "patch_id long, cls int, x double, y double, z double")).collect()
+    con = duckdb.connect()
+    con.execute("CREATE TABLE p (ix BIGINT, z DOUBLE)")
+    con.executemany("INSERT INTO p VALUES (?, ?)", [(int(x // 5), z) for _, _, x, _, z in rows])
+    want = con.execute("SELECT ix, quantile_cont(z, 0.1e0), count(*) FROM p GROUP BY ix ORDER BY ix").fetchall()
+    assert sorted((r.ix, r.ground_z, r.n) for r in got) == want
