@@ -1,10 +1,11 @@
 """Cases from the review of round 4."""
 
 import random
+import statistics
 
 import duckdb
 
-from roadloom.operators import cells
+from roadloom.operators import cells, series
 from roadloom.plans import ORACLES, QUERIES
 
 from .conftest import canonical
@@ -38,3 +39,24 @@ def test_ground_heights_are_those_of_the_sql_to_the_last_bit(spark, tmp_path):
     con.executemany("INSERT INTO p VALUES (?, ?)", [(int(x // 5), z) for _, _, x, _, z in rows])
     want = con.execute("SELECT ix, quantile_cont(z, 0.1e0), count(*) FROM p GROUP BY ix ORDER BY ix").fetchall()
     assert sorted((r.ix, r.ground_z, r.n) for r in got) == want
+
+
+def test_what_lies_around_places_is_worked_out_in_tiles(spark):
+    """Against plain loops, with equal places, points at tile edges and without a height, and no join of pairs in the plan."""
+    rnd = random.Random(4)
+    spot = lambda: (rnd.randrange(2), float(rnd.randrange(0, 130)) / 2 - 16, float(rnd.randrange(0, 66)) / 2)
+    places = [spot() for _ in range(120)]
+    rows = [(p, i, 0, x, y, 5.0) for i, (p, x, y) in enumerate(places + places[:20])] + [(0, 900, 0, None, 1.0, 5.0)]
+    points = [(*spot(), rnd.choice([1.0, 2.0, 2.5, 4.0, None])) for _ in range(400)]
+    traj = spark.createDataFrame(rows, "patch_id long, traj_id long, seq long, x double, y double, z double")
+    cloud = spark.createDataFrame(points, "patch_id long, x double, y double, z double")
+    counts, heights = series.radius_count(traj, cloud, 2.0, ["traj_id", "seq"]), series.radius_median_z(traj, cloud)
+    got_n, got_z = {r.traj_id: r.n_near for r in counts.collect()}, {r.traj_id: r.cloud_z for r in heights.collect()}
+    for p, i, _, x, y, _ in rows:
+        near = sorted(((a - x) ** 2 + (b - y) ** 2, -1.0 if z is None else z, z) for q, a, b, z in points if q == p) if x is not None else []
+        own = [z for d, _, z in near if d <= 4]
+        assert got_n[i] == len(own)
+        own = own if len(own) >= 3 else [z for d, _, z in near if d <= 36][:8]
+        known = [z for z in own if z is not None]
+        assert got_z[i] == (statistics.median(known) if len(own) >= 3 and known else None), i
+    assert "FlatMapCoGroupsInArrow" in counts._jdf.queryExecution().toString()
