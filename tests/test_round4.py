@@ -1,9 +1,11 @@
 """Cases from the review of round 4."""
 
+import datetime
 import random
 import statistics
 
 import duckdb
+from pyspark.sql.classic.dataframe import DataFrame
 
 from roadloom.operators import cells, series
 from roadloom.plans import ORACLES, QUERIES
@@ -60,3 +62,15 @@ def test_what_lies_around_places_is_worked_out_in_tiles(spark):
         known = [z for z in own if z is not None]
         assert got_z[i] == (statistics.median(known) if len(own) >= 3 and known else None), i
     assert "FlatMapCoGroupsInArrow" in counts._jdf.queryExecution().toString()
+
+
+def test_profiles_across_are_worked_out_in_tiles(spark, tmp_path, monkeypatch):
+    rnd = random.Random(9)
+    events = [(i, datetime.datetime(2024, 1, 1) + datetime.timedelta(minutes=i), rnd.choice([3, 11, 16]), "view") for i in range(90)]
+    lines = [(rnd.randrange(90), rnd.randrange(60), rnd.randrange(16), rnd.randrange(1, 8), float(rnd.randrange(1, 50)), rnd.randrange(11) / 100, rnd.randrange(9) / 100, "N") for _ in range(20000)]
+    schema = "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_discount double, l_tax double, l_returnflag string"
+    tables = {"events": (events, "event_id long, ts timestamp_ntz, user_id long, event_type string"), "lineitem": (lines, schema)}
+    joins = []
+    monkeypatch.setattr(DataFrame, "join", lambda self, other, *a, join=DataFrame.join: joins.append(set(other.columns)) or join(self, other, *a))
+    assert any(r.p90 for r in against_sql(spark, tmp_path, "xsec_profile_fit", **tables))
+    assert not any("p_z" in x for x in joins)  # no pairs of a vertex and a point
