@@ -1,13 +1,14 @@
 """Cases from the review of round 4."""
 
 import datetime
+import math
 import random
 import statistics
 
 import duckdb
 from pyspark.sql.classic.dataframe import DataFrame
 
-from roadloom.operators import cells, series
+from roadloom.operators import assembly, cells, series
 from roadloom.plans import ORACLES, QUERIES
 
 from .conftest import canonical
@@ -74,3 +75,22 @@ def test_profiles_across_are_worked_out_in_tiles(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(DataFrame, "join", lambda self, other, *a, join=DataFrame.join: joins.append(set(other.columns)) or join(self, other, *a))
     assert any(r.p90 for r in against_sql(spark, tmp_path, "xsec_profile_fit", **tables))
     assert not any("p_z" in x for x in joins)  # no pairs of a vertex and a point
+
+
+def test_stitches_are_looked_for_in_tiles(spark, monkeypatch):
+    """The three best of many vertices around a tail, by distance, turn and ids, and no join of tails with heads."""
+    rnd = random.Random(14)
+    heads = [(1, t, s, 5.0 * s, rnd.randrange(40) / 10, 1.0, 0.0, 50.0) for t in range(2, 60) for s in range(1, 5)]
+    tails = [(1, 1, 1, 9.0, 2.0, 1.0, 0.0, 3.0), (1, 70, 9, 1.0, 2.0, 0.6, 0.8, 3.0)]
+    rows = spark.createDataFrame(heads + tails, "patch_id long, traj_id long, seq long, x double, y double, hx double, hy double, left_m double")
+    joins = []
+    monkeypatch.setattr(DataFrame, "join", lambda self, other, *a, join=DataFrame.join: joins.append(set(other.columns)) or join(self, other, *a))
+    got = {(r.traj_id, r.rank): (r.p_traj_id, r.p_seq, r.level, r.d) for r in assembly.tail_stitches(rows).collect()}
+    assert not any("p_hx" in x or "p_x" in x for x in joins)
+    want = {}
+    for _, t, _, x, y, hx, hy, _ in tails:
+        near = [(round(math.hypot(a - x, b - y), 9), round(math.degrees(math.acos(hx)), 6), p, s) for _, p, s, a, b, *_ in heads if (a - x) * hx + (b - y) * hy > 0 and math.degrees(math.acos(hx)) <= 35]
+        level = min((i for d, *_ in near for i, r in enumerate((2.0, 5.0, 10.0)) if d <= r), default=None)
+        best = sorted(x for x in near if x[0] <= (2.0, 5.0, 10.0)[level])[:3] if near else []
+        want |= {(t, k): (p, s, level, d) for k, (d, _, p, s) in enumerate(best, 1)}
+    assert got == want and len(got) == 3
