@@ -149,17 +149,26 @@ def divstrip_tip(nodes: DataFrame, vertices: DataFrame, reach: float) -> DataFra
 def fan_gap(nodes: DataFrame, zone_edges: DataFrame, length: float = 10.0, half_angle: float = 30.0, rays: int = 7, steps: int = 10) -> DataFrame:
     """Share of a fan ahead of each node that no zone covers, by a grid of rays and steps
     (an approximation of its area). nodes: node_id, x, y, ux, uy."""
-    from .zones import point_in_zone
-
+    from .zones import in_cells, point_in_zone
+
+    sides = lambda f, end: [f(end(f"{c}1", f"{c}2")) for c in "xy"]
+    key = ["patch_id", "poly_id"] if "patch_id" in zone_edges.columns else ["poly_id"]
+    lows, highs = sides(F.min, F.least), sides(F.max, F.greatest)
+    boxes = zone_edges.groupBy(*key).agg(lows[0].alias("lx"), lows[1].alias("ly"), highs[0].alias("hx"), highs[1].alias("hy"))
+    held = in_cells(boxes, "lx", "ly", "hx", "hy", "b").select("cx", "cy").distinct()
+    # No other nodes' fans can reach a zone's cells: their places need not be made.
+    rim, size = length * 1.001 + 1e-6, F.sqrt(F.col("ux") ** 2 + F.col("uy") ** 2)
+    reached = in_cells(nodes.withColumn("_r", rim * F.greatest(size, F.lit(1.0))).withColumns({"_a": F.col("x") - F.col("_r"), "_b": F.col("y") - F.col("_r"), "_c": F.col("x") + F.col("_r"), "_d": F.col("y") + F.col("_r")}), "_a", "_b", "_c", "_d", "n")
+    near = reached.join(held, ["cx", "cy"], "left_semi").select("node_id").distinct()
     ray, k = F.explode(F.sequence(F.lit(0), F.lit(rays - 1))), F.explode(F.sequence(F.lit(1), F.lit(steps)))
-    rows = nodes.withColumn("ray", ray).withColumn("k", k)
+    rows = nodes.join(near, "node_id", "left_semi").withColumn("ray", ray).withColumn("k", k)
     a = F.radians((F.col("ray") / (rays - 1) * 2 - 1) * half_angle)
     r = F.col("k") * (length / steps)
     dx, dy = F.col("ux") * F.cos(a) - F.col("uy") * F.sin(a), F.col("ux") * F.sin(a) + F.col("uy") * F.cos(a)
     rows = rows.select("node_id", "ray", "k", (F.col("x") + r * dx).alias("x"), (F.col("y") + r * dy).alias("y"))
-    inside = point_in_zone(rows, zone_edges, ["node_id", "ray", "k"]).select("node_id", "ray", "k", F.lit(True).alias("inside")).distinct()
-    got = rows.join(inside, ["node_id", "ray", "k"], "left")
-    return got.groupBy("node_id").agg(F.avg(F.col("inside").isNull().cast("double")).alias("gap"))
+    inside = point_in_zone(rows, zone_edges, ["node_id", "ray", "k"]).select("node_id", "ray", "k").distinct()
+    got = inside.groupBy("node_id").agg(F.count("*").alias("_in"))
+    return nodes.select("node_id").distinct().join(got, "node_id", "left").select("node_id", ((rays * steps - F.coalesce("_in", F.lit(0))) / (rays * steps)).alias("gap"))
 
 
 def multi_branch_events(steps: DataFrame, expected: int) -> DataFrame:

@@ -6,9 +6,10 @@ import random
 import statistics
 
 import duckdb
+import pytest
 from pyspark.sql.classic.dataframe import DataFrame
 
-from roadloom.operators import assembly, cells, series
+from roadloom.operators import anchors, assembly, cells, series, zones
 from roadloom.plans import ORACLES, QUERIES
 
 from .conftest import canonical
@@ -94,3 +95,18 @@ def test_stitches_are_looked_for_in_tiles(spark, monkeypatch):
         best = sorted(x for x in near if x[0] <= (2.0, 5.0, 10.0)[level])[:3] if near else []
         want |= {(t, k): (p, s, level, d) for k, (d, _, p, s) in enumerate(best, 1)}
     assert got == want and len(got) == 3
+
+
+def test_only_fans_near_zones_are_drawn(spark, monkeypatch):
+    box = [(1, k, *a, *b) for k, (a, b) in enumerate(zip([(0.0, 0.0), (60.0, 0.0), (60.0, 55.0), (0.0, 55.0)], [(60.0, 0.0), (60.0, 55.0), (0.0, 55.0), (0.0, 0.0)]))]
+    edges = spark.createDataFrame(box, "poly_id long, edge_ix int, x1 double, y1 double, x2 double, y2 double")
+    # 1 looks out of the zone from inside, 2 into it, 3 lies inside, 4 is far off, 5 has no place.
+    rows = [(1, 55.05, 30.0, 1.0, 0.0), (2, -5.05, 30.0, 1.0, 0.0), (3, 30.0, 30.0, 0.6, 0.8), (4, 900.0, 30.0, 1.0, 0.0), (5, None, 30.0, 1.0, 0.0)]
+    drawn = []
+    monkeypatch.setattr(zones, "point_in_zone", lambda points, *a, whole=zones.point_in_zone: drawn.append(points) or whole(points, *a))
+    got = {r.node_id: r.gap for r in anchors.fan_gap(spark.createDataFrame(rows, "node_id long, x double, y double, ux double, uy double"), edges).collect()}
+    inside = lambda x, y: 0 <= x < 60 and 0 <= y < 55
+    spots = lambda x, y, ux, uy: [(x + k * (ux * math.cos(a) - uy * math.sin(a)), y + k * (ux * math.sin(a) + uy * math.cos(a))) for a in (math.radians((r / 6 * 2 - 1) * 30) for r in range(7)) for k in range(1, 11)]
+    want = {n: sum(not inside(*s) for s in spots(x, y, ux, uy)) / 70 if x is not None else 1.0 for n, x, y, ux, uy in rows}
+    assert got == pytest.approx(want) and 0 < want[1] < 1 and 0 < want[2] < 1
+    assert {r.node_id for r in drawn[0].select("node_id").distinct().collect()} == {1, 2, 3}
